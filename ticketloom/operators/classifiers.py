@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
@@ -20,6 +19,18 @@ from ticketloom.operators.evaluation import majority_class
 from ticketloom.operators.features import MAX_FEATURES, NGRAM_MAX, fit_features
 
 MAX_CLASSES = 1000
+ROWS_PER_TASK = 4000
+
+
+def packed(featured: DataFrame) -> DataFrame:
+    """The features cached, in partitions worth a task.
+
+    A fit runs one job per optimiser step, so many near-empty partitions cost more than
+    the arithmetic. A frame of ROWS_PER_TASK rows per partition or more stays as it is.
+    """
+    rows, parts = featured.count(), featured.rdd.getNumPartitions()
+    wanted = max(1, rows // ROWS_PER_TASK)
+    return (featured.coalesce(wanted) if wanted < parts else featured).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def class_names(df: DataFrame, label: str) -> list[str]:
@@ -113,11 +124,35 @@ class SvmHead(Head):
         return _margins(df, self.models, "scores")
 
 
+@dataclass
+class Curve:
+    """Margin to probability: slope and offset of a sigmoid, or the knots of a monotone line."""
+
+    kind: str
+    xs: list[float]
+    ys: list[float]
+
+    def apply(self, m: Column) -> Column:
+        if self.kind == "sigmoid":
+            return 1 / (1 + F.exp(-(m * self.xs[0] + self.ys[0])))
+        pairs = zip(self.xs, self.ys, strict=True)
+        knots = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in pairs])
+        low = F.array_max(F.filter(knots, lambda k: k["x"] <= m))
+        high = F.array_min(F.filter(knots, lambda k: k["x"] >= m))
+        between = low["y"] + (high["y"] - low["y"]) * (m - low["x"]) / (high["x"] - low["x"])
+        return (
+            F.when(low.isNull(), F.lit(self.ys[0]))
+            .when(high.isNull(), F.lit(self.ys[-1]))
+            .when(high["x"] == low["x"], low["y"])
+            .otherwise(between)
+        )
+
+
 @dataclass
 class CalibratedHead(Head):
     """The mean of the members' calibrated, normalised class probabilities."""
 
-    members: list[tuple[list[LinearSVCModel], list[Callable[[Column], Column]]]] = field(default_factory=list)
+    members: list[tuple[list[LinearSVCModel], list[Curve]]] = field(default_factory=list)
 
     def score(self, df: DataFrame) -> DataFrame:
         parts = []
@@ -126,10 +161,10 @@ class CalibratedHead(Head):
             df = _margins(df, models, name)
             margins = [F.element_at(name, k + 1) for k in range(len(self.classes))]
             if len(curves) == 1:
-                positive = curves[0](margins[1])
+                positive = curves[0].apply(margins[1])
                 values = [1 - positive, positive]
             else:
-                values = [curve(m) for curve, m in zip(curves, margins, strict=True)]
+                values = [curve.apply(m) for curve, m in zip(curves, margins, strict=True)]
             raw = F.array(*values)
             df = df.withColumn(f"_q{i}", raw)
             total = F.aggregate(f"_q{i}", F.lit(0.0), lambda a, x: a + x)
@@ -145,7 +180,7 @@ class CalibratedHead(Head):
         return df.withColumn("scores", F.array(*mean)).drop(*parts)
 
 
-def _sigmoid_curve(held: DataFrame) -> Callable[[Column], Column]:
+def _sigmoid_curve(held: DataFrame) -> Curve:
     """Platt scaling: a logistic fit to the margins with softened targets."""
     n_pos, n_neg = held.agg(F.count_if(F.col("_is") == 1.0), F.count_if(F.col("_is") == 0.0)).first()
     soft = F.when(F.col("_is") == 1.0, F.lit((n_pos + 1.0) / (n_pos + 2.0))).otherwise(F.lit(1.0 / (n_neg + 2.0)))
@@ -158,28 +193,14 @@ def _sigmoid_curve(held: DataFrame) -> Callable[[Column], Column]:
     model = LogisticRegression(
         featuresCol="_x", labelCol="_t", weightCol="_w", family="binomial", regParam=0.0, maxIter=100
     ).fit(rows)
-    slope, offset = float(model.coefficients[0]), float(model.intercept)
-    return lambda m: 1 / (1 + F.exp(-(m * slope + offset)))
+    return Curve("sigmoid", [float(model.coefficients[0])], [float(model.intercept)])
 
 
-def _isotonic_curve(held: DataFrame) -> Callable[[Column], Column]:
+def _isotonic_curve(held: DataFrame) -> Curve:
     """A monotone step-and-line fit, interpolated between its boundaries."""
     model = IsotonicRegression(featuresCol="_x", labelCol="_is").fit(held.select("_x", "_is"))
-    xs, ys = [float(v) for v in model.boundaries.toArray()], [float(v) for v in model.predictions.toArray()]
-
-    def curve(m: Column) -> Column:
-        knots = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in zip(xs, ys, strict=True)])
-        low = F.array_max(F.filter(knots, lambda k: k["x"] <= m))
-        high = F.array_min(F.filter(knots, lambda k: k["x"] >= m))
-        between = low["y"] + (high["y"] - low["y"]) * (m - low["x"]) / (high["x"] - low["x"])
-        return (
-            F.when(low.isNull(), F.lit(ys[0]))
-            .when(high.isNull(), F.lit(ys[-1]))
-            .when(high["x"] == low["x"], low["y"])
-            .otherwise(between)
-        )
-
-    return curve
+    xs, ys = model.boundaries.toArray(), model.predictions.toArray()
+    return Curve("isotonic", [float(v) for v in xs], [float(v) for v in ys])
 
 
 _CURVES = {"sigmoid": _sigmoid_curve, "isotonic": _isotonic_curve}
@@ -195,7 +216,7 @@ def _fit_calibrated(
     data = df.withColumn("_fold", F.floor(uniform(seed, key) * folds).cast("int")).persist(StorageLevel.MEMORY_AND_DISK)
     targets = [1] if len(classes) == 2 else list(range(len(classes)))
 
-    def member(fold: int) -> tuple[list[LinearSVCModel], list[Callable[[Column], Column]]]:
+    def member(fold: int) -> tuple[list[LinearSVCModel], list[Curve]]:
         models = _fit_one_vs_rest(data.where(F.col("_fold") != fold), classes, c, n * (folds - 1) // folds, max_iter)
         held = _margins(data.where(F.col("_fold") == fold), models, "_margin").select("_label", "_margin")
         held = held.persist(StorageLevel.MEMORY_AND_DISK)
@@ -310,12 +331,12 @@ def fit_candidates(
         if name not in HEADS:
             raise ValueError(f"unknown model {name!r}; expected one of {HEADS}")
     classes = class_names(train, label)
-    features = fit_features(train, text, max_features, ngram_max)
-    featured = features.transform(train.select(key, text, label))
+    features, featured, counts = fit_features(train, text, (key, label), max_features, ngram_max)
     featured = with_label_index(featured, label, classes).select(key, "features", "_label")
-    featured = featured.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = packed(featured)
     try:
-        heads = {name: fit_head(name, featured, classes, key, c, max_iter, seed) for name in names}
+        heads = {name: fit_head(name, rows, classes, key, c, max_iter, seed) for name in names}
     finally:
-        featured.unpersist()
+        rows.unpersist()
+        counts.unpersist()
     return {name: TextModel(features, head, name) for name, head in heads.items()}

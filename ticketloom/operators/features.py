@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct, Normalizer, SQLTransformer
 from pyspark.ml.linalg import Vectors
@@ -26,11 +27,13 @@ def top_terms(counts: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
 
 
 def fit_features(
-    train: DataFrame, text: str, max_features: int = MAX_FEATURES, ngram_max: int = NGRAM_MAX
-) -> PipelineModel:
+    train: DataFrame, text: str, keep: tuple[str, ...], max_features: int = MAX_FEATURES, ngram_max: int = NGRAM_MAX
+) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """Terms -> counts -> smoothed idf -> unit length, fitted on ``train`` only.
 
-    The vocabulary (at most ``max_features`` terms) is the only thing that reaches the
+    Returns the pipeline, the training rows (``keep`` columns and ``features``) and the
+    cached counts behind them, which the caller releases. The texts are read twice,
+    once for the vocabulary and once for the counts. The vocabulary (at most ``max_features`` terms) is the only thing that reaches the
     driver. ``IDF`` gives ln((N+1)/(df+1)); the weight wanted is that plus 1, so it is
     applied as an element-wise scaling.
     """
@@ -39,14 +42,16 @@ def fit_features(
         raise ValueError("no terms in the training text")
     split, gram = _term_stages(text, ngram_max)
     count = CountVectorizerModel.from_vocabulary(sorted(vocabulary), inputCol="terms", outputCol="tf")
-    counted = count.transform(gram.transform(split.transform(train.select(text))))
+    counted = count.transform(gram.transform(split.transform(train.select(*keep, text)))).select(*keep, "tf")
+    counted = counted.persist(StorageLevel.MEMORY_AND_DISK)
     idf = IDF(inputCol="tf", outputCol="_idf").fit(counted)
     scale = ElementwiseProduct(
         scalingVec=Vectors.dense([v + 1.0 for v in idf.idf.toArray()]), inputCol="tf", outputCol="weighted"
     )
     unit = Normalizer(inputCol="weighted", outputCol="features", p=2.0)
     drop = SQLTransformer(statement="SELECT * EXCEPT (_words, terms, tf, weighted) FROM __THIS__")
-    return PipelineModel(stages=[split, gram, count, scale, unit, drop])
+    pipeline = PipelineModel(stages=[split, gram, count, scale, unit, drop])
+    return pipeline, unit.transform(scale.transform(counted)).select(*keep, "features"), counted
 
 
 def _term_stages(text: str, ngram_max: int) -> tuple[SQLTransformer, SQLTransformer]:

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ticketloom.session import settle
+
 
 def fold(df: DataFrame, dim: DataFrame, fine: str, coarse: str) -> DataFrame:
     """Look ``fine`` up in the mapping; an unmapped label gives NULL.
 
-    No broadcast hint: a mapping table is a few KB, Catalyst sees its size and
-    broadcasts it, and a mapping that outgrew the limit would be shuffled instead.
+    No broadcast hint: for a mapping kept as a table Catalyst sees the size, broadcasts
+    the usual few KB, and shuffles one that outgrew the limit. ``settle`` a derived one.
     """
     return df.join(dim.select(F.col("intent").alias(fine), F.col("queue").alias(coarse)), fine, "left")
 
@@ -39,7 +41,7 @@ def relabel(df: DataFrame, mappings: DataFrame, versions: list[str], fine: str)
     """A queue column per mapping version, from (version, intent, queue), in one lookup."""
     wide = mappings.groupBy("intent").pivot("version", versions).agg(F.first("queue"))
     wide = wide.select(F.col("intent").alias(fine), *[F.col(v).alias(f"queue_{v}") for v in versions])
-    return df.join(wide, fine, "left")
+    return df.join(settle(wide, "mappings"), fine, "left")
 
 
 def sibling_share(df: DataFrame, truth_fine: str, predicted_fine: str, truth: str, predicted: str) -> DataFrame:

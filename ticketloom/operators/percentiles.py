@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 from dataclasses import dataclass
 
@@ -36,13 +37,16 @@ def _narrow(values: DataFrame, brackets: list[_Bracket], few: int) -> dict[int,
     found: dict[int, float] = {}
     while brackets:
         small = [b for b in brackets if b.size <= few]
+        if small:
+            within = functools.reduce(lambda a, b: a | b, [b.holds() for b in small])
+            listed = values.where(within).groupBy("x").agg(F.count(F.lit(1)).alias("n")).collect()
+            lines = sorted((line["x"], line["n"]) for line in listed)
         for b in small:
-            lines = values.where(b.holds()).groupBy("x").agg(F.count(F.lit(1)).alias("n")).orderBy("x").collect()
             seen = 0
-            for line in lines:
-                seen += line["n"]
+            for x, n in lines:
+                seen += n if b.low <= x <= b.high else 0
                 if b.inner < seen:
-                    found[b.rank] = line["x"]
+                    found[b.rank] = x
                     break
         brackets = [b for b in brackets if b.size > few]
         if not brackets:

@@ -6,10 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketloom.functions.hashing import uniform
+from ticketloom.functions.hashing import uniforms
 from ticketloom.operators.evaluation import class_scores, confusion_cells, summary_scores
 
 MAX_CELLS = 250_000
@@ -52,19 +52,28 @@ def bootstrap_f1(cells: DataFrame, n_resamples: int = 1000, seed: int = 42) -> D
 
 
 def bootstrap_f1_weighted(
-    df: DataFrame, truth: str, predicted: str, key: str | Column, n_resamples: int = 50, seed: int = 42
+    df: DataFrame, truth: str, predicted: str, key: str, n_resamples: int = 50, seed: int = 42
 ) -> DataFrame:
     """The same law from row weights: each row counts Poisson(1) times per replicate.
 
-    The weights are a function of (seed, replicate, key), so any engine can repeat
+    The weights are a function of (seed, replicate, key) only, so any engine can repeat
     them. Rows are combined into cells on the map side before the shuffle.
     """
-    replicates = F.explode(F.sequence(F.lit(0), F.lit(n_resamples - 1)))
-    key_column = F.col(key) if isinstance(key, str) else key
+    groups = F.explode(F.sequence(F.lit(0), F.lit((n_resamples - 1) // 4)))
     rows = df.select(
-        key_column.alias("_key"), F.col(truth).alias("truth"), F.col(predicted).alias("predicted"), replicates.alias("replicate")
+        F.col(key).alias("_key"), F.col(truth).alias("truth"), F.col(predicted).alias("predicted"), groups.alias("group")
     )
-    u = uniform(seed, "replicate", "_key")
+    # one digest has room for four numbers, so it serves four replicates
+    draws = F.inline(
+        F.array(
+            *[
+                F.struct((F.col("group") * 4 + i).alias("replicate"), number.alias("u"))
+                for i, number in enumerate(uniforms(seed, "group", "_key"))
+            ]
+        )
+    )
+    rows = rows.select("truth", "predicted", draws).where(F.col("replicate") < n_resamples)
+    u = F.col("u")
     # The Poisson(1) distribution function at 0..6.
     steps = [0.36787944117, 0.73575888234, 0.91969860293, 0.98101184312, 0.99634015317, 0.99940581518, 0.99991675886]
     weight = sum((F.when(u >= F.lit(s), F.lit(1)).otherwise(F.lit(0)) for s in steps), F.lit(0))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ticketloom.session import settle
+
 
 def retained_days(df: DataFrame, day: Column, line: Column, budget: int, log: Column | None = None) -> DataFrame:
     """(log, day, bytes) of the days kept: newest first, until the budget is used up.
@@ -21,5 +23,5 @@ def retained_days(df: DataFrame, day: Column, line: Column, budget: int, log: Co
 
 def retain(df: DataFrame, day: Column, line: Column, budget: int) -> DataFrame:
     """The rows of the kept days."""
-    kept = retained_days(df, day, line, budget).select(F.col("day").alias("_day"))
+    kept = settle(retained_days(df, day, line, budget).select(F.col("day").alias("_day")), "kept-days")
     return df.join(kept, day == F.col("_day"), "left_semi")

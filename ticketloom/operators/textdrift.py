@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ticketloom.functions.hashing import uniform
 from ticketloom.functions.text import tokens
+from ticketloom.operators.classifiers import packed
 
 
 def text_drift(
@@ -40,17 +41,19 @@ def text_drift(
         if min(n_ref, n_cur) == 0:
             return 0.5
         weight = F.when(F.col("_label") == 0, F.lit(0.5 / n_ref)).otherwise(F.lit(0.5 / n_cur)) * (n_ref + n_cur)
-        train = rows.where("_train").withColumn("_weight", weight)
-        model = Pipeline(
+        hashed = Pipeline(
             stages=[
                 HashingTF(inputCol="_words", outputCol="_tf", numFeatures=n_features),
                 IDF(inputCol="_tf", outputCol="_features"),
-                LogisticRegression(
-                    featuresCol="_features", labelCol="_label", weightCol="_weight", regParam=0.1, maxIter=max_iter
-                ),
             ]
+        ).fit(rows.where("_train"))
+        train = hashed.transform(rows.where("_train")).select("_label", "_features", weight.alias("_weight"))
+        train = packed(train)
+        head = LogisticRegression(
+            featuresCol="_features", labelCol="_label", weightCol="_weight", regParam=0.1, maxIter=max_iter
         ).fit(train)
-        scored = model.transform(rows.where("NOT _train"))
+        train.unpersist()
+        scored = head.transform(hashed.transform(rows.where("NOT _train")))
         return BinaryClassificationEvaluator(labelCol="_label", metricName="areaUnderROC").evaluate(scored)
     finally:
         rows.unpersist()

@@ -9,7 +9,7 @@ from ticketloom.functions.statistics import mcnemar_exact
 from ticketloom.operators import calibration, evaluation, mapping, paired, resampling
 from ticketloom.operators.percentiles import latency_summary
 from ticketloom.plans.registry import query
-from ticketloom.plans.views import CLASSES, DIM, FINE, PRED, fine, intent_dim, pred, r6, table, u_sql
+from ticketloom.plans.views import CLASSES, DIM, FINE, PRED, balanced, fine, intent_dim, pred, r6, table, u_sql
 
 
 def right():
@@ -141,14 +141,15 @@ POISSON = " + ".join(
 
 @query(
     "a10_bootstrap_weighted",
-    f"""WITH {PRED}, draws AS (SELECT r AS replicate, y AS truth, a AS predicted, {u_sql('42', "(r || '|' || id)")} AS u
+    f"""WITH {PRED}, draws AS (SELECT r AS replicate, y AS truth, a AS predicted,
+      CAST('0x' || substr(md5('42|' || (r // 4) || '|' || id), 1 + 8 * CAST(r % 4 AS INT), 8) AS BIGINT) / 4294967296.0::DOUBLE AS u
     FROM pred, (SELECT unnest(range(50)) AS r)),
     cells AS (SELECT replicate, truth, predicted, sum({POISSON}) AS n FROM draws GROUP BY ALL),
     {per_class_sql(by='replicate')}
     SELECT replicate, round(avg(f1_), 6) AS f1_macro FROM per_class GROUP BY replicate""",
 )
 def _(spark, sf):
-    scores = resampling.bootstrap_f1_weighted(pred(spark, sf), "y", "a", "id")
+    scores = resampling.bootstrap_f1_weighted(balanced(pred(spark, sf).select("id", "y", "a")), "y", "a", "id")
     return scores.select(F.col("replicate").cast("long").alias("replicate"), r6("f1_macro").alias("f1_macro"))
 
 

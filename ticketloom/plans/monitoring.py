@@ -375,17 +375,25 @@ def _(spark, sf):
     )
 
 
-@query("t08_late_rows")
+@query(
+    "t08_late_rows",
+    f"""WITH d AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, event_type AS label, count(*) AS n FROM events
+    WHERE ts >= TIMESTAMP '{HALF}' GROUP BY 1, 2)
+    SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, label, n FROM d
+    WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 15 MINUTE""",
+)
 def _(spark, sf):
-    """Late data: the newest half arrives first, the oldest after it.
+    """Late data: the second half of the month arrives in two batches, the first half after it.
 
-    The files are read one per batch. Once the watermark has passed the old half, its
-    rows are late and are dropped, so only windows of the new half come out.
+    A batch drops what is behind the watermark the batch before it started with, so the
+    rows of the third batch are late and only windows of the second half come out.
     """
     path = fresh_path(spark, "late")
     events = table(spark, sf, "events")
     half = F.to_timestamp_ntz(F.lit(HALF))
-    for part in (events.where(F.col("ts") >= half), events.where(F.col("ts") < half)):
+    newer = F.col("ts") >= half
+    even = F.col("event_id") % 2 == 0
+    for part in (events.where(newer & even), events.where(newer & ~even), events.where(~newer)):
         part.coalesce(1).write.mode("append").parquet(path)
     arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
     counts = monitoring.windowed_counts(monitoring.event_time(arriving), "ts", "event_type", "1 day")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketloom.functions.hashing import pick, uniform
 from ticketloom.functions.text import clean_text
+from ticketloom.session import settle
 
 CLASSES = ["click", "error", "purchase", "signup", "view"]
 LANGS = ["de", "en", "es", "fr"]
@@ -108,11 +111,13 @@ pred AS (SELECT *, {_sure_sql('c', 'a')} AS confidence, {_sure_sql('cb', 'b')} A
 # --- fine labels: k of events, folded onto the five classes ---------------------------
 
 
+@lru_cache(maxsize=8)
 def intent_dim(spark: SparkSession, sf: str) -> DataFrame:
-    """(intent, queue): the mapping table, one row per k that occurs."""
+    """(intent, queue): the mapping, one row per k that occurs, kept as a table."""
     k = F.get_json_object("props", "$.k").cast("int")
     queue = F.element_at(F.array(*[F.lit(c) for c in CLASSES]), F.col("intent") % 5 + 1)
-    return table(spark, sf, "events").select(k.alias("intent")).distinct().select("intent", queue.alias("queue"))
+    intents = table(spark, sf, "events").select(k.alias("intent")).distinct()
+    return settle(intents.select("intent", queue.alias("queue")), "intent-dim")
 
 
 DIM = """dim AS (SELECT DISTINCT CAST(json_extract_string(props, '$.k') AS INT) AS intent,
