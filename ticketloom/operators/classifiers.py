@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from dataclasses import asdict, dataclass, field
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
@@ -10,7 +11,7 @@ from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LinearSVC, LinearSVCModel, LogisticRegression, NaiveBayes
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketloom.functions.hashing import uniform
@@ -148,6 +149,13 @@ class Curve:
         )
 
 
+def _normalised(values: Column) -> Column:
+    """The values over their sum; all equal when the sum is 0."""
+    total = F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+    even = F.lit(1.0) / F.size(values)
+    return F.transform(values, lambda x: F.when(total > 0, x / total).otherwise(even))
+
+
 @dataclass
 class CalibratedHead(Head):
     """The mean of the members' calibrated, normalised class probabilities."""
@@ -166,13 +174,7 @@ class CalibratedHead(Head):
             else:
                 values = [curve.apply(m) for curve, m in zip(curves, margins, strict=True)]
             raw = F.array(*values)
-            df = df.withColumn(f"_q{i}", raw)
-            total = F.aggregate(f"_q{i}", F.lit(0.0), lambda a, x: a + x)
-            even = F.lit(1.0 / len(self.classes))
-            df = df.withColumn(
-                f"_q{i}",
-                F.transform(f"_q{i}", lambda x, t=total: F.when(t > 0, x / t).otherwise(even)),
-            ).drop(name)
+            df = df.withColumn(f"_q{i}", raw).withColumn(f"_q{i}", _normalised(F.col(f"_q{i}"))).drop(name)
             parts.append(f"_q{i}")
         mean = [
             sum((F.element_at(p, k + 1) for p in parts), F.lit(0.0)) / len(parts) for k in range(len(self.classes))
@@ -290,6 +292,44 @@ class TextModel:
         return predict_featured(self.features.transform(df), self.head).drop("features")
 
 
+def save_model(model: TextModel, path: str) -> None:
+    """The fitted stages below ``path`` and one JSON line that says how they fit together."""
+    head = model.head
+    spark = SparkSession.active()
+    about: dict = {"name": model.name, "classes": head.classes}
+    model.features.write().overwrite().save(f"{path}/features")
+    if isinstance(head, MajorityHead):
+        about["winner"] = head.winner
+    elif isinstance(head, MlHead):
+        PipelineModel(stages=[head.model]).write().overwrite().save(f"{path}/head")
+    elif isinstance(head, SvmHead):
+        PipelineModel(stages=head.models).write().overwrite().save(f"{path}/head")
+    elif isinstance(head, CalibratedHead):
+        with ThreadPool(len(head.members)) as pool:
+            stages = [PipelineModel(stages=models) for models, _ in head.members]
+            pool.map(lambda i: stages[i].write().overwrite().save(f"{path}/member-{i}"), range(len(stages)))
+        about["curves"] = [[asdict(curve) for curve in curves] for _, curves in head.members]
+    spark.range(1).select(F.lit(json.dumps(about)).alias("value")).write.mode("overwrite").text(f"{path}/about")
+
+
+def load_model(spark: SparkSession, path: str) -> TextModel:
+    about = json.loads(spark.read.text(f"{path}/about").first()["value"])
+    name, classes = about["name"], about["classes"]
+    features = PipelineModel.load(f"{path}/features")
+    if "winner" in about:
+        head: Head = MajorityHead(classes, True, about["winner"])
+    elif "curves" in about:
+        curves = [[Curve(**c) for c in member] for member in about["curves"]]
+        with ThreadPool(len(curves)) as pool:
+            stages = pool.map(lambda i: PipelineModel.load(f"{path}/member-{i}").stages, range(len(curves)))
+        head = CalibratedHead(classes, True, list(zip(stages, curves, strict=True)))
+    elif name == "linearsvc":
+        head = SvmHead(classes, False, PipelineModel.load(f"{path}/head").stages)
+    else:
+        head = MlHead(classes, True, PipelineModel.load(f"{path}/head").stages[0])
+    return TextModel(features, head, name)
+
+
 def predict_featured(featured: DataFrame, head: Head) -> DataFrame:
     out = head.score(featured).withColumn("predicted_label", top_class(F.col("scores"), head.classes))
     return out.withColumn("confidence", F.array_max("scores")) if head.probabilistic else out

@@ -18,8 +18,10 @@ def cut_points(
 ) -> DataFrame:
     """Per stratum, the (u, key) of the quota-th smallest seeded number.
 
-    Counts per (stratum, bucket of u) find the bucket that holds the cut; only that
-    bucket's rows, 1/buckets of the stratum, are ranked.
+    Counts per (stratum, bucket of u) find the bucket that holds the cut; only the keys
+    of that bucket, 1/buckets of the stratum, are put in order. Copies that share a key
+    are counted before that, so a key with any number of rows is one line. ``_take`` is
+    how many of the rows with the cut's own key are within the quota.
     """
     u = uniform(seed, key)
     tagged = df.select(F.col(stratum).alias("_s"), F.col(key).alias("_key"), u.alias("_u"))
@@ -32,17 +34,20 @@ def cut_points(
     edge = cumulative.where(holds).select(
         "_s", "_bucket", (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_need")
     )
-    ranked = tagged.join(settle(edge, "edge"), ["_s", "_bucket"]).withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("_s").orderBy("_u", "_key"))
-    )
-    cuts = ranked.where(F.col("_rank") == F.col("_need")).select("_s", F.struct("_u", "_key").alias("_cut"))
-    return settle(cuts, "cut")
+    held = settle(edge.withColumnsRenamed({"_s": "_es", "_bucket": "_eb"}), "edge")
+    inside = tagged.join(held, F.col("_s").eqNullSafe(F.col("_es")) & (F.col("_bucket") == F.col("_eb")))
+    keys = inside.groupBy("_s", "_u", "_key", "_need").agg(F.count(F.lit(1)).alias("_copies"))
+    before = F.sum("_copies").over(stratum_window.orderBy("_u", "_key")) - F.col("_copies")
+    take = F.col("_need") - F.col("_before")
+    found = keys.withColumn("_before", before).where((take > 0) & (take <= F.col("_copies")))
+    return settle(found.select("_s", F.struct("_u", "_key").alias("_cut"), take.alias("_take")), "cut")
 
 
-def _below(df: DataFrame, cuts: DataFrame, stratum: str, key: str, seed: int) -> DataFrame:
+def _sided(df: DataFrame, cuts: DataFrame, stratum: str, key: str, seed: int) -> DataFrame:
     mine = F.struct(uniform(seed, key).alias("_u"), F.col(key).alias("_key"))
-    joined = df.join(cuts, F.col(stratum).eqNullSafe(F.col("_s")), "left")
-    return joined.withColumn("_below", F.coalesce(mine <= F.col("_cut"), F.lit(False))).drop("_s", "_cut")
+    joined = df.join(cuts.drop("_take"), F.col(stratum).eqNullSafe(F.col("_s")), "left")
+    side = F.when(mine < F.col("_cut"), F.lit(-1)).when(mine == F.col("_cut"), F.lit(0)).otherwise(F.lit(1))
+    return joined.withColumn("_side", side).drop("_s", "_cut")
 
 
 def stratified_split(
@@ -50,19 +55,27 @@ def stratified_split(
 ) -> DataFrame:
     """Adds ``split``: per label exactly round(n * test_size) rows are test.
 
-    A row's side depends on its own key and its label's cut, so renaming a label or
+    Copies that share a key stay together, so they never leak from test into train. A row's side depends on its own key and its label's cut, so renaming a label or
     repartitioning moves nothing.
     """
     cuts = cut_points(df, label, key, seed, lambda n: F.floor(n * F.lit(test_size) + F.lit(0.5)), buckets)
-    flagged = _below(df, cuts, label, key, seed)
-    return flagged.withColumn("split", F.when(F.col("_below"), F.lit("test")).otherwise(F.lit("train"))).drop("_below")
+    sided = _sided(df, cuts, label, key, seed)
+    return sided.withColumn("split", F.when(F.col("_side") <= 0, F.lit("test")).otherwise(F.lit("train"))).drop("_side")
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42, buckets: int = BUCKETS) -> DataFrame:
-    """Exactly n rows (or all) without replacement: those with the smallest numbers."""
+    """Exactly n rows (or all) without replacement: those with the smallest numbers.
+
+    When only some copies of the last key fit, any of them are taken.
+    """
     whole = df.withColumn("_all", F.lit(1))
     cuts = cut_points(whole, "_all", key, seed, lambda total: F.least(total, F.lit(n).cast("long")), buckets)
-    return _below(whole, cuts, "_all", key, seed).where("_below").drop("_below", "_all")
+    sided = _sided(whole, cuts, "_all", key, seed)
+    last = cuts.first()
+    if last is None:
+        return df.limit(0)
+    under = sided.where("_side < 0").drop("_side", "_all")
+    return under.unionByName(sided.where("_side = 0").drop("_side", "_all").limit(last["_take"]))
 
 
 def shuffle_rows(df: DataFrame, key: str, seed: int = 42) -> DataFrame:

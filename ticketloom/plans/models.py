@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from ticketloom.functions.hashing import uniform
 from ticketloom.functions.text import clean_text, redact
 from ticketloom.operators import drift, evaluation, features, mapping, paired, resampling, textdrift
-from ticketloom.operators.classifiers import TextModel, fit_candidates, fit_text_model
+from ticketloom.operators.classifiers import TextModel, fit_candidates, fit_text_model, load_model, save_model
 from ticketloom.plans.monitoring import TICKETS
 from ticketloom.plans.registry import query
 from ticketloom.plans.views import W, balanced, clean_sql, r6, redact_sql, stream, table, tickets, training_texts, u_sql
+from ticketloom.session import fresh_path
 from ticketloom.sources import logs
 from ticketloom.streaming.runner import drain, drain_table
 from ticketloom.streaming.scoring import log_records, score_and_route
@@ -25,8 +26,6 @@ def _sides(df: DataFrame, seed: str = "side") -> tuple[DataFrame, DataFrame]:
     return df.where(u >= F.lit(0.25)), df.where(u < F.lit(0.25))
 
 
-SIDE_SQL = u_sql("side", "doc_id")
-
 
 @lru_cache(maxsize=8)
 def _fitted(spark: SparkSession, sf: str, name: str) -> TextModel:
@@ -243,23 +242,19 @@ def _(spark, sf):
     return drift.column_verdicts(scores.withColumn("threshold", F.lit(drift.TEXT_THRESHOLD)))
 
 
-@query("m10_saved_model")
+@query(
+    "m10_saved_model",
+    f"""WITH {TRAIN.replace("train AS", "labelled AS")}, train AS (SELECT * FROM labelled WHERE {u_sql("side", "id")} >= 0.25),
+    test AS (SELECT * FROM labelled WHERE {u_sql("side", "id")} < 0.25), {nb_sql("test")}
+    SELECT b.id AS doc_id, t.label, predicted_label, round(confidence, 6) AS confidence FROM best b JOIN test t ON b.id = t.id""",
+)
 def _(spark, sf):
     """Fit, save, load and score with what was loaded."""
-    from pyspark.ml import PipelineModel
-    from pyspark.ml.functions import vector_to_array
-
-    from ticketloom.functions.scores import top_class
-    from ticketloom.session import fresh_path
-
     train, test = _sides(training_texts(spark, sf))
-    model = fit_text_model(train, "logreg", max_iter=50)
     path = fresh_path(spark, "model")
-    PipelineModel(stages=[*model.features.stages, model.head.model]).write().overwrite().save(path)
-    scored = PipelineModel.load(path).transform(test).withColumn("scores", vector_to_array("probability"))
-    return scored.select(
-        "doc_id", "label", top_class(F.col("scores"), model.head.classes).alias("predicted_label"), F.array_max("scores").alias("confidence")
-    )
+    save_model(fit_text_model(train, "complementnb"), path)
+    scored = load_model(spark, path).predict(test)
+    return scored.select("doc_id", "label", "predicted_label", r6("confidence").alias("confidence"))
 
 
 @query("m09_batch_scores")

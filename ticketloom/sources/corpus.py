@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticketloom.operators.mapping import fold, require_mapped
+from ticketloom.operators.sampling import sample_rows
+
 CORPUS_SCHEMA = "text string, category string"
 MESSAGE_SCHEMA = "text string, label string, language_style string, author string"
 CASE_SCHEMA = "kind string, pii string, text string"
@@ -24,6 +27,22 @@ def scan_corpus(spark: SparkSession, paths: list[str], schema: str = CORPUS_SCHE
     return rows.withColumn("split", file_stem())
 
 
+def load_labelled(
+    spark: SparkSession, paths: list[str], mapping: DataFrame, n_samples: int | None = None, seed: int = 42
+) -> DataFrame:
+    """(text, label, intent, split): the corpus folded onto queues, optionally a seeded sample.
+
+    An intent the mapping does not know fails the load.
+    """
+    rows = scan_corpus(spark, paths).withColumnRenamed("category", "intent")
+    require_mapped(rows, mapping, "intent")
+    labelled = fold(rows, mapping, "intent", "label").select("text", "label", "intent", "split")
+    if n_samples is None:
+        return labelled
+    key = F.sha2(F.concat_ws("\x1f", "split", "intent", "text"), 256)
+    return sample_rows(labelled.withColumn("_id", key), "_id", n_samples, seed).drop("_id")
+
+
 def scan_text(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
     """A CSV whose columns are all text; missing fields become empty strings."""
     return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path).na.fill("")
