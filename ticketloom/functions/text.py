@@ -9,7 +9,10 @@ MIN_CHARS = 1
 MAX_CHARS = 5000
 
 _WORD = r"[\p{L}\p{N}_]"
-# A word boundary over Unicode letters and digits, the same on every JVM.
+# Word boundaries over Unicode letters and digits, the same on every JVM: before a word
+# character, after one, and (for a pattern that may start with a dot) either.
+_HEAD = rf"(?<!{_WORD})"
+_TAIL = rf"(?!{_WORD})"
 _EDGE = rf"(?:(?<={_WORD})(?!{_WORD})|(?<!{_WORD})(?={_WORD}))"
 # A digit whose run is not glued to a letter on its right.
 _LOOSE_DIGIT = rf"\p{{Nd}}(?=\p{{Nd}}*+(?!{_WORD}))"
@@ -25,18 +28,18 @@ REDACTION_RULES: tuple[tuple[str, str, str], ...] = (
         r"(?:\G|(?<![\p{L}\p{N}_.+-]))[\p{L}\p{N}_.+-]++@[\p{L}\p{N}_-]++(?:\.[\p{L}\p{N}_-]++)++",
         "[email]",
     ),
-    ("upi", rf"(?iu){_EDGE}[\p{{L}}\p{{N}}_.-]++@[a-z]{{2,}}{_EDGE}", "[upi]"),
-    ("pan", rf"(?iu){_EDGE}[a-z]{{5}}\p{{Nd}}{{4}}[a-z]{_EDGE}", "[pan]"),
-    ("ifsc", rf"(?iu){_EDGE}[a-z]{{4}}0[a-z0-9]{{6}}{_EDGE}", "[ifsc]"),
+    ("upi", rf"(?iu){_EDGE}[\p{{L}}\p{{N}}_.-]++@[a-z]{{2,}}{_TAIL}", "[upi]"),
+    ("pan", rf"(?iu){_HEAD}[a-z]{{5}}\p{{Nd}}{{4}}[a-z]{_TAIL}", "[pan]"),
+    ("ifsc", rf"(?iu){_HEAD}[a-z]{{4}}0[a-z0-9]{{6}}{_TAIL}", "[ifsc]"),
     (
         "number",
-        rf"\+?{_EDGE}(?=(?:{_LOOSE_DIGIT}[ -]?){{7}}{_LOOSE_DIGIT})"
+        rf"\+?{_HEAD}(?=(?:{_LOOSE_DIGIT}[ -]?){{7}}{_LOOSE_DIGIT})"
         rf"\p{{Nd}}++(?!{_WORD})(?:[ -]\p{{Nd}}++(?!{_WORD}))*+",
         "[number]",
     ),
     (
         "fragment",
-        rf"(?iu)({_EDGE}ending(?: in| with)? |(?<!x)x{{2,}}+ ?)\p{{Nd}}{{4}}{_EDGE}",
+        rf"(?iu)({_HEAD}ending(?: in| with)? |(?<!x)x{{2,}}+ ?)\p{{Nd}}{{4}}{_TAIL}",
         "$1[number]",
     ),
 )

@@ -36,10 +36,12 @@ def js_distance(reference: DataFrame, current: DataFrame, by: tuple[str, ...] =
     """Jensen-Shannon distance (natural log) of each current group from the reference.
 
     Only labels present in the group are joined: what the reference has beyond them
-    adds ln(2)/2 times its share, so no group is filled up with absent labels.
+    adds ln(2)/2 times its share, so no group is filled up with absent labels. A ``by``
+    column the reference has too (the name of a compared column) pairs the groups.
     """
-    ref = reference.select("label", F.col("share").alias("p"))
-    joined = current.select(*by, "label", "n", F.col("share").alias("q")).join(ref, "label", "left").na.fill(0.0, ["p"])
+    on = [c for c in by if c in reference.columns] + ["label"]
+    ref = reference.select(*on, F.col("share").alias("p"))
+    joined = current.select(*by, "label", "n", F.col("share").alias("q")).join(ref, on, "left").na.fill(0.0, ["p"])
     p, q = F.col("p"), F.col("q")
     middle = (p + q) / 2
     terms = (xlogx_ratio(p, middle) + xlogx_ratio(q, middle)) / 2
@@ -49,6 +51,18 @@ def js_distance(reference: DataFrame, current: DataFrame, by: tuple[str, ...] =
     )
 
 
+def column_scores(
+    reference: DataFrame, current: DataFrame, columns: dict[str, Column], threshold: float = LABEL_THRESHOLD
+) -> DataFrame:
+    """(column, score, threshold, rows) of several columns; each side is read once."""
+    values = F.inline(
+        F.array(*[F.struct(F.lit(n).alias("column"), c.cast("string").alias("value")) for n, c in columns.items()])
+    )
+    sides = [label_shares(side.select(values), "value", ("column",)) for side in (reference, current)]
+    distance = js_distance(*sides, ("column",))
+    return distance.select("column", F.col("distance").alias("score"), F.lit(threshold).alias("threshold"), "rows")
+
+
 def _verdict(score: Column, limit: Column, sufficient: Column) -> Column:
     """True or False on a large enough sample, NULL (unknown) on a thin one."""
     return F.when(sufficient, F.coalesce(score > limit, F.lit(False)))

@@ -70,12 +70,12 @@ def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42, buckets: int =
     """
     whole = df.withColumn("_all", F.lit(1))
     cuts = cut_points(whole, "_all", key, seed, lambda total: F.least(total, F.lit(n).cast("long")), buckets)
-    sided = _sided(whole, cuts, "_all", key, seed)
     last = cuts.first()
     if last is None:
         return df.limit(0)
-    under = sided.where("_side < 0").drop("_side", "_all")
-    return under.unionByName(sided.where("_side = 0").drop("_side", "_all").limit(last["_take"]))
+    mine = F.struct(uniform(seed, key).alias("_u"), F.col(key).alias("_key"))
+    cut = F.struct(F.lit(last["_cut"]["_u"]).alias("_u"), F.lit(last["_cut"]["_key"]).alias("_key"))
+    return df.where(mine < cut).unionByName(df.where(mine == cut).limit(last["_take"]))
 
 
 def shuffle_rows(df: DataFrame, key: str, seed: int = 42) -> DataFrame:

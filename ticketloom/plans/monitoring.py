@@ -164,15 +164,7 @@ n AS (SELECT count(*) AS rows_ FROM events WHERE ts >= TIMESTAMP '{HALF}' AND ev
 
 def _column_scores(spark, sf):
     ref, cur = _halves(spark, sf)
-    parts = []
-    for name, column in (("event_type", F.col("event_type")), ("k", F.get_json_object("props", "$.k"))):
-        sides = [drift.label_shares(side.select(column.alias("v")), "v") for side in (ref, cur)]
-        parts.append(
-            drift.js_distance(*sides).select(
-                F.lit(name).alias("column"), F.col("distance").alias("score"), F.lit(drift.LABEL_THRESHOLD).alias("threshold"), "rows"
-            )
-        )
-    return parts[0].unionByName(parts[1])
+    return drift.column_scores(ref, cur, {"event_type": F.col("event_type"), "k": F.get_json_object("props", "$.k")})
 
 
 @query(

@@ -173,7 +173,7 @@ grams AS (SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)),
 @query("f10_ngrams", f"WITH {GRAMS} SELECT doc_id, count(*) AS n, md5(string_agg(term, '|' ORDER BY term)) AS digest FROM grams GROUP BY doc_id")
 def _(spark, sf):
     grams = _docs(spark, sf, "doc_id", "text").select("doc_id", tx.terms(F.col("text"), 2).alias("t"))
-    sorted_terms = F.array_join(F.array_sort("t"), "|")
+    sorted_terms = F.array_join(F.sort_array("t"), "|")
     return grams.where(F.size("t") > 0).select("doc_id", F.size("t").cast("long").alias("n"), F.md5(sorted_terms).alias("digest"))
 
 
