@@ -9,12 +9,22 @@ from pyspark.sql import functions as F
 
 from ticketloom.functions.hashing import uniform
 from ticketloom.functions.text import clean_text, redact
-from ticketloom.operators import drift, evaluation, features, mapping, paired, resampling, textdrift
-from ticketloom.operators.classifiers import TextModel, fit_candidates, fit_text_model, load_model, save_model
+from ticketloom.operators import drift, evaluation, features, mapping, resampling, textdrift
+from ticketloom.operators.classifiers import (
+    MajorityHead,
+    TextModel,
+    class_names,
+    fit_candidates,
+    fit_text_model,
+    load_model,
+    predict_featured,
+    save_model,
+)
+from ticketloom.plans.evaluation import per_class_sql
 from ticketloom.plans.monitoring import TICKETS
 from ticketloom.plans.registry import query
 from ticketloom.plans.views import W, balanced, clean_sql, r6, redact_sql, stream, table, tickets, training_texts, u_sql
-from ticketloom.session import fresh_path
+from ticketloom.session import fresh_path, settle
 from ticketloom.sources import logs
 from ticketloom.streaming.runner import drain, drain_table
 from ticketloom.streaming.scoring import log_records, score_and_route
@@ -36,32 +46,37 @@ def _fitted(spark: SparkSession, sf: str, name: str) -> TextModel:
 # --- TF-IDF and complement naive Bayes in SQL -----------------------------------------------------
 
 
-def tfidf_sql(source: str, out: str, vocab: str = "vocab") -> str:
+def grams_sql(ngram_max: int) -> str:
+    pairs = "list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])"
+    return f"list_concat(w, {pairs})" if ngram_max == 2 else "w"
+
+
+def tfidf_sql(source: str, out: str, ngram_max: int = 2) -> str:
     """(id, term, w) of a table (id, text) with the idf of ``vocab``."""
     return f"""{out}_w AS (SELECT id, regexp_extract_all(lower(text), '[{W}]{{2,}}') AS w FROM {source}),
-{out}_g AS (SELECT id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM {out}_w),
+{out}_g AS (SELECT id, unnest({grams_sql(ngram_max)}) AS term FROM {out}_w),
 {out}_t AS (SELECT id, term, count(*) AS tf FROM {out}_g GROUP BY 1, 2),
-{out}_r AS (SELECT id, t.term, tf * idf AS w FROM {out}_t t JOIN {vocab} v ON t.term = v.term),
+{out}_r AS (SELECT id, t.term, tf * idf AS w FROM {out}_t t JOIN vocab v ON t.term = v.term),
 {out} AS (SELECT id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS weight FROM {out}_r)"""
 
 
-def vocab_sql(train: str = "train") -> str:
-    return f"""vw AS (SELECT id, regexp_extract_all(lower(text), '[{W}]{{2,}}') AS w FROM {train}),
-vg AS (SELECT id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM vw),
-vocab AS (SELECT term, ln((1.0::DOUBLE + (SELECT count(*) FROM {train})) / (1.0::DOUBLE + count(DISTINCT id))) + 1.0::DOUBLE AS idf
-  FROM vg GROUP BY term ORDER BY count(*) DESC, term LIMIT 5000)"""
+def vocab_sql(ngram_max: int = 2, max_features: int = 5000) -> str:
+    return f"""vw AS (SELECT id, regexp_extract_all(lower(text), '[{W}]{{2,}}') AS w FROM train),
+vg AS (SELECT id, unnest({grams_sql(ngram_max)}) AS term FROM vw),
+vocab AS (SELECT term, ln((1.0::DOUBLE + (SELECT count(*) FROM train)) / (1.0::DOUBLE + count(DISTINCT id))) + 1.0::DOUBLE AS idf
+  FROM vg GROUP BY term ORDER BY count(*) DESC, term LIMIT {max_features})"""
 
 
-def nb_sql(source: str) -> str:
+def nb_sql(source: str, ngram_max: int = 2, max_features: int = 5000) -> str:
     """Complement naive Bayes of ``train`` (id, text, label) applied to ``source`` (id, text): (id, c, p)."""
-    return f"""{vocab_sql()}, {tfidf_sql('train', 'tw')},
+    return f"""{vocab_sql(ngram_max, max_features)}, {tfidf_sql('train', 'tw', ngram_max)},
 classes AS (SELECT DISTINCT label AS c FROM train),
 total AS (SELECT term, sum(weight) AS n FROM tw GROUP BY term),
 own AS (SELECT term, label AS c, sum(weight) AS n FROM tw JOIN train ON tw.id = train.id GROUP BY 1, 2),
 rest AS (SELECT t.term, k.c, 1.0::DOUBLE + coalesce(t2.n, 0) - coalesce(o.n, 0) AS n FROM vocab t CROSS JOIN classes k
   LEFT JOIN total t2 ON t2.term = t.term LEFT JOIN own o ON o.term = t.term AND o.c = k.c),
 theta AS (SELECT term, c, -ln(n / sum(n) OVER (PARTITION BY c)) AS w FROM rest),
-{tfidf_sql(source, 'sw')},
+{tfidf_sql(source, 'sw', ngram_max)},
 raw AS (SELECT s.id, k.c, coalesce(x.score, 0) AS score FROM {source} s CROSS JOIN classes k
   LEFT JOIN (SELECT sw.id, theta.c, sum(sw.weight * theta.w) AS score FROM sw JOIN theta ON sw.term = theta.term GROUP BY 1, 2) x
   ON x.id = s.id AND x.c = k.c),
@@ -95,8 +110,6 @@ def _(spark, sf):
     SELECT doc_id, m.label AS predicted_label, 1.0::DOUBLE AS confidence FROM documents, m""",
 )
 def _(spark, sf):
-    from ticketloom.operators.classifiers import MajorityHead, class_names, predict_featured
-
     train = training_texts(spark, sf)
     winner = evaluation.majority_class(train, "label").first()["majority_class"]
     head = MajorityHead(class_names(train, "label"), True, winner)
@@ -141,24 +154,23 @@ def _(spark, sf):
 CANDIDATES = ["majority", "complementnb", "logreg", "linearsvc", "linearsvc_calibrated"]
 
 
-def _scores_of(test: DataFrame, models: dict[str, TextModel]) -> DataFrame:
-    """(model, doc_id, label, predicted_label) of all models; the texts become features once."""
-    from ticketloom.operators.classifiers import predict_featured
-
+def _cells_of(test: DataFrame, models: dict[str, TextModel]) -> DataFrame:
+    """Confusion cells per model, kept as a table; the texts become features once."""
     shared = next(iter(models.values())).features.transform(test).select("doc_id", "label", "features").persist()
     out = None
     for name, model in models.items():
         part = predict_featured(shared, model.head).select(F.lit(name).alias("model"), "doc_id", "label", "predicted_label")
         out = part if out is None else out.unionByName(part)
-    return out
+    cells = settle(evaluation.confusion_cells(out, "label", "predicted_label", ("model",)), "candidate-cells")
+    shared.unpersist()
+    return cells
 
 
 @query("m11_candidate_sweep")
 def _(spark, sf):
     """Every candidate on one feature space, macro F1 with its interval, and the verdict."""
     train, test = _sides(training_texts(spark, sf))
-    scored = _scores_of(test, fit_candidates(train, CANDIDATES, max_iter=50))
-    cells = evaluation.confusion_cells(scored, "label", "predicted_label", ("model",)).persist()
+    cells = _cells_of(test, fit_candidates(train, CANDIDATES, max_iter=50))
     table_ = evaluation.summary_scores(evaluation.class_scores(cells, ("model",)), ("model",)).select("model", "accuracy", "f1_macro")
     bounds = None
     for name in CANDIDATES:
@@ -177,7 +189,26 @@ def _(spark, sf):
     )
 
 
-@query("m12_parameter_sweep")
+SIDES = f"train AS (SELECT * FROM labelled WHERE {u_sql('side', 'id')} >= 0.25), test AS (SELECT * FROM labelled WHERE {u_sql('side', 'id')} < 0.25)"
+
+
+def nb_scores_sql(labelled: str, keys: str, ngram_max: int = 2, max_features: int = 5000) -> str:
+    """Accuracy and macro F1 of complement naive Bayes on the test side of ``labelled``."""
+    return f"""SELECT * FROM (WITH {labelled}, {SIDES}, {nb_sql('test', ngram_max, max_features)},
+    cells AS (SELECT t.label AS truth, b.predicted_label AS predicted, count(*) AS n FROM best b JOIN test t ON b.id = t.id GROUP BY 1, 2),
+    {per_class_sql()} SELECT {keys}, sum(hits)::DOUBLE / sum(support) AS accuracy, avg(f1_) AS f1_macro FROM per_class)"""
+
+
+@query(
+    "m12_parameter_sweep",
+    "SELECT ngram_max, max_features, round(accuracy, 6) AS accuracy, round(f1_macro, 6) AS f1_macro FROM ("
+    + " UNION ALL ".join(
+        nb_scores_sql(TRAIN.replace("train AS", "labelled AS"), f"{n} AS ngram_max, {m} AS max_features", n, m)
+        for n in (1, 2)
+        for m in (1000, 5000)
+    )
+    + ")",
+)
 def _(spark, sf):
     """Scores by n-gram length and vocabulary size."""
     train, test = _sides(training_texts(spark, sf))
@@ -187,13 +218,23 @@ def _(spark, sf):
             model = fit_text_model(train, "complementnb", max_features=max_features, ngram_max=ngram_max)
             row = evaluation.score(model.predict(test), "label", "predicted_label")
             part = row.select(
-                F.lit(ngram_max).alias("ngram_max"), F.lit(max_features).alias("max_features"), "accuracy", "f1_macro"
+                F.lit(ngram_max).alias("ngram_max"), F.lit(max_features).alias("max_features"), r6("accuracy").alias("accuracy"), r6("f1_macro").alias("f1_macro")
             )
             out = part if out is None else out.unionByName(part)
     return out
 
 
-@query("m13_mapping_sensitivity")
+def _mapped_sql(version: str, north: str) -> str:
+    labelled = f"labelled AS (SELECT doc_id AS id, {clean_sql('text')} AS text, CASE WHEN lang IN ({north}) THEN 'north' ELSE 'south' END AS label FROM documents)"
+    return nb_scores_sql(labelled, f"'{version}' AS mapping")
+
+
+@query(
+    "m13_mapping_sensitivity",
+    f"""WITH s AS (SELECT mapping, round(f1_macro, 4) AS f1_macro FROM ({_mapped_sql('author', "'en', 'de'")}
+    UNION ALL {_mapped_sql('majority', "'en'")}))
+    SELECT mapping, f1_macro, round(f1_macro - (SELECT f1_macro FROM s WHERE mapping = 'author'), 4) AS delta_f1_macro FROM s""",
+)
 def _(spark, sf):
     """Refit under the author's and another mapping of sources to queues; how far F1 moves."""
     docs = balanced(table(spark, sf, "documents").select("doc_id", "text", "source", "lang"))
@@ -218,8 +259,9 @@ def _(spark, sf):
         train, test = _sides(labelled.withColumn("label", F.col(f"queue_{version}")))
         model = fit_text_model(train, "complementnb")
         row = evaluation.score(model.predict(test), "label", "predicted_label")
-        part = row.select(F.lit(version).alias("mapping"), F.round("f1_macro", 4).alias("f1_macro"))
+        part = settle(row.select(F.lit(version).alias("mapping"), F.round("f1_macro", 4).alias("f1_macro")), "sensitivity")
         out = part if out is None else out.unionByName(part)
+    labelled.unpersist()
     base = out.where("mapping = 'author'").select("f1_macro").scalar()
     return out.withColumn("delta_f1_macro", F.round(F.col("f1_macro") - base, 4))
 

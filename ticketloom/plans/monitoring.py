@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ticketloom.functions.scores import route
 from ticketloom.operators import alerts, drift, evaluation, retention
 from ticketloom.plans.registry import query
 from ticketloom.plans.evaluation import CELLS, per_class_sql
-from ticketloom.plans.views import PRED, pred, r6, stream, table, tickets
+from ticketloom.plans.views import PRED, pred, pred_of, r6, stream, table, tickets
 from ticketloom.session import fresh_path
 from ticketloom.sources import logs, reports
 from ticketloom.streaming import monitoring
-from ticketloom.streaming.runner import drain_table
+from ticketloom.streaming.runner import drain, drain_table
 
 HALF = "2024-01-16 00:00:00"
 STAMP = "yyyy-MM-dd HH:mm:ss"
@@ -233,8 +234,6 @@ def _event_stream(spark, sf):
 
 def _pred_stream(spark, sf):
     """The routed predictions as a stream: the same projection over a streaming scan."""
-    from ticketloom.plans.views import pred_of
-
     rows = pred_of(_event_stream(spark, sf))
     return monitoring.event_time(rows.select("ts", route(F.col("a"), F.col("confidence")).alias("label")))
 
@@ -310,8 +309,6 @@ def _(spark, sf):
 def _(spark, sf):
     """Two chained streams: closed windows to a table, and a state per alert over that table."""
     rates = monitoring.windowed_rate(_pred_stream(spark, sf), "ts", review(), "1 hour", "5 minutes")
-    from ticketloom.streaming.runner import drain
-
     closed = spark.readStream.schema(rates.schema).parquet(drain(rates, "closed-windows"))
     named = closed.select(F.lit("ReviewRateHigh").alias("alert"), "window_end", "rate")
     held = monitoring.held_alert_stream(named, alerts.REVIEW_LIMIT, "15 minutes", "5 minutes")
@@ -350,8 +347,6 @@ def _(spark, sf):
     """Daily label counts from the stream, then the batch distance and verdict per day."""
     rows = monitoring.event_time(_event_stream(spark, sf))
     counts = drain_table(monitoring.windowed_counts(rows, "ts", "event_type", "1 day"), "daily-labels")
-    from pyspark.sql import Window
-
     total = F.sum("n").over(Window.partitionBy("window_start"))
     current = counts.select("window_start", "label", "n", (F.col("n") / total).alias("share"))
     reference = drift.label_shares(_halves(spark, sf)[0], "event_type")
