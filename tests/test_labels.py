@@ -129,7 +129,9 @@ def test_annotation_sheet(spark):
     assert got["one"]["example_1"] == "only" and got["one"]["example_2"] is None
     assert len({got["Zeta"][f"example_{i}"] for i in (1, 2, 3)}) == 3
     assert [r["intent"] for r in sampling.by_name(sheet, "intent").collect()] == ["alpha", "one", "Zeta"]
-    assert plan(sheet).count("WindowGroupLimit") >= 2  # before and after the shuffle
+    picks = sampling.picks_per_group(df, "intent", "id")
+    assert plan(picks).count("WindowGroupLimit") >= 2  # before and after the shuffle
+    assert "BroadcastHashJoin" in plan(sheet)
 
 
 def sequential_gate(history):
@@ -244,3 +246,17 @@ def test_held_alert_needs_its_time(spark):
 def test_rate_at_the_limit_is_not_high(spark):
     df = spark.createDataFrame([("a", 0.2), ("a", 0.20001)], "alert string, rate double").withColumn("window_end", F.current_timestamp())
     assert sorted(r["high"] for r in alerts.held_alerts(df, 0.2, "0 minutes", "5 minutes").collect()) == [False, True]
+
+
+def test_published_label_drift(spark):
+    # label counts behind the published score, rebuilt from published support columns
+    train = {"billing": 3945, "technical": 1615, "account": 2200, "card_delivery": 750, "general": 1495}
+    test = {"billing": 1000, "technical": 560, "account": 760, "card_delivery": 240, "general": 520}
+
+    def frame(counts):
+        total = sum(counts.values())
+        data = [(k, n, n / total) for k, n in counts.items()]
+        return spark.createDataFrame(data, "label string, n long, share double")
+
+    row = drift.js_distance(frame(train), frame(test)).first()
+    assert row["rows"] == 3080 and row["distance"] == pytest.approx(0.051817, abs=2e-4)

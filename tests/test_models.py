@@ -150,6 +150,27 @@ def test_stages_end_to_end(spark, texts, tmp_path):
     assert 55 <= corpus.read_split(spark, str(tmp_path / "again"), "test").count() <= 65
     summary = jobs.monitor(corpus.read_split(spark, data, "train"), corpus.read_split(spark, data, "test")).first()
     assert (summary["columns_checked"], summary["status"]) == (2, "insufficient_data")
+    dim = mapping_table(spark)
+    jobs.compare_granularity(spark, data, model, dim, "complementnb", out)
+    variants = {r["variant"]: r["f1_macro"] for r in spark.read.json(f"{out}/granularity").collect()}
+    assert set(variants) == {"direct", "fine", "fine_mapped"}
+    sheets = tmp_path / "sheets"
+    sheets.mkdir()
+    lines = [f"{r['intent']},{'general' if r['intent'] == 'age_limit' else r['queue']}" for r in dim.collect()]
+    for rater in ("ann", "bo"):
+        (sheets / f"{rater}.csv").write_text("intent,queue\n" + "\n".join(lines) + "\n")
+    majority = jobs.mapping_agreement(spark, str(sheets), dim, list(QUEUES), out)
+    assert majority.where("intent = 'age_limit'").first()["queue"] == "general" and majority.count() == 77
+    assert spark.read.json(f"{out}/disputes").first()["disputed"] == 1
+    kappa = {(r["rater_a"], r["rater_b"]): r["kappa"] for r in spark.read.json(f"{out}/cohen_kappa").collect()}
+    assert kappa["ann", "bo"] == 1.0 and 0.9 < kappa["ann", "author"] < 1.0
+    assert jobs.mapping_sensitivity(spark, data, dim, majority, "complementnb").first()["author"] > 0.5
+    (sheets / "cy.csv").write_text("intent,queue\nage_limit,nowhere\n")
+    with pytest.raises(ValueError, match="cy/"):
+        jobs.mapping_agreement(spark, str(sheets), dim, list(QUEUES), out)
+    (tmp_path / "m.csv").write_text("text,label,language_style,author\nwhere is the parcel with my new card,Card_Delivery,English ,x\n")
+    scores = jobs.evaluate_messages(spark, str(tmp_path / "m.csv"), model, list(QUEUES), ["english"], 0.9, str(tmp_path / "wrong"))
+    assert {r["language_style"]: r["rows"] for r in scores.collect()} == {"english": 1, "overall": 1}
     empty = str(tmp_path / "none.csv")
     spark.createDataFrame([], corpus.MESSAGE_SCHEMA).write.option("header", "true").csv(empty)
     assert jobs.evaluate_messages(spark, empty, model, list(QUEUES), ["english"]).first()["status"] == "no_messages_yet"

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketloom.functions.text import clean_text
-from ticketloom.operators import calibration, drift, evaluation, paired, resampling, textdrift
+from ticketloom.operators import calibration, drift, evaluation, paired, raters, resampling, textdrift
 from ticketloom.operators.classifiers import fit_candidates, fit_text_model, load_model, save_model
+from ticketloom.operators.mapping import fold, relabel, sibling_share
 from ticketloom.operators.sampling import stratified_split
 from ticketloom.operators.validation import normalise, prepare, require_choice, require_columns, require_valid, row_problems
+from ticketloom.session import settle
 from ticketloom.sources import corpus, reports
 
 SPLITS = ("official", "random")
@@ -84,8 +86,20 @@ def compare_candidates(
         reports.write_json(interval.withColumn("model", F.lit(name)), f"{out}/intervals/{name}")
 
 
-def evaluate_messages(spark: SparkSession, path: str, model_path: str, labels: list[str], styles: list[str]) -> DataFrame:
-    """Scores of a hand-written message set, overall and by style; one status row when empty."""
+def evaluate_messages(
+    spark: SparkSession,
+    path: str,
+    model_path: str,
+    labels: list[str],
+    styles: list[str],
+    reference_f1: float | None = None,
+    errors_path: str | None = None,
+) -> DataFrame:
+    """Scores of a hand-written message set, overall and by style; one status row when empty.
+
+    ``f1_macro_drop`` is against the reference score. The misclassified messages are
+    written to ``errors_path``.
+    """
     messages = corpus.scan_text(spark, path, corpus.MESSAGE_SCHEMA)
     if messages.isEmpty():
         return spark.range(1).select(F.lit("no_messages_yet").alias("status"))
@@ -93,11 +107,80 @@ def evaluate_messages(spark: SparkSession, path: str, model_path: str, labels: l
     checks = {"label": (F.col("label"), labels), "language_style": (F.col("language_style"), styles)}
     rows = require_valid(rows, "text", row_problems(F.col("text"), checks))
     scored = load_model(spark, model_path).predict(rows.withColumn("text", clean_text(F.col("text"))))
+    if errors_path is not None:
+        wrong = evaluation.errors(
+            scored, "label", "predicted_label", "confidence", "text", keep=("language_style", "author")
+        )
+        reports.write_table(wrong.orderBy("confidence", "text"), errors_path)
     cells = evaluation.with_overall(
         evaluation.confusion_cells(scored, "label", "predicted_label", ("language_style",)), "language_style"
     )
     by = ("language_style",)
-    return evaluation.summary_scores(evaluation.class_scores(cells, by), by).withColumn("status", F.lit("ok"))
+    scores = evaluation.summary_scores(evaluation.class_scores(cells, by), by).withColumn("status", F.lit("ok"))
+    drop = F.round(F.lit(reference_f1).cast("double") - F.col("f1_macro"), 4)
+    return scores.withColumn("f1_macro_drop", drop)
+
+
+def compare_granularity(spark: SparkSession, data: str, model_path: str, mapping: DataFrame, name: str, out: str) -> None:
+    """Queues predicted directly against intents predicted and then folded, on the same rows."""
+    require_columns(corpus.read_split(spark, data, "train"), ["intent"])
+    fine = fit_text_model(corpus.read_split(spark, data, "train"), name, label="intent", key="row_id")
+    rows = load_model(spark, model_path).predict(corpus.read_split(spark, data, "test"))
+    rows = rows.withColumnRenamed("predicted_label", "direct").drop("scores", "confidence")
+    rows = fine.predict(rows).withColumnRenamed("predicted_label", "fine").drop("scores", "confidence", "text")
+    fold(rows, mapping, "fine", "fine_mapped").write.mode("overwrite").parquet(f"{out}/granularity_predictions")
+    scored = spark.read.parquet(f"{out}/granularity_predictions")
+    pairs = {"direct": ("label", "direct"), "fine": ("intent", "fine"), "fine_mapped": ("label", "fine_mapped")}
+    variants = [
+        F.struct(F.lit(v).alias("variant"), F.col(y).alias("truth"), F.col(p).alias("guess"))
+        for v, (y, p) in pairs.items()
+    ]
+    cells = evaluation.confusion_cells(scored.select(F.inline(F.array(*variants))), "truth", "guess", ("variant",))
+    reports.write_json(evaluation.summary_scores(evaluation.class_scores(cells, ("variant",)), ("variant",)), f"{out}/granularity")
+    test = paired.mcnemar(scored, F.col("fine_mapped") == F.col("label"), F.col("direct") == F.col("label"))
+    siblings = sibling_share(scored, "intent", "fine", "label", "fine_mapped")
+    reports.write_json(test.withColumn("sibling_share", siblings.select("sibling_share").scalar()), f"{out}/granularity_test")
+
+
+def mapping_agreement(spark: SparkSession, sheets: str, mapping: DataFrame, queues: list[str], out: str) -> DataFrame:
+    """Agreement of the raters' sheets with the author's mapping; returns the majority mapping.
+
+    A sheet with a missing intent or an unknown queue fails, with every problem counted.
+    """
+    author = mapping.select(F.lit("author").alias("rater"), F.col("intent").alias("item"), "queue")
+    ratings = author.unionByName(corpus.scan_sheets(spark, sheets))
+    names = raters.rater_names(ratings)
+    problems = raters.sheet_problems(author, ratings, names, queues)
+    shown = problems.orderBy("rater", "item").limit(20).collect()
+    if shown:
+        raise ValueError("sheets have problems: " + "; ".join(f"{r['rater']}/{r['item']}: {r['problem']}" for r in shown))
+    wide = settle(raters.wide_ratings(ratings, names), "ratings")
+    reports.write_json(raters.cohen_kappa(wide, names), f"{out}/cohen_kappa")
+    reports.write_json(raters.fleiss_kappa(wide, names, queues), f"{out}/fleiss_kappa")
+    reports.write_json(raters.dispute_counts(wide, names), f"{out}/disputes")
+    reports.write_json(raters.disputed_ratings(wide, names), f"{out}/disputed")
+    majority = raters.majority_vote(wide, names, "author", queues).withColumnRenamed("item", "intent")
+    reports.write_table(majority.orderBy("intent"), f"{out}/majority_map")
+    return majority
+
+
+def mapping_sensitivity(
+    spark: SparkSession, data: str, mapping: DataFrame, alternative: DataFrame, name: str = "linearsvc_calibrated"
+) -> DataFrame:
+    """Macro F1 when the model is refitted under each mapping, and the difference."""
+    maps = mapping.select(F.lit("author").alias("version"), "intent", "queue").unionByName(
+        alternative.select(F.lit("alternative").alias("version"), "intent", "queue")
+    )
+    sides = [
+        relabel(corpus.read_split(spark, data, side), maps, ["author", "alternative"], "intent") for side in ("train", "test")
+    ]
+    f1 = {}
+    for version in ("author", "alternative"):
+        train_rows, test_rows = (side.withColumn("label", F.col(f"queue_{version}")) for side in sides)
+        scored = fit_text_model(train_rows, name, key="row_id").predict(test_rows)
+        f1[version] = evaluation.score(scored, "label", "predicted_label").first()["f1_macro"]
+    row = (round(f1["author"], 4), round(f1["alternative"], 4), round(f1["alternative"] - f1["author"], 4))
+    return spark.createDataFrame([row], "author double, alternative double, delta_f1_macro double")
 
 
 def monitor(reference: DataFrame, current: DataFrame, text: str = "text", label: str = "label") -> DataFrame:

@@ -84,14 +84,24 @@ def shuffle_rows(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
     return shuffled.sortWithinPartitions("_u", key).drop("_u")
 
 
+def picks_per_group(df: DataFrame, group: str, key: str, seed: int = 42, k: int = 3) -> DataFrame:
+    """(group, key, _rn): k seeded keys per group.
+
+    ``row_number() <= k`` is pushed below the shuffle as a window group limit, so at
+    most k keys per group leave a partition, however large the group is.
+    """
+    order = Window.partitionBy(group).orderBy(uniform(seed, key), F.col(key))
+    return df.select(group, key).withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= k)
+
+
 def annotation_sheet(df: DataFrame, intent: str, text: str, key: str, seed: int = 42, k: int = 3) -> DataFrame:
     """One row per intent with k seeded example texts and a blank queue to fill in.
 
-    ``row_number() <= k`` is pushed below the shuffle as a window group limit, so at
-    most k rows per intent leave a partition; the pivot sees k rows per intent.
+    Only keys are ranked; the few picked ones then fetch their texts, so no text is
+    sorted or shuffled that does not end up on the sheet.
     """
-    order = Window.partitionBy(intent).orderBy(uniform(seed, key), F.col(key))
-    picked = df.select(intent, text, key).withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= k)
+    picks = settle(picks_per_group(df, intent, key, seed, k), "picks")
+    picked = df.select(intent, key, text).join(picks, [intent, key])
     sheet = picked.groupBy(intent).pivot("_rn", list(range(1, k + 1))).agg(F.first(text))
     names = [F.col(str(i)).alias(f"example_{i}") for i in range(1, k + 1)]
     return sheet.select(F.col(intent).alias("intent"), *names, F.lit("").alias("queue"))

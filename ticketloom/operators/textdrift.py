@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF
@@ -31,29 +31,26 @@ def text_drift(
     both = reference.select(key, text, F.lit(0.0).alias("_label")).unionByName(
         current.select(key, text, F.lit(1.0).alias("_label"))
     )
-    rows = both.select(
+    words = both.select(
         "_label",
         tokens(F.col(text)).alias("_words"),
         (uniform(seed, key, F.col("_label")) < F.lit(0.5)).alias("_train"),
-    ).persist()
+    )
+    hashing = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=n_features)
+    rows = hashing.transform(words).drop("_words").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n_ref, n_cur = rows.agg(F.count_if(F.expr("_train AND _label = 0")), F.count_if(F.expr("_train AND _label = 1"))).first()
         if min(n_ref, n_cur) == 0:
             return 0.5
         weight = F.when(F.col("_label") == 0, F.lit(0.5 / n_ref)).otherwise(F.lit(0.5 / n_cur)) * (n_ref + n_cur)
-        hashed = Pipeline(
-            stages=[
-                HashingTF(inputCol="_words", outputCol="_tf", numFeatures=n_features),
-                IDF(inputCol="_tf", outputCol="_features"),
-            ]
-        ).fit(rows.where("_train"))
-        train = hashed.transform(rows.where("_train")).select("_label", "_features", weight.alias("_weight"))
+        weighting = IDF(inputCol="_tf", outputCol="_features").fit(rows.where("_train"))
+        train = weighting.transform(rows.where("_train")).select("_label", "_features", weight.alias("_weight"))
         train = packed(train)
         head = LogisticRegression(
             featuresCol="_features", labelCol="_label", weightCol="_weight", regParam=0.1, maxIter=max_iter
         ).fit(train)
         train.unpersist()
-        scored = head.transform(hashed.transform(rows.where("NOT _train")))
+        scored = head.transform(weighting.transform(rows.where("NOT _train")))
         return BinaryClassificationEvaluator(labelCol="_label", metricName="areaUnderROC").evaluate(scored)
     finally:
         rows.unpersist()

@@ -20,11 +20,19 @@ def event_time(df: DataFrame, ts: str = "ts", delay: str = DELAY) -> DataFrame:
 
 
 def windowed_rate(stream: DataFrame, ts: str, flagged: Column, length: str, slide: str | None = None) -> DataFrame:
-    """Total, flagged and rate per window, emitted once the watermark closes it."""
-    window = F.window(ts, length, slide) if slide else F.window(ts, length)
-    counts = stream.groupBy(window.alias("window")).agg(
+    """Total, flagged and rate per window, emitted once the watermark closes it.
+
+    Sliding windows are two chained aggregations: rows are counted once per slide step,
+    and only closed steps are spread over the windows they belong to.
+    """
+    counts = stream.groupBy(F.window(ts, slide or length).alias("window")).agg(
         F.count(F.lit(1)).alias("total"), F.count_if(flagged).alias("flagged")
     )
+    if slide:
+        steps = counts.select(F.window_time("window").alias("_at"), "total", "flagged")
+        counts = steps.groupBy(F.window("_at", length, slide).alias("window")).agg(
+            F.sum("total").alias("total"), F.sum("flagged").alias("flagged")
+        )
     return counts.select(
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
