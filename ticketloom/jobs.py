@@ -145,7 +145,7 @@ def compare_granularity(spark: SparkSession, data: str, model_path: str, mapping
 def mapping_agreement(spark: SparkSession, sheets: str, mapping: DataFrame, queues: list[str], out: str) -> DataFrame:
     """Agreement of the raters' sheets with the author's mapping; returns the majority mapping.
 
-    A sheet with a missing intent or an unknown queue fails, with every problem counted.
+    A sheet with a missing intent or an unknown queue fails; the first twenty problems are shown.
     """
     author = mapping.select(F.lit("author").alias("rater"), F.col("intent").alias("item"), "queue")
     ratings = author.unionByName(corpus.scan_sheets(spark, sheets))
