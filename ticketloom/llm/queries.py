@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm import bpe, mixing, secrets
+from ticketloom.llm import bpe, langid, mixing, quality, secrets
 from ticketloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,26 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+@query("op1_quality")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, net).select(
+        "doc_id",
+        quality.held_out().alias("held_out"),
+        "score",
+        F.when(F.col("score") >= quality.KEEP_AT, 1).otherwise(0).alias("predicted"),
+    )
+
+
+@query("op4_language")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    trees = langid.train(docs)
+    found = langid.identify(docs.select("doc_id", "text"), trees)
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
 _UNIFORM = "(CAST('0x' || substr(md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE)"
 
 MIXED_SQL = f"""sized AS (
