@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm import bpe, langid, mixing, quality, secrets
+from ticketloom.llm import bpe, jaccard, langid, mixing, quality, secrets
 from ticketloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,3 +118,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(written(F.filter("secrets", lambda s: s["kind"].isin(base))).cast("binary"), 256).alias("base_sha256"),
         written(F.col("secrets")).alias("spans"),
     )
+
+
+@query("op8_jaccard_join")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
