@@ -21,7 +21,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 END = "</w>"
 
 #: Words a generation of a task's cache holds. Only a cache: a word that is not in it is encoded anew.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 #: Entries of the transition table that a task holds before it begins to fill it anew.
 CACHED_ARCS = 500_000
 
@@ -270,13 +270,13 @@ class Tokenizer:
             out.append(coded)
         return b"".join(out)
 
-    def decode(self, ids: bytes) -> bytes:
-        """The labels of the arcs with a blank between two, in UTF-8.
 
-        The vocabulary file names no decoder, and its library then writes labels so.
-        """
-        labels = self.vocabulary.labels
-        return " ".join([labels[i] for i in np.frombuffer(ids, dtype="<u4").tolist()]).encode()
+def written(labels: tuple[str, ...], ids: bytes) -> str:
+    """The text of a path through the automaton: the labels of its arcs with a blank between two.
+
+    The vocabulary file names no decoder, and its library then writes labels so.
+    """
+    return " ".join([labels[i] for i in np.frombuffer(ids, dtype="<u4").tolist()])
 
 
 _TOKENIZERS: dict[str, Tokenizer] = {}
@@ -311,10 +311,9 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
 
 def decode(docs: DataFrame, vocabulary: str, tokens: str = "tokens") -> DataFrame:
     """``docs`` with ``decoded``: the text of the ids; null ids are none. A column of this name is replaced."""
-    known = Vocabulary.read(vocabulary)
+    labels = Vocabulary.read(vocabulary).labels
 
     def make() -> Callable[[list[bytes]], list[list]]:
-        tool = tokenizer(known)
-        return lambda ids: [[tool.decode(i).decode() for i in ids]]
+        return lambda ids: [[written(labels, i) for i in ids]]
 
     return with_columns(docs, tokens, T.StructType([T.StructField("decoded", T.StringType(), False)]), make)

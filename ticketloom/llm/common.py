@@ -14,6 +14,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 #: Words are runs of anything but ASCII white space; ``bytes.split()`` splits at the same bytes.
 SPACES = r"[\x20\x09-\x0D]+"
 
+#: Bytes of text that a task turns into results at a time.
+SLICE = 4 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -76,8 +79,11 @@ def with_columns(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = make()
         for batch in batches:
-            made = function(texts_of(batch, text))
-            new = [pa.array(v, type=k) for v, k in zip(made, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=schema.names)
+            texts = texts_of(batch, text)
+            for start, end in slices(texts, SLICE):
+                made = function(texts[start:end])
+                new = [pa.array(v, type=k) for v, k in zip(made, kinds, strict=True)]
+                old = batch.slice(start, end - start).columns
+                yield pa.RecordBatch.from_arrays([*old, *new], names=schema.names)
 
     return kept.mapInArrow(run, schema)

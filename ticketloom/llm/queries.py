@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm import bpe, jaccard, langid, mixing, quality, secrets
+from ticketloom.llm import bpe, jaccard, langid, mixing, polytope, quality, secrets
 from ticketloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,3 +123,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_jaccard_join")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op9_near_vectors")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return polytope.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
