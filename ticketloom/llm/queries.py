@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm import bpe, jaccard, langid, mixing, polytope, quality, secrets
+from ticketloom.llm import bpe, jaccard, langid, mixing, polytope, quality, secrets, warc
 from ticketloom.llm.common import table
+from ticketloom.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -128,3 +129,33 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_near_vectors")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return polytope.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+OP10_SQL = """WITH paid AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+hashed AS (SELECT page_id, octet_length(encode(payload)) AS payload_bytes,
+  from_hex(sha1(payload)) AS raw, sha1(payload) AS hex FROM paid),
+digested AS (SELECT page_id, payload_bytes, hex,
+  list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+    (CAST('0x' || substr(hex, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER), 1)),
+    'string_agg', '') AS payload_digest FROM hashed),
+best AS (SELECT hex, max(page_id) AS best FROM digested GROUP BY hex)
+SELECT d.page_id, d.payload_bytes, d.payload_digest,
+  CASE WHEN d.page_id IS DISTINCT FROM b.best AND b.best IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN d.page_id IS DISTINCT FROM b.best THEN b.best END AS refers_to
+FROM digested d JOIN best b USING (hex)"""
+
+
+@query("op10_warc", OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    warc.register(spark)
+    path = fresh_path(spark, "archive")
+    warc.archive_pages(table(spark, sf_dir, "pages"), path)
+    records = spark.read.format("warc").option("payload", "false").option("verify", "true").load(path)
+    key = F.regexp_extract("record_id", r"^<urn:record:(\d+|-\d+)>$", 1).try_cast("long")
+    return records.where(F.col("record_type").isin("response", "revisit")).select(
+        key.alias("page_id"),
+        F.col("payload_length").alias("payload_bytes"),
+        F.regexp_replace("payload_digest", "^sha1:", "").alias("payload_digest"),
+        "record_type",
+        F.regexp_extract("refers_to", r"^<urn:record:(-?\d+)>$", 1).try_cast("long").alias("refers_to"),
+    )
