@@ -186,8 +186,12 @@ def labelled_sample(
     the texts. Texts over ``longest`` bytes are not learned from.
     """
     known = docs.select(key, lang).where(F.col(lang).isNotNull() & F.col(key).isNotNull() & usable)
-    by_hash = Window.partitionBy(lang).orderBy(F.xxhash64(key), key)
-    chosen = known.withColumn("__n", F.row_number().over(by_hash)).where(F.col("__n") <= rows).select(key).collect()
+    hashed = known.withColumn("__hash", F.xxhash64(key))
+    # first in parts of a language, then of what is left of them, so that no language meets in one task
+    for parts in ([lang, F.pmod("__hash", F.lit(64))], [lang]):
+        place = F.row_number().over(Window.partitionBy(*parts).orderBy("__hash", key))
+        hashed = hashed.withColumn("__n", place).where(F.col("__n") <= rows).drop("__n")
+    chosen = hashed.select(key).collect()
     if not chosen:
         return {}
     spark = docs.sparkSession

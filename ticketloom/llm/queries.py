@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm import bpe, jaccard, langid, mixing, polytope, quality, secrets, warc
+from ticketloom.llm import bpe, divergence, jaccard, langid, mixing, packing, polytope, quality, secrets, warc
 from ticketloom.llm.common import table
+from ticketloom.llm.components import Stash
 from ticketloom.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +47,24 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op2_divergence")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return divergence.judge(docs, Stash(spark)).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "nearest",
+        "char_distance",
+        "word_distance",
+    )
+
+
 @query("op4_language")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -121,6 +140,27 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = packing.read_ranks(vocabulary_path("byte_bpe_50k.tiktoken"))
+    encoder = packing.ranked_encoder(ranks, public_tokenizers.PATTERN)
+    path = fresh_path(spark, "packs")
+    packing.write_matrices(packing.pack(table(spark, sf_dir, "documents"), encoder, len(ranks)), path)
+    return spark.read.schema(packing.PACK_SCHEMA).parquet(path).select(
+        "shard",
+        "pack",
+        "n_tokens",
+        "n_segments",
+        "doc_ids",
+        "doc_offsets",
+        "cu_seqlens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("positions", 256).alias("positions_sha256"),
+    )
+
+
 @query("op8_jaccard_join")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
