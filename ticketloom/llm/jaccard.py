@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -123,7 +123,7 @@ def signatures(tokens: np.ndarray, alike: int = ALIKE) -> np.ndarray:
     return np.unique(np.concatenate(out)).view(np.int64)
 
 
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signed(batches: Iterator[pa.RecordBatch], words: int, alike: int) -> Iterator[pa.RecordBatch]:
     """(doc_id, text) -> (doc_id, n_shingles, key, signs): signs once for each set that a task meets."""
     met: set[int] = set()
     kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()))
@@ -131,24 +131,24 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = batch.column(0)
         sizes, keys, signs = [], [], []
         for known, text in zip(ids.is_valid().to_pylist(), texts_of(batch, batch.schema.names[1]), strict=True):
-            tokens = shingle_set(text)
+            tokens = shingle_set(text, words)
             key = set_key(tokens) if len(tokens) else None
             sizes.append(len(tokens))
             keys.append(key)
             first = known and key is not None and key not in met
-            signs.append(signatures(tokens) if first else None)
+            signs.append(signatures(tokens, alike) if first else None)
             if first:
                 met.add(key)
         made = [pa.array(v, k) for v, k in zip((sizes, keys, signs), kinds, strict=True)]
         yield pa.RecordBatch.from_arrays([ids, *made], names=["doc_id", "n_shingles", "key", "signs"])
 
 
-def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _tokens(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """(key, text) -> (key, tokens) of rows whose text has that key."""
     for batch in batches:
         keys, sets = [], []
         for key, text in zip(batch.column(0).to_pylist(), texts_of(batch, batch.schema.names[1]), strict=True):
-            tokens = shingle_set(text)
+            tokens = shingle_set(text, words)
             if len(tokens) and set_key(tokens) == key:
                 keys.append(key)
                 sets.append(tokens.view(np.int64))
@@ -194,14 +194,14 @@ def spanning_links(keys: list[int], sets: list[np.ndarray], alike: int = ALIKE)
     return links
 
 
-def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _opened(batches: Iterator[pa.RecordBatch], alike: int) -> Iterator[pa.RecordBatch]:
     """Rows (root, block, key, tokens) in the order of root and block -> links (a, b)."""
     held: dict[int, np.ndarray] = {}
     place, found = None, []
 
     def links() -> None:
         keys = sorted(held)
-        found.extend(spanning_links(keys, [held[k] for k in keys]))
+        found.extend(spanning_links(keys, [held[k] for k in keys], alike))
 
     for batch in batches:
         root, block, key, tokens = (batch.column(i) for i in range(4))
@@ -224,9 +224,13 @@ def _meetings(signs: DataFrame) -> DataFrame:
     return rows.where("lo <> hi").drop("hi")
 
 
-def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def jaccard_components(
+    docs: DataFrame, words: int = WORDS, alike: int = ALIKE, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
     """(doc_id, n_shingles, component_id): what links of similar shingle sets connect.
 
+    Sets of shingles of ``words`` words link when 100 * shared >= ``alike`` * united.
+
     1. Equal sets are one class, whatever the number of copies; a class has a 64-bit key.
     2. Sets that may be alike share a signature (see ``_emit``): no pair is lost, and
        a passage that many texts share makes no signature unless nearly all of a part
@@ -245,7 +249,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     stash = Stash(spark)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     schema = "doc_id long, n_shingles long, key long, signs array<long>"
-    sets = stash.put(rows.mapInArrow(_signed, schema), "sets")
+    sets = stash.put(rows.mapInArrow(partial(_signed, words=words, alike=alike), schema), "sets")
 
     signs = sets.where(F.col("signs").isNotNull()).select(F.explode("signs").alias("sign"), "key")
     meetings = stash.put(_meetings(signs), "meetings")
@@ -259,7 +263,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     few = chosen.count() <= BROADCAST_ROWS
     picked = F.broadcast(chosen.select("id", "key")) if few else chosen.select("id", "key")
     fetched = rows.join(picked, rows["doc_id"] == picked["id"]).select("key", "text")
-    tokens = stash.put(fetched.mapInArrow(_tokens, "key long, tokens array<long>"), "tokens")
+    tokens = stash.put(fetched.mapInArrow(partial(_tokens, words=words), "key long, tokens array<long>"), "tokens")
 
     of_group = tokens.join(chosen.select("root", "key"), "key")
     held = of_group.select("root", "key", F.explode("tokens").alias("token"))
@@ -267,7 +271,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     overlap = held.join(matrix.select("root", "token"), ["root", "token"]).groupBy("key").agg(F.count("*").alias("overlap"))
     sizes = tokens.select("key", F.size("tokens").cast("long").alias("n")).groupBy("key").agg(F.max("n").alias("n"))
     open_keys = stash.put(
-        overlap.join(sizes, "key").where(F.col("overlap") * 100 >= F.col("n") * ALIKE).select("key", "n"), "open"
+        overlap.join(sizes, "key").where(F.col("overlap") * 100 >= F.col("n") * alike).select("key", "n"), "open"
     )
 
     again = _meetings(meetings.select("sign", "key").join(open_keys.select("key"), "key", "left_semi"))
@@ -284,7 +288,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     )
     together = dealt.join(tokens, "key").select("root", "block", "key", "tokens")
     ordered = together.repartition("root", "block").sortWithinPartitions("root", "block")
-    links = stash.put(ordered.mapInArrow(_opened, "a long, b long"), "links")
+    links = stash.put(ordered.mapInArrow(partial(_opened, alike=alike), "a long, b long"), "links")
     linked = connected_components(links, stash)
     for spent in (meetings, chosen, tokens, open_keys, links):
         stash.drop(spent)
@@ -299,3 +303,25 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
         "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id"),
     )
+
+
+def one_of_each(docs: DataFrame, words: int, alike: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: the one with the least key.
+
+    Rows without a key stay, as do texts without shingles. Of repeated rows one stays.
+    Only keys are shuffled: those that go are taken out by a join that is a broadcast
+    if they are few and a shuffle otherwise.
+    """
+    spark = docs.sparkSession
+    found = Stash(spark).put(jaccard_components(docs, words, alike, key, text), "components")
+    per = found.where(F.col("doc_id").isNotNull()).groupBy("doc_id")
+    per = per.agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("n"))
+
+    def without(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+        ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+        return rows.join(ids, rows[key].cast("long") == ids["__id"], how)
+
+    gone = per.where(~F.col("stays")).select(F.col("doc_id").alias("__id"))
+    twice = per.where("stays and n > 1").select(F.col("doc_id").alias("__id"))
+    left = without(docs, gone, "left_anti")
+    return without(left, twice, "left_anti").unionByName(without(left, twice, "left_semi").dropDuplicates([key, text]))
