@@ -131,7 +131,9 @@ def _gradients(net: Network, texts: list[bytes], labels: np.ndarray) -> list[np.
     counts = np.diff(np.append(p.chunk_of, len(p.pooled)))
     owner = np.repeat(np.arange(len(texts)), counts)
     to_chunk = (to_text[:, :FILTERS] / counts[:, None])[owner]
-    is_most = p.pooled == p.texts[:, FILTERS:][owner]
+    # neighbours share a piece and often its maximum: the first of equal chunks learns
+    place = np.where(p.pooled == p.texts[:, FILTERS:][owner], np.arange(len(owner))[:, None], len(owner))
+    is_most = place == np.minimum.reduceat(place, p.chunk_of)[owner]
     to_chunk = to_chunk + np.where(is_most, to_text[:, FILTERS:][owner], 0)
     to_chunk = np.where(p.pooled > 0, to_chunk, 0)
     # through the maximum over a chunk's windows: only the best window learns
