@@ -9,6 +9,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from odd_rows import nothing, odd  # noqa: F401
+
 from ticketloom.llm import jaccard, polytope, queries
 from ticketloom.llm.common import table
 from ticketloom.llm.components import Stash, connected_components

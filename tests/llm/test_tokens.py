@@ -10,6 +10,8 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer as Library
 
+from odd_rows import nothing, odd  # noqa: F401
+
 from ticketloom.llm import bpe, packing, queries
 from ticketloom.llm.common import table
 
