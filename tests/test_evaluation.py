@@ -129,8 +129,11 @@ def test_paired_rows_must_match(spark):
     a = spark.createDataFrame([(1, "x", "x"), (2, "x", "y")], "id int, y string, a string")
     b = spark.createDataFrame([(2, "x"), (1, "y")], "id int, b string")
     assert rows(paired.pair_predictions(a, b, "id"), "id") == [(1, "x", "x", "y"), (2, "x", "y", "x")]
-    with pytest.raises(Exception, match="without a partner: 2"):
-        paired.pair_predictions(a, b.where("id = 1"), "id").collect()
+    for other, key in ((b.where("id = 1"), 2), (b.unionByName(b.where("id = 1")), 1)):
+        pairs = paired.pair_predictions(a, other, "id")
+        for read in (pairs.collect, pairs.count, pairs.select("y", "a").collect):
+            with pytest.raises(Exception, match=f"without one partner: {key}"):
+                read()
 
 
 def test_decision_needs_every_condition(spark):

@@ -17,7 +17,7 @@ def write(path, lines):
 def test_files_are_tagged_by_stem(spark, tmp_path):
     write(tmp_path / "train.csv", ["text,category", '"a ""quoted""\nsecond line",x', "NA,y"])
     write(tmp_path / "test.csv", ["text,category", "plain,x"])
-    df = corpus.scan_corpus(spark, [str(tmp_path / "train.csv"), str(tmp_path / "test.csv")])
+    df = corpus.scan_corpus(spark, [str(tmp_path / "train.csv"), str(tmp_path / "test.csv")], multiline=True)
     assert sorted(rows(df)) == [("NA", "y", "train"), ('a "quoted"\nsecond line', "x", "train"), ("plain", "x", "test")]
 
 
@@ -77,11 +77,51 @@ def test_split_read_lists_one_folder(spark, tmp_path):
 
 
 def test_reports_nest(spark, tmp_path):
-    per_class = spark.createDataFrame([("a", 1.0, 0.5, 0.66, 2)], "class string, precision double, recall double, f1 double, support long")
+    per_class = spark.createDataFrame(
+        [("a", 1.0, 0.5, 0.75, 2), ("b", 0.5, 0.25, 0.25, 6)],
+        "class string, precision double, recall double, f1 double, support long",
+    )
     summary = spark.createDataFrame([(0.5, 0.66)], "accuracy double, f1_macro double")
-    reports.write_json(reports.metrics_document(summary, per_class), str(tmp_path / "r"))
-    text = next((tmp_path / "r").glob("part-*")).read_text()
-    assert json.loads(text) == {
+    reports.write_document(reports.metrics_document(summary, per_class), str(tmp_path / "r"))
+    files = list((tmp_path / "r").glob("part-*"))
+    assert len(files) == 1 and files[0].stat().st_size > 0
+    assert json.loads(spark.read.text(str(tmp_path / "r")).first()["value"]) == {
         "summary": {"accuracy": 0.5, "f1_macro": 0.66},
-        "per_class": {"a": {"precision": 1.0, "recall": 0.5, "f1-score": 0.66, "support": 2}},
+        "accuracy": 0.5,
+        "per_class": {
+            "a": {"precision": 1.0, "recall": 0.5, "f1-score": 0.75, "support": 2},
+            "b": {"precision": 0.5, "recall": 0.25, "f1-score": 0.25, "support": 6},
+        },
+        "macro avg": {"precision": 0.75, "recall": 0.375, "f1-score": 0.5, "support": 8},
+        "weighted avg": {"precision": 0.625, "recall": 0.3125, "f1-score": 0.375, "support": 8},
     }
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    write(tmp_path / "a.csv", ["category,extra,text", "x,1,hello"])
+    assert rows(corpus.scan_corpus(spark, [str(tmp_path / "a.csv")])) == [("hello", "x", "a")]
+    write(tmp_path / "b.csv", ["text,kind", "hello,x"])
+    with pytest.raises(ValueError, match="category"):
+        corpus.scan_corpus(spark, [str(tmp_path / "b.csv")])
+
+
+def test_plain_files_are_read_in_splits(spark, tmp_path):
+    write(tmp_path / "big.csv", ["text,category", *[f"row {i} {'x' * 90},c" for i in range(20_000)]])
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        path = [str(tmp_path / "big.csv")]
+        assert corpus.scan_corpus(spark, path).rdd.getNumPartitions() > 4
+        assert corpus.scan_corpus(spark, path).count() == 20_000
+        assert corpus.scan_corpus(spark, path, multiline=True).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
+
+
+def test_log_days_are_pruned(spark, tmp_path):
+    log = spark.range(3).select(
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 86400).alias("ts"), F.lit("t").alias("text"), F.lit("l").alias("label")
+    )
+    logs.write_log(log, str(tmp_path / "log"))
+    day = logs.scan_log(spark, str(tmp_path / "log")).where("dt = date'2024-01-02'")
+    assert day.count() == 1 and "PartitionFilters: [isnotnull(dt" in plan(day)

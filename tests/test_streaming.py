@@ -41,6 +41,16 @@ def test_closed_windows_equal_the_batch(spark):
     assert got == want and len(got) > 50
 
 
+def test_end_marker_closes_every_window(spark):
+    df = events(spark, 300)
+    stream = source(spark, df, 3).unionByName(monitoring.end_marker(df, "ts"))
+    flagged = F.col("label") == "needs_review"
+    for slide in (None, "5 minutes"):
+        rates = monitoring.windowed_rate(monitoring.event_time(stream), "ts", flagged, "1 hour", slide)
+        got = rows(drain_table(rates, "all-windows"), "window_start")
+        assert got == rows(alerts.window_rate(df, "ts", flagged, "1 hour", slide), "window_start")
+
+
 def test_restart_continues_without_repeating(spark):
     path = fresh_path(spark, "source")
     df = events(spark, 200)
@@ -83,6 +93,7 @@ def test_score_route_quarantine_and_log(spark):
     assert [got[i]["reason"] for i in range(5)] == ["blank", "empty", "too_long", None, None]
     assert got[3]["label"] == "needs_review" and got[3]["predicted_label"] == "billing"
     assert got[0]["label"] is None and got[0]["status"] == "quarantined"
+    assert got[2]["text"] == "x" * 5001
     path = drain(log_records(score_and_route(source(spark, messages), model)), "log", "json", ("dt",))
     lines = [json.loads(x) for f in Path(path).rglob("*.json") for x in f.read_text().splitlines()]
     assert {x["label"] for x in lines} <= set(model.head.classes) and len(lines) == 2

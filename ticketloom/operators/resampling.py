@@ -2,53 +2,55 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom.functions.hashing import uniforms
 from ticketloom.operators.evaluation import class_scores, confusion_cells, summary_scores
 
-MAX_CELLS = 250_000
-
 
 def bootstrap_f1(cells: DataFrame, n_resamples: int = 1000, seed: int = 42) -> DataFrame:
     """Macro F1 of every resample: (replicate, f1_macro).
 
     Resampling n rows with replacement makes the cell counts multinomial with the
     observed shares, so each replicate is drawn from the K*K cells and the rows are
-    read once, not once per replicate. The replicates run in parallel; a replicate's
-    draw depends on (seed, replicate) only.
+    read once, not once per replicate. Each replicate is a group of its own that holds
+    the cells, so the replicates run in parallel and nothing comes to the driver; a
+    replicate's draw depends on (seed, replicate) and the cells only.
     """
-    spark = cells.sparkSession
-    found = cells.select("truth", "predicted", "n").limit(MAX_CELLS + 1).collect()
-    if len(found) > MAX_CELLS:
-        raise ValueError(f"more than {MAX_CELLS} confusion cells; fold the labels first")
-    found.sort(key=lambda r: (str(r["truth"]), str(r["predicted"])))
-    names = sorted({str(r["truth"]) for r in found} | {str(r["predicted"]) for r in found})
-    place = {name: i for i, name in enumerate(names)}
-    truth = np.array([place[str(r["truth"])] for r in found], dtype=np.int64)
-    predicted = np.array([place[str(r["predicted"])] for r in found], dtype=np.int64)
-    counts = np.array([r["n"] for r in found], dtype=np.int64)
-    total, k = int(counts.sum()), len(names)
-
-    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            f1 = []
-            for replicate in batch["id"]:
-                rng = np.random.default_rng([seed, int(replicate)])
-                sample = rng.multinomial(total, counts / total)
-                support = np.bincount(truth, weights=sample, minlength=k)
-                claimed = np.bincount(predicted, weights=sample, minlength=k)
-                hits = np.bincount(truth, weights=sample * (truth == predicted), minlength=k)
-                present = support + claimed
-                f1.append(float(np.mean(2 * hits[present > 0] / present[present > 0])))
-            yield pd.DataFrame({"replicate": batch["id"], "f1_macro": f1})
-
-    return spark.range(n_resamples).mapInPandas(draw, "replicate long, f1_macro double")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_resamples - 1).cast("long")))
+    named = cells.select(F.col("truth").cast("string"), F.col("predicted").cast("string"), F.col("n").cast("long"))
+
+    def draw(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        group = group.fillna("").sort_values(["truth", "predicted"])
+        names, place = np.unique(np.concatenate([group["truth"], group["predicted"]]), return_inverse=True)
+        truth, predicted = np.split(place, 2)
+        total = int(group["n"].sum())
+        rng = np.random.default_rng([seed, int(key[0])])
+        sample = rng.multinomial(total, group["n"].to_numpy() / total)
+        support = np.bincount(truth, weights=sample, minlength=len(names))
+        claimed = np.bincount(predicted, weights=sample, minlength=len(names))
+        hits = np.bincount(truth, weights=sample * (truth == predicted), minlength=len(names))
+        present = support + claimed
+        f1 = float(np.mean(2 * hits[present > 0] / present[present > 0]))
+        return pd.DataFrame({"replicate": [key[0]], "f1_macro": [f1]})
+
+    spread = named.select("truth", "predicted", "n", every.alias("replicate"))
+    return spread.groupBy("replicate").applyInPandas(draw, "replicate long, f1_macro double")
+
+
+def poisson_steps() -> list[float]:
+    """The Poisson(1) distribution function at 0, 1, ... as far as a 32-bit number can tell it from 1."""
+    steps, term, total = [], math.exp(-1), 0.0
+    while 1 - (total + term) > 2.0**-33:
+        total += term
+        steps.append(round(total, 12))
+        term /= len(steps)
+    return steps
 
 
 def bootstrap_f1_weighted(
@@ -57,32 +59,25 @@ def bootstrap_f1_weighted(
     """The same law from row weights: each row counts Poisson(1) times per replicate.
 
     The weights are a function of (seed, replicate, key) only, so any engine can repeat
-    them. Rows are combined into cells on the map side before the shuffle.
+    them. Every cell has a sum of weights for each replicate in one aggregate; rows are
+    never multiplied, and only the K*K cells are turned into a row per replicate.
     """
-    groups = F.explode(F.sequence(F.lit(0), F.lit((n_resamples - 1) // 4)))
-    rows = df.select(
-        F.col(key).alias("_key"), F.col(truth).alias("truth"), F.col(predicted).alias("predicted"), groups.alias("group")
-    )
     # one digest has room for four numbers, so it serves four replicates
-    draws = F.inline(
-        F.array(
-            *[
-                F.struct((F.col("group") * 4 + i).alias("replicate"), number.alias("u"))
-                for i, number in enumerate(uniforms(seed, "group", "_key"))
-            ]
-        )
-    )
-    rows = rows.select("truth", "predicted", draws).where(F.col("replicate") < n_resamples)
-    u = F.col("u")
-    # The Poisson(1) distribution function at 0..6.
-    steps = [0.36787944117, 0.73575888234, 0.91969860293, 0.98101184312, 0.99634015317, 0.99940581518, 0.99991675886]
-    weight = sum((F.when(u >= F.lit(s), F.lit(1)).otherwise(F.lit(0)) for s in steps), F.lit(0))
-    cells = (
-        rows.select("replicate", "truth", "predicted", weight.cast("long").alias("weight"))
-        .where(F.col("weight") > 0)
-        .groupBy("replicate", "truth", "predicted")
-        .agg(F.sum("weight").alias("n"))
+    groups = range((n_resamples + 3) // 4)
+    digests = [uniforms(seed, F.lit(g), key) for g in groups]
+    rows = df.select(
+        F.col(truth).alias("truth"),
+        F.col(predicted).alias("predicted"),
+        *[u.alias(f"u{4 * g + i}") for g, four in enumerate(digests) for i, u in enumerate(four)],
     )
+    steps = poisson_steps()
+
+    def weight(u: str) -> Column:
+        return sum((F.when(F.col(u) >= F.lit(s), F.lit(1)).otherwise(F.lit(0)) for s in steps), F.lit(0)).cast("long")
+
+    sums = rows.groupBy("truth", "predicted").agg(*[F.sum(weight(f"u{r}")).alias(f"n{r}") for r in range(n_resamples)])
+    replicates = F.array(*[F.struct(F.lit(r).alias("replicate"), F.col(f"n{r}").alias("n")) for r in range(n_resamples)])
+    cells = sums.select("truth", "predicted", F.inline(replicates)).where(F.col("n") > 0)
     return summary_scores(class_scores(cells, ("replicate",)), ("replicate",)).select("replicate", "f1_macro")
 
 

@@ -22,9 +22,11 @@ def text_drift(
     seed: int = 42,
     n_features: int = 1 << 14,
     max_iter: int = 30,
-) -> float:
+) -> float | None:
     """ROC AUC of telling current from reference text on held-out rows; 0.5 is no drift.
 
+    None, unknown, if a side has no rows to train on or none to score.
+
     Half of the rows by key train a linear model on hashed words, the other half score
     it. The classes are weighted to the same total, so sizes do not matter.
     """
@@ -39,9 +41,12 @@ def text_drift(
     hashing = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=n_features)
     rows = hashing.transform(words).drop("_words").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n_ref, n_cur = rows.agg(F.count_if(F.expr("_train AND _label = 0")), F.count_if(F.expr("_train AND _label = 1"))).first()
-        if min(n_ref, n_cur) == 0:
-            return 0.5
+        counts = rows.agg(
+            *[F.count_if(F.expr(f"{side} AND _label = {label}")) for side in ("_train", "NOT _train") for label in (0, 1)]
+        ).first()
+        n_ref, n_cur = counts[0], counts[1]
+        if min(counts) == 0:
+            return None
         weight = F.when(F.col("_label") == 0, F.lit(0.5 / n_ref)).otherwise(F.lit(0.5 / n_cur)) * (n_ref + n_cur)
         weighting = IDF(inputCol="_tf", outputCol="_features").fit(rows.where("_train"))
         train = weighting.transform(rows.where("_train")).select("_label", "_features", weight.alias("_weight"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom.functions.text import admission_reason, clean_text
+from ticketloom.session import fresh_path
 
 
 def require_columns(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -38,13 +39,18 @@ def invalid_rows(df: DataFrame, key: str, problems: Column) -> DataFrame:
     return df.select(key, problems.alias("problems")).where(F.size("problems") > 0)
 
 
-def require_valid(df: DataFrame, key: str, problems: Column) -> DataFrame:
-    """Raise with the number of bad rows and the first twenty of them."""
+def require_valid(df: DataFrame, key: str, problems: Column, path: str | None = None) -> DataFrame:
+    """Raise if there are bad rows.
+
+    All of them are written to ``path``, by default a new folder in the shared one; the
+    error names their number and that place, never their texts.
+    """
+    path = path or fresh_path(df.sparkSession, "problems")
     bad = invalid_rows(df, key, problems)
-    shown = bad.orderBy(key).limit(20).collect()
-    if shown:
-        lines = "\n  ".join(f"{r[key]}: {'; '.join(r['problems'])}" for r in shown)
-        raise ValueError(f"{bad.count()} rows have problems, the first ones:\n  {lines}")
+    bad.write.mode("overwrite").json(path)
+    count = df.sparkSession.read.schema(bad.schema).json(path).count()
+    if count:
+        raise ValueError(f"{count} rows have problems, see {path}")
     return df
 
 

@@ -134,10 +134,7 @@ def _(spark, sf):
     return resampling.bootstrap_f1_ci(pred(spark, sf), "y", "a")
 
 
-POISSON = " + ".join(
-    f"CASE WHEN u >= {s}::DOUBLE THEN 1 ELSE 0 END"
-    for s in (0.36787944117, 0.73575888234, 0.91969860293, 0.98101184312, 0.99634015317, 0.99940581518, 0.99991675886)
-)
+POISSON = " + ".join(f"CASE WHEN u >= {s}::DOUBLE THEN 1 ELSE 0 END" for s in resampling.poisson_steps())
 
 
 @query(
@@ -305,10 +302,10 @@ def _(spark, sf):
 @query(
     "o01_least_confident",
     f"""WITH {PRED} SELECT id, y AS true_queue, a AS predicted_queue, round(confidence, 4) AS confidence
-    FROM pred WHERE y <> a ORDER BY round(confidence, 4), id LIMIT 100""",
+    FROM pred WHERE y <> a ORDER BY round(confidence, 4), id""",
 )
 def _(spark, sf):
-    return evaluation.least_confident(evaluation.errors(pred(spark, sf), "y", "a", "confidence", "id"), "id", 100)
+    return evaluation.least_confident(evaluation.errors(pred(spark, sf), "y", "a", "confidence", "id"), "id")
 
 
 @query("a22_errors_by_intent", f"WITH {PRED} SELECT intent, count(*) AS errors FROM pred WHERE y <> a GROUP BY intent")

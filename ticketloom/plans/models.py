@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,9 +35,8 @@ def _sides(df: DataFrame, seed: str = "side") -> tuple[DataFrame, DataFrame]:
 
 
 
-@lru_cache(maxsize=8)
 def _fitted(spark: SparkSession, sf: str, name: str) -> TextModel:
-    """A model fitted once per session and data folder, as a service would hold it."""
+    """A model fitted on the labelled documents; every query pays for its own."""
     return fit_text_model(training_texts(spark, sf), name)
 
 
@@ -335,14 +332,16 @@ def _(spark, sf):
 
 @query(
     "s06_prediction_log_stream",
-    f"""WITH {TICKET_SCORES} SELECT strftime(t.ts, '%Y-%m-%d %H:%M:%S') AS ts, {redact_sql('s.text')} AS text, b.predicted_label AS label
+    f"""WITH {TICKET_SCORES} SELECT strftime(t.ts, '%Y-%m-%d %H:%M:%S') AS ts, {redact_sql('s.text')} AS text, b.predicted_label AS label,
+    strftime(t.ts, '%Y-%m-%d') AS dt
     FROM tagged t JOIN best b ON b.id = t.ticket_id JOIN shown s ON s.id = t.ticket_id WHERE t.reason IS NULL""",
 )
 def _(spark, sf):
     """The redacted log a stream appends by day, read back as the drift monitor does."""
     routed = score_and_route(tickets(stream(spark, sf, "conversations")), _fitted(spark, sf, "complementnb"))
     path = drain(log_records(routed), "prediction-log", "json", ("dt",))
-    return logs.load_predictions(spark, path).withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    log = logs.load_predictions(spark, path).withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    return log.withColumn("dt", F.col("dt").cast("string"))
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:

@@ -13,7 +13,7 @@ from ticketloom.plans.views import PRED, pred, pred_of, r6, stream, table, ticke
 from ticketloom.session import fresh_path
 from ticketloom.sources import logs, reports
 from ticketloom.streaming import monitoring
-from ticketloom.streaming.runner import drain, drain_table
+from ticketloom.streaming.runner import drain, drain_table, start
 
 HALF = "2024-01-16 00:00:00"
 STAMP = "yyyy-MM-dd HH:mm:ss"
@@ -41,10 +41,12 @@ def _written_log(spark, sf):
 
 @query(
     "s04_log_scan",
-    f"WITH {TICKETS} SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, text, 'q' || CAST(ticket_id % 5 AS VARCHAR) AS label FROM tickets",
+    f"""WITH {TICKETS} SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, text, 'q' || CAST(ticket_id % 5 AS VARCHAR) AS label,
+    strftime(ts, '%Y-%m-%d') AS dt FROM tickets""",
 )
 def _(spark, sf):
-    return logs.load_predictions(spark, _written_log(spark, sf)).withColumn("ts", _stamp("ts"))
+    log = logs.load_predictions(spark, _written_log(spark, sf))
+    return log.withColumn("ts", _stamp("ts")).withColumn("dt", F.col("dt").cast("string"))
 
 
 @query(
@@ -119,13 +121,13 @@ def _(spark, sf):
 # --- drift: first half of January against the second ------------------------------------------
 
 SHARES = f"""ref AS (SELECT event_type AS label, count(*)::DOUBLE / sum(count(*)) OVER () AS share FROM events WHERE ts < TIMESTAMP '{HALF}' GROUP BY 1),
-cur AS (SELECT event_type AS label, count(*)::DOUBLE / sum(count(*)) OVER () AS share FROM events WHERE ts >= TIMESTAMP '{HALF}' AND event_type <> 'view' GROUP BY 1)"""
+cur AS (SELECT event_type AS label, count(*)::DOUBLE / sum(count(*)) OVER () AS share FROM events WHERE ts >= TIMESTAMP '{HALF}' GROUP BY 1)"""
 
 
 def _halves(spark, sf):
     events = table(spark, sf, "events")
     half = F.to_timestamp_ntz(F.lit(HALF))
-    return events.where(F.col("ts") < half), events.where((F.col("ts") >= half) & (F.col("event_type") != "view"))
+    return events.where(F.col("ts") < half), events.where(F.col("ts") >= half)
 
 
 @query(
@@ -157,10 +159,10 @@ def _(spark, sf):
 
 
 KSHARES = f"""kref AS (SELECT json_extract_string(props, '$.k') AS label, count(*)::DOUBLE / sum(count(*)) OVER () AS share FROM events WHERE ts < TIMESTAMP '{HALF}' GROUP BY 1),
-kcur AS (SELECT json_extract_string(props, '$.k') AS label, count(*)::DOUBLE / sum(count(*)) OVER () AS share FROM events WHERE ts >= TIMESTAMP '{HALF}' AND event_type <> 'view' GROUP BY 1),
+kcur AS (SELECT json_extract_string(props, '$.k') AS label, count(*)::DOUBLE / sum(count(*)) OVER () AS share FROM events WHERE ts >= TIMESTAMP '{HALF}' GROUP BY 1),
 scores AS (SELECT 'event_type' AS "column", {js_sql('ref', 'cur')} AS score, 0.1::DOUBLE AS threshold
   UNION ALL SELECT 'k', {js_sql('kref', 'kcur')}, 0.1::DOUBLE),
-n AS (SELECT count(*) AS rows_ FROM events WHERE ts >= TIMESTAMP '{HALF}' AND event_type <> 'view')"""
+n AS (SELECT count(*) AS rows_ FROM events WHERE ts >= TIMESTAMP '{HALF}')"""
 
 
 def _column_scores(spark, sf):
@@ -225,11 +227,9 @@ def _(spark, sf):
     return _shown(alerts.window_rate(_zoned(_routed(spark, sf)), "ts", review(), "1 hour", "5 minutes"))
 
 
-CLOSED = "WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 15 MINUTE"
-
-
 def _event_stream(spark, sf):
-    return stream(spark, sf, "events")
+    """The events as a stream that ends: a row far in the future closes every window before it."""
+    return stream(spark, sf, "events").unionByName(monitoring.end_marker(table(spark, sf, "events"), "ts"))
 
 
 def _pred_stream(spark, sf):
@@ -238,7 +238,7 @@ def _pred_stream(spark, sf):
     return monitoring.event_time(rows.select("ts", route(F.col("a"), F.col("confidence")).alias("label")))
 
 
-@query("t03_review_rate_stream", f"WITH {REVIEW_RATES} SELECT {SHOWN} FROM rates {CLOSED}")
+@query("t03_review_rate_stream", f"WITH {REVIEW_RATES} SELECT {SHOWN} FROM rates")
 def _(spark, sf):
     rates = monitoring.windowed_rate(_pred_stream(spark, sf), "ts", review(), "1 hour", "5 minutes")
     return _shown(drain_table(rates, "review-rate"))
@@ -264,7 +264,7 @@ def _(spark, sf):
     return _shown(alerts.window_rate(_zoned(_served(table(spark, sf, "events"))), "ts", failed(), "5 minutes"))
 
 
-@query("t04_error_rate_stream", f"WITH {ERROR_RATES} SELECT {SHOWN} FROM rates {CLOSED.replace('events', 'served')}")
+@query("t04_error_rate_stream", f"WITH {ERROR_RATES} SELECT {SHOWN} FROM rates")
 def _(spark, sf):
     rows = monitoring.event_time(_served(_event_stream(spark, sf)))
     return _shown(drain_table(monitoring.windowed_rate(rows, "ts", failed(), "5 minutes"), "error-rate"))
@@ -279,7 +279,7 @@ runs AS (SELECT *, sum(CASE WHEN high AND (before IS NULL OR window_end - before
 held AS (SELECT alert, window_end, rate, high AND window_end - min(window_end) OVER (PARTITION BY alert, high, run) >= INTERVAL {hold} MINUTE AS firing FROM runs)"""
 
 
-ALERTS = f"{REVIEW_RATES}, alerts AS (SELECT 'ReviewRateHigh' AS alert, window_end, rate FROM rates {{where}})"
+ALERTS = f"{REVIEW_RATES}, alerts AS (SELECT 'ReviewRateHigh' AS alert, window_end, rate FROM rates)"
 HELD_SHOWN = "alert, strftime(window_end, '%Y-%m-%d %H:%M:%S') AS window_end, round(rate, 6) AS rate, firing"
 
 
@@ -287,7 +287,7 @@ def _held_shown(held):
     return held.select("alert", _stamp("window_end").alias("window_end"), r6("rate").alias("rate"), "firing")
 
 
-@query("w06_held_alert", f"WITH {ALERTS.format(where='')}, {held_sql(0.2, 15, 5)} SELECT {HELD_SHOWN} FROM held")
+@query("w06_held_alert", f"WITH {ALERTS}, {held_sql(0.2, 15, 5)} SELECT {HELD_SHOWN} FROM held")
 def _(spark, sf):
     rates = alerts.window_rate(_zoned(_routed(spark, sf)), "ts", review(), "1 hour", "5 minutes")
     named = rates.withColumn("alert", F.lit("ReviewRateHigh"))
@@ -305,7 +305,7 @@ def _(spark, sf):
     return _held_shown(alerts.held_alerts(named, alerts.ERROR_LIMIT, "10 minutes", "5 minutes"))
 
 
-@query("t05_held_alert_stream", f"WITH {ALERTS.format(where=CLOSED)}, {held_sql(0.2, 15, 5)} SELECT {HELD_SHOWN} FROM held")
+@query("t05_held_alert_stream", f"WITH {ALERTS}, {held_sql(0.2, 15, 5)} SELECT {HELD_SHOWN} FROM held")
 def _(spark, sf):
     """Two chained streams: closed windows to a table, and a state per alert over that table."""
     rates = monitoring.windowed_rate(_pred_stream(spark, sf), "ts", review(), "1 hour", "5 minutes")
@@ -320,8 +320,7 @@ HOURLY = f"{PRED}, {ROUTED}, hourly AS (SELECT time_bucket(INTERVAL 1 HOUR, ts)
 
 @query(
     "t06_routed_counts_stream",
-    f"""WITH {HOURLY} SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, label, n FROM hourly
-    WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 15 MINUTE""",
+    f"""WITH {HOURLY} SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, label, n FROM hourly""",
 )
 def _(spark, sf):
     counts = monitoring.windowed_counts(_pred_stream(spark, sf), "ts", "label", "1 hour")
@@ -329,8 +328,7 @@ def _(spark, sf):
 
 
 DAILY = f"""{SHARES}, days AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS d, event_type AS label, count(*) AS n FROM events GROUP BY 1, 2),
-closed AS (SELECT d, label, n::DOUBLE / sum(n) OVER (PARTITION BY d) AS share, CAST(sum(n) OVER (PARTITION BY d) AS BIGINT) AS rows_ FROM days
-  WHERE d + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 15 MINUTE),
+closed AS (SELECT d, label, n::DOUBLE / sum(n) OVER (PARTITION BY d) AS share, CAST(sum(n) OVER (PARTITION BY d) AS BIGINT) AS rows_ FROM days),
 labels_ AS (SELECT DISTINCT d, rows_, r.label FROM closed, ref r UNION SELECT d, rows_, label FROM closed),
 dist AS (SELECT l.d, l.rows_, sqrt(greatest(0.0::DOUBLE, 0.5::DOUBLE * sum(
   CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END))) AS distance
@@ -366,22 +364,21 @@ def _(spark, sf):
     "t08_late_rows",
     f"""WITH d AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, event_type AS label, count(*) AS n FROM events
     WHERE ts >= TIMESTAMP '{HALF}' GROUP BY 1, 2)
-    SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, label, n FROM d
-    WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 15 MINUTE""",
+    SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, label, n FROM d""",
 )
 def _(spark, sf):
-    """Late data: the second half of the month arrives in two batches, the first half after it.
+    """Late data: the second half of the month arrives first, then the first half, then the end marker.
 
-    A batch drops what is behind the watermark the batch before it started with, so the
-    rows of the third batch are late and only windows of the second half come out.
+    Each arrival is a run of the same query on its checkpoint. The first run moves the
+    watermark to the end of the month, so the rows of the second are late and dropped.
     """
-    path = fresh_path(spark, "late")
+    path, out = fresh_path(spark, "late"), fresh_path(spark, "late-counts")
     events = table(spark, sf, "events")
-    half = F.to_timestamp_ntz(F.lit(HALF))
-    newer = F.col("ts") >= half
-    even = F.col("event_id") % 2 == 0
-    for part in (events.where(newer & even), events.where(newer & ~even), events.where(~newer)):
-        part.coalesce(1).write.mode("append").parquet(path)
-    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    counts = monitoring.windowed_counts(monitoring.event_time(arriving), "ts", "event_type", "1 day")
-    return drain_table(counts, "late-counts").select(_stamp("window_start").alias("window_start"), "label", "n")
+    newer = F.col("ts") >= F.to_timestamp_ntz(F.lit(HALF))
+    for part in (events.where(newer), events.where(~newer), monitoring.end_rows(events, "ts")):
+        part.write.mode("append").parquet(path)
+        arriving = monitoring.event_time(spark.readStream.schema(events.schema).parquet(path))
+        counts = monitoring.windowed_counts(arriving, "ts", "event_type", "1 day")
+        start(counts, out, f"{out}-checkpoint").awaitTermination()
+    found = spark.read.schema(counts.schema).parquet(out)
+    return found.select(_stamp("window_start").alias("window_start"), "label", "n")

@@ -260,7 +260,7 @@ def _corpus_files(spark, sf):
     """SELECT text, source AS category, CASE WHEN doc_id % 4 = 0 THEN 'test' ELSE 'train' END AS split FROM documents""",
 )
 def _(spark, sf):
-    return corpus.scan_corpus(spark, _corpus_files(spark, sf))
+    return corpus.scan_corpus(spark, _corpus_files(spark, sf), multiline=True)
 
 
 def _split_dataset(spark, sf):
@@ -309,14 +309,14 @@ def _(spark, sf):
         "text", F.col("lang").alias("label"), style.alias("language_style"), F.when(F.col("doc_id") % 5 != 0, F.col("source")).alias("author")
     )
     corpus.write_csv(rows, path)
-    return corpus.scan_text(spark, path, corpus.MESSAGE_SCHEMA)
+    return corpus.scan_text(spark, path, corpus.MESSAGE_SCHEMA, multiline=True)
 
 
 @query("s10_pii_case_scan", f"WITH {CASES} SELECT kind, pii, text FROM cases")
 def _(spark, sf):
     path = fresh_path(spark, "cases")
     corpus.write_csv(pii_cases(spark, sf).select("kind", "pii", "text"), path)
-    return corpus.scan_text(spark, path, corpus.CASE_SCHEMA)
+    return corpus.scan_text(spark, path, corpus.CASE_SCHEMA, multiline=True)
 
 
 # --- generated corpus: one message per event ------------------------------------------------

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,13 +27,13 @@ def stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def balanced(df: DataFrame) -> DataFrame:
-    """Spread a scan of fewer splits than cores before heavy work on its texts.
+    """Spread a scan over the partitions that ``spark.ticketloom.scanPartitions`` asks for.
 
-    Only a table kept in one or two unsplittable files needs this; on a dataset of
-    many files the scan is parallel already and nothing is shuffled.
+    Unset, as on a cluster, nothing is shuffled: the split size of the reader rules. Local
+    sessions set it, since their tables lie in one unsplittable file each.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    wanted = df.sparkSession.conf.get("spark.ticketloom.scanPartitions", None)
+    return df.repartition(int(wanted)) if wanted else df
 
 
 def r6(column: Column | str) -> Column:
@@ -111,7 +109,6 @@ pred AS (SELECT *, {_sure_sql('c', 'a')} AS confidence, {_sure_sql('cb', 'b')} A
 # --- fine labels: k of events, folded onto the five classes ---------------------------
 
 
-@lru_cache(maxsize=8)
 def intent_dim(spark: SparkSession, sf: str) -> DataFrame:
     """(intent, queue): the mapping, one row per k that occurs, kept as a table."""
     k = F.get_json_object("props", "$.k").cast("int")

@@ -20,6 +20,7 @@ def build_session(cores: str | int = "*", app: str = "ticketloom", **conf: str)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.ticketloom.scanPartitions", "8")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

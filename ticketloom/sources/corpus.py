@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ticketloom.operators.mapping import fold, require_mapped
 from ticketloom.operators.sampling import sample_rows
@@ -12,8 +13,26 @@ CORPUS_SCHEMA = "text string, category string"
 MESSAGE_SCHEMA = "text string, label string, language_style string, author string"
 CASE_SCHEMA = "kind string, pii string, text string"
 
-# Quoted fields may hold line breaks and doubled quotes, as other tools write them.
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
+# A quote inside a quoted field is doubled, as other tools write it. Line breaks inside
+# fields make a file unsplittable, so reading them is asked for by ``multiline``.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+
+
+def read_csv(spark: SparkSession, paths: str | list[str], schema: str, multiline: bool = False) -> DataFrame:
+    """The columns of ``schema`` by the names in the files' headers, whatever their order.
+
+    Files are read in splits unless ``multiline``. A file that lacks a column fails, as
+    does a set of files with different headers: they are not of one kind.
+    """
+    wanted = T.StructType.fromDDL(schema)
+    options = {**CSV_OPTIONS, "multiLine": str(multiline).lower(), "enforceSchema": "false", "mode": "FAILFAST"}
+    header = spark.read.options(**{**options, "mode": "PERMISSIVE"}).csv(paths).columns
+    missing = [f.name for f in wanted if f.name not in header]
+    if missing:
+        raise ValueError(f"missing columns {missing}")
+    kinds = {f.name: f for f in wanted}
+    full = T.StructType([kinds.get(c, T.StructField(c, T.StringType())) for c in header])
+    return spark.read.schema(full).options(**options).csv(paths)
 
 
 def file_stem() -> Column:
@@ -21,20 +40,27 @@ def file_stem() -> Column:
     return F.url_decode(F.regexp_extract("_metadata.file_path", r"([^/]+?)\.csv(?:/part-[^/]*)?$", 1))
 
 
-def scan_corpus(spark: SparkSession, paths: list[str], schema: str = CORPUS_SCHEMA) -> DataFrame:
+def scan_corpus(
+    spark: SparkSession, paths: list[str], schema: str = CORPUS_SCHEMA, multiline: bool = False
+) -> DataFrame:
     """All files in one scan, each row tagged with its file's stem as ``split``."""
-    rows = spark.read.schema(schema).options(**CSV_OPTIONS).csv(paths)
-    return rows.withColumn("split", file_stem())
+    names = T.StructType.fromDDL(schema).names
+    return read_csv(spark, paths, schema, multiline).select(*names, file_stem().alias("split"))
 
 
 def load_labelled(
-    spark: SparkSession, paths: list[str], mapping: DataFrame, n_samples: int | None = None, seed: int = 42
+    spark: SparkSession,
+    paths: list[str],
+    mapping: DataFrame,
+    n_samples: int | None = None,
+    seed: int = 42,
+    multiline: bool = False,
 ) -> DataFrame:
     """(text, label, intent, split): the corpus folded onto queues, optionally a seeded sample.
 
     An intent the mapping does not know fails the load.
     """
-    rows = scan_corpus(spark, paths).withColumnRenamed("category", "intent")
+    rows = scan_corpus(spark, paths, multiline=multiline).withColumnRenamed("category", "intent")
     require_mapped(rows, mapping, "intent")
     labelled = fold(rows, mapping, "intent", "label").select("text", "label", "intent", "split")
     if n_samples is None:
@@ -43,19 +69,20 @@ def load_labelled(
     return sample_rows(labelled.withColumn("_id", key), "_id", n_samples, seed).drop("_id")
 
 
-def scan_text(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
+def scan_text(spark: SparkSession, path: str | list[str], schema: str, multiline: bool = False) -> DataFrame:
     """A CSV whose columns are all text; missing fields become empty strings."""
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path).na.fill("")
+    return read_csv(spark, path, schema, multiline).select(*T.StructType.fromDDL(schema).names).na.fill("")
 
 
 def scan_sheets(spark: SparkSession, directory: str) -> DataFrame:
     """Every rater's sheet in a folder: (rater, item, queue), the stem names the rater."""
-    rows = spark.read.schema("intent string, queue string").options(**CSV_OPTIONS).csv(f"{directory}/*.csv")
+    rows = read_csv(spark, f"{directory}/*.csv", "intent string, queue string")
     queue = F.lower(F.trim(F.coalesce("queue", F.lit(""))))
     return rows.select(file_stem().alias("rater"), F.col("intent").alias("item"), queue.alias("queue"))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
+    """Every field quoted; a file whose fields hold line breaks is read back with ``multiline``."""
     df.write.options(**CSV_OPTIONS).option("quoteAll", "true").csv(path)
 
 

@@ -12,9 +12,12 @@ SOURCE_TEST_SPLIT = "test_split_fallback"
 
 
 def scan_log(spark: SparkSession, path: str) -> DataFrame:
-    """JSON lines of all rotated files or day folders; a broken line fails the job."""
-    reader = spark.read.schema(LOG_SCHEMA).option("mode", "FAILFAST").option("recursiveFileLookup", "true")
-    return reader.json(path)
+    """JSON lines of rotated files or of day folders; a broken line fails the job.
+
+    Day folders ``dt=...`` give the column ``dt``, and a filter on it reads only the
+    folders of those days.
+    """
+    return spark.read.schema(LOG_SCHEMA).option("mode", "FAILFAST").json(path)
 
 
 def load_predictions(spark: SparkSession, path: str) -> DataFrame | None:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ticketloom.functions.statistics import safe_ratio
+from ticketloom.session import fresh_path
 
 DELAY = "15 minutes"
 
@@ -19,6 +20,31 @@ def event_time(df: DataFrame, ts: str = "ts", delay: str = DELAY) -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
 
 
+#: A time after all event times. Its own windows never close, so they never come out.
+END = "2200-01-01 00:00:00"
+
+
+def end_rows(like: DataFrame, ts: str) -> DataFrame:
+    """One row with the columns of ``like``: the end time, and nothing else."""
+    fields = [
+        F.lit(END).cast(f.dataType).alias(f.name) if f.name == ts else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in like.schema
+    ]
+    return like.sparkSession.range(1).select(*fields)
+
+
+def end_marker(like: DataFrame, ts: str) -> DataFrame:
+    """``end_rows`` as a stream, for a union with a source that ends.
+
+    A watermark stands behind the latest row, so the last windows of a source that has
+    ended would stay open for good. The marker moves it past all of them.
+    """
+    spark = like.sparkSession
+    path = fresh_path(spark, "end")
+    end_rows(like, ts).write.parquet(path)
+    return spark.readStream.schema(like.schema).parquet(path)
+
+
 def windowed_rate(stream: DataFrame, ts: str, flagged: Column, length: str, slide: str | None = None) -> DataFrame:
     """Total, flagged and rate per window, emitted once the watermark closes it.
 

@@ -15,11 +15,14 @@ def score_and_route(
 ) -> DataFrame:
     """Works on a batch or a stream: clean, score once, route.
 
-    Refused messages keep their reason and get no label; ``status`` splits the sink.
+    Refused messages keep their reason and their text, redacted, and get no label;
+    ``status`` splits the sink.
     """
     tagged = messages.withColumn("reason", admission_reason(F.col(text)))
+    tagged = tagged.withColumn("_raw", F.col(text))
     tagged = tagged.withColumn(text, F.when(F.col("reason").isNull(), clean_text(F.col(text))).otherwise(F.lit("")))
     scored = model.predict(tagged)
+    scored = scored.withColumn(text, F.when(F.col("reason").isNull(), F.col(text)).otherwise(redact(F.col("_raw")))).drop("_raw")
     accepted = F.col("reason").isNull()
     classes = F.array(*[F.lit(c) for c in model.head.classes])
     return (
