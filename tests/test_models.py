@@ -9,7 +9,7 @@ from ticketloom.functions.hashing import uniform
 from ticketloom.functions.intents import QUEUES, mapping_table
 from ticketloom.functions.scores import map_confidence, map_top_class, route, score_map, top_class
 from ticketloom.operators import synthetic, textdrift
-from ticketloom.operators.classifiers import HEADS, fit_candidates, fit_text_model, load_model, save_model
+from ticketloom.operators.classifiers import HEADS, fit_candidates, fit_text_model, load_model, save_model, stratified_folds
 from ticketloom.operators.features import long_form, vocabulary_of
 from ticketloom.sources import corpus
 
@@ -129,11 +129,11 @@ def test_stages_end_to_end(spark, texts, tmp_path):
     for name, condition in (("train", F.col("doc_id") % 4 != 0), ("test", F.col("doc_id") % 4 == 0)):
         corpus.write_csv(rows.where(condition).drop("doc_id"), str(tmp_path / f"{name}.csv"))
     paths = [str(tmp_path / f"{name}.csv") for name in ("train", "test")]
-    raw = corpus.load_labelled(spark, paths, mapping_table(spark))
+    raw = corpus.load_labelled(spark, paths, mapping_table(spark), multiline=True)
     assert raw.count() == 600 and raw.where("label IS NULL").count() == 0
-    assert corpus.load_labelled(spark, paths, mapping_table(spark), n_samples=50).count() == 50
+    assert corpus.load_labelled(spark, paths, mapping_table(spark), n_samples=50, multiline=True).count() == 50
     with pytest.raises(ValueError, match="missing from the mapping"):
-        corpus.load_labelled(spark, paths, mapping_table(spark, {"request_refund": "billing"}))
+        corpus.load_labelled(spark, paths, mapping_table(spark, {"request_refund": "billing"}), multiline=True)
     data, model, out = str(tmp_path / "data"), str(tmp_path / "model"), str(tmp_path / "out")
     jobs.prepare_corpus(raw, data)
     assert corpus.read_split(spark, data, "test").count() == 150
@@ -141,7 +141,7 @@ def test_stages_end_to_end(spark, texts, tmp_path):
     jobs.train(spark, data, model, "complementnb")
     jobs.evaluate(spark, data, model, out)
     metrics = spark.read.json(f"{out}/metrics").first()
-    assert metrics["summary"]["accuracy"] > 0.6
+    assert metrics["summary"]["accuracy"] > 0.6 and metrics["macro avg"]["support"] == 150
     assert spark.read.option("header", "true").csv(f"{out}/confusion_matrix").count() == len(set(QUEUES) - {"general"})
     jobs.compare_candidates(spark, data, model, ["majority", "logreg"], out)
     board = spark.read.json(f"{out}/leaderboard").first()
@@ -150,6 +150,12 @@ def test_stages_end_to_end(spark, texts, tmp_path):
     assert 55 <= corpus.read_split(spark, str(tmp_path / "again"), "test").count() <= 65
     summary = jobs.monitor(corpus.read_split(spark, data, "train"), corpus.read_split(spark, data, "test")).first()
     assert (summary["columns_checked"], summary["status"]) == (2, "insufficient_data")
+    assert [(c["column"], c["method"], c["drifted"]) for c in summary["columns"]] == [
+        ("label", "jensen_shannon", None),
+        ("text", "classifier_auc", None),
+    ]
+    named = corpus.read_split(spark, data, "test").withColumn("current_source", F.lit("prediction_log"))
+    assert jobs.monitor(corpus.read_split(spark, data, "train"), named).first()["current_source"] == "prediction_log"
     dim = mapping_table(spark)
     jobs.compare_granularity(spark, data, model, dim, "complementnb", out)
     variants = {r["variant"]: r["f1_macro"] for r in spark.read.json(f"{out}/granularity").collect()}
@@ -166,11 +172,16 @@ def test_stages_end_to_end(spark, texts, tmp_path):
     assert kappa["ann", "bo"] == 1.0 and 0.9 < kappa["ann", "author"] < 1.0
     assert jobs.mapping_sensitivity(spark, data, dim, majority, "complementnb").first()["author"] > 0.5
     (sheets / "cy.csv").write_text("intent,queue\nage_limit,nowhere\n")
-    with pytest.raises(ValueError, match="cy/"):
+    with pytest.raises(ValueError, match="77 problems"):
         jobs.mapping_agreement(spark, str(sheets), dim, list(QUEUES), out)
+    assert spark.read.json(f"{out}/sheet_problems").where("rater = 'cy'").count() == 77
     (tmp_path / "m.csv").write_text("text,label,language_style,author\nwhere is the parcel with my new card,Card_Delivery,English ,x\n")
     scores = jobs.evaluate_messages(spark, str(tmp_path / "m.csv"), model, list(QUEUES), ["english"], 0.9, str(tmp_path / "wrong"))
     assert {r["language_style"]: r["rows"] for r in scores.collect()} == {"english": 1, "overall": 1}
+    margins = str(tmp_path / "margins")
+    jobs.train(spark, data, margins, "linearsvc", max_iter=5)
+    errors = str(tmp_path / "wrong-margins")
+    assert jobs.evaluate_messages(spark, str(tmp_path / "m.csv"), margins, list(QUEUES), ["english"], None, errors).count() == 2
     empty = str(tmp_path / "none.csv")
     spark.createDataFrame([], corpus.MESSAGE_SCHEMA).write.option("header", "true").csv(empty)
     assert jobs.evaluate_messages(spark, empty, model, list(QUEUES), ["english"]).first()["status"] == "no_messages_yet"
@@ -179,3 +190,24 @@ def test_stages_end_to_end(spark, texts, tmp_path):
 def test_official_split_needs_its_column(spark):
     with pytest.raises(ValueError, match="split"):
         corpus.official_split(spark.range(1), "train")
+
+
+def test_folds_are_stratified(spark):
+    rows = spark.range(503).select("id", F.when(F.col("id") < 480, "a").when(F.col("id") < 498, "b").otherwise("c").alias("label"))
+    folds = stratified_folds(rows, "label", "id", 5, 42)
+    counts = {}
+    for r in folds.groupBy("label", "_fold").count().collect():
+        counts.setdefault(r["label"], []).append(r["count"])
+    assert {k: (len(v), max(v) - min(v)) for k, v in counts.items()} == {"a": (5, 0), "b": (5, 1), "c": (5, 0)}
+    again = stratified_folds(rows.repartition(7), "label", "id", 5, 42)
+    assert folds.select("id", "_fold").exceptAll(again.select("id", "_fold")).count() == 0
+
+
+def test_calibration_needs_rows_of_every_class(texts):
+    rare = texts.where("label <> 'billing'").unionByName(texts.where("label = 'billing'").limit(1))
+    with pytest.raises(ValueError, match="billing"):
+        fit_text_model(rare, "linearsvc_calibrated", max_iter=3)
+
+
+def test_text_drift_of_nothing_is_unknown(texts):
+    assert textdrift.text_drift(texts, texts.where("false"), "text", "doc_id") is None

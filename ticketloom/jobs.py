@@ -191,22 +191,35 @@ def mapping_sensitivity(
 
 
 def monitor(reference: DataFrame, current: DataFrame, text: str = "text", label: str = "label") -> DataFrame:
-    """The drift row for current traffic (from ``resolve_current``) against the training split."""
+    """The drift row for current traffic (from ``resolve_current``) against the training split.
+
+    ``columns`` holds every column's score, threshold, method and verdict, and
+    ``current_source`` where the traffic came from (NULL if the frame does not say).
+    """
     labels = drift.js_distance(drift.label_shares(reference, label), drift.label_shares(current, label))
-    n = current.count()
+    named = F.max("current_source") if "current_source" in current.columns else F.lit(None).cast("string")
+    n, source = current.agg(F.count(F.lit(1)), named).first()
     # a text's digest stands in for a row key: equal texts fall on one side of the test
     ref, cur = (
         df.select(F.sha2(text, 256).alias("_key"), F.col(text).alias("text")) for df in (reference, current)
     )
     score = textdrift.text_drift(ref, cur, "text", "_key")
     rows = labels.select(
-        F.lit("label").alias("column"), F.col("distance").alias("score"), F.lit(drift.LABEL_THRESHOLD).alias("threshold"), "rows"
+        F.lit("label").alias("column"),
+        F.col("distance").alias("score"),
+        F.lit(drift.LABEL_THRESHOLD).alias("threshold"),
+        F.lit("jensen_shannon").alias("method"),
+        "rows",
     ).unionByName(
         reference.sparkSession.range(1).select(
             F.lit("text").alias("column"),
             F.lit(score).cast("double").alias("score"),
             F.lit(drift.TEXT_THRESHOLD).alias("threshold"),
+            F.lit("classifier_auc").alias("method"),
             F.lit(n).cast("long").alias("rows"),
         )
     )
-    return drift.drift_summary(rows)
+    verdicts = drift.column_verdicts(rows)
+    listed = verdicts.agg(F.array_sort(F.collect_list(F.struct("column", "score", "threshold", "method", "drifted"))).alias("columns"))
+    summary = drift.drift_summary(rows)
+    return summary.withColumn("columns", listed.scalar()).withColumn("current_source", F.lit(source))

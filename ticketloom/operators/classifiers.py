@@ -11,7 +11,7 @@ from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LinearSVC, LinearSVCModel, LogisticRegression, NaiveBayes
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ticketloom.functions.hashing import uniform
@@ -193,8 +193,17 @@ def _sigmoid_curve(held: DataFrame) -> Curve:
 
 
 def _isotonic_curve(held: DataFrame) -> Curve:
-    """A monotone step-and-line fit, interpolated between its boundaries."""
-    model = IsotonicRegression(featuresCol="_x", labelCol="_is").fit(held.select("_x", "_is"))
+    """A monotone step-and-line fit, interpolated between its boundaries.
+
+    Margins are first gathered on a grid of 1/256, with their number as weight, so the
+    fit and the knots depend on the range of the margins and not on the number of rows.
+    """
+    from pyspark.ml.functions import array_to_vector
+
+    at = F.round(vector_to_array("_x")[0] * 256) / 256
+    grid = held.groupBy(at.alias("_at")).agg(F.avg("_is").alias("_is"), F.count(F.lit(1)).cast("double").alias("_w"))
+    rows = grid.select(array_to_vector(F.array("_at")).alias("_x"), "_is", "_w")
+    model = IsotonicRegression(featuresCol="_x", labelCol="_is", weightCol="_w").fit(rows)
     xs, ys = model.boundaries.toArray(), model.predictions.toArray()
     return Curve("isotonic", [float(v) for v in xs], [float(v) for v in ys])
 
@@ -202,6 +211,24 @@ def _isotonic_curve(held: DataFrame) -> Curve:
 _CURVES = {"sigmoid": _sigmoid_curve, "isotonic": _isotonic_curve}
 
 
+def stratified_folds(df: DataFrame, label: str, key: str, folds: int, seed: int, buckets: int = 1024) -> DataFrame:
+    """``_fold``: rows of a label numbered in the order of a seeded number, modulo ``folds``.
+
+    Rows are numbered within buckets of that number, and a bucket's first number comes
+    from the bucket counts, so no label meets in one task.
+    """
+    rows = df.withColumn("_u", uniform(seed, key)).withColumn("_b", F.floor(F.col("_u") * buckets))
+    before = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    firsts = counts.select(
+        F.col(label).alias("_l"), F.col("_b").alias("_c"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first")
+    )
+    place = F.row_number().over(Window.partitionBy(label, "_b").orderBy("_u", key)) - 1
+    joined = rows.withColumn("_place", place).join(firsts, F.col(label).eqNullSafe(F.col("_l")) & (F.col("_b") == F.col("_c")))
+    fold = ((F.col("_first") + F.col("_place")) % folds).cast("int")
+    return joined.withColumn("_fold", fold).drop("_u", "_b", "_l", "_c", "_first", "_place")
+
+
 def _fit_calibrated(
     df: DataFrame, classes: list[str], key: str, c: float, n: int, max_iter: int, method: str, folds: int, seed: int
 ) -> CalibratedHead:
@@ -209,7 +236,12 @@ def _fit_calibrated(
 
     if method not in _CURVES:
         raise ValueError(f"unknown calibration {method!r}; expected one of {tuple(_CURVES)}")
-    data = df.withColumn("_fold", F.floor(uniform(seed, key) * folds).cast("int")).persist(StorageLevel.MEMORY_AND_DISK)
+    data = stratified_folds(df, "_label", key, folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = {r["_label"]: r["count"] for r in data.groupBy("_label").count().collect()}
+    few = [name for k, name in enumerate(classes) if sizes.get(float(k), 0) < folds]
+    if few or len(classes) < 2:
+        data.unpersist()
+        raise ValueError(f"calibration in {folds} folds needs two classes and {folds} rows of each; too few: {few}")
     targets = [1] if len(classes) == 2 else list(range(len(classes)))
 
     def member(fold: int) -> tuple[list[LinearSVCModel], list[Curve]]:

@@ -129,26 +129,34 @@ def _(spark, sf):
     return calibration.expected_calibration_error(bins).select(r6("ece").alias("ece"))
 
 
-@query("a10_bootstrap_interval")
-def _(spark, sf):
-    return resampling.bootstrap_f1_ci(pred(spark, sf), "y", "a")
-
-
 POISSON = " + ".join(f"CASE WHEN u >= {s}::DOUBLE THEN 1 ELSE 0 END" for s in resampling.poisson_steps())
 
 
-@query(
-    "a10_bootstrap_weighted",
-    f"""WITH {PRED}, draws AS (SELECT r AS replicate, y AS truth, a AS predicted,
+REPLICATES = f"""draws AS (SELECT r AS replicate, y AS truth, a AS predicted,
       CAST('0x' || substr(md5('42|' || (r // 4) || '|' || id), 1 + 8 * CAST(r % 4 AS INT), 8) AS BIGINT) / 4294967296.0::DOUBLE AS u
     FROM pred, (SELECT unnest(range(50)) AS r)),
     cells AS (SELECT replicate, truth, predicted, sum({POISSON}) AS n FROM draws GROUP BY ALL),
-    {per_class_sql(by='replicate')}
-    SELECT replicate, round(avg(f1_), 6) AS f1_macro FROM per_class GROUP BY replicate""",
+    {per_class_sql(by='replicate')},
+    replicates AS (SELECT replicate, avg(f1_) AS f1_macro FROM per_class GROUP BY replicate)"""
+
+
+def _replicates(spark, sf):
+    return resampling.bootstrap_f1_weighted(balanced(pred(spark, sf).select("id", "y", "a")), "y", "a", "id")
+
+
+@query("a10_bootstrap_weighted", f"WITH {PRED}, {REPLICATES} SELECT replicate, round(f1_macro, 6) AS f1_macro FROM replicates")
+def _(spark, sf):
+    return _replicates(spark, sf).select(F.col("replicate").cast("long").alias("replicate"), r6("f1_macro").alias("f1_macro"))
+
+
+@query(
+    "a10_bootstrap_interval",
+    f"""WITH {PRED}, {REPLICATES} SELECT round(quantile_cont(f1_macro, 0.025), 4) AS ci_low,
+    round(quantile_cont(f1_macro, 0.975), 4) AS ci_high FROM replicates""",
 )
 def _(spark, sf):
-    scores = resampling.bootstrap_f1_weighted(balanced(pred(spark, sf).select("id", "y", "a")), "y", "a", "id")
-    return scores.select(F.col("replicate").cast("long").alias("replicate"), r6("f1_macro").alias("f1_macro"))
+    """The interval of the replicates whose draws SQL can repeat."""
+    return resampling.percentile_interval(_replicates(spark, sf))
 
 
 def p_sql(b: str, c: str) -> str:

@@ -21,17 +21,17 @@ CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
 def read_csv(spark: SparkSession, paths: str | list[str], schema: str, multiline: bool = False) -> DataFrame:
     """The columns of ``schema`` by the names in the files' headers, whatever their order.
 
-    Files are read in splits unless ``multiline``. A file that lacks a column fails, as
+    Files are read in splits unless ``multiline``; files without a line have no rows. A file that lacks a column fails, as
     does a set of files with different headers: they are not of one kind.
     """
     wanted = T.StructType.fromDDL(schema)
     options = {**CSV_OPTIONS, "multiLine": str(multiline).lower(), "enforceSchema": "false", "mode": "FAILFAST"}
     header = spark.read.options(**{**options, "mode": "PERMISSIVE"}).csv(paths).columns
-    missing = [f.name for f in wanted if f.name not in header]
+    missing = [f.name for f in wanted if f.name not in header] if header else []
     if missing:
         raise ValueError(f"missing columns {missing}")
     kinds = {f.name: f for f in wanted}
-    full = T.StructType([kinds.get(c, T.StructField(c, T.StringType())) for c in header])
+    full = T.StructType([kinds.get(c, T.StructField(c, T.StringType())) for c in header]) if header else wanted
     return spark.read.schema(full).options(**options).csv(paths)
 
 
