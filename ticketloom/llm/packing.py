@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,6 +19,8 @@ Encoder = Callable[[bytes], np.ndarray]
 
 #: Ids in a row of a matrix, and ids that a task holds before it packs them.
 LENGTH, HELD = 2048, 1 << 20
+#: Rows of a batch that are taken out of it at a time.
+ROWS = 500
 
 PACK_SCHEMA = (
     "shard int, pack long, n_tokens long, n_segments int, doc_ids array<long>, doc_offsets array<long>, "
@@ -25,11 +28,20 @@ PACK_SCHEMA = (
 )
 
 
+_TOOLS: dict[str, tiktoken.Encoding] = {}
+
+
 def ranked_encoder(ranks: dict[bytes, int], pattern: str) -> Callable[[], Encoder]:
     """What makes an encoder of a byte-level vocabulary in a task; special strings are ordinary text."""
 
+    name = hashlib.sha256(repr((pattern, sorted(ranks.items()))).encode()).hexdigest()
+
     def make() -> Encoder:
-        tool = tiktoken.Encoding("ranked", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        # one tool for all tasks of a Python worker
+        if name not in _TOOLS:
+            _TOOLS.clear()
+            _TOOLS[name] = tiktoken.Encoding("ranked", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        tool = _TOOLS[name]
         return lambda text: np.array(tool.encode_ordinary(text.decode()), np.uint32)
 
     return make
@@ -165,12 +177,14 @@ def pack(
             yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
 
         for batch in batches:
-            for doc, raw in zip(batch.column(0).to_pylist(), texts_of(batch, batch.schema.names[1]), strict=True):
-                for offset, part in pieces(encode(raw).astype(kind), length):
-                    waiting.append((doc, offset, part))
-                    total += len(part)
-                    if total >= held:
-                        yield from flush()
+            for start in range(0, batch.num_rows, ROWS):
+                rows = batch.slice(start, ROWS)
+                for doc, raw in zip(rows.column(0).to_pylist(), texts_of(rows, rows.schema.names[1]), strict=True):
+                    for offset, part in pieces(encode(raw).astype(kind), length):
+                        waiting.append((doc, offset, part))
+                        total += len(part)
+                        if total >= held:
+                            yield from flush()
         yield from flush()
 
     return docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(run, PACK_SCHEMA)
