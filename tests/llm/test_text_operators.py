@@ -129,6 +129,69 @@ def test_rules_keep_prose_and_drop_symbols(spark):
     assert found[102]["base_failed"] and not found[102]["kept"]
 
 
+def brute_judge(rows):
+    """(doc_id, text, lang) -> (char_distance, word_distance, kept), counted sign by sign."""
+    listed = sorted({w for words in divergence.COMMON_WORDS.values() for w in words.split()})
+
+    def kind(c):
+        if ord(c) >= 128:
+            return "beyond"
+        if c == "\n":
+            return "line"
+        if c.isalpha():
+            return "lower" if c.islower() else "upper"
+        for name, test in (("digit", c.isdigit()), ("space", c.isspace()), ("stop", c in ".,;:!?'\"-()"), ("symbol", c in "#*$%&|<>")):
+            if test:
+                return name
+        return "other"
+
+    def share(counts, names):
+        total = sum(counts[n] for n in names)
+        return [counts[n] / total if total else 0.0 for n in names]
+
+    def distance(p, q):
+        m = [(a + b) / 2 for a, b in zip(p, q, strict=True)]
+        return math.sqrt(max(0.0, sum(a * math.log2(a / c) for x in (p, q) for a, c in zip(x, m, strict=True) if a) / 2))
+
+    made = {}
+    for doc, text, lang in rows:
+        words = WORDS.findall(text or "")
+        common = Counter(re.sub(r"^[.,;:!?\"'()\[\]]+|[.,;:!?\"'()\[\]]+$", "", "".join(c.lower() if c.isascii() else c for c in w)) for w in words)
+        chars = share(Counter(map(kind, text or "")), divergence.CLASSES)
+        found = brute_counts(text or "")
+        failed = found[0] < 50 or 100 * found[4] > 50 * found[0]
+        made[doc] = (chars, share(common, listed), found, failed, lang)
+    sums = {}
+    for chars, words, _, failed, lang in made.values():
+        if not failed and lang is not None:
+            sums.setdefault(lang, []).append(chars + words)
+    known = {}
+    for lang, parts in sums.items():
+        total = [sum(x) for x in zip(*parts, strict=True)]
+        n = len(divergence.CLASSES)
+        known[lang] = [[v / sum(part) for v in part] for part in (total[:n], total[n:])]
+    out = {}
+    for doc, (chars, words, found, failed, _) in made.items():
+        measured = [(distance(chars, c), distance(words, w) if any(words) else 1.0) for _, (c, w) in sorted(known.items())] if any(chars) else []
+        near = min(measured, key=lambda m: m[0] ** 2 + m[1] ** 2) if measured else (None, None)
+        judged = near[0] is not None and found[0] >= 50 and found[1] >= 200
+        far = judged and (near[0] > divergence.FAR_CHARS or (found[0] >= 100 and near[1] > divergence.FAR_WORDS))
+        out[doc] = (*near, not failed and not far)
+    return out
+
+
+def test_rules_query_matches_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in table(spark, sf, "documents").select("doc_id", "text", "lang").collect()]
+    expected = brute_judge(rows)
+    found = queries.op2(spark, sf).collect()
+    assert len(found) == len(expected) and len({r["kept"] for r in found}) == 2
+    for r in found:
+        char, word, kept = expected[r["doc_id"]]
+        assert r["char_distance"] == pytest.approx(char, abs=1e-9) and r["word_distance"] == pytest.approx(word, abs=1e-9)
+        assert r["kept"] == kept
+
+
 def test_rules_odd_rows(spark, odd, nothing):
     rows = divergence.judge(odd, Stash(spark)).toPandas()
     assert len(rows) == 11 and rows[rows.n_words < 50].base_failed.all()
