@@ -146,6 +146,12 @@ def test_stages_end_to_end(spark, texts, tmp_path):
     jobs.compare_candidates(spark, data, model, ["majority", "logreg"], out)
     board = spark.read.json(f"{out}/leaderboard").first()
     assert board["best_alternative"] == "logreg" and 0 <= board["mcnemar_p"] <= 1
+    jobs.train(spark, data, str(tmp_path / "other"), "logreg")
+    latencies = spark.range(100).select((F.col("id") / 100).alias("value"))
+    ruled = jobs.compare_models(spark, data, model, str(tmp_path / "other"), latencies, out).first()
+    assert ruled["latency_ok"] and ruled["p95"] == pytest.approx(0.9405) and 0 <= ruled["p_value"] <= 1
+    assert ruled["switch"] == (ruled["f1_ok"] and ruled["p_ok"] and ruled["ece_ok"])
+    assert spark.read.option("header", "true").csv(f"{out}/reliability/challenger").count() > 0
     jobs.prepare_corpus(raw, str(tmp_path / "again"), split="random", test_size=0.1)
     assert 55 <= corpus.read_split(spark, str(tmp_path / "again"), "test").count() <= 65
     summary = jobs.monitor(corpus.read_split(spark, data, "train"), corpus.read_split(spark, data, "test")).first()

@@ -6,8 +6,9 @@ from pathlib import Path
 from conftest import rows
 from pyspark.sql import functions as F
 
+from ticketloom import jobs
 from ticketloom.operators import alerts
-from ticketloom.operators.classifiers import fit_text_model
+from ticketloom.operators.classifiers import fit_text_model, save_model
 from ticketloom.operators.synthetic import synthetic_corpus
 from ticketloom.session import fresh_path
 from ticketloom.streaming import monitoring
@@ -103,3 +104,26 @@ def test_score_route_quarantine_and_log(spark):
     assert abs(sum(batch["all_scores"].values()) - 1) < 1e-9 and set(batch["all_scores"]) == set(model.head.classes)
     raw = log_records(score_and_route(messages, model), redacted=False)
     assert raw.where(F.contains("text", F.lit("a@b.co"))).count() == 1
+
+
+def test_stream_jobs_serve_log_and_watch(spark, tmp_path):
+    texts = synthetic_corpus(spark.range(200), "id")
+    model, out = str(tmp_path / "model"), str(tmp_path / "served")
+    save_model(fit_text_model(texts, "complementnb", key="id"), model)
+    rows_in = texts.select("id", F.when(F.col("id") % 50 == 0, " ").otherwise(F.col("text")).alias("text"))
+    rows_in = rows_in.withColumn("ts", F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 60))
+    jobs.serve(source(spark, rows_in), model, out).awaitTermination()
+    served = spark.read.parquet(out)
+    counts = {r["status"]: r["count"] for r in served.groupBy("status").count().collect()}
+    assert counts == {"accepted": 196, "quarantined": 4}
+    assert served.where("status = 'quarantined'").first()["reason"] == "blank"
+    jobs.keep_log(spark, out, str(tmp_path / "log")).awaitTermination()
+    assert spark.read.json(str(tmp_path / "log")).count() == 196
+    accepted = spark.readStream.schema(served.schema).parquet(out).where("status = 'accepted'").select("ts", "label")
+    accepted = accepted.unionByName(monitoring.end_marker(served.select("ts", "label"), "ts"))
+    watched = str(tmp_path / "watched")
+    for query in jobs.watch(accepted, "ReviewRateHigh", F.col("label") == "needs_review", 0.0, "10 minutes", "1 hour", "5 minutes", watched):
+        query.awaitTermination()
+    rates = spark.read.parquet(f"{watched}/rates")
+    batch = alerts.window_rate(served.where("status = 'accepted'"), "ts", F.col("label") == "needs_review", "1 hour", "5 minutes")
+    assert rates.count() == batch.count() == spark.read.parquet(f"{watched}/alerts").count()

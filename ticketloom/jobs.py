@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ticketloom.functions.text import clean_text
-from ticketloom.operators import calibration, drift, evaluation, paired, raters, resampling, textdrift
+from ticketloom.operators import calibration, drift, evaluation, paired, percentiles, raters, resampling, textdrift
 from ticketloom.operators.classifiers import fit_candidates, fit_text_model, load_model, save_model
 from ticketloom.operators.mapping import fold, relabel, sibling_share
 from ticketloom.operators.sampling import stratified_split
 from ticketloom.operators.validation import normalise, prepare, require_choice, require_columns, require_valid, row_problems
 from ticketloom.session import settle
 from ticketloom.sources import corpus, reports
+from ticketloom.streaming import monitoring
+from ticketloom.streaming.runner import start
+from ticketloom.streaming.scoring import log_records, score_and_route
 
 SPLITS = ("official", "random")
 
@@ -147,6 +151,70 @@ def compare_granularity(spark: SparkSession, data: str, model_path: str, mapping
     reports.write_json(test.withColumn("sibling_share", siblings.select("sibling_share").scalar()), f"{out}/granularity_test")
 
 
+def compare_models(
+    spark: SparkSession, data: str, incumbent: str, challenger: str, latencies: DataFrame, out: str, p95_limit: float = 5.0
+) -> DataFrame:
+    """Two saved models on the same test rows: scores, reliability, intervals, the paired test and the decision.
+
+    ``latencies`` has the challenger's response times in ``value``. Both models score the
+    rows once; everything else reads the predictions that were written.
+    """
+    scored = corpus.read_split(spark, data, "test")
+    for name, path in (("challenger", challenger), ("incumbent", incumbent)):
+        scored = load_model(spark, path).predict(scored).drop("scores")
+        scored = scored.withColumnsRenamed({"predicted_label": name, "confidence": f"confidence_{name}"})
+    scored.drop("text").write.mode("overwrite").parquet(f"{out}/paired_predictions")
+    rows = spark.read.parquet(f"{out}/paired_predictions")
+    found = {}
+    for name in ("challenger", "incumbent"):
+        right = F.col(name) == F.col("label")
+        found[f"f1_{name}"] = evaluation.score(rows, "label", name).first()["f1_macro"]
+        bins = calibration.reliability_table(rows, F.col(f"confidence_{name}"), right)
+        reports.write_table(bins, f"{out}/reliability/{name}")
+        found[f"ece_{name}"] = calibration.expected_calibration_error(bins).first()["ece"]
+        reports.write_document(resampling.bootstrap_f1_ci(rows, "label", name), f"{out}/intervals/{name}")
+    test = paired.mcnemar(rows, F.col("challenger") == F.col("label"), F.col("incumbent") == F.col("label"))
+    p95 = percentiles.latency_summary(latencies, "value", (0.95,)).first()["p95"]
+    comparison = test.select(*[F.lit(v).cast("double").alias(n) for n, v in found.items()], "p_value", F.lit(p95).cast("double").alias("p95"))
+    ruled = paired.decision(comparison, p95_limit=p95_limit)
+    reports.write_document(ruled, f"{out}/decision")
+    return spark.read.schema(ruled.schema).json(f"{out}/decision")
+
+
+def serve(messages: DataFrame, model_path: str, out: str, available_now: bool = True) -> StreamingQuery:
+    """Score and route a stream of (ts, text, ...) into ``out``, scored once.
+
+    The sink has a folder for accepted and one for quarantined messages (``status``); the
+    latter keep their redacted text and the reason.
+    """
+    model = load_model(messages.sparkSession, model_path)
+    return start(score_and_route(messages, model), out, f"{out}-checkpoint", partition_by=("status",), available_now=available_now)
+
+
+def keep_log(spark: SparkSession, served: str, out: str, available_now: bool = True) -> StreamingQuery:
+    """The redacted log, by day, from what ``serve`` has written."""
+    schema = spark.read.parquet(served).schema
+    rows = log_records(spark.readStream.schema(schema).parquet(served))
+    return start(rows, out, f"{out}-checkpoint", "json", ("dt",), available_now)
+
+
+def watch(
+    stream: DataFrame, name: str, flagged: Column, limit: float, hold: str, length: str, slide: str, out: str, available_now: bool = True
+) -> list[StreamingQuery]:
+    """The rate of flagged rows per window and the alert held over it, as two chained streams.
+
+    ``stream`` has ``ts``. Closed windows go to ``out``/rates, evaluations to ``out``/alerts.
+    """
+    spark = stream.sparkSession
+    rates = monitoring.windowed_rate(monitoring.event_time(stream), "ts", flagged, length, slide if slide != length else None)
+    first = start(rates, f"{out}/rates", f"{out}/rates-checkpoint", available_now=available_now)
+    if available_now:
+        first.awaitTermination()
+    closed = spark.readStream.schema(rates.schema).parquet(f"{out}/rates").select(F.lit(name).alias("alert"), "window_end", "rate")
+    held = monitoring.held_alert_stream(closed, limit, hold, slide)
+    return [first, start(held, f"{out}/alerts", f"{out}/alerts-checkpoint", available_now=available_now)]
+
+
 def mapping_agreement(spark: SparkSession, sheets: str, mapping: DataFrame, queues: list[str], out: str) -> DataFrame:
     """Agreement of the raters' sheets with the author's mapping; returns the majority mapping.
 

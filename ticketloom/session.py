@@ -45,9 +45,27 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_GIVEN_OUT: dict[str, list[str]] = {}
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path nobody has written to yet, below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path nobody has written to yet, below the shared folder; the session owns it until ``clear``."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _GIVEN_OUT.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear(spark: SparkSession) -> int:
+    """Delete the intermediate tables this application has written, and say how many paths it had.
+
+    For the end of a job, when no DataFrame that reads one of them is used any more.
+    """
+    paths = _GIVEN_OUT.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        for found in (path, f"{path}-checkpoint"):
+            where = spark._jvm.org.apache.hadoop.fs.Path(found)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return len(paths)
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
