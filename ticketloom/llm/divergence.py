@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -155,22 +155,39 @@ def references(counts: DataFrame, lang: str = "lang") -> dict[str, tuple[np.ndar
     language are in none.
     """
     rows = counts.where(~base_failed() & F.col(lang).isNotNull())
+    rows = rows.select(F.col(lang).cast("string").alias("lang"), "char_counts", "word_counts")
 
-    def shares(column: str, size: int) -> list[Column]:
-        total = F.aggregate(column, F.lit(0).cast("long"), lambda a, x: a + x)
-        return [
-            F.sum(F.when(total > 0, F.get(column, F.lit(i)) / total).otherwise(F.lit(0.0))).alias(f"{column}_{i}")
-            for i in range(size)
-        ]
-
-    summed = rows.groupBy(lang).agg(*shares("char_counts", _SIZE), *shares("word_counts", len(_WORDS)))
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The sum of the documents' shares for each language of a batch: one row for each."""
+        for batch in batches:
+            names, owner = np.unique(np.array(batch.column("lang").to_pylist(), dtype=object), return_inverse=True)
+            shares = np.concatenate([_shares(batch.column("char_counts"), _SIZE), _shares(batch.column("word_counts"), len(_WORDS))], axis=1)
+            sums = np.zeros((len(names), shares.shape[1]))
+            np.add.at(sums, owner, shares)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names.tolist(), pa.string()), pa.array(list(sums), pa.list_(pa.float64()))], names=["lang", "sums"]
+            )
+
+    summed = rows.mapInArrow(partial, "lang string, sums array<double>").select("lang", F.posexplode("sums").alias("bin", "part"))
+    total: dict[str, np.ndarray] = {}
+    for row in summed.groupBy("lang", "bin").agg(F.sum("part").alias("total")).collect():
+        total.setdefault(row["lang"], np.zeros(_SIZE + len(_WORDS)))[row["bin"]] = row["total"]
     found = {}
-    for row in summed.collect():
-        chars = np.array([row[f"char_counts_{i}"] for i in range(_SIZE)], np.float64)
-        words = np.array([row[f"word_counts_{i}"] for i in range(len(_WORDS))], np.float64)
+    for name, sums in sorted(total.items()):
+        chars, words = sums[:_SIZE], sums[_SIZE:]
         if chars.sum() > 0:
-            found[row[lang]] = (chars / chars.sum(), words / words.sum() if words.sum() > 0 else words)
-    return dict(sorted(found.items()))
+            found[name] = (chars / chars.sum(), words / words.sum() if words.sum() > 0 else words)
+    return found
+
+
+def _counts(column: pa.Array, size: int) -> np.ndarray:
+    return column.flatten().to_numpy().astype(np.float64).reshape(-1, size)
+
+
+def _shares(column: pa.Array, size: int) -> np.ndarray:
+    """Each document's counts over their sum; zeros where there is none."""
+    counts = _counts(column, size)
+    return counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
 
 
 def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -197,10 +214,9 @@ def measure(counts: DataFrame, known: dict[str, tuple[np.ndarray, np.ndarray]])
     """``counts`` with the nearest reference and the distances from it; null without a reference or counts."""
     names = list(known)
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            chars = batch.column("char_counts").flatten().to_numpy().astype(np.float64).reshape(-1, _SIZE)
-            words = batch.column("word_counts").flatten().to_numpy().astype(np.float64).reshape(-1, len(_WORDS))
+            chars, words = _counts(batch.column("char_counts"), _SIZE), _counts(batch.column("word_counts"), len(_WORDS))
             rows = len(chars)
             made: list[list] = [[None] * rows for _ in range(3)]
             if names:
