@@ -165,17 +165,18 @@ def compare_models(
         scored = scored.withColumnsRenamed({"predicted_label": name, "confidence": f"confidence_{name}"})
     scored.drop("text").write.mode("overwrite").parquet(f"{out}/paired_predictions")
     rows = spark.read.parquet(f"{out}/paired_predictions")
-    found = {}
-    for name in ("challenger", "incumbent"):
-        right = F.col(name) == F.col("label")
-        found[f"f1_{name}"] = evaluation.score(rows, "label", name).first()["f1_macro"]
-        bins = calibration.reliability_table(rows, F.col(f"confidence_{name}"), right)
-        reports.write_table(bins, f"{out}/reliability/{name}")
-        found[f"ece_{name}"] = calibration.expected_calibration_error(bins).first()["ece"]
-        reports.write_document(resampling.bootstrap_f1_ci(rows, "label", name), f"{out}/intervals/{name}")
-    test = paired.mcnemar(rows, F.col("challenger") == F.col("label"), F.col("incumbent") == F.col("label"))
+    profile = paired.paired_profile(rows, "label", "challenger", "incumbent", "confidence_challenger", "confidence_incumbent")
+    profile = settle(profile, "paired-profile")
+    sides = {"a": "challenger", "b": "incumbent"}
+    for side, name in sides.items():
+        reports.write_table(paired.profile_reliability(profile, side), f"{out}/reliability/{name}")
+        cells = profile.groupBy("truth", F.col(side).alias("predicted")).agg(F.sum("n").alias("n"))
+        interval = resampling.percentile_interval(resampling.bootstrap_f1(cells))
+        reports.write_document(interval, f"{out}/intervals/{name}")
+    scores = paired.profile_scores(profile)
     p95 = percentiles.latency_summary(latencies, "value", (0.95,)).first()["p95"]
-    comparison = test.select(*[F.lit(v).cast("double").alias(n) for n, v in found.items()], "p_value", F.lit(p95).cast("double").alias("p95"))
+    named = [F.col(f"{m}_{side}").alias(f"{m}_{name}") for m in ("f1", "ece") for side, name in sides.items()]
+    comparison = scores.select(*named, "p_value", F.lit(p95).cast("double").alias("p95"))
     ruled = paired.decision(comparison, p95_limit=p95_limit)
     reports.write_document(ruled, f"{out}/decision")
     return spark.read.schema(ruled.schema).json(f"{out}/decision")

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom.functions.statistics import mcnemar_exact
+from ticketloom.operators.calibration import N_BINS, expected_calibration_error
+from ticketloom.operators.evaluation import class_scores, summary_scores
 
 
 def pair_predictions(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
@@ -39,6 +41,53 @@ def mcnemar(df: DataFrame, a_right: Column, b_right: Column) -> DataFrame:
     return counts.withColumn("p_value", mcnemar_exact(F.col("only_a"), F.col("only_b")))
 
 
+def paired_profile(
+    df: DataFrame, truth: str, a: str, b: str, confidence_a: str, confidence_b: str, n_bins: int = N_BINS
+) -> DataFrame:
+    """(truth, a, b, bin_a, bin_b, n, sum_a, sum_b): all that a comparison needs, in one pass over the rows.
+
+    K * K * K groups and the bins, whatever the number of rows; kept as a table, scores,
+    reliability and the paired test are read from it.
+    """
+
+    def place(confidence: str) -> Column:
+        return F.least(F.floor(F.col(confidence) * F.lit(float(n_bins))), F.lit(n_bins - 1).cast("long"))
+
+    return df.groupBy(
+        F.col(truth).alias("truth"),
+        F.col(a).alias("a"),
+        F.col(b).alias("b"),
+        place(confidence_a).alias("bin_a"),
+        place(confidence_b).alias("bin_b"),
+    ).agg(F.count(F.lit(1)).alias("n"), F.sum(confidence_a).alias("sum_a"), F.sum(confidence_b).alias("sum_b"))
+
+
+def profile_reliability(profile: DataFrame, side: str) -> DataFrame:
+    """(bin, n, mean_confidence, accuracy) of side ``a`` or ``b``."""
+    right = F.sum(F.when(F.col("truth") == F.col(side), F.col("n")).otherwise(F.lit(0)))
+    n = F.sum("n")
+    return profile.groupBy(F.col(f"bin_{side}").alias("bin")).agg(
+        n.alias("n"), (F.sum(f"sum_{side}") / n).alias("mean_confidence"), (right / n).alias("accuracy")
+    )
+
+
+def profile_scores(profile: DataFrame) -> DataFrame:
+    """One row: f1_a, f1_b, ece_a, ece_b, only_a, only_b, p_value."""
+    a_right, b_right = F.col("truth") == F.col("a"), F.col("truth") == F.col("b")
+
+    def total(test: Column) -> Column:
+        return F.coalesce(F.sum(F.when(test, F.col("n"))), F.lit(0)).cast("long")
+
+    row = profile.agg(total(a_right & ~b_right).alias("only_a"), total(~a_right & b_right).alias("only_b"))
+    row = row.withColumn("p_value", mcnemar_exact(F.col("only_a"), F.col("only_b")))
+    for side in ("a", "b"):
+        cells = profile.groupBy("truth", F.col(side).alias("predicted")).agg(F.sum("n").alias("n"))
+        f1 = summary_scores(class_scores(cells)).select("f1_macro").scalar()
+        ece = expected_calibration_error(profile_reliability(profile, side)).scalar()
+        row = row.withColumn(f"f1_{side}", f1).withColumn(f"ece_{side}", ece)
+    return row
+
+
 def decision(
     comparison: DataFrame,
     min_gain: float = 0.01,

@@ -11,6 +11,7 @@ from ticketloom.operators import calibration, evaluation, mapping, paired, resam
 from ticketloom.operators.percentiles import latency_summary
 from ticketloom.plans.registry import query
 from ticketloom.plans.views import CLASSES, DIM, FINE, PRED, balanced, fine, intent_dim, pred, r6, table, u_sql
+from ticketloom.session import settle
 
 
 def right():
@@ -547,18 +548,14 @@ def _(spark, sf):
     (fa - fb >= 0.01) AND p < 0.05 AND ea <= eb + 0.02 AND p95 <= 100.0 AS switch FROM c""",
 )
 def _(spark, sf):
-    rows = pred(spark, sf)
-    b_right = F.col("b") == F.col("y")
-    test = paired.mcnemar(rows, right(), b_right).select("p_value")
-    f1 = {m: evaluation.score(rows, "y", m).select("f1_macro").scalar() for m in ("a", "b")}
-    ece_a = calibration.expected_calibration_error(calibration.reliability_table(rows, F.col("confidence"), right()))
-    ece_b = calibration.expected_calibration_error(calibration.reliability_table(rows, F.col("confidence_b"), b_right))
+    profile = paired.paired_profile(pred(spark, sf), "y", "a", "b", "confidence", "confidence_b")
+    scores = paired.profile_scores(settle(profile, "paired-profile"))
     p95 = latency_summary(table(spark, sf, "events"), "value", (0.95,)).first()["p95"]
-    comparison = test.select(
-        f1["a"].alias("f1_challenger"),
-        f1["b"].alias("f1_incumbent"),
-        ece_a.scalar().alias("ece_challenger"),
-        ece_b.scalar().alias("ece_incumbent"),
+    comparison = scores.select(
+        F.col("f1_a").alias("f1_challenger"),
+        F.col("f1_b").alias("f1_incumbent"),
+        F.col("ece_a").alias("ece_challenger"),
+        F.col("ece_b").alias("ece_incumbent"),
         "p_value",
         F.lit(p95).alias("p95"),
     )
