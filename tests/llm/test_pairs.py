@@ -76,8 +76,9 @@ def planted(seed, families=12, members=14):
     return texts
 
 
-@pytest.mark.parametrize(("words", "alike"), [(4, 85), (5, 80)])
-def test_planted_families_match_all_pairs(spark, words, alike):
+@pytest.mark.parametrize(("words", "alike", "least"), [(4, 85, 16), (5, 80, 2)])
+def test_planted_families_match_all_pairs(spark, monkeypatch, words, alike, least):
+    monkeypatch.setattr(jaccard, "COMMON_LEAST", least)
     texts = planted(words)
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(7)
     found = jaccard.jaccard_components(docs, words, alike).collect()
@@ -109,6 +110,9 @@ def test_alike_sets_share_a_signature(alike):
         if shared < size and len(b) and 100 * shared >= alike * (len(a) + len(b) - shared):
             pairs += 1
             assert len(np.intersect1d(jaccard.signatures(a, alike), jaccard.signatures(b, alike)))
+            # whichever tokens count as common
+            common = np.sort(draw.choice(numbers, int(draw.integers(1, len(numbers) + 1)), replace=False))
+            assert len(np.intersect1d(jaccard.signatures(a, alike, common), jaccard.signatures(b, alike, common)))
     assert pairs > 300
 
 

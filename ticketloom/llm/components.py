@@ -31,28 +31,33 @@ class Stash:
 def connected_components(edges: DataFrame, stash: Stash) -> DataFrame:
     """(a, b) -> (node, root): the least node that can be reached, for every node of an edge.
 
-    Each round takes the least label of the neighbours and then the label's own label,
-    so that long chains halve; the rounds end when nothing changes. Only the number of
-    changes comes to the driver. An empty edge table gives an empty result.
+    Each round gives every node its least neighbour as parent, and then the parent's
+    parent; edges between nodes of one parent are gone, and the others are drawn between
+    the parents. So the edges shrink from round to round, whatever the size of a star or
+    the length of a chain; a round with no edge left is the last. Only that comes to the
+    driver. An empty edge table gives an empty result.
     """
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = stash.put(both.where("a <> b").distinct(), "edges")
-    labels = stash.put(
-        both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "labels"
-    )
+    labels: DataFrame | None = None
     while True:
-        near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("root").alias("near"))
-        told = labels.join(near, labels["node"] == near["a"]).select(
-            "node", F.col("root").alias("old"), F.least("root", "near").alias("root")
-        )
-        jumps = labels.select(F.col("node").alias("at"), F.col("root").alias("further"))
-        moved = told.join(jumps, told["root"] == jumps["at"]).select(
-            "node", F.least("root", "further").alias("root"), (F.least("root", "further") < F.col("old")).alias("moved")
-        )
-        moved = stash.put(moved, "labels")
-        changed = moved.where("moved").limit(1).count()
-        stash.drop(labels)
-        labels = moved
-        if not changed:
-            stash.drop(both)
-            return labels.select("node", "root")
+        near = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("parent"))
+        near = stash.put(near.select(F.col("a").alias("child"), "parent"), "parents")
+        further = near.select(F.col("child").alias("at"), F.col("parent").alias("above"))
+        top = near.join(further, near["parent"] == further["at"]).select("child", F.col("above").alias("parent"))
+        top = stash.put(top, "parents")
+        stash.drop(near)
+        if labels is None:
+            labels = top.select(F.col("child").alias("node"), F.col("parent").alias("root"))
+        else:
+            old = labels
+            moved = old.join(top, old["root"] == top["child"], "left")
+            labels = stash.put(moved.select("node", F.coalesce("parent", "root").alias("root")), "labels")
+        left = both.join(top.withColumnRenamed("parent", "pa"), F.col("a") == F.col("child")).drop("child")
+        left = left.join(top.withColumnRenamed("parent", "pb"), F.col("b") == F.col("child"))
+        left = left.where("pa <> pb").select(F.col("pa").alias("a"), F.col("pb").alias("b")).distinct()
+        left = stash.put(left, "edges")
+        stash.drop(both)
+        both = left
+        if both.isEmpty():
+            return labels

@@ -18,6 +18,11 @@ from ticketloom.llm.components import Stash, connected_components
 WORDS, ALIKE = 4, 85
 #: Largest sum of set sizes that is compared in one place; larger groups are dealt as pairs of blocks.
 BLOCK = 1 << 20
+#: A token is common that at least one text of so many has (and COMMON_LEAST texts at all). That bounds
+#: their number whatever the number of texts: a text has S tokens on average, so at most S * COMMON are common.
+COMMON, COMMON_LEAST = 2000, 16
+#: Tokens that a task holds before it counts them.
+COUNTED = 1 << 22
 #: Document numbers that may be broadcast (16 MB); more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -77,53 +82,107 @@ def bands(alike: int = ALIKE, top: int = 1 << 40) -> tuple[tuple[int, int], ...]
     return tuple(found)
 
 
-def _emit(tokens: np.ndarray, parts: int, apart: int, salt: np.uint64, depth: int, out: list[np.ndarray]) -> None:
+def _emit(
+    tokens: np.ndarray, common: np.ndarray, parts: int, apart: int, salt: np.uint64, depth: int, out: list[np.ndarray]
+) -> None:
     """Signatures of the parts of a set, enough of them that an alike set must share one.
 
-    Tokens fall into parts by a hash. Two alike sets differ in ``apart`` tokens at
-    most, so of the first M parts at least M - apart are equal, and if fewer than
-    that are empty in this set, one that is not empty is equal. M is the least
-    number that is enough. If even all parts are not enough, the equal ones may all be
-    empty: then the set is also cut anew for every empty part. An alike set that needs
-    fewer parts has one of its own in common with these; one that is not enough either
-    has the same empty part and goes on in the same way.
+    Tokens fall into parts by a hash. Two alike sets differ in ``apart`` parts at most,
+    so of any ``apart`` + 1 parts of a set one is equal in an alike set. Those are taken
+    that have a token which is not common, in the order of the parts: a part of common
+    tokens alone says little, since a passage that many texts share makes such parts.
+
+    If a set has too few of them, all its filled parts are signed; and if even these are
+    too few, the equal parts may all be empty, so the set is also cut anew for every
+    empty part. An alike set that has enough finds its equal part among all of these; one
+    that has too few does the same and shares a filled part or an empty one.
     """
     part = ((splitmix(tokens ^ salt) >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
     order = np.argsort(part, kind="stable")
-    filled, starts, counts = np.unique(part[order], return_index=True, return_counts=True)
+    filled, starts = np.unique(part[order], return_index=True)
     sums = np.add.reduceat(splitmix(tokens[order] + salt), starts)
     signs = splitmix(sums + filled.astype(np.uint64) * _PART + salt)
-    # after the i-th filled part come filled[i] + 1 parts, of which i + 1 are filled
-    enough = np.flatnonzero(np.arange(1, len(filled) + 1) > apart)
-    if len(enough):
-        out.append(signs[: enough[0] + 1])
+    telling = np.logical_or.reduceat(~common[order], starts)
+    if np.count_nonzero(telling) > apart:
+        out.append(signs[telling][: apart + 1])
         return
     out.append(signs)
+    if len(filled) > apart:
+        return
     for empty in sorted(set(range(parts)) - set(filled.tolist())):
         inner = _salt(int(salt), empty)
         if depth:
-            _emit(tokens, parts, apart, inner, depth - 1, out)
+            _emit(tokens, common, parts, apart, inner, depth - 1, out)
         else:
             out.append(np.array([inner], np.uint64))
 
 
-def signatures(tokens: np.ndarray, alike: int = ALIKE) -> np.ndarray:
-    """All signatures of a set: for its own band of sizes, and for the next if alike sets may lie there."""
+_NONE = np.empty(0, np.uint64)
+
+
+def signatures(tokens: np.ndarray, alike: int = ALIKE, common: np.ndarray = _NONE) -> np.ndarray:
+    """All signatures of a set: for its own band of sizes, and for the next if alike sets may lie there.
+
+    ``common`` are the common tokens, in order; whichever they are, alike sets share a signature.
+    """
     size = len(tokens)
     apart = most_apart(size, alike)
     if not apart:
         return np.empty(0, np.int64)
     known = bands(alike)
+    if len(common):
+        widespread = common[np.minimum(np.searchsorted(common, tokens), len(common) - 1)] == tokens
+    else:
+        widespread = np.zeros(size, bool)
     own = max(i for i, (least, _) in enumerate(known) if least <= size)
     out: list[np.ndarray] = []
     for band in (own, own + 1):
         least, parts = known[band]
         if band == own or size * 100 // alike >= least:
-            _emit(tokens, parts, apart, _salt(band), 3, out)
+            _emit(tokens, widespread, parts, apart, _salt(band), 3, out)
     return np.unique(np.concatenate(out)).view(np.int64)
 
 
-def _signed(batches: Iterator[pa.RecordBatch], words: int, alike: int) -> Iterator[pa.RecordBatch]:
+def _counted(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text) -> (token, n): in how many of some thousand different texts a token is, if in several."""
+    held: list[np.ndarray] = []
+    met: set[int] = set()
+    total = 0
+
+    def count() -> pa.RecordBatch:
+        tokens, n = np.unique(np.concatenate(held), return_counts=True) if held else (_NONE, np.empty(0, np.int64))
+        several = n >= max(2, len(held) // (2 * COMMON))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(tokens[several].view(np.int64)), pa.array(n[several].astype(np.int64))], names=["token", "n"]
+        )
+
+    for batch in batches:
+        for text in texts_of(batch, batch.schema.names[1]):
+            key = xxhash.xxh3_64_intdigest(text)
+            if key not in met:
+                met.add(key)
+                held.append(shingle_set(text, words))
+                total += len(held[-1])
+            if total >= COUNTED:
+                yield count()
+                held, total = [], 0
+                met.clear()
+    yield count()
+
+
+def common_tokens(rows: DataFrame, words: int) -> np.ndarray:
+    """The tokens that many of all texts share, in order: a bounded number (see COMMON).
+
+    They only steer which signatures are taken; results are the same whichever they are,
+    so a token that is missed because it is spread thinly costs time and loses nothing.
+    """
+    least = max(COMMON_LEAST, rows.count() // COMMON)
+    counts = rows.mapInArrow(partial(_counted, words=words), "token long, n long")
+    found = counts.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("token").toArrow()
+    return np.sort(found.column("token").to_numpy().astype(np.int64).view(np.uint64))
+
+
+def _signed(batches: Iterator[pa.RecordBatch], words: int, alike: int, common: np.ndarray) -> Iterator[pa.RecordBatch]:
     """(doc_id, text) -> (doc_id, n_shingles, key, signs): signs once for each set that a task meets."""
     met: set[int] = set()
     kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()))
@@ -136,7 +195,7 @@ def _signed(batches: Iterator[pa.RecordBatch], words: int, alike: int) -> Iterat
             sizes.append(len(tokens))
             keys.append(key)
             first = known and key is not None and key not in met
-            signs.append(signatures(tokens, alike) if first else None)
+            signs.append(signatures(tokens, alike, common) if first else None)
             if first:
                 met.add(key)
         made = [pa.array(v, k) for v, k in zip((sizes, keys, signs), kinds, strict=True)]
@@ -144,16 +203,17 @@ def _signed(batches: Iterator[pa.RecordBatch], words: int, alike: int) -> Iterat
 
 
 def _tokens(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """(key, text) -> (key, tokens) of rows whose text has that key."""
+    """(root, blocks, key, text) -> (root, blocks, key, tokens) of rows whose text has that key."""
     for batch in batches:
-        keys, sets = [], []
-        for key, text in zip(batch.column(0).to_pylist(), texts_of(batch, batch.schema.names[1]), strict=True):
+        kept, sets = [], []
+        for i, (key, text) in enumerate(zip(batch.column(2).to_pylist(), texts_of(batch, batch.schema.names[3]), strict=True)):
             tokens = shingle_set(text, words)
             if len(tokens) and set_key(tokens) == key:
-                keys.append(key)
+                kept.append(i)
                 sets.append(tokens.view(np.int64))
+        left = batch.take(pa.array(kept, pa.int64()))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["key", "tokens"]
+            [*left.columns[:3], pa.array(sets, pa.list_(pa.int64()))], names=["root", "blocks", "key", "tokens"]
         )
 
 
@@ -233,13 +293,14 @@ def jaccard_components(
 
     1. Equal sets are one class, whatever the number of copies; a class has a 64-bit key.
     2. Sets that may be alike share a signature (see ``_emit``): no pair is lost, and
-       a passage that many texts share makes no signature unless nearly all of a part
-       is passage. What shared signatures connect is a group of similar sets.
-    3. The token-group matrix holds, for each group, its union of tokens that several
-       members have. A member whose overlap with the union is below the least similarity
-       has no partner in the group; it is not opened.
-    4. The qualifying members are grouped anew and opened: whole sets are compared, in
-       blocks of bounded size, and enough links kept that they connect what all links do.
+       passages that many texts share make none. What shared signatures connect is a
+       group of similar sets.
+    3. Each group's tokens come together once, a group larger than a block as pairs of
+       blocks. Its column of the token-group matrix is built there: the union of the
+       members' tokens, with the number of members that have each. A member whose
+       overlap with what the others have is below the least similarity is not opened.
+    4. The qualifying members are opened: whole sets are compared, and enough links kept
+       that they connect what all links do.
 
     Null and empty texts have 0 shingles and are their own component; a row without a
     key links with nothing and its component is null; repeated rows are copies; an empty
@@ -249,51 +310,37 @@ def jaccard_components(
     stash = Stash(spark)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     schema = "doc_id long, n_shingles long, key long, signs array<long>"
-    sets = stash.put(rows.mapInArrow(partial(_signed, words=words, alike=alike), schema), "sets")
+    signed = partial(_signed, words=words, alike=alike, common=common_tokens(rows, words))
+    sets = stash.put(rows.mapInArrow(signed, schema), "sets")
 
+    slim = stash.put(sets.select("doc_id", "n_shingles", "key"), "rows")
     signs = sets.where(F.col("signs").isNotNull()).select(F.explode("signs").alias("sign"), "key")
     meetings = stash.put(_meetings(signs), "meetings")
+    stash.drop(sets)
     edges = meetings.where("key <> lo").select(F.col("key").alias("a"), F.col("lo").alias("b")).distinct()
     groups = connected_components(edges, stash)
 
     # one document of each class that met another class: its tokens are made anew from its text
-    members = sets.where(F.col("doc_id").isNotNull() & F.col("key").isNotNull()).select("doc_id", "key")
-    chosen = members.join(groups, members["key"] == groups["node"]).groupBy("root", "key").agg(F.min("doc_id").alias("id"))
-    chosen = stash.put(chosen, "chosen")
-    few = chosen.count() <= BROADCAST_ROWS
-    picked = F.broadcast(chosen.select("id", "key")) if few else chosen.select("id", "key")
-    fetched = rows.join(picked, rows["doc_id"] == picked["id"]).select("key", "text")
-    tokens = stash.put(fetched.mapInArrow(partial(_tokens, words=words), "key long, tokens array<long>"), "tokens")
-
-    of_group = tokens.join(chosen.select("root", "key"), "key")
-    held = of_group.select("root", "key", F.explode("tokens").alias("token"))
-    matrix = held.groupBy("root", "token").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi")
-    overlap = held.join(matrix.select("root", "token"), ["root", "token"]).groupBy("key").agg(F.count("*").alias("overlap"))
-    sizes = tokens.select("key", F.size("tokens").cast("long").alias("n")).groupBy("key").agg(F.max("n").alias("n"))
-    open_keys = stash.put(
-        overlap.join(sizes, "key").where(F.col("overlap") * 100 >= F.col("n") * alike).select("key", "n"), "open"
-    )
-
-    again = _meetings(meetings.select("sign", "key").join(open_keys.select("key"), "key", "left_semi"))
-    edges = again.where("key <> lo").select(F.col("key").alias("a"), F.col("lo").alias("b")).distinct()
-    groups = connected_components(edges, stash)
-    to_open = open_keys.join(groups, open_keys["key"] == groups["node"]).select("root", "key", "n")
-    weights = to_open.groupBy("root").agg(F.ceil(F.sum("n") / F.lit(BLOCK)).alias("blocks"))
-    dealt = to_open.join(weights, "root").withColumn("mine", F.pmod(F.xxhash64("key"), F.col("blocks")))
+    members = slim.where(F.col("doc_id").isNotNull() & F.col("key").isNotNull())
+    chosen = members.join(groups, members["key"] == groups["node"]).groupBy("root", "key")
+    chosen = stash.put(chosen.agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("n")), "chosen")
+    weights = chosen.groupBy("root").agg(F.ceil(F.sum("n") / F.lit(BLOCK)).alias("blocks"))
+    picked = chosen.join(weights, "root").select("id", "root", "blocks", "key")
+    if chosen.count() <= BROADCAST_ROWS:
+        picked = F.broadcast(picked)
+    fetched = rows.join(picked, rows["doc_id"] == picked["id"]).select("root", "blocks", "key", "text")
+    tokens = fetched.mapInArrow(partial(_tokens, words=words), "root long, blocks long, key long, tokens array<long>")
+    mine = F.pmod(F.xxhash64("key"), F.col("blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    dealt = dealt.withColumn("other", other).select(
-        "root",
-        (F.least("mine", "other") * F.col("blocks") + F.greatest("mine", "other")).alias("block"),
-        "key",
-    )
-    together = dealt.join(tokens, "key").select("root", "block", "key", "tokens")
+    dealt = tokens.withColumn("mine", mine).withColumn("other", other)
+    block = F.least("mine", "other") * F.col("blocks") + F.greatest("mine", "other")
+    together = dealt.select("root", block.alias("block"), "key", "tokens")
     ordered = together.repartition("root", "block").sortWithinPartitions("root", "block")
     links = stash.put(ordered.mapInArrow(partial(_opened, alike=alike), "a long, b long"), "links")
     linked = connected_components(links, stash)
-    for spent in (meetings, chosen, tokens, open_keys, links):
+    for spent in (meetings, chosen, links):
         stash.drop(spent)
 
-    slim = sets.select("doc_id", "n_shingles", "key")
     rooted = slim.join(linked, slim["key"] == linked["node"], "left").select(
         "doc_id", "n_shingles", F.coalesce("root", "key").alias("root")
     )
