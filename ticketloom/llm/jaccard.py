@@ -23,7 +23,7 @@ BLOCK = 1 << 20
 COMMON, COMMON_LEAST = 2000, 16
 #: Tokens that a task holds before it counts them.
 COUNTED = 1 << 22
-#: Document numbers that may be broadcast (16 MB); more are joined by a shuffle.
+#: Rows of at most four numbers that may be broadcast (32 MB); more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 
 _PART = np.uint64(0xD6E8FEB86659FD93)
@@ -77,7 +77,8 @@ def bands(alike: int = ALIKE, top: int = 1 << 40) -> tuple[tuple[int, int], ...]
         apart = (following - 1) * 2 * (100 - alike) // (100 + alike) * 100 // alike + 2
         if following < 4096:
             apart = max(most_apart(n, alike) for n in range(least, following))
-        found.append((least, max(apart + 1, least // 4)))
+        # a quarter more than may differ, so that even the largest sets have enough filled parts
+        found.append((least, (apart + 1) * 5 // 4 + 1))
         least = following
     return tuple(found)
 
@@ -344,7 +345,9 @@ def jaccard_components(
     rooted = slim.join(linked, slim["key"] == linked["node"], "left").select(
         "doc_id", "n_shingles", F.coalesce("root", "key").alias("root")
     )
+    # a table of its own, so that the join below is dealt anew and a group of many copies can be split
     least = rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
+    least = stash.put(least, "least")
     return rooted.join(least, "root", "left").select(
         "doc_id",
         "n_shingles",
