@@ -20,7 +20,7 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def tool():
-    return bpe.tokenizer(bpe.Vocabulary.read(PATH))
+    return bpe.Tokenizer(bpe.Vocabulary.read(PATH))
 
 
 @pytest.fixture(scope="module")

@@ -21,9 +21,9 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 END = "</w>"
 
 #: Words a generation of a task's cache holds. Only a cache: a word that is not in it is encoded anew.
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
 #: Entries of the transition table that a task holds before it begins to fill it anew.
-CACHED_ARCS = 500_000
+CACHED_ARCS = 250_000
 
 
 def byte_signs() -> dict[int, str]:
@@ -279,17 +279,6 @@ def written(labels: tuple[str, ...], ids: bytes) -> str:
     return " ".join([labels[i] for i in np.frombuffer(ids, dtype="<u4").tolist()])
 
 
-_TOKENIZERS: dict[str, Tokenizer] = {}
-
-
-def tokenizer(vocabulary: Vocabulary) -> Tokenizer:
-    """The tokenizer of this process: compiled once, for all tasks a Python worker runs."""
-    if vocabulary.name not in _TOKENIZERS:
-        _TOKENIZERS.clear()
-        _TOKENIZERS[vocabulary.name] = Tokenizer(vocabulary)
-    return _TOKENIZERS[vocabulary.name]
-
-
 TOKENS = T.StructType([T.StructField("tokens", T.BinaryType(), False)])
 
 
@@ -303,7 +292,8 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
     known = Vocabulary.read(vocabulary)
 
     def make() -> Callable[[list[bytes]], list[list]]:
-        tool = tokenizer(known)
+        # of this task only: a Python worker that idles after it holds no caches
+        tool = Tokenizer(known)
         return lambda texts: [[tool.encode(t) for t in texts]]
 
     return with_columns(docs, text, TOKENS, make)
