@@ -6,6 +6,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,6 +189,30 @@ def test_near_vectors_match_all_pairs(spark, monkeypatch):
         assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in found.values())
 
 
+@pytest.mark.parametrize("other", [32, 63])
+def test_vectors_of_close_lengths_never_meet(spark, other):
+    draw = np.random.default_rng(6)
+    rows = [(i, draw.standard_normal(64 if i % 2 else other)) for i in range(3000)]
+    rows += [(3000 + i, rows[i][1] * 2 + 0.01 * draw.standard_normal(len(rows[i][1]))) for i in range(40)]
+    few, many = ([v for _, v in rows if len(v) == size] for size in (other, 64))
+    own = [polytope.buckets(polytope.unit(np.stack(v)), 2, seed=len(v[0])) for v in (few, many)]
+    assert not len(np.intersect1d(*own))
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in rows], "vec_id long, embedding array<double>")
+    found = {r["vec_id"]: r for r in polytope.near_duplicates(frame).collect()}
+    assert len(found) == 3040 and sum(r["n_links"] for r in found.values()) == 80
+    assert all(found[3000 + i]["component_id"] == i for i in range(40))
+
+
+def test_equal_bucket_numbers_of_other_lengths():
+    one, two = (np.eye(1, n).astype("<f8").tobytes() for n in (3, 4))
+    rows = [(5, 0, 0, key, 1, vector, [5]) for key, vector in enumerate((one, two, one, two))]
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+    columns = [pa.array(list(v), k) for v, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+    made = next(polytope._linked(iter([pa.RecordBatch.from_arrays(columns, names=list("abcdefg"))]), 0.9)).to_pylist()
+    assert [(r["key"], r["other"]) for r in made if r["other"] is not None] == [(0, 2), (1, 3)]
+    assert {r["key"]: r["links"] for r in made if r["other"] is None} == {k: 1 for k in range(4)}
+
+
 def test_vectors_without_keys_and_without_rows(spark):
     rows = [(None, [1.0, 2.0]), (3, [1.0, 2.0]), (3, [1.0, 2.0]), (4, [1.0, 2.0])]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("key", F.lit("clash"))

@@ -46,7 +46,8 @@ def buckets(units: np.ndarray, length: int, tables: int = TABLES, probes: int =
 
     A rotation is three rounds of random signs and a Hadamard transform; its hash is the
     nearest of the 2 d points +-e_i. A bucket joins ``length`` such hashes. Further probes
-    change the one hash where the second nearest point costs least.
+    change the one hash where the second nearest point costs least. The number starts
+    from the length of the vectors and the table.
     """
     rows, wide = len(units), 1 << max(1, (units.shape[1] - 1).bit_length())
     padded = np.zeros((rows, wide))
@@ -77,7 +78,7 @@ def buckets(units: np.ndarray, length: int, tables: int = TABLES, probes: int =
             if probe and probe <= order.shape[1]:
                 pick = order[:, probe - 1]
                 hashes[every, parts[pick]] = others[every, pick]
-            number = np.full(rows, table, np.uint64)
+            number = splitmix(np.full(rows, (units.shape[1] << 32) + table, np.uint64))
             for part in range(length):
                 number = splitmix(number ^ hashes[:, part])
             out[:, table, probe] = number
@@ -116,6 +117,7 @@ def _linked(batches: Iterator[pa.RecordBatch], alike: float) -> Iterator[pa.Reco
 
     A pair that meets in several buckets is counted in the least of them only, and in
     that bucket in the block of its two halves, so counts add up without a list of pairs.
+    Vectors of other lengths, whose numbers may be equal by chance, are blocks of their own.
     """
     held: list[tuple] = []
     place: tuple | None = None
@@ -123,8 +125,10 @@ def _linked(batches: Iterator[pa.RecordBatch], alike: float) -> Iterator[pa.Reco
     links: list[tuple[int, int]] = []
 
     def close() -> None:
-        if len(held) > 1:
-            _block(place[0], held, alike, counts, links)
+        for size in sorted({len(r[3]) for r in held}):
+            alone = [r for r in held if len(r[3]) == size]
+            if len(alone) > 1:
+                _block(place[0], alone, alike, counts, links)
 
     for batch in batches:
         columns = [batch.column(i).to_pylist() for i in range(7)]
