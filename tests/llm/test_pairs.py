@@ -213,6 +213,42 @@ def test_equal_bucket_numbers_of_other_lengths():
     assert {r["key"]: r["links"] for r in made if r["other"] is None} == {k: 1 for k in range(4)}
 
 
+def pairs_at(alike, count, dimensions, seed):
+    draw = np.random.default_rng(seed)
+    a, b = draw.standard_normal((2, count, dimensions))
+    a = polytope.unit(a)
+    b = polytope.unit(b - (a * b).sum(axis=1, keepdims=True) * a)
+    return a, alike * a + np.sqrt(1 - alike**2) * b
+
+
+@pytest.mark.parametrize("dimensions", [2, 3, 24, 64])
+@pytest.mark.parametrize("count", [2_000, 1_000_000, 60_000_000])
+def test_recall_does_not_fall_with_the_count(count, dimensions):
+    length, tables = polytope.layout(count, dimensions)
+    if dimensions == 64:  # 2, 3 and 4 rotations
+        assert length == {2_000: 2, 1_000_000: 3, 60_000_000: 4}[count]
+    a, b = (polytope.buckets(x, length, tables, seed=dimensions) for x in pairs_at(0.9, 1500, dimensions, 7))
+    met = np.array([len(np.intersect1d(x, y)) > 0 for x, y in zip(a, b, strict=True)])
+    assert met.mean() >= polytope.RECALL
+
+
+def test_pairs_far_apart_are_still_found():
+    length, tables = polytope.layout(2_000, 64, alike=0.1)
+    a, b = (polytope.buckets(x, length, tables, seed=64) for x in pairs_at(0.1, 300, 64, 8))
+    assert np.mean([len(np.intersect1d(x, y)) > 0 for x, y in zip(a, b, strict=True)]) >= polytope.RECALL
+
+
+@pytest.mark.parametrize("rotations", [3, 4])
+def test_near_vectors_with_more_rotations(spark, monkeypatch, rotations):
+    monkeypatch.setattr(polytope, "rotations_for", lambda *_: rotations)
+    a, b = pairs_at(0.901, 400, 64, 9)
+    rows = [(2 * i + j, v.tolist()) for i, pair in enumerate(zip(a, b, strict=True)) for j, v in enumerate(pair)]
+    found = polytope.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    counts, _ = brute_vectors(rows)
+    assert sum(r["n_links"] for r in found) >= polytope.RECALL * sum(counts.values())
+    assert all(r["n_links"] <= counts[r["vec_id"]] for r in found)
+
+
 def test_vectors_without_keys_and_without_rows(spark):
     rows = [(None, [1.0, 2.0]), (3, [1.0, 2.0]), (3, [1.0, 2.0]), (4, [1.0, 2.0])]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("key", F.lit("clash"))

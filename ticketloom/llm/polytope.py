@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,9 +14,13 @@ from pyspark.sql import functions as F
 from ticketloom.llm.common import splitmix
 from ticketloom.llm.components import Stash, connected_components
 
-#: Hash tables, and buckets that a vector is put into in each (its own and the next best).
+#: Least hash tables, and buckets that a vector is put into in each (its own and the next best).
 TABLES, PROBES = 6, 2
 ALIKE = 0.9
+#: Share of the pairs at a cosine of exactly ``ALIKE`` that meet, at every count; tables are
+#: added until so many of the drawn pairs do, with ``SPARE`` more as a draw's error. Above
+#: MOST_TABLES, buckets are made of one rotation less.
+RECALL, SPARE, MOST_TABLES = 0.97, 0.005, 64
 #: Vectors compared in one place; a larger bucket is dealt as pairs of blocks.
 BLOCK = 2048
 
@@ -36,13 +41,60 @@ def signs(dimensions: int, count: int, seed: int) -> np.ndarray:
     return (1.0 - 2.0 * (numbers & np.uint64(1))).reshape(count, 3, dimensions)
 
 
-def rotations_for(count: int, dimensions: int) -> int:
-    """Rotations whose hashes make one bucket: about as many buckets as there are vectors."""
-    return max(1, round(math.log(max(count, 2)) / math.log(2 * max(dimensions, 2))))
+def rotations_for(count: int, dimensions: int, alike: float = ALIKE) -> int:
+    """Rotations whose hashes make one bucket: about as many buckets as there are vectors.
+
+    Buckets smaller than the cap of the sphere that is alike would part neighbours only,
+    so there are no more of them than such caps.
+    """
+    dimensions = max(dimensions, 2)
+    angles = (np.arange(20_000) + 0.5) * (math.pi / 20_000)
+    weights = np.sin(angles) ** (dimensions - 2)
+    cap = float(weights[np.cos(angles) >= alike].sum() / weights.sum())
+    most = min(max(count, 2), 1 / cap if cap > 0 else math.inf)
+    return max(1, round(math.log(most) / math.log(2 * dimensions)))
+
+
+@lru_cache(maxsize=None)
+def tables_for(length: int, dimensions: int, alike: float = ALIKE, probes: int = PROBES) -> int | None:
+    """Tables of ``length`` rotations in which RECALL of the pairs at exactly ``alike`` meet; None above MOST_TABLES.
+
+    Pairs from a fixed seed are hashed with the very rotations that vectors of so many
+    dimensions get, as in few dimensions some tables repeat others.
+    """
+    draw, rows = np.random.default_rng(length), max(500, min(2000, (1 << 18) // dimensions))
+    a, b = draw.standard_normal((2, rows, max(dimensions, 2)))
+    a = unit(a)
+    b = unit(b - (a * b).sum(axis=1, keepdims=True) * a)
+    pairs = np.concatenate([a, alike * a + math.sqrt(max(0.0, 1 - alike**2)) * b])
+    met = np.zeros(rows, bool)
+    for table in range(MOST_TABLES):
+        found = buckets(pairs, length, 1, probes, seed=dimensions, first=table)
+        met |= (found[:rows, :, None] == found[rows:, None, :]).any(axis=(1, 2))
+        if met.mean() >= RECALL + SPARE:
+            return table + 1
+    return None
+
+
+def layout(
+    count: int, dimensions: int, alike: float = ALIKE, tables: int = TABLES, probes: int = PROBES
+) -> tuple[int, int]:
+    """Rotations of a bucket and tables for ``count`` vectors: RECALL holds at every count.
+
+    More rotations need more tables. Where even one rotation needs too many, there is one
+    bucket for all vectors (no rotations), and every pair is compared.
+    """
+    for length in range(rotations_for(count, dimensions, alike), 0, -1):
+        needed = tables_for(length, dimensions, alike, probes)
+        if needed is not None:
+            return length, max(tables, needed)
+    return 0, 1
 
 
-def buckets(units: np.ndarray, length: int, tables: int = TABLES, probes: int = PROBES, seed: int = 1) -> np.ndarray:
-    """rows x (tables * probes): signed 64-bit bucket numbers, of each table the best first.
+def buckets(
+    units: np.ndarray, length: int, tables: int = TABLES, probes: int = PROBES, seed: int = 1, first: int = 0
+) -> np.ndarray:
+    """rows x (tables * probes): signed 64-bit bucket numbers, of each table from ``first`` on the best first.
 
     A rotation is three rounds of random signs and a Hadamard transform; its hash is the
     nearest of the 2 d points +-e_i. A bucket joins ``length`` such hashes. Further probes
@@ -52,10 +104,10 @@ def buckets(units: np.ndarray, length: int, tables: int = TABLES, probes: int =
     rows, wide = len(units), 1 << max(1, (units.shape[1] - 1).bit_length())
     padded = np.zeros((rows, wide))
     padded[:, : units.shape[1]] = units
-    diagonals = signs(wide, tables * length, seed)
+    diagonals = signs(wide, (first + tables) * length, seed)
     out = np.empty((rows, tables, probes), np.uint64)
     every = np.arange(rows)
-    for table in range(tables):
+    for table in range(first, first + tables):
         best = np.empty((rows, length), np.uint64)
         options, losses = [], []
         for part in range(length):
@@ -81,7 +133,7 @@ def buckets(units: np.ndarray, length: int, tables: int = TABLES, probes: int =
             number = splitmix(np.full(rows, (units.shape[1] << 32) + table, np.uint64))
             for part in range(length):
                 number = splitmix(number ^ hashes[:, part])
-            out[:, table, probe] = number
+            out[:, table - first, probe] = number
     return out.reshape(rows, -1).view(np.int64)
 
 
@@ -187,8 +239,9 @@ def near_duplicates(
     """(vec_id, n_links, component_id, kept) for every row.
 
     Equal vectors are one class, so copies are counted and never compared. Each class
-    goes into ``probes`` buckets of each of ``tables`` tables; pairs that meet are
-    verified by their cosine in double precision. A bucket larger than a block is dealt
+    goes into ``probes`` buckets of each of ``tables`` tables, or of more where more
+    vectors ask for finer buckets (see ``layout``); pairs that meet are verified by their
+    cosine in double precision. A bucket larger than a block is dealt
     as pairs of blocks, so no place holds more than two blocks, and every pair of the
     bucket is still compared.
 
@@ -204,7 +257,8 @@ def near_duplicates(
     usable = read.where(F.col("vector").isNotNull() & F.col("vec_id").isNotNull())
     classes = usable.groupBy("vector").agg(F.min("vec_id").alias("key"), F.count("*").alias("copies"))
     classes = stash.put(classes.where(F.octet_length("vector") > 0), "classes")
-    count = classes.count()
+    lengths = classes.groupBy((F.octet_length("vector") / 8).cast("int").alias("size")).agg(F.count("*").alias("n"))
+    layouts = {r["size"]: layout(r["n"], r["size"], alike, tables, probes) for r in lengths.collect()}
     schema = "key long, copies long, vector binary, buckets array<long>"
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +268,8 @@ def near_duplicates(
             for size in sorted({len(v) for v in held}):
                 places = [i for i, v in enumerate(held) if len(v) == size]
                 units = unit(np.stack([held[i] for i in places]))
-                found = buckets(units, rotations_for(count, size), tables, probes, seed=size)
+                length, of = layouts[size]
+                found = buckets(units, length, of, probes, seed=size)
                 for i, numbers in zip(places, found, strict=True):
                     made[i] = np.unique(numbers)
             yield pa.RecordBatch.from_arrays(
