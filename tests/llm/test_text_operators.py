@@ -192,6 +192,15 @@ def test_rules_query_matches_brute_force(spark):
         assert r["kept"] == kept
 
 
+def test_strict_rules_drop_invented_words(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = queries.op2(spark, sf).join(table(spark, sf, "labels"), "doc_id").where("not base_failed").toPandas()
+    junk, good = rows[rows.quality == 0], rows[rows.quality == 1]
+    assert junk.kept.sum() >= 5  # what the loose limit lets through
+    assert junk.kept_strict.mean() <= 0.05 and good.kept_strict.mean() >= 0.99
+    assert (rows.kept | ~rows.kept_strict).all()
+
+
 def test_rules_odd_rows(spark, odd, nothing):
     rows = divergence.judge(odd, Stash(spark)).toPandas()
     assert len(rows) == 11 and rows[rows.n_words < 50].base_failed.all()

@@ -27,6 +27,9 @@ CLASSES = ("lower", "upper", "beyond", "digit", "space", "line", "stop", "symbol
 #: Least counts for a distance to be judged, and the largest distances that pass (0 to 1).
 LEAST_WORDS, LEAST_CHARS, LEAST_COMMON = 50, 200, 100
 FAR_CHARS, FAR_WORDS = 0.30, 0.75
+#: Quartile ranges above the upper quartile where a language's own documents end, and steps
+#: of 1 / GRID on which their squared distances are counted.
+FENCE, GRID = 3.0, 4096
 #: Shares of a document's words that its rules may reach.
 FEWEST_WORDS, MOST_REPEATED = 50, 50
 
@@ -146,8 +149,8 @@ def base_failed() -> Column:
     return (F.col("n_words") < FEWEST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)
 
 
-def references(counts: DataFrame, lang: str = "lang") -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """The histograms of each language over all its documents that pass the base rules.
+def references(counts: DataFrame, lang: str = "lang") -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Histograms of each language (characters, common words, all words) over all its documents that pass the base rules.
 
     Every document weighs the same whatever its length, so that a few long ones do not
     stand for a language; copies do count. One partial aggregate over the whole table;
@@ -155,13 +158,14 @@ def references(counts: DataFrame, lang: str = "lang") -> dict[str, tuple[np.ndar
     language are in none.
     """
     rows = counts.where(~base_failed() & F.col(lang).isNotNull())
-    rows = rows.select(F.col(lang).cast("string").alias("lang"), "char_counts", "word_counts")
+    rows = rows.select(F.col(lang).cast("string").alias("lang"), "char_counts", "word_counts", "n_words")
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The sum of the documents' shares for each language of a batch: one row for each."""
         for batch in batches:
             names, owner = np.unique(np.array(batch.column("lang").to_pylist(), dtype=object), return_inverse=True)
-            shares = np.concatenate([_shares(batch.column("char_counts"), _SIZE), _shares(batch.column("word_counts"), len(_WORDS))], axis=1)
+            chars, words = _counts(batch.column("char_counts"), _SIZE), _counts(batch.column("word_counts"), len(_WORDS))
+            shares = np.concatenate([_shares(x) for x in (chars, words, _all_words(words, batch.column("n_words")))], axis=1)
             sums = np.zeros((len(names), shares.shape[1]))
             np.add.at(sums, owner, shares)
             yield pa.RecordBatch.from_arrays(
@@ -171,12 +175,12 @@ def references(counts: DataFrame, lang: str = "lang") -> dict[str, tuple[np.ndar
     summed = rows.mapInArrow(partial, "lang string, sums array<double>").select("lang", F.posexplode("sums").alias("bin", "part"))
     total: dict[str, np.ndarray] = {}
     for row in summed.groupBy("lang", "bin").agg(F.sum("part").alias("total")).collect():
-        total.setdefault(row["lang"], np.zeros(_SIZE + len(_WORDS)))[row["bin"]] = row["total"]
+        total.setdefault(row["lang"], np.zeros(_SIZE + 2 * len(_WORDS) + 1))[row["bin"]] = row["total"]
     found = {}
     for name, sums in sorted(total.items()):
-        chars, words = sums[:_SIZE], sums[_SIZE:]
+        chars, words, every = np.split(sums, [_SIZE, _SIZE + len(_WORDS)])
         if chars.sum() > 0:
-            found[name] = (chars / chars.sum(), words / words.sum() if words.sum() > 0 else words)
+            found[name] = (chars / chars.sum(), words / words.sum() if words.sum() > 0 else words, every / every.sum())
     return found
 
 
@@ -184,9 +188,14 @@ def _counts(column: pa.Array, size: int) -> np.ndarray:
     return column.flatten().to_numpy().astype(np.float64).reshape(-1, size)
 
 
-def _shares(column: pa.Array, size: int) -> np.ndarray:
+def _all_words(words: np.ndarray, n_words: pa.Array) -> np.ndarray:
+    """Counts of common words with one more bin for all other words."""
+    others = n_words.to_numpy().astype(np.float64) - words.sum(axis=1)
+    return np.concatenate([words, others[:, None]], axis=1)
+
+
+def _shares(counts: np.ndarray) -> np.ndarray:
     """Each document's counts over their sum; zeros where there is none."""
-    counts = _counts(column, size)
     return counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
 
 
@@ -206,11 +215,12 @@ DISTANCES = T.StructType(
         T.StructField("nearest", T.StringType()),
         T.StructField("char_distance", T.DoubleType()),
         T.StructField("word_distance", T.DoubleType()),
+        T.StructField("all_words_distance", T.DoubleType()),
     ]
 )
 
 
-def measure(counts: DataFrame, known: dict[str, tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+def measure(counts: DataFrame, known: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]) -> DataFrame:
     """``counts`` with the nearest reference and the distances from it; null without a reference or counts."""
     names = list(known)
 
@@ -218,18 +228,22 @@ def measure(counts: DataFrame, known: dict[str, tuple[np.ndarray, np.ndarray]])
         for batch in batches:
             chars, words = _counts(batch.column("char_counts"), _SIZE), _counts(batch.column("word_counts"), len(_WORDS))
             rows = len(chars)
-            made: list[list] = [[None] * rows for _ in range(3)]
+            made: list[list] = [[None] * rows for _ in range(4)]
             if names:
                 sums = chars.sum(axis=1, keepdims=True), words.sum(axis=1, keepdims=True)
                 of_chars = js_distance(chars / np.maximum(sums[0], 1), np.stack([known[n][0] for n in names]))
                 of_words = js_distance(words / np.maximum(sums[1], 1), np.stack([known[n][1] for n in names]))
                 of_words = np.where(sums[1] > 0, of_words, 1.0)
+                every = _shares(_all_words(words, batch.column("n_words")))
+                of_all = js_distance(every, np.stack([known[n][2] for n in names]))
                 near = (of_chars**2 + of_words**2).argmin(axis=1)
                 for i in np.flatnonzero(sums[0][:, 0] > 0).tolist():
                     name = names[near[i]]
                     made[0][i], made[1][i] = name, float(of_chars[i, near[i]])
                     made[2][i] = float(of_words[i, near[i]]) if known[name][1].any() else None
-            new = [pa.array(v, k) for v, k in zip(made, (pa.string(), pa.float64(), pa.float64()), strict=True)]
+                    made[3][i] = float(of_all[i, near[i]]) if every[i].any() else None
+            kinds = (pa.string(), pa.float64(), pa.float64(), pa.float64())
+            new = [pa.array(v, k) for v, k in zip(made, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, *DISTANCES.names])
 
     return counts.mapInArrow(run, T.StructType([*counts.schema.fields, *DISTANCES.fields]))
@@ -243,12 +257,42 @@ def verdict() -> Column:
     return ~(long_enough & (strange | foreign))
 
 
+def spreads(measured: DataFrame, lang: str = "lang") -> list[tuple[str, float, float]]:
+    """(language, slope, limit): how far a language's own documents are from its reference.
+
+    The squared distance over all words falls with a document's length as slope / n_words,
+    by least squares; the limit of what is left is FENCE quartile ranges above the upper
+    quartile. Own documents pass the base rules and are nearest to their language. Only
+    sums and counts on a grid come to the driver.
+    """
+    own = measured.where(~base_failed() & (F.col("nearest") == F.col(lang).cast("string")))
+    own = own.select("nearest", (F.lit(1.0) / F.col("n_words")).alias("x"), (F.col("all_words_distance") ** 2).alias("y"))
+    fitted = own.groupBy("nearest").agg(F.regr_slope("y", "x").alias("slope"))
+    slopes = {r["nearest"]: max(0.0, r["slope"] or 0.0) for r in fitted.collect()}
+    if not slopes:
+        return []
+    known = F.broadcast(own.sparkSession.createDataFrame(list(slopes.items()), "nearest string, slope double"))
+    step = F.floor((F.col("y") - F.col("slope") * F.col("x")) * GRID).alias("step")
+    steps: dict[str, list[tuple[int, int]]] = {}
+    for r in own.join(known, "nearest").groupBy("nearest", step).count().collect():
+        steps.setdefault(r["nearest"], []).append((r["step"], r["count"]))
+    found = []
+    for name, counted_steps in sorted(steps.items()):
+        values, sizes = (np.array(v) for v in zip(*sorted(counted_steps), strict=True))
+        lower, upper = (int(values[np.searchsorted(np.cumsum(sizes), part * sizes.sum())]) for part in (0.25, 0.75))
+        found.append((name, slopes[name], (upper + 1 + FENCE * (upper + 1 - lower)) / GRID))
+    return found
+
+
 def judge(docs: DataFrame, stash: Stash, text: str = "text", lang: str = "lang") -> DataFrame:
     """``docs`` without its text, with counts, distances, ``base_failed`` and ``kept``.
 
     The histograms of character classes and of common words are counted once and kept as
     a small table; the references are their means over all documents of a language; a
     document is measured against the nearest reference by the Jensen-Shannon distance.
+    ``kept`` judges the common words among themselves. ``kept_strict`` also asks that the
+    distance over all words, with one bin for all others, lies within the spread of the
+    language's own documents, for documents of every length that pass the base rules.
 
     Null and empty texts have no words and fail the base rules; documents without a
     language are measured but are in no reference; without references only the base
@@ -256,5 +300,10 @@ def judge(docs: DataFrame, stash: Stash, text: str = "text", lang: str = "lang")
     empty table stays empty.
     """
     counts = stash.put(count_words(docs, text).drop(text), "counts")
-    measured = measure(counts, references(counts, lang))
-    return measured.withColumn("base_failed", base_failed()).withColumn("kept", ~base_failed() & verdict())
+    measured = stash.put(measure(counts, references(counts, lang)), "measured")
+    judged = measured.withColumn("base_failed", base_failed()).withColumn("kept", ~base_failed() & verdict())
+    limits = counts.sparkSession.createDataFrame(spreads(measured, lang), "_near string, _slope double, _limit double")
+    judged = judged.join(F.broadcast(limits), F.col("nearest") == F.col("_near"), "left")
+    beyond = F.col("all_words_distance") ** 2 - F.col("_slope") / F.nullif(F.col("n_words"), F.lit(0)) > F.col("_limit")
+    judged = judged.withColumn("kept_strict", F.col("kept") & ~F.coalesce(beyond, F.lit(False)))
+    return judged.drop("_near", "_slope", "_limit")

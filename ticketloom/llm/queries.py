@@ -62,6 +62,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         "nearest",
         "char_distance",
         "word_distance",
+        "all_words_distance",
+        "kept_strict",
     )
 
 
