@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm import bpe, divergence, jaccard, langid, mixing, packing, polytope, quality, secrets, warc
+from ticketloom.llm import (
+    bpe,
+    divergence,
+    jaccard,
+    langid,
+    mixing,
+    packing,
+    polytope,
+    quality,
+    secrets,
+    slots,
+    trie,
+    vamana,
+    warc,
+)
 from ticketloom.llm.common import table
 from ticketloom.llm.components import Stash
 from ticketloom.session import fresh_path
@@ -201,3 +215,65 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type",
         F.regexp_extract("refers_to", r"^<urn:record:(-?\d+)>$", 1).try_cast("long").alias("refers_to"),
     )
+
+
+@query("op11_graph_search")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vamana.nearest_neighbours(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "vec_id % 20 = 0")
+
+
+OP12_SQL = f"""WITH bits AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crcs),
+ids AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, conv_id - conv_id % {trie.FAMILY} AS base,
+  xor(list_reduce(list_concat([4294967295], list_transform(range(1, length(CAST(conv_id AS VARCHAR)) + 1),
+    lambda i: CAST(ascii(substr(CAST(conv_id AS VARCHAR), CAST(i AS INTEGER), 1)) AS BIGINT))),
+    lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])), 4294967295) % {trie.HEADS + 1} AS h FROM ids, bits),
+turns AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id
+    ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos,
+  md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+  CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS w
+  FROM conversations WHERE conv_id IS NOT NULL),
+built AS (SELECT c.conv_id, 0 AS part, pos, k, w FROM convs c JOIN turns t ON t.conv_id = c.base AND t.pos < c.h
+  UNION ALL SELECT c.conv_id, 1, pos, k, w FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos >= c.h),
+seqs AS (SELECT c.conv_id, coalesce(list(k ORDER BY part, pos) FILTER (k IS NOT NULL), []) AS ks,
+  coalesce(list(w ORDER BY part, pos) FILTER (k IS NOT NULL), []) AS ws FROM convs c LEFT JOIN built b ON b.conv_id = c.conv_id
+  GROUP BY c.conv_id),
+prefixes AS (SELECT conv_id, d, array_to_string(ks[1:d], ',') AS p, array_to_string(ks[1:d - 1], ',') AS up,
+  len(ks) = d AS ends, CASE WHEN d = 0 THEN 0 ELSE ws[d] END AS w FROM (SELECT *, unnest(range(0, len(ks) + 1)) AS d FROM seqs)),
+nodes AS (SELECT d, p, min(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, max(w) AS w,
+  sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM prefixes GROUP BY d, p),
+kids AS (SELECT d - 1 AS d, up AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1, 2),
+told AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN kids USING (d, p)),
+sums AS (SELECT q.d, q.p, CAST(sum((t.n_convs - 1) * t.w) AS BIGINT) AS saved_tokens, count(*) FILTER (t.n_children = 0) AS n_leaves
+  FROM told t JOIN prefixes q ON q.conv_id = t.conv_id AND q.d <= t.d GROUP BY 1, 2)
+SELECT t.conv_id, t.d AS depth, u.conv_id AS parent_conv_id, t.n_convs, t.n_children, s.n_leaves, s.saved_tokens, t.ends_sha256
+FROM told t JOIN sums s USING (d, p) LEFT JOIN nodes u ON t.d > 0 AND u.d = t.d - 1 AND u.p = t.up"""
+
+
+@query("op12_conversation_trie", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+OP13_SQL = f"""WITH kept AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor({slots.SCALE} * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (SELECT a.vec_id AS anchor_id, e.vec_id, a.label = e.label AS same, CAST(list_dot_product(a.v, e.v) AS BIGINT) AS score
+  FROM kept a JOIN kept e ON a.vec_id % 100 = 0 AND a.vec_id <> e.vec_id AND len(a.v) = len(e.v)),
+positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {slots.POSITIVES}),
+windows AS (SELECT p.*, n.vec_id AS negative_id, n.score AS negative_score,
+  row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.vec_id) AS rank
+  FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.same
+    AND {slots.LOW} * positive_score <= 100 * n.score AND 100 * n.score <= {slots.HIGH} * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM windows WHERE rank <= {slots.NEGATIVES}"""
+
+
+@query("op13_hard_negatives", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return slots.hard_negatives(rows.withColumn("label", moved), "vec_id % 100 = 0")
