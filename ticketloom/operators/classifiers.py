@@ -4,18 +4,18 @@ from __future__ import annotations
 
 import json
 from dataclasses import asdict, dataclass, field
-from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.classification import LinearSVC, LinearSVCModel, LogisticRegression, NaiveBayes
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel, NaiveBayes
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ticketloom.functions.hashing import uniform
 from ticketloom.functions.scores import top_class
+from ticketloom.operators import linear
 from ticketloom.operators.evaluation import majority_class
 from ticketloom.operators.features import MAX_FEATURES, NGRAM_MAX, fit_features
 
@@ -73,142 +73,64 @@ class MajorityHead(Head):
         return df.withColumn("scores", F.array(*[F.lit(1.0 if c == self.winner else 0.0) for c in self.classes]))
 
 
-def _svm(c: float, n: int, max_iter: int, label: str) -> LinearSVC:
-    return LinearSVC(
-        featuresCol="features",
-        labelCol=label,
-        regParam=1.0 / (c * max(n, 1)),
-        maxIter=max_iter,
-        standardization=False,
-    )
-
-
-def _margins(df: DataFrame, models: list[LinearSVCModel], out: str) -> DataFrame:
-    """Decision scores of all one-vs-rest models as one array column."""
-    names = []
-    for i, model in enumerate(models):
-        name = f"_raw_{out}_{i}"
-        df = model.copy().setRawPredictionCol(name).setPredictionCol(f"_p_{out}_{i}").transform(df).drop(f"_p_{out}_{i}")
-        names.append(name)
-    values = [vector_to_array(n)[1] for n in names]
-    if len(models) == 1:
-        values = [-values[0], values[0]]
-    return df.withColumn(out, F.array(*values)).drop(*names)
-
-
-def _fit_one_vs_rest(
-    df: DataFrame, classes: list[str], c: float, n: int, max_iter: int, pool: ThreadPool | None = None
-) -> list[LinearSVCModel]:
-    """One separating plane per class; for two classes one plane serves both."""
-    targets = [1] if len(classes) == 2 else list(range(len(classes)))
-
-    def fit(k: int) -> LinearSVCModel:
-        binary = df.select("features", (F.col("_label") == float(k)).cast("double").alias("_is"))
-        return _svm(c, n, max_iter, "_is").fit(binary)
-
-    return pool.map(fit, targets) if pool else [fit(k) for k in targets]
-
-
 @dataclass
 class SvmHead(Head):
     """Linear SVM, one against the rest. Its scores are margins, not probabilities."""
 
-    models: list[LinearSVCModel] = field(default_factory=list)
+    model: LogisticRegressionModel = None
 
     def score(self, df: DataFrame) -> DataFrame:
-        return _margins(df, self.models, "scores")
+        return linear.multiplied(df, self.model, "scores")
 
 
 @dataclass
-class Curve:
-    """Margin to probability: slope and offset of a sigmoid, or the knots of a monotone line."""
+class Curves:
+    """Margin to probability of one member's machines: slopes and offsets of sigmoids, or knots of monotone lines."""
 
     kind: str
-    xs: list[float]
-    ys: list[float]
+    xs: list
+    ys: list
 
-    def apply(self, m: Column) -> Column:
+    def apply(self, margins: Column) -> Column:
         if self.kind == "sigmoid":
-            return 1 / (1 + F.exp(-(m * self.xs[0] + self.ys[0])))
-        pairs = zip(self.xs, self.ys, strict=True)
-        knots = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in pairs])
-        low = F.array_max(F.filter(knots, lambda k: k["x"] <= m))
-        high = F.array_min(F.filter(knots, lambda k: k["x"] >= m))
-        between = low["y"] + (high["y"] - low["y"]) * (m - low["x"]) / (high["x"] - low["x"])
-        return (
-            F.when(low.isNull(), F.lit(self.ys[0]))
-            .when(high.isNull(), F.lit(self.ys[-1]))
-            .when(high["x"] == low["x"], low["y"])
-            .otherwise(between)
-        )
+            return linear.sigmoids(margins, self.xs, self.ys)
+        return linear.monotone(margins, list(zip(self.xs, self.ys, strict=True)))
 
 
 def _normalised(values: Column) -> Column:
     """The values over their sum; all equal when the sum is 0."""
     total = F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
     even = F.lit(1.0) / F.size(values)
-    return F.transform(values, lambda x: F.when(total > 0, x / total).otherwise(even))
+    # the sum is a variable of an inner function, so that it is made once and not for every value
+    return F.get(F.transform(F.array(total), lambda t: F.transform(values, lambda x: F.when(t > 0, x / t).otherwise(even))), F.lit(0))
 
 
 @dataclass
 class CalibratedHead(Head):
-    """The mean of the members' calibrated, normalised class probabilities."""
-
-    members: list[tuple[list[LinearSVCModel], list[Curve]]] = field(default_factory=list)
-
-    def score(self, df: DataFrame) -> DataFrame:
-        parts = []
-        for i, (models, curves) in enumerate(self.members):
-            name = f"_m{i}"
-            df = _margins(df, models, name)
-            margins = [F.element_at(name, k + 1) for k in range(len(self.classes))]
-            if len(curves) == 1:
-                positive = curves[0].apply(margins[1])
-                values = [1 - positive, positive]
-            else:
-                values = [curve.apply(m) for curve, m in zip(curves, margins, strict=True)]
-            raw = F.array(*values)
-            df = df.withColumn(f"_q{i}", raw).withColumn(f"_q{i}", _normalised(F.col(f"_q{i}"))).drop(name)
-            parts.append(f"_q{i}")
-        mean = [
-            sum((F.element_at(p, k + 1) for p in parts), F.lit(0.0)) / len(parts) for k in range(len(self.classes))
-        ]
-        return df.withColumn("scores", F.array(*mean)).drop(*parts)
-
-
-def _sigmoid_curve(held: DataFrame) -> Curve:
-    """Platt scaling: a logistic fit to the margins with softened targets."""
-    n_pos, n_neg = held.agg(F.count_if(F.col("_is") == 1.0), F.count_if(F.col("_is") == 0.0)).first()
-    soft = F.when(F.col("_is") == 1.0, F.lit((n_pos + 1.0) / (n_pos + 2.0))).otherwise(F.lit(1.0 / (n_neg + 2.0)))
-    sides = F.inline(
-        F.array(
-            F.struct(F.lit(1.0).alias("_t"), soft.alias("_w")), F.struct(F.lit(0.0).alias("_t"), (1 - soft).alias("_w"))
-        )
-    )
-    rows = held.select("_x", sides)
-    model = LogisticRegression(
-        featuresCol="_x", labelCol="_t", weightCol="_w", family="binomial", regParam=0.0, maxIter=100
-    ).fit(rows)
-    return Curve("sigmoid", [float(model.coefficients[0])], [float(model.intercept)])
-
+    """The mean of the members' calibrated, normalised class probabilities.
 
-def _isotonic_curve(held: DataFrame) -> Curve:
-    """A monotone step-and-line fit, interpolated between its boundaries.
-
-    Margins are first gathered on a grid of 1/256, with their number as weight, so the
-    fit and the knots depend on the range of the margins and not on the number of rows.
+    One matrix holds the machines of all members, so a row is multiplied once.
     """
-    from pyspark.ml.functions import array_to_vector
-
-    at = F.round(vector_to_array("_x")[0] * 256) / 256
-    grid = held.groupBy(at.alias("_at")).agg(F.avg("_is").alias("_is"), F.count(F.lit(1)).cast("double").alias("_w"))
-    rows = grid.select(array_to_vector(F.array("_at")).alias("_x"), "_is", "_w")
-    model = IsotonicRegression(featuresCol="_x", labelCol="_is", weightCol="_w").fit(rows)
-    xs, ys = model.boundaries.toArray(), model.predictions.toArray()
-    return Curve("isotonic", [float(v) for v in xs], [float(v) for v in ys])
 
+    model: LogisticRegressionModel = None
+    members: list[Curves] = field(default_factory=list)
 
-_CURVES = {"sigmoid": _sigmoid_curve, "isotonic": _isotonic_curve}
+    def score(self, df: DataFrame) -> DataFrame:
+        df, parts = linear.multiplied(df, self.model, "_margins"), []
+        machines = 1 if len(self.classes) == 2 else len(self.classes)
+        for i, curves in enumerate(self.members):
+            df = df.withColumn(f"_q{i}", curves.apply(F.slice("_margins", i * machines + 1, machines)))
+            if machines == 1:
+                positive = F.element_at(f"_q{i}", 1)
+                df = df.withColumn(f"_q{i}", F.array(1 - positive, positive))
+            else:
+                df = df.withColumn(f"_q{i}", _normalised(F.col(f"_q{i}")))
+            parts.append(F.col(f"_q{i}"))
+        total = parts[0]
+        for part in parts[1:]:
+            total = F.zip_with(total, part, lambda a, b: a + b)
+        scores = F.transform(total, lambda x: x / F.lit(float(len(parts))))
+        return df.withColumn("scores", scores).drop("_margins", *[f"_q{i}" for i in range(len(parts))])
 
 
 def stratified_folds(df: DataFrame, label: str, key: str, folds: int, seed: int, buckets: int = 1024) -> DataFrame:
@@ -229,43 +151,56 @@ def stratified_folds(df: DataFrame, label: str, key: str, folds: int, seed: int,
     return joined.withColumn("_fold", fold).drop("_u", "_b", "_l", "_c", "_first", "_place")
 
 
+def _machines(classes: list[str]) -> list[int]:
+    """Labels that a machine is made for; for two classes one plane serves both."""
+    return [1] if len(classes) == 2 else list(range(len(classes)))
+
+
+def _width(featured: DataFrame) -> int:
+    return int(featured.select(F.unwrap_udt("features")["size"]).first()[0])
+
+
+def _fit_svm(df: DataFrame, classes: list[str], c: float, max_iter: int) -> SvmHead:
+    width = _width(df)
+    blocks = linear.persisted(linear.blocked(df, width))
+    try:
+        weights = linear.fit_squared_hinge(blocks, width, [linear.Target(k) for k in _machines(classes)], c, max_iter).weights
+    finally:
+        blocks.unpersist()
+    if len(weights) == 1:
+        weights = np.concatenate([-weights, weights])
+    return SvmHead(classes, False, linear.matrix_model(df.sparkSession, weights))
+
+
 def _fit_calibrated(
-    df: DataFrame, classes: list[str], key: str, c: float, n: int, max_iter: int, method: str, folds: int, seed: int
+    df: DataFrame, classes: list[str], key: str, c: float, max_iter: int, method: str, folds: int, seed: int
 ) -> CalibratedHead:
-    from pyspark.ml.functions import array_to_vector
-
-    if method not in _CURVES:
-        raise ValueError(f"unknown calibration {method!r}; expected one of {tuple(_CURVES)}")
-    data = stratified_folds(df, "_label", key, folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
-    sizes = {r["_label"]: r["count"] for r in data.groupBy("_label").count().collect()}
-    few = [name for k, name in enumerate(classes) if sizes.get(float(k), 0) < folds]
-    if few or len(classes) < 2:
-        data.unpersist()
-        raise ValueError(f"calibration in {folds} folds needs two classes and {folds} rows of each; too few: {few}")
-    targets = [1] if len(classes) == 2 else list(range(len(classes)))
-
-    def member(fold: int) -> tuple[list[LinearSVCModel], list[Curve]]:
-        models = _fit_one_vs_rest(data.where(F.col("_fold") != fold), classes, c, n * (folds - 1) // folds, max_iter)
-        held = _margins(data.where(F.col("_fold") == fold), models, "_margin").select("_label", "_margin")
-        held = held.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            curves = []
-            for k in targets:
-                one = held.select(
-                    array_to_vector(F.array(F.element_at("_margin", k + 1))).alias("_x"),
-                    (F.col("_label") == float(k)).cast("double").alias("_is"),
-                )
-                curves.append(_CURVES[method](one))
-            return models, curves
-        finally:
-            held.unpersist()
-
+    """``folds`` members, each fitted without one fold and calibrated on it; all their machines in the same passes."""
+    if method not in ("sigmoid", "isotonic"):
+        raise ValueError(f"unknown calibration {method!r}; expected 'sigmoid' or 'isotonic'")
+    data = stratified_folds(df, "_label", key, folds, seed)
+    width = _width(df)
+    blocks = linear.persisted(linear.blocked(data, width, fold="_fold"))
+    margins = None
     try:
-        with ThreadPool(folds) as pool:
-            members = pool.map(member, range(folds))
+        sizes = {r["_label"]: r["count"] for r in df.groupBy("_label").count().collect()}
+        few = [name for k, name in enumerate(classes) if sizes.get(float(k), 0) < folds]
+        if few or len(classes) < 2:
+            raise ValueError(f"calibration in {folds} folds needs two classes and {folds} rows of each; too few: {few}")
+        machines = _machines(classes)
+        targets = [linear.Target(k, fold) for fold in range(folds) for k in machines]
+        weights = linear.fit_squared_hinge(blocks, width, targets, c, max_iter).weights
+        margins = linear.persisted(linear.held_margins(blocks, weights, targets))
+        fitted = linear.fit_sigmoids(margins, targets) if method == "sigmoid" else linear.fit_monotone(margins, targets)
     finally:
-        data.unpersist()
-    return CalibratedHead(classes, True, members)
+        blocks.unpersist()
+        if margins is not None:
+            margins.unpersist()
+    members = []
+    for fold in range(folds):
+        xs, ys = zip(*fitted[fold * len(machines) : (fold + 1) * len(machines)], strict=True)
+        members.append(Curves(method, list(xs), list(ys)))
+    return CalibratedHead(classes, True, linear.matrix_model(df.sparkSession, weights), members)
 
 
 HEADS = ("majority", "complementnb", "logreg", "linearsvc", "linearsvc_calibrated", "linearsvc_isotonic")
@@ -283,23 +218,21 @@ def fit_head(
     if name == "complementnb":
         model = NaiveBayes(featuresCol="features", labelCol="_label", modelType="complement", smoothing=1.0).fit(df)
         return MlHead(classes, True, model)
-    n = df.count()
     if name == "logreg":
         model = LogisticRegression(
             featuresCol="features",
             labelCol="_label",
             family="multinomial",
-            regParam=1.0 / (c * n),
+            regParam=1.0 / (c * max(df.count(), 1)),
             elasticNetParam=0.0,
             standardization=False,
             maxIter=max_iter,
         ).fit(df)
         return MlHead(classes, True, model)
     if name == "linearsvc":
-        with ThreadPool(min(8, len(classes))) as pool:
-            return SvmHead(classes, False, _fit_one_vs_rest(df, classes, c, n, max_iter, pool))
+        return _fit_svm(df, classes, c, max_iter)
     method = "sigmoid" if name == "linearsvc_calibrated" else "isotonic"
-    return _fit_calibrated(df, classes, key, c, n, max_iter, method, 5, seed)
+    return _fit_calibrated(df, classes, key, c, max_iter, method, 5, seed)
 
 
 @dataclass
@@ -326,15 +259,10 @@ def save_model(model: TextModel, path: str) -> None:
     model.features.write().overwrite().save(f"{path}/features")
     if isinstance(head, MajorityHead):
         about["winner"] = head.winner
-    elif isinstance(head, MlHead):
+    else:
         PipelineModel(stages=[head.model]).write().overwrite().save(f"{path}/head")
-    elif isinstance(head, SvmHead):
-        PipelineModel(stages=head.models).write().overwrite().save(f"{path}/head")
-    elif isinstance(head, CalibratedHead):
-        with ThreadPool(len(head.members)) as pool:
-            stages = [PipelineModel(stages=models) for models, _ in head.members]
-            pool.map(lambda i: stages[i].write().overwrite().save(f"{path}/member-{i}"), range(len(stages)))
-        about["curves"] = [[asdict(curve) for curve in curves] for _, curves in head.members]
+    if isinstance(head, CalibratedHead):
+        about["curves"] = [asdict(curves) for curves in head.members]
     spark.range(1).select(F.lit(json.dumps(about)).alias("value")).write.mode("overwrite").text(f"{path}/about")
 
 
@@ -343,16 +271,14 @@ def load_model(spark: SparkSession, path: str) -> TextModel:
     name, classes = about["name"], about["classes"]
     features = PipelineModel.load(f"{path}/features")
     if "winner" in about:
-        head: Head = MajorityHead(classes, True, about["winner"])
-    elif "curves" in about:
-        curves = [[Curve(**c) for c in member] for member in about["curves"]]
-        with ThreadPool(len(curves)) as pool:
-            stages = pool.map(lambda i: PipelineModel.load(f"{path}/member-{i}").stages, range(len(curves)))
-        head = CalibratedHead(classes, True, list(zip(stages, curves, strict=True)))
+        return TextModel(features, MajorityHead(classes, True, about["winner"]), name)
+    model = PipelineModel.load(f"{path}/head").stages[0]
+    if "curves" in about:
+        head: Head = CalibratedHead(classes, True, model, [Curves(**c) for c in about["curves"]])
     elif name == "linearsvc":
-        head = SvmHead(classes, False, PipelineModel.load(f"{path}/head").stages)
+        head = SvmHead(classes, False, model)
     else:
-        head = MlHead(classes, True, PipelineModel.load(f"{path}/head").stages[0])
+        head = MlHead(classes, True, model)
     return TextModel(features, head, name)
 
 

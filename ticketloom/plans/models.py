@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketloom.functions.hashing import uniform
+from ticketloom.functions.scores import top_class
 from ticketloom.functions.text import clean_text, redact
 from ticketloom.operators import drift, evaluation, features, mapping, resampling, textdrift
 from ticketloom.operators.classifiers import (
@@ -122,14 +123,24 @@ def _(spark, sf):
     return rows.select("doc_id", "predicted_label", r6("confidence").alias("confidence"))
 
 
+def _scored(spark, sf, name, max_iter=50):
+    """What a fitted optimiser says of the test side: label, predicted label and the score of every class."""
+    train, test = _sides(training_texts(spark, sf))
+    rows = fit_text_model(train, name, max_iter=max_iter).predict(test)
+    scores = F.transform("scores", r6)
+    kept = [r6("confidence").alias("confidence")] if "confidence" in rows.columns else []
+    return rows.select("doc_id", "label", "predicted_label", *kept, scores.alias("scores"))
+
+
 def _stated(spark, sf, name, max_iter=50):
     """What SQL can say of a fitted optimiser: the rows, that scores are probabilities, that it is no worse than the majority."""
     train, test = _sides(training_texts(spark, sf))
     model = fit_text_model(train, name, max_iter=max_iter)
     total = F.aggregate("scores", F.lit(0.0), lambda a, x: a + x)
-    sound = F.lit(True)
     if model.head.probabilistic:
         sound = F.col("confidence").between(0, 1) & (F.abs(total - 1) < 1e-6) & (F.array_max("scores") == F.col("confidence"))
+    else:  # margins of two classes are one margin and its opposite, and the prediction is the larger one
+        sound = (F.abs(total) < 1e-6) & (top_class(F.col("scores"), model.head.classes) == F.col("predicted_label"))
     rows = model.predict(test).select("doc_id", "label", "predicted_label", sound.alias("scores_sound"))
     rows = settle(rows, "scored")
     winner = evaluation.majority_class(train, "label").first()["majority_class"]
@@ -143,25 +154,23 @@ def _stated(spark, sf, name, max_iter=50):
 STATED = f"""WITH {TRAIN.replace("train AS", "labelled AS")}
     SELECT id AS doc_id, label, TRUE AS scores_sound, TRUE AS reaches_majority FROM labelled WHERE {u_sql("side", "id")} < 0.25"""
 
-
-@query("m04_logistic_regression", STATED)
-def _(spark, sf):
-    return _stated(spark, sf, "logreg")
-
-
-@query("m05_linear_svm", STATED)
-def _(spark, sf):
-    return _stated(spark, sf, "linearsvc")
+FITTED = {
+    "m04_logistic_regression": "logreg",
+    "m05_linear_svm": "linearsvc",
+    "m06_calibrated_svm": "linearsvc_calibrated",
+    "m07_isotonic_svm": "linearsvc_isotonic",
+}
+for _name, _head in FITTED.items():
+    # predictions and scores, which no SQL repeats; and beside them the flags, which SQL states
+    query(_name)(lambda spark, sf, head=_head: _scored(spark, sf, head))
+    query(f"{_name}_stated", STATED)(lambda spark, sf, head=_head: _stated(spark, sf, head))
 
 
-@query("m06_calibrated_svm", STATED)
+@query("m09_all_documents_scored")
 def _(spark, sf):
-    return _stated(spark, sf, "linearsvc_calibrated")
-
-
-@query("m07_isotonic_svm", STATED)
-def _(spark, sf):
-    return _stated(spark, sf, "linearsvc_isotonic")
+    """All documents scored with the production model, the calibrated machines, in one multiply for each."""
+    rows = _fitted(spark, sf, "linearsvc_calibrated").predict(_all_docs(spark, sf))
+    return rows.select("doc_id", "predicted_label", r6("confidence").alias("confidence"))
 
 
 CANDIDATES = ["majority", "complementnb", "logreg", "linearsvc", "linearsvc_calibrated"]
@@ -179,26 +188,40 @@ def _cells_of(test: DataFrame, models: dict[str, TextModel]) -> DataFrame:
     return cells
 
 
-@query(
-    "m11_candidate_sweep",
-    f"""WITH {TRAIN.replace("train AS", "labelled AS")}, n AS (SELECT count(*) AS support FROM labelled WHERE {u_sql("side", "id")} < 0.25)
-    SELECT unnest({CANDIDATES}) AS model, support, TRUE AS reaches_majority,
-    TRUE AS interval_holds_score FROM n""",
-)
-def _(spark, sf):
-    """Every candidate on one feature space, macro F1 with its interval, against the majority."""
+def _board(spark, sf):
+    """Every candidate on one feature space: macro F1 with its interval, and the support it was scored on."""
     train, test = _sides(training_texts(spark, sf))
     cells = _cells_of(test, fit_candidates(train, CANDIDATES, max_iter=50))
     per_class = evaluation.class_scores(cells, ("model",))
-    table_ = evaluation.summary_scores(per_class, ("model",)).select("model", "f1_macro")
+    table_ = evaluation.summary_scores(per_class, ("model",)).select("model", "accuracy", "f1_macro")
     rows = per_class.groupBy("model").agg(F.sum("support").cast("long").alias("support"))
     bounds = None
     for name in CANDIDATES:
         part = resampling.percentile_interval(resampling.bootstrap_f1(cells.where(F.col("model") == name).drop("model")))
         part = part.select(F.lit(name).alias("model"), "ci_low", "ci_high")
         bounds = part if bounds is None else bounds.unionByName(part)
-    floor = table_.where("model = 'majority'").select("f1_macro").scalar()
-    return table_.join(bounds, "model").join(rows, "model").select(
+    return settle(table_.join(bounds, "model").join(rows, "model"), "board")
+
+
+@query("m11_candidate_sweep")
+def _(spark, sf):
+    """The board: scores, intervals, and how far each candidate is from the best."""
+    board = _board(spark, sf)
+    best = board.agg(F.max("f1_macro")).scalar()
+    scores = [F.round(c, 4).alias(c) for c in ("accuracy", "f1_macro")]
+    return board.select("model", "support", *scores, "ci_low", "ci_high", F.round(best - F.col("f1_macro"), 4).alias("behind_best"))
+
+
+@query(
+    "m11_candidate_sweep_stated",
+    f"""WITH {TRAIN.replace("train AS", "labelled AS")}, n AS (SELECT count(*) AS support FROM labelled WHERE {u_sql("side", "id")} < 0.25)
+    SELECT unnest({CANDIDATES}) AS model, support, TRUE AS reaches_majority,
+    TRUE AS interval_holds_score FROM n""",
+)
+def _(spark, sf):
+    board = _board(spark, sf)
+    floor = board.where("model = 'majority'").select("f1_macro").scalar()
+    return board.select(
         "model",
         "support",
         (F.col("f1_macro") >= floor).alias("reaches_majority"),
