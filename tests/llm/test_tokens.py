@@ -158,3 +158,23 @@ def test_packed_documents_come_back_whole(spark, odd, nothing):
 def test_packing_query_fills_rows(spark):
     rows = queries.op7(spark, "/root/testdata/sf0.001").toPandas()
     assert rows.n_tokens.max() <= packing.LENGTH and rows.n_tokens.sum() / (len(rows) * packing.LENGTH) > 0.95
+
+
+def test_caches_are_bounded_by_bytes():
+    """Runs without white space are not kept; short ones only up to the limit."""
+    tool = bpe.Tokenizer(bpe.Vocabulary.read(queries.vocabulary_path()), cached=1 << 16)
+    draw = random.Random(8)
+    for _ in range(20):
+        tool.encode("".join(draw.choice("abcdefgh") for _ in range(20_000)).encode())
+    tool.encode(" ".join("".join(draw.choice("abcdefgh") for _ in range(9)) for _ in range(5000)).encode())
+    for cache in (tool.words, tool.chunks):
+        for part in (cache.young, cache.old):
+            assert sum(len(k) + len(v) + bpe.ENTRY for k, v in part.items()) <= 1 << 16
+            assert all(len(k) <= bpe.CACHED_RUN for k in part)
+
+
+def test_one_stage_codes_as_two(spark, odd):
+    path = queries.vocabulary_path()
+    both = bpe.encode_and_decode(odd, path).select("tokens", "decoded")
+    assert both.exceptAll(bpe.decode(bpe.encode(odd, path), path).select("tokens", "decoded")).count() == 0
+    assert both.count() == 11

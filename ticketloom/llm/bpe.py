@@ -20,8 +20,9 @@ from ticketloom.llm.common import with_columns
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 END = "</w>"
 
-#: Words a generation of a task's cache holds. Only a cache: a word that is not in it is encoded anew.
-CACHED_WORDS = 100_000
+#: Bytes that a generation of a task's cache holds, what an entry takes besides its key and value, and the
+#: longest key that is kept. Only a cache: what is not in it is encoded anew.
+CACHED_BYTES, ENTRY, CACHED_RUN = 16 << 20, 160, 256
 #: Entries of the transition table that a task holds before it begins to fill it anew.
 CACHED_ARCS = 250_000
 
@@ -198,10 +199,10 @@ class TokenAutomaton:
 
 
 class Cache:
-    """Two generations of a dictionary: what was not asked for since the last change is forgotten."""
+    """Two generations of a dictionary, each of ``limit`` bytes: what was not asked for since the last change is forgotten."""
 
     def __init__(self, limit: int) -> None:
-        self.limit, self.young, self.old = limit, {}, {}
+        self.limit, self.held, self.young, self.old = limit, 0, {}, {}
 
     def get(self, key: bytes) -> bytes | None:
         value = self.young.get(key)
@@ -210,16 +211,20 @@ class Cache:
         return value
 
     def put(self, key: bytes, value: bytes) -> None:
-        if len(self.young) >= self.limit:
-            self.old, self.young = self.young, {}
+        if len(key) > CACHED_RUN:
+            return
+        size = len(key) + len(value) + ENTRY
+        if self.held + size > self.limit:
+            self.old, self.young, self.held = self.young, {}, 0
         self.young[key] = value
+        self.held += size
 
 
 class Tokenizer:
     """Texts to ids and back. Words and marks between white space are encoded once and kept."""
 
-    def __init__(self, vocabulary: Vocabulary, cached: int = CACHED_WORDS) -> None:
-        self.vocabulary, self.limit = vocabulary, cached
+    def __init__(self, vocabulary: Vocabulary, cached: int = CACHED_BYTES) -> None:
+        self.vocabulary = vocabulary
         self.automaton = TokenAutomaton(vocabulary)
         self.split = regex.compile(PATTERN)
         self.special = (
@@ -307,3 +312,22 @@ def decode(docs: DataFrame, vocabulary: str, tokens: str = "tokens") -> DataFram
         return lambda ids: [[written(labels, i) for i in ids]]
 
     return with_columns(docs, tokens, T.StructType([T.StructField("decoded", T.StringType(), False)]), make)
+
+
+CODED = T.StructType([*TOKENS.fields, T.StructField("decoded", T.StringType(), False)])
+
+
+def encode_and_decode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
+    """``docs`` with ``tokens`` and ``decoded``, as ``encode`` and then ``decode`` make them, in one Python stage."""
+    known = Vocabulary.read(vocabulary)
+
+    def make() -> Callable[[list[bytes]], list[list]]:
+        tool = Tokenizer(known)
+
+        def code(texts: list[bytes]) -> list[list]:
+            ids = [tool.encode(t) for t in texts]
+            return [ids, [written(known.labels, i) for i in ids]]
+
+        return code
+
+    return with_columns(docs, text, CODED, make, frugal=True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -53,6 +55,28 @@ def slices(texts: list[bytes], limit: int = 1 << 20) -> Iterator[tuple[int, int]
         yield start, len(texts)
 
 
+def release() -> None:
+    """Give memory that is no longer used back to the system: at a task's end, as workers stay and serve other stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library than glibc
+        pass
+
+
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for mapInArrow, with ``release`` after its last batch."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
+
+
 def texts_of(batch: pa.RecordBatch, column: str) -> list[bytes]:
     """The texts of a batch in UTF-8; null is empty."""
     return [t or b"" for t in batch.column(column).cast(pa.binary()).to_pylist()]
@@ -63,11 +87,13 @@ def with_columns(
     text: str,
     added: T.StructType,
     make: Callable[[], Callable[[list[bytes]], list[list]]],
+    frugal: bool = False,
 ) -> DataFrame:
     """Append columns that are functions of one text column, in Arrow batches and without a shuffle.
 
     ``make`` runs once per task and returns a function from texts to one list per
     added column. Columns of ``df`` whose names clash with added ones are replaced.
+    ``frugal`` tasks give their memory back at the end.
     """
     names = {f.name.lower() for f in added}
     kept = df.drop(*[c for c in df.columns if c.lower() in names and c != text])
@@ -86,4 +112,4 @@ def with_columns(
                 old = batch.slice(start, end - start).columns
                 yield pa.RecordBatch.from_arrays([*old, *new], names=schema.names)
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(releasing(run) if frugal else run, schema)

@@ -290,9 +290,10 @@ def judge(docs: DataFrame, stash: Stash, text: str = "text", lang: str = "lang")
     The histograms of character classes and of common words are counted once and kept as
     a small table; the references are their means over all documents of a language; a
     document is measured against the nearest reference by the Jensen-Shannon distance.
-    ``kept`` judges the common words among themselves. ``kept_strict`` also asks that the
-    distance over all words, with one bin for all others, lies within the spread of the
-    language's own documents, for documents of every length that pass the base rules.
+    ``kept`` asks for three things of a document that passes the base rules: that its
+    characters and, where it has LEAST_COMMON words, its common words among themselves are
+    not far from the reference; and, at every length, that its distance over all
+    words, with one bin for all others, lies within the spread of the language's own documents.
 
     Null and empty texts have no words and fail the base rules; documents without a
     language are measured but are in no reference; without references only the base
@@ -301,9 +302,9 @@ def judge(docs: DataFrame, stash: Stash, text: str = "text", lang: str = "lang")
     """
     counts = stash.put(count_words(docs, text).drop(text), "counts")
     measured = stash.put(measure(counts, references(counts, lang)), "measured")
-    judged = measured.withColumn("base_failed", base_failed()).withColumn("kept", ~base_failed() & verdict())
+    judged = measured.withColumn("base_failed", base_failed())
     limits = counts.sparkSession.createDataFrame(spreads(measured, lang), "_near string, _slope double, _limit double")
     judged = judged.join(F.broadcast(limits), F.col("nearest") == F.col("_near"), "left")
     beyond = F.col("all_words_distance") ** 2 - F.col("_slope") / F.nullif(F.col("n_words"), F.lit(0)) > F.col("_limit")
-    judged = judged.withColumn("kept_strict", F.col("kept") & ~F.coalesce(beyond, F.lit(False)))
-    return judged.drop("_near", "_slope", "_limit")
+    kept = ~F.col("base_failed") & verdict() & ~F.coalesce(beyond, F.lit(False))
+    return judged.withColumn("kept", kept).drop("_near", "_slope", "_limit")

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticketloom.llm.common import splitmix, texts_of
+from ticketloom.llm.common import releasing, splitmix, texts_of
 from ticketloom.llm.components import Stash, connected_components
 
 #: Words of a shingle, and the least similarity in hundredths.
@@ -178,7 +178,7 @@ def common_tokens(rows: DataFrame, words: int) -> np.ndarray:
     so a token that is missed because it is spread thinly costs time and loses nothing.
     """
     least = max(COMMON_LEAST, rows.count() // COMMON)
-    counts = rows.mapInArrow(partial(_counted, words=words), "token long, n long")
+    counts = rows.mapInArrow(releasing(partial(_counted, words=words)), "token long, n long")
     found = counts.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("token").toArrow()
     return np.sort(found.column("token").to_numpy().astype(np.int64).view(np.uint64))
 
@@ -312,7 +312,7 @@ def jaccard_components(
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     schema = "doc_id long, n_shingles long, key long, signs array<long>"
     signed = partial(_signed, words=words, alike=alike, common=common_tokens(rows, words))
-    sets = stash.put(rows.mapInArrow(signed, schema), "sets")
+    sets = stash.put(rows.mapInArrow(releasing(signed), schema), "sets")
 
     slim = stash.put(sets.select("doc_id", "n_shingles", "key"), "rows")
     signs = sets.where(F.col("signs").isNotNull()).select(F.explode("signs").alias("sign"), "key")
@@ -330,14 +330,14 @@ def jaccard_components(
     if chosen.count() <= BROADCAST_ROWS:
         picked = F.broadcast(picked)
     fetched = rows.join(picked, rows["doc_id"] == picked["id"]).select("root", "blocks", "key", "text")
-    tokens = fetched.mapInArrow(partial(_tokens, words=words), "root long, blocks long, key long, tokens array<long>")
+    tokens = fetched.mapInArrow(releasing(partial(_tokens, words=words)), "root long, blocks long, key long, tokens array<long>")
     mine = F.pmod(F.xxhash64("key"), F.col("blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     dealt = tokens.withColumn("mine", mine).withColumn("other", other)
     block = F.least("mine", "other") * F.col("blocks") + F.greatest("mine", "other")
     together = dealt.select("root", block.alias("block"), "key", "tokens")
     ordered = together.repartition("root", "block").sortWithinPartitions("root", "block")
-    links = stash.put(ordered.mapInArrow(partial(_opened, alike=alike), "a long, b long"), "links")
+    links = stash.put(ordered.mapInArrow(releasing(partial(_opened, alike=alike)), "a long, b long"), "links")
     linked = connected_components(links, stash)
     for spent in (meetings, chosen, links):
         stash.drop(spent)

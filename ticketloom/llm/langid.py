@@ -107,7 +107,8 @@ def grow(samples: dict[str, list[bytes]]) -> Trees:
         at = np.minimum(np.searchsorted(known[length], ending), max(len(known[length]) - 1, 0))
         if len(known[length]):
             node = np.where(known[length][at] == ending, starts[length] + at, node)
-    return Trees(languages, symbol, node.astype(np.int32), cost.reshape(-1, len(languages)))
+    flat = cost.reshape(cost.shape[0] * letters, len(languages))
+    return Trees(languages, symbol, node.astype(np.int32), flat)
 
 
 def code_lengths(trees: Trees, texts: list[bytes]) -> np.ndarray:

@@ -23,6 +23,9 @@ ROUNDS, BATCH, RATE = 400, 48, 0.01
 
 KEEP_AT = 0.3
 
+#: Bytes of a text that go through the network together; of longer ones, run after run.
+RUN = 1 << 18
+
 
 @dataclass
 class Network:
@@ -111,12 +114,44 @@ def _forward(net: Network, texts: list[bytes]) -> _Pass:
     return _Pass(codes, answers, chunk_of, np.stack([first, second]), pooled, joined, middle, logits)
 
 
-def probabilities(net: Network, texts: list[bytes]) -> np.ndarray:
-    """The network's probability for each whole text."""
-    out = np.empty(len(texts))
-    for start, end in slices(texts, 1 << 18):
-        out[start:end] = 1 / (1 + np.exp(-_forward(net, texts[start:end]).logits.astype(np.float64)))
-    return out
+def _logit_of_runs(net: Network, text: bytes, run: int) -> float:
+    """``_forward`` of one long text over runs of pieces, with one step of overlap; kept are a sum and a maximum.
+
+    A run's last piece is also the first of its next chunk, so its best answers are handed on.
+    """
+    pieces, per = -(-len(text) // PIECE), max(1, run // PIECE)
+    before: np.ndarray | None = None
+    total, most = np.zeros(FILTERS), np.full(FILTERS, -np.inf, np.float32)
+    for first in range(0, pieces, per):
+        last = min(first + per, pieces)
+        codes = np.zeros((last - first) * PIECE + STEP, np.uint8)
+        part = text[first * PIECE : last * PIECE + STEP]
+        codes[: len(part)] = np.frombuffer(part, np.uint8)
+        answers = (_windows(net, codes) @ net.filters)[:-1]
+        if last == pieces:
+            answers[-1] = -np.inf
+        of_piece = answers.reshape(last - first, -1, FILTERS).max(axis=1)
+        if before is not None:
+            of_piece = np.concatenate([before, of_piece])
+        before = of_piece[-1:]
+        pooled = np.maximum(np.maximum(of_piece[:-1], of_piece[1:]) + net.bias, 0)
+        total += pooled.sum(axis=0, dtype=np.float64)
+        most = np.maximum(most, pooled.max(axis=0, initial=-np.inf))
+    joined = np.concatenate([(total / (pieces - 1)).astype(np.float32), most])
+    return float(np.tanh(joined @ net.hidden + net.hidden_bias) @ net.out + net.out_bias[0])
+
+
+def probabilities(net: Network, texts: list[bytes], run: int = RUN) -> np.ndarray:
+    """The network's probability for each whole text; memory does not depend on the length of a text."""
+    logits = np.empty(len(texts))
+    for start, end in slices(texts, run):
+        long = {i for i in range(start, end) if len(texts[i]) > max(run, 2 * PIECE)}
+        for i in long:
+            logits[i] = _logit_of_runs(net, texts[i], run)
+        others = [i for i in range(start, end) if i not in long]
+        if others:
+            logits[others] = _forward(net, [texts[i] for i in others]).logits
+    return 1 / (1 + np.exp(-logits))
 
 
 def _gradients(net: Network, texts: list[bytes], labels: np.ndarray) -> list[np.ndarray]:
@@ -222,14 +257,14 @@ def score(docs: DataFrame, net: Network, text: str = "text") -> DataFrame:
 
     Only the text goes in. Null and empty texts are one piece of zeros and get the
     same score; repeated rows get equal scores; a column named ``score`` is replaced;
-    an empty table stays empty. Texts of any length are cut into overlapping chunks,
-    about a quarter of a megabyte at a time; the network is of fixed size.
+    an empty table stays empty. Texts of any length are cut into overlapping chunks, a
+    quarter of a megabyte at a time, also within one text; the network is of fixed size.
     """
 
     def make() -> Callable[[list[bytes]], list[list]]:
         return lambda texts: [probabilities(net, texts).tolist()]
 
-    return with_columns(docs, text, SCORED, make)
+    return with_columns(docs, text, SCORED, make, frugal=True)
 
 
 def held_out(key: str = "doc_id") -> Column:

@@ -77,7 +77,6 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         "char_distance",
         "word_distance",
         "all_words_distance",
-        "kept_strict",
     )
 
 
@@ -127,9 +126,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary_path()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.encode(docs, path).drop("text")
-    both = bpe.decode(coded, path)
-    return both.select(
+    return bpe.encode_and_decode(docs, path).select(
         "doc_id",
         (F.octet_length("tokens") / 4).cast("long").alias("n_tokens"),
         F.sha2("tokens", 256).alias("ids_sha256"),
