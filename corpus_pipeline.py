@@ -42,9 +42,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each document, and the digest of the text they decode to."""
-    path = vocabulary_path()
-    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path).drop("text")
-    return bpe.decode(coded, path).select(
+    coded = bpe.encode_and_decode(docs.select("doc_id", "lang", "source", "text"), vocabulary_path())
+    return coded.select(
         "doc_id",
         "lang",
         "source",
