@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
@@ -207,3 +208,16 @@ def test_leaderboard_margin_is_strict(spark):
     df = spark.createDataFrame([("prod", 0.90), ("m", 0.1), ("x", 0.91)], "model string, f1_macro double")
     row = evaluation.leaderboard(df, "prod", "m").first()
     assert (row["best_alternative"], row["margin"], row["production_beaten"]) == ("x", 0.01, False)
+
+
+def test_cell_replicates_follow_the_poisson_law(spark):
+    """Counts of each cell have the mean and variance of its size, and repeat; F1 brackets the point estimate."""
+    cells = spark.createDataFrame([("a", "a", 900), ("a", "b", 25), ("b", "a", 3), ("b", "b", 400)], "truth string, predicted string, n long")
+    first = resampling.bootstrap_f1_from_cells(cells, 2000).toPandas().sort_values("replicate")["f1_macro"].to_numpy()
+    again = resampling.bootstrap_f1_from_cells(cells.repartition(3), 2000).toPandas().sort_values("replicate")["f1_macro"].to_numpy()
+    assert len(first) == 2000 and (first == again).all()
+    direct = np.random.default_rng(1).poisson([900, 25, 3, 400], (20_000, 4))
+    f1 = (2 * direct[:, 0] / (2 * direct[:, 0] + direct[:, 1] + direct[:, 2]) + 2 * direct[:, 3] / (2 * direct[:, 3] + direct[:, 1] + direct[:, 2])) / 2
+    assert first.mean() == pytest.approx(f1.mean(), abs=4 * f1.std() / 2000**0.5)
+    assert first.std() == pytest.approx(f1.std(), rel=0.1)
+    assert np.percentile(first, [2.5, 97.5]) == pytest.approx(np.percentile(f1, [2.5, 97.5]), abs=0.002)

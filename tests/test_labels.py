@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 from collections import Counter
 from itertools import combinations
@@ -283,3 +284,33 @@ def test_unknown_score_gives_no_verdict(spark):
     scores = spark.createDataFrame([("text", None, 0.55, 500), ("label", 0.2, 0.1, 500)], "column string, score double, threshold double, rows long")
     found = {r["column"]: r["drifted"] for r in drift.column_verdicts(scores).collect()}
     assert found == {"text": None, "label": True}
+
+
+def test_grouped_percentiles_are_exact_whatever_the_sketch(spark):
+    """Ties, unmeasured values, groups of one row and of none, and sketches so coarse that bounds matter."""
+    draw = random.Random(6)
+    rows = [("a", draw.gauss(0, 1)) for _ in range(3000)] + [("b", float(draw.randrange(5))) for _ in range(2000)]
+    rows += [("c", 7.5), ("d", None), ("d", float("nan")), (None, 1.0), (None, 4.0)] + [("e", -0.5)] * 400
+    df = spark.createDataFrame(rows, "g string, x double").repartition(5)
+    by_group = {}
+    for g, x in rows:
+        by_group.setdefault(g, [])
+        if x is not None and not math.isnan(x):
+            by_group[g].append(x)
+    for accuracy in (100, 300, 100_000):
+        found = percentiles.grouped_percentiles(df, "x", ("g",), (0.0, 0.01, 0.5, 0.95, 1.0), accuracy).collect()
+        assert {r["g"] for r in found} == set(by_group)
+        for r in found:
+            values = by_group[r["g"]]
+            assert r["n"] == len(values)
+            expected = np.percentile(values, [0, 1, 50, 95, 100]) if values else [None] * 5
+            assert [r[f"p{p}"] for p in (0, 1, 50, 95, 100)] == (pytest.approx(expected) if values else expected)
+
+
+def test_percentiles_scan_twice(spark, tmp_path):
+    """Once for the sketch, which is a table then, and once for the ranks, by group or not."""
+    spark.range(1000).selectExpr("id % 3 AS g", "CAST(id AS double) AS x").write.parquet(f"{tmp_path}/t")
+    source = spark.read.parquet(f"{tmp_path}/t")
+    for by in ((), ("g",)):
+        text = plan(percentiles.grouped_percentiles(source, "x", by))
+        assert text.count(f"{tmp_path}/t") == 1

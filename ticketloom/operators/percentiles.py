@@ -1,105 +1,81 @@
-"""Exact percentiles of one numeric column, without holding its values in one task."""
+"""Exact percentiles of a numeric column, overall or by group, in two scans."""
 
 from __future__ import annotations
 
-import functools
-import math
-from dataclasses import dataclass
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_INF = math.inf
-
+from ticketloom.session import settle
 
-@dataclass
-class _Bracket:
-    """Rows with low <= x <= high; the wanted one is number ``inner`` (from 0) of ``size``."""
+#: A sketch places a value to one rank in so many. Groups of no more rows are ranked whole.
+ACCURACY = 100_000
+#: Ranks on either side of a wanted one, in parts of ACCURACY, that are looked at: the error of the
+#: sketch, and what (n - 1) p and n p differ by.
+SLACK = 3
 
-    rank: int
-    inner: int
-    size: int
-    low: float = -_INF
-    high: float = _INF
-
-    def holds(self) -> Column:
-        return F.col("x").between(F.lit(self.low), F.lit(self.high))
 
+def grouped_percentiles(
+    df: DataFrame,
+    column: str,
+    by: tuple[str, ...] = (),
+    probabilities: tuple[float, ...] = (0.5, 0.95, 0.99),
+    accuracy: int = ACCURACY,
+) -> DataFrame:
+    """(by, n, mean, p...) with the exact percentiles of each group, linearly interpolated.
 
-def _narrow(values: DataFrame, brackets: list[_Bracket]) -> dict[int, float]:
-    """The value at each rank. A round is two aggregates over all open brackets.
+    The first scan makes one mergeable sketch per group, which bounds each wanted value from
+    both sides. The second counts what lies below the bounds and ranks only what lies
+    between, some hundred-thousandths of a group, equal values as one. So no group is sorted,
+    there is no loop, and the plan is the same for all sizes.
 
-    Approximate percentiles of the rows inside a bracket propose a tighter one around
-    the rank, exact counts decide which part the rank lies in. A round keeps about a
-    thousandth of the rows, until both ends of a bracket are one value.
+    NULL and NaN are no measurements: a group of nothing else has n = 0 and NULLs. NULL
+    is a group like any other. An empty input has no groups; without ``by`` it is one row with n = 0.
     """
-    found: dict[int, float] = {}
-    while brackets:
-        proposals = values.agg(
-            *[
-                F.approx_percentile(
-                    F.when(b.holds(), F.col("x")),
-                    [max(0.0, b.inner / b.size - 5e-4), min(1.0, b.inner / b.size + 5e-4)],
-                    10000,
-                )
-                for b in brackets
-            ]
-        ).first()
-        cuts = []
-        for b, (lower, upper) in zip(brackets, proposals, strict=True):
-            whole = lower == b.low and upper == b.high and lower < upper
-            cuts.append((lower + (upper - lower) / 2,) * 2 if whole else (lower, upper))
-        counts = values.agg(
-            *[
-                F.count_if(b.holds() & test)
-                for b, (lower, upper) in zip(brackets, cuts, strict=True)
-                for test in (F.col("x") < F.lit(lower), F.col("x") <= F.lit(upper))
-            ]
-        ).first()
-        left = []
-        for i, (b, (lower, upper)) in enumerate(zip(brackets, cuts, strict=True)):
-            below, upto = counts[2 * i], counts[2 * i + 1]
-            if b.inner < below:
-                b.high, b.size = math.nextafter(lower, -_INF), below
-            elif b.inner < upto:
-                b.low, b.high, b.inner, b.size = lower, upper, b.inner - below, upto - below
-            else:
-                b.low, b.inner, b.size = math.nextafter(upper, _INF), b.inner - upto, b.size - upto
-            if b.low == b.high:
-                found[b.rank] = b.low
-            else:
-                left.append(b)
-        brackets = left
-    return found
+    x = F.col(column).cast("double")
+    known = [F.col(c).alias(f"_g{i}") for i, c in enumerate(by)]
+    groups = [f"_g{i}" for i in range(len(by))]
+    values = df.select(*known, F.when(~F.isnan(x), x).alias("x"))
+    around = [min(1.0, max(0.0, p + side * SLACK / accuracy)) for p in probabilities for side in (-1, 1)]
+    sketch = values.groupBy(*groups).agg(
+        F.count("x").alias("n"), F.avg("x").alias("mean"), F.approx_percentile("x", around, accuracy).alias("cuts")
+    )
+    sketch = settle(sketch, "sketch")
+    few = F.col("n") <= accuracy
+    wanted = []
+    for i, p in enumerate(probabilities):
+        low = F.when(few | F.lit(p * accuracy <= SLACK), F.lit(float("-inf"))).otherwise(F.get("cuts", F.lit(2 * i)))
+        high = F.when(few | F.lit((1 - p) * accuracy <= SLACK), F.lit(float("inf"))).otherwise(F.get("cuts", F.lit(2 * i + 1)))
+        spot = F.lit(p) * (F.col("n") - 1)
+        wanted.append(F.struct(F.lit(i).alias("which"), spot.alias("spot"), low.alias("low"), high.alias("high")))
+    brackets = sketch.where("n > 0").select(*groups, F.inline(F.array(*wanted)))
+    same = [F.col(f"v.{g}").eqNullSafe(F.col(f"b.{g}")) for g in groups]
+    pairs = values.where("x IS NOT NULL").alias("v")
+    pairs = pairs.join(brackets.alias("b"), same) if groups else pairs.crossJoin(F.broadcast(brackets.alias("b")))
+    # one row per value inside, and one for all below; what lies above is of no use
+    inside = F.when(F.col("x") >= F.col("low"), F.col("x"))
+    counted = (
+        pairs.where(F.col("x") <= F.col("high"))
+        .select(*[F.col(f"v.{g}").alias(g) for g in groups], "which", "spot", inside.alias("x"))
+        .groupBy(*groups, "which", "spot", "x")
+        .agg(F.count(F.lit(1)).alias("here"))
+    )
+    upto = F.sum("here").over(Window.partitionBy(*groups, "which").orderBy(F.asc_nulls_first("x")))
+    ranked = counted.withColumn("upto", upto)
+    first = F.floor("spot")
+    at = lambda rank: F.min(F.when(F.col("upto") > rank, F.col("x")))
+    found = ranked.groupBy(*groups, "which", "spot").agg(at(first).alias("a"), at(first + 1).alias("b"))
+    share = F.col("spot") - first
+    value = F.when(share == 0, F.col("a")).otherwise(F.col("a") + (F.col("b") - F.col("a")) * share)
+    names = [f"p{round(100 * p)}" for p in probabilities]
+    columns = [F.max(F.when(F.col("which") == i, F.col("value"))).alias(name) for i, name in enumerate(names)]
+    per = found.withColumn("value", value).groupBy(*groups).agg(*columns)
+    same = [F.col(f"s.{g}").eqNullSafe(F.col(f"q.{g}")) for g in groups]
+    joined = sketch.alias("s").join(per.alias("q"), same or F.lit(True), "left")
+    return joined.select(*[F.col(f"s.{g}").alias(c) for g, c in zip(groups, by, strict=True)], "n", "mean", *names)
 
 
 def latency_summary(
     df: DataFrame, column: str, probabilities: tuple[float, ...] = (0.5, 0.95, 0.99)
 ) -> DataFrame:
-    """One row: n, mean and the exact percentiles with linear interpolation.
-
-    NULL and NaN are no measurements: they are neither counted nor ranked. An empty
-    input gives n = 0 and NULLs.
-    """
-    values = df.select(F.col(column).cast("double").alias("x")).where("x IS NOT NULL AND NOT isnan(x)")
-    n, mean = values.agg(F.count(F.lit(1)), F.avg("x")).first()
-    names = [f"p{round(100 * p)}" for p in probabilities]
-    schema = "n long, mean double, " + ", ".join(f"{name} double" for name in names)
-    if n == 0:
-        return df.sparkSession.createDataFrame([(0, None, *[None] * len(names))], schema)
-    spots = [p * (n - 1) for p in probabilities]
-    ranks = sorted({math.floor(s) for s in spots})
-    at = _narrow(values, [_Bracket(r, r, n) for r in ranks])
-    after = values.agg(
-        *[
-            e
-            for r in ranks
-            for e in (F.count_if(F.col("x") <= at[r]), F.min(F.when(F.col("x") > at[r], F.col("x"))))
-        ]
-    ).first()
-    following = {r: at[r] if after[2 * i] > r + 1 else after[2 * i + 1] for i, r in enumerate(ranks)}
-    row = []
-    for s in spots:
-        r = math.floor(s)
-        row.append(at[r] if s == r else at[r] + (following[r] - at[r]) * (s - r))
-    return df.sparkSession.createDataFrame([(n, mean, *row)], schema)
+    """One row: n, mean and the exact percentiles with linear interpolation; n = 0 and NULLs of an empty input."""
+    return grouped_percentiles(df, column, (), probabilities)

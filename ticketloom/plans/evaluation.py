@@ -8,7 +8,7 @@ from ticketloom.functions.hashing import uniform
 from ticketloom.functions.scores import map_confidence, map_top_class, route, score_map
 from ticketloom.functions.statistics import mcnemar_exact
 from ticketloom.operators import calibration, evaluation, mapping, paired, resampling
-from ticketloom.operators.percentiles import latency_summary
+from ticketloom.operators.percentiles import grouped_percentiles, latency_summary
 from ticketloom.plans.registry import query
 from ticketloom.plans.views import CLASSES, DIM, FINE, PRED, balanced, fine, intent_dim, pred, r6, table, u_sql
 from ticketloom.session import settle
@@ -150,14 +150,38 @@ def _(spark, sf):
     return _replicates(spark, sf).select(F.col("replicate").cast("long").alias("replicate"), r6("f1_macro").alias("f1_macro"))
 
 
+CELL_REPLICATES = f"""spans AS (SELECT *, greatest(0, CAST(floor(n - 12 * sqrt(n) - 12) AS BIGINT)) AS low FROM cells),
+    steps AS (SELECT truth, predicted, n, low, unnest(range(low, CAST(ceil(n + 12 * sqrt(n) + 12) AS BIGINT) + 1)) AS k FROM spans),
+    below AS (SELECT truth, predicted, k, sum(exp(k * ln(n::DOUBLE) - n - lgamma(k + 1)))
+      OVER (PARTITION BY truth, predicted ORDER BY k) AS f FROM steps),
+    uniforms AS (SELECT r AS replicate, truth, predicted, low,
+      CAST('0x' || substr(md5('42|' || r || '|' || truth || '|' || predicted), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS u
+      FROM spans, (SELECT unnest(range(1000)) AS r)),
+    every AS (SELECT u.replicate, u.truth, u.predicted, coalesce(b.k + 1, u.low) AS n
+      FROM uniforms u ASOF LEFT JOIN below b ON u.truth = b.truth AND u.predicted = b.predicted AND u.u >= b.f),
+    drawn AS (SELECT * FROM every WHERE n > 0),
+    {per_class_sql('drawn', by='replicate', out='per_draw')},
+    replicates AS (SELECT replicate, avg(f1_) AS f1_macro FROM per_draw GROUP BY replicate)"""
+
+
+def _cell_replicates(spark, sf):
+    return resampling.bootstrap_f1_from_cells(evaluation.confusion_cells(pred(spark, sf), "y", "a"))
+
+
+@query("a10_bootstrap_cells", f"WITH {PRED}, {CELLS}, {CELL_REPLICATES} SELECT replicate, round(f1_macro, 6) AS f1_macro FROM replicates")
+def _(spark, sf):
+    """A thousand replicates drawn from the cells."""
+    return _cell_replicates(spark, sf).select("replicate", r6("f1_macro").alias("f1_macro"))
+
+
 @query(
     "a10_bootstrap_interval",
-    f"""WITH {PRED}, {REPLICATES} SELECT round(quantile_cont(f1_macro, 0.025), 4) AS ci_low,
+    f"""WITH {PRED}, {CELLS}, {CELL_REPLICATES} SELECT round(quantile_cont(f1_macro, 0.025), 4) AS ci_low,
     round(quantile_cont(f1_macro, 0.975), 4) AS ci_high FROM replicates""",
 )
 def _(spark, sf):
-    """The interval of the replicates whose draws SQL can repeat."""
-    return resampling.percentile_interval(_replicates(spark, sf))
+    """The interval of a thousand replicates, whose draws SQL can repeat."""
+    return resampling.percentile_interval(_cell_replicates(spark, sf))
 
 
 def p_sql(b: str, c: str) -> str:
@@ -521,6 +545,17 @@ PERCENTILES = """lat AS (SELECT count(value) AS n, avg(value) AS mean, quantile_
   quantile_cont(value, 0.95) AS p95, quantile_cont(value, 0.99) AS p99 FROM events)"""
 
 
+@query(
+    "a24_grouped_percentiles",
+    """SELECT event_type, count(value) AS n, round(avg(value), 6) AS mean, round(quantile_cont(value, 0.5), 6) AS p50,
+    round(quantile_cont(value, 0.95), 6) AS p95, round(quantile_cont(value, 0.99), 6) AS p99 FROM events GROUP BY event_type""",
+)
+def _(spark, sf):
+    """Percentiles of every kind of event, from one sketch for each and one exact pass."""
+    rows = grouped_percentiles(table(spark, sf, "events"), "value", ("event_type",))
+    return rows.select("event_type", "n", *[r6(c).alias(c) for c in ("mean", "p50", "p95", "p99")])
+
+
 @query(
     "a24_latency_percentiles",
     f"""WITH {PERCENTILES} SELECT n, round(mean, 6) AS mean, round(p50, 6) AS p50, round(p95, 6) AS p95,
