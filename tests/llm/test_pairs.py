@@ -92,6 +92,7 @@ def test_planted_families_match_all_pairs(spark, monkeypatch, words, alike, leas
 def test_blocks_give_the_same_links(spark, monkeypatch):
     texts = planted(9, families=3, members=40)
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    # most groups are larger than a block: they are signed anew, and what is left is dealt as pairs of blocks
     monkeypatch.setattr(jaccard, "BLOCK", 300)
     monkeypatch.setattr(jaccard, "BROADCAST_ROWS", 0)
     found = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(docs).collect()}
@@ -114,6 +115,10 @@ def test_alike_sets_share_a_signature(alike):
             # whichever tokens count as common
             common = np.sort(draw.choice(numbers, int(draw.integers(1, len(numbers) + 1)), replace=False))
             assert len(np.intersect1d(jaccard.signatures(a, alike, common), jaccard.signatures(b, alike, common)))
+            # and in every turn, which are independent of each other
+            again = jaccard.signatures(a, alike, common, 2)
+            assert len(np.intersect1d(again, jaccard.signatures(b, alike, common, 2)))
+            assert not len(np.intersect1d(again, jaccard.signatures(a, alike, common)))
     assert pairs > 300
 
 

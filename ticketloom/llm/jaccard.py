@@ -1,4 +1,4 @@
-"""N-gram Jaccard join with a token-group matrix."""
+"""N-gram Jaccard join: groups by part signatures, whose members are bounded by the group's tokens before they are compared."""
 
 from __future__ import annotations
 
@@ -23,6 +23,8 @@ BLOCK = 1 << 20
 COMMON, COMMON_LEAST = 2000, 16
 #: Tokens that a task holds before it counts them.
 COUNTED = 1 << 22
+#: Times that groups larger than a block are signed anew, with parts dealt otherwise.
+SIGNED_ANEW = 3
 #: Rows of at most four numbers that may be broadcast (32 MB); more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -121,10 +123,11 @@ def _emit(
 _NONE = np.empty(0, np.uint64)
 
 
-def signatures(tokens: np.ndarray, alike: int = ALIKE, common: np.ndarray = _NONE) -> np.ndarray:
+def signatures(tokens: np.ndarray, alike: int = ALIKE, common: np.ndarray = _NONE, turn: int = 0) -> np.ndarray:
     """All signatures of a set: for its own band of sizes, and for the next if alike sets may lie there.
 
-    ``common`` are the common tokens, in order; whichever they are, alike sets share a signature.
+    ``common`` are the common tokens, in order; whichever they are, and in whatever turn, alike
+    sets share a signature. Tokens fall into other parts in every turn.
     """
     size = len(tokens)
     apart = most_apart(size, alike)
@@ -140,7 +143,7 @@ def signatures(tokens: np.ndarray, alike: int = ALIKE, common: np.ndarray = _NON
     for band in (own, own + 1):
         least, parts = known[band]
         if band == own or size * 100 // alike >= least:
-            _emit(tokens, widespread, parts, apart, _salt(band), 3, out)
+            _emit(tokens, widespread, parts, apart, _salt(band, turn) if turn else _salt(band), 3, out)
     return np.unique(np.concatenate(out)).view(np.int64)
 
 
@@ -203,6 +206,52 @@ def _signed(batches: Iterator[pa.RecordBatch], words: int, alike: int, common: n
         yield pa.RecordBatch.from_arrays([ids, *made], names=["doc_id", "n_shingles", "key", "signs"])
 
 
+def _signed_anew(
+    batches: Iterator[pa.RecordBatch], words: int, alike: int, common: np.ndarray, turn: int
+) -> Iterator[pa.RecordBatch]:
+    """(root, key, text) -> (key, signs): the signatures of another turn, each told apart by the group."""
+    for batch in batches:
+        roots, keys, signs = batch.column(0).to_pylist(), [], []
+        texts = texts_of(batch, batch.schema.names[2])
+        for root, key, text in zip(roots, batch.column(1).to_pylist(), texts, strict=True):
+            tokens = shingle_set(text, words)
+            if len(tokens) and set_key(tokens) == key:
+                keys.append(key)
+                own = signatures(tokens, alike, common, turn).view(np.uint64)
+                signs.append(splitmix(own ^ _salt(root & (1 << 64) - 1)).view(np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(signs, pa.list_(pa.int64()))], names=["key", "signs"])
+
+
+def _refined(
+    chosen: DataFrame, rows: DataFrame, words: int, alike: int, common: np.ndarray, stash: Stash
+) -> DataFrame:
+    """``chosen`` (root, key, id, n) with groups of more than a block taken apart where that loses no link.
+
+    Signatures also join sets that only share a passage, and such joins chain up. Alike sets share
+    a signature in every turn, others seldom in several, so members of a large group are
+    signed anew: what shares a signature within the group stays together, and who
+    shares none is alike to nobody.
+    """
+    for turn in range(1, SIGNED_ANEW + 1):
+        weights = chosen.groupBy("root").agg(F.sum("n").alias("weight"))
+        large = stash.put(weights.where(F.col("weight") > BLOCK).select("root"), "large")
+        if large.isEmpty():
+            break
+        members = chosen.join(large, "root", "left_semi")
+        picked = members.select("id", "root", "key")
+        picked = F.broadcast(picked) if picked.count() <= BROADCAST_ROWS else picked
+        fetched = rows.join(picked, rows["doc_id"] == picked["id"]).select("root", "key", "text")
+        signing = partial(_signed_anew, words=words, alike=alike, common=common, turn=turn)
+        signed = fetched.mapInArrow(releasing(signing), "key long, signs array<long>")
+        meetings = stash.put(_meetings(signed.select(F.explode("signs").alias("sign"), "key")), "meetings")
+        edges = meetings.where("key <> lo").select(F.col("key").alias("a"), F.col("lo").alias("b")).distinct()
+        groups = connected_components(edges, stash)
+        apart = members.drop("root").join(groups, F.col("key") == F.col("node")).select("root", "key", "id", "n")
+        chosen = stash.put(chosen.join(large, "root", "left_anti").unionByName(apart), "chosen")
+        stash.drop(meetings)
+    return chosen
+
+
 def _tokens(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """(root, blocks, key, text) -> (root, blocks, key, tokens) of rows whose text has that key."""
     for batch in batches:
@@ -295,14 +344,18 @@ def jaccard_components(
     1. Equal sets are one class, whatever the number of copies; a class has a 64-bit key.
     2. Sets that may be alike share a signature (see ``_emit``): no pair is lost, and
        passages that many texts share make none. What shared signatures connect is a
-       group of similar sets.
-    3. Each group's tokens come together once, a group larger than a block as pairs of
-       blocks. Its column of the token-group matrix is built there: the union of the
-       members' tokens, with the number of members that have each. A member whose
-       overlap with what the others have is below the least similarity is not opened.
+       group of similar sets. Groups larger than a block are signed anew, which takes them
+       apart where only passages held them together (see ``_refined``).
+    3. Each group's tokens come together once, a group that is still larger than a block as
+       pairs of blocks. There the union of the members' tokens is made, with the number
+       of members that have each. A member whose overlap with what the others have is below
+       the least similarity is not opened.
     4. The qualifying members are opened: whole sets are compared, and enough links kept
        that they connect what all links do.
 
+    The dealt method keeps a matrix of tokens and groups and bounds each set against every group. Here
+    signatures, which lose no link, name the one group that a set can have partners in.
+
     Null and empty texts have 0 shingles and are their own component; a row without a
     key links with nothing and its component is null; repeated rows are copies; an empty
     table gives no rows; other columns are not read.
@@ -311,7 +364,8 @@ def jaccard_components(
     stash = Stash(spark)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     schema = "doc_id long, n_shingles long, key long, signs array<long>"
-    signed = partial(_signed, words=words, alike=alike, common=common_tokens(rows, words))
+    common = common_tokens(rows, words)
+    signed = partial(_signed, words=words, alike=alike, common=common)
     sets = stash.put(rows.mapInArrow(releasing(signed), schema), "sets")
 
     slim = stash.put(sets.select("doc_id", "n_shingles", "key"), "rows")
@@ -325,6 +379,7 @@ def jaccard_components(
     members = slim.where(F.col("doc_id").isNotNull() & F.col("key").isNotNull())
     chosen = members.join(groups, members["key"] == groups["node"]).groupBy("root", "key")
     chosen = stash.put(chosen.agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("n")), "chosen")
+    chosen = _refined(chosen, rows, words, alike, common, stash)
     weights = chosen.groupBy("root").agg(F.ceil(F.sum("n") / F.lit(BLOCK)).alias("blocks"))
     picked = chosen.join(weights, "root").select("id", "root", "blocks", "key")
     if chosen.count() <= BROADCAST_ROWS:
@@ -339,7 +394,7 @@ def jaccard_components(
     ordered = together.repartition("root", "block").sortWithinPartitions("root", "block")
     links = stash.put(ordered.mapInArrow(releasing(partial(_opened, alike=alike)), "a long, b long"), "links")
     linked = connected_components(links, stash)
-    for spent in (meetings, chosen, links):
+    for spent in (meetings, links):
         stash.drop(spent)
 
     rooted = slim.join(linked, slim["key"] == linked["node"], "left").select(
