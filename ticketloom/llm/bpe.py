@@ -22,9 +22,9 @@ END = "</w>"
 
 #: Bytes that a generation of a task's cache holds, what an entry takes besides its key and value, and the
 #: longest key that is kept. Only a cache: what is not in it is encoded anew.
-CACHED_BYTES, ENTRY, CACHED_RUN = 16 << 20, 160, 256
+CACHED_BYTES, ENTRY, CACHED_RUN = 8 << 20, 160, 256
 #: Entries of the transition table that a task holds before it begins to fill it anew.
-CACHED_ARCS = 250_000
+CACHED_ARCS = 125_000
 
 
 def byte_signs() -> dict[int, str]:

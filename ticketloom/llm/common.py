@@ -16,8 +16,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 #: Words are runs of anything but ASCII white space; ``bytes.split()`` splits at the same bytes.
 SPACES = r"[\x20\x09-\x0D]+"
 
-#: Bytes of text that a task turns into results at a time.
-SLICE = 4 << 20
+#: Bytes of text that a task turns into results at a time; rows that a frugal one takes out of a batch at a time.
+SLICE, FEW_ROWS = 4 << 20, 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,7 +93,7 @@ def with_columns(
 
     ``make`` runs once per task and returns a function from texts to one list per
     added column. Columns of ``df`` whose names clash with added ones are replaced.
-    ``frugal`` tasks give their memory back at the end.
+    ``frugal`` tasks hold the texts of a few rows at a time and give their memory back at the end.
     """
     names = {f.name.lower() for f in added}
     kept = df.drop(*[c for c in df.columns if c.lower() in names and c != text])
@@ -104,6 +104,11 @@ def with_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = make()
+        for whole in batches:
+            rows = FEW_ROWS if frugal else max(whole.num_rows, 1)
+            yield from added_to(function, [whole.slice(i, rows) for i in range(0, whole.num_rows, rows)])
+
+    def added_to(function: Callable[[list[bytes]], list[list]], batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = texts_of(batch, text)
             for start, end in slices(texts, SLICE):
