@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from conftest import plan
 from pyspark.sql import functions as F
@@ -8,9 +10,10 @@ from ticketloom import jobs
 from ticketloom.functions.hashing import uniform
 from ticketloom.functions.intents import QUEUES, mapping_table
 from ticketloom.functions.scores import map_confidence, map_top_class, route, score_map, top_class
-from ticketloom.operators import synthetic, textdrift
+from ticketloom.operators import registry, synthetic, textdrift
 from ticketloom.operators.classifiers import HEADS, fit_candidates, fit_text_model, load_model, save_model, stratified_folds
 from ticketloom.operators.features import long_form, vocabulary_of
+from ticketloom.operators.synthetic import synthetic_corpus
 from ticketloom.sources import corpus
 
 
@@ -217,3 +220,24 @@ def test_calibration_needs_rows_of_every_class(texts):
 
 def test_text_drift_of_nothing_is_unknown(texts):
     assert textdrift.text_drift(texts, texts.where("false"), "text", "doc_id") is None
+
+
+def test_versions_of_runs_that_end_together(spark, tmp_path):
+    path = str(tmp_path / "registry")
+    with ThreadPoolExecutor(2) as pool:
+        numbers = list(pool.map(lambda run: jobs.register(spark, path, "m", 0.8, "real", f"run {run}"), range(2)))
+    assert sorted(numbers) == [1, 2]
+    assert [r["promoted"] for r in jobs.versions(spark, path, "m").orderBy("version").collect()] == [True, False]
+    jobs.register(spark, path, "m", 0.7, "synthetic", "another corpus")
+    jobs.register(spark, path, "m", 0.75, "synthetic", "better")
+    assert [r["promoted"] for r in jobs.versions(spark, path, "m").orderBy("version").collect()] == [True, False, True, True]
+    assert registry.production_version(jobs.versions(spark, path, "m")).first()["production_version"] == 4
+
+
+def test_training_records_a_version(spark, tmp_path):
+    data, path = str(tmp_path / "data"), str(tmp_path / "registry")
+    raw = synthetic_corpus(spark.range(300), "id").withColumn("split", F.when(F.col("id") % 4 == 0, "test").otherwise("train"))
+    jobs.prepare_corpus(raw, data)
+    first, second = (jobs.train_version(spark, data, path, "synthetic", "complementnb").first() for _ in range(2))
+    assert (first["version"], first["promoted"], second["version"], second["promoted"]) == (1, True, 2, False)
+    assert first["f1_macro"] == second["f1_macro"] > 0.5 and first["path"] != second["path"]

@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
-from ticketloom.sources import corpus, logs, reports
+from ticketloom.operators import retention
+from ticketloom.sources import commits, corpus, logs, reports
 
 
 def write(path, lines):
@@ -125,3 +127,60 @@ def test_log_days_are_pruned(spark, tmp_path):
     logs.write_log(log, str(tmp_path / "log"))
     day = logs.scan_log(spark, str(tmp_path / "log")).where("dt = date'2024-01-02'")
     assert day.count() == 1 and "PartitionFilters: [isnotnull(dt" in plan(day)
+
+
+def test_headers_in_another_order_are_put_together_by_name(spark, tmp_path):
+    write(tmp_path / "a b.csv", ["intent,queue", "i1, Billing ", "i2,"])
+    write(tmp_path / "bo.csv", ["queue,note,intent", "general,why not,i1"])
+    write(tmp_path / "cy.csv", ["intent,queue", "i3,general"])
+    (tmp_path / "blank.csv").write_text("")
+    got = sorted(rows(corpus.scan_sheets(spark, str(tmp_path))))
+    assert got == [("a b", "i1", "billing"), ("a b", "i2", ""), ("bo", "i1", "general"), ("cy", "i3", "general")]
+    groups = corpus.files_by_header(spark, f"{tmp_path}/*.csv")
+    assert [[f.rsplit("/", 1)[1] for f in g] for g in groups] == [["a b.csv", "cy.csv"], ["bo.csv"]]
+    write(tmp_path / "dee.csv", ["intent,kue", "i1,general"])
+    with pytest.raises(ValueError, match=r"missing columns \['queue'\].*dee.csv"):
+        corpus.scan_sheets(spark, str(tmp_path))
+
+
+def test_retention_hides_days_at_once_and_deletes_them_a_run_later(spark, tmp_path):
+    path = str(tmp_path / "log")
+    assert logs.prune_log(spark, path, 1) == []
+    days = [f"2024-01-0{d}" for d in range(1, 7)]
+    log = spark.createDataFrame([(f"{d} 08:00:00", f"text {i}", "billing") for d in days for i in range(10)], "ts string, text string, label string")
+    logs.write_log(log.withColumn("ts", F.col("ts").cast("timestamp")), path)
+    size = {p.parent.name: 0 for p in (tmp_path / "log").rglob("*.json")}
+    for p in (tmp_path / "log").rglob("*.json"):
+        size[p.parent.name] += p.stat().st_size
+    per_day = size["dt=2024-01-01"]
+    assert set(size.values()) == {per_day}
+
+    before = logs.scan_live(spark, path)
+    assert logs.prune_log(spark, path, 2 * per_day + 1) == []
+    # a reader from before finds all its files, a new one sees the kept days only
+    assert before.count() == 60
+    live = logs.scan_live(spark, path)
+    assert sorted({r[0] for r in live.select(F.col("dt").cast("string")).distinct().collect()}) == days[3:]
+    assert "dt" in plan(live).split("PartitionFilters", 1)[1]
+    assert logs.load_predictions(spark, path).count() == 30
+
+    # the same sizes by lines, as the query has them
+    lines = spark.read.text(f"{path}/dt=*").withColumn("day", F.regexp_extract(F.input_file_name(), "dt=([0-9-]+)", 1))
+    kept = retention.retained_days(lines, F.col("day"), F.col("value"), 2 * per_day + 1)
+    assert sorted(r["day"] for r in kept.collect()) == days[3:]
+
+    assert logs.prune_log(spark, path, 10 * per_day) == days[:3]
+    assert live.count() == 30 and logs.scan_live(spark, path).count() == 30
+    assert logs.first_days(spark, path) == [days[3], days[3]]
+    assert sorted(p.name for p in (tmp_path / "log").glob("dt=*")) == [f"dt={d}" for d in days[3:]]
+
+
+def test_commits_of_writers_that_meet(spark, tmp_path):
+    folder = str(tmp_path / "commits")
+    assert commits.numbers(spark, folder) == [] and commits.read(spark, folder, "n long").count() == 0
+    assert commits.put_if_absent(spark, folder, 1, {"n": 1}) and not commits.put_if_absent(spark, folder, 1, {"n": 9})
+    with ThreadPoolExecutor(8) as pool:
+        got = list(pool.map(lambda _: commits.append(spark, folder, lambda n: {"n": n}), range(16)))
+    assert sorted(got) == list(range(2, 18))
+    assert sorted(r["n"] for r in commits.read(spark, folder, "n long").collect()) == list(range(1, 18))
+    assert not list((tmp_path / "commits").glob(".[!.]*"))

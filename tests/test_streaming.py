@@ -1,13 +1,15 @@
 from __future__ import annotations
 
 import json
+import math
 from pathlib import Path
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from ticketloom import jobs
-from ticketloom.operators import alerts
+from ticketloom.operators import alerts, drift
 from ticketloom.operators.classifiers import fit_text_model, save_model
 from ticketloom.operators.synthetic import synthetic_corpus
 from ticketloom.session import fresh_path
@@ -81,6 +83,48 @@ def test_held_alert_state_crosses_batches(spark):
     assert got == [False, False, False, True, False, False, False, False, True, True]
 
 
+def test_held_alert_ends_when_traffic_stops(spark):
+    path = fresh_path(spark, "rates")
+
+    def put(*rows):
+        data = [(alert, 1704067200 + 300 * at, rate) for alert, at, rate in rows]
+        df = spark.createDataFrame(data, "alert string, at long, rate double")
+        df.select("alert", F.timestamp_seconds("at").alias("window_end"), "rate").coalesce(1).write.mode("append").parquet(path)
+
+    # A fires and falls silent, B is low and falls silent, C goes on, A comes back high much later
+    put(*[("A", i, 0.3) for i in range(5)], *[("B", i, 0.1) for i in range(5)], ("C", 4, 0.3))
+    put(*[("C", i, 0.3) for i in range(5, 9)])
+    put(("C", 9, 0.3))
+    put(("A", 20, 0.3), ("C", 10, 0.1))
+    stream = spark.readStream.schema("alert string, window_end timestamp, rate double").option("maxFilesPerTrigger", 1).parquet(path)
+    timed = monitoring.held_alert_stream(stream.withWatermark("window_end", "0 seconds"), 0.2, "15 minutes", "5 minutes", resolve=True)
+    got = drain_table(timed, "timed").select("alert", ((F.unix_timestamp("window_end") - 1704067200) / 300).cast("int").alias("at"), "rate", "firing")
+    found = {alert: sorted((r["at"], r["rate"], r["firing"]) for r in got.where(F.col("alert") == alert).collect()) for alert in "ABC"}
+    assert found["A"] == [*[(i, 0.3, i >= 3) for i in range(5)], (5, None, False), (20, 0.3, False)]
+    assert found["B"] == [(i, 0.1, False) for i in range(5)]
+    assert [(at, firing) for at, _, firing in found["C"]][:6] == [(i, i >= 7) for i in range(4, 10)]
+
+
+def test_drift_is_judged_inside_the_stream(spark, tmp_path):
+    labels = ["a"] * 6 + ["b"] * 3 + [None]
+    data = [(day, i, labels[(i * (1 + day)) % 10] if day < 2 else "new") for day in range(3) for i in range(300 if day else 50)]
+    df = spark.createDataFrame(data, "day long, i long, label string").select(
+        F.timestamp_seconds(F.lit(1704067200) + F.col("day") * 86400 + F.col("i")).alias("ts"), "label", F.col("i").alias("id")
+    )
+    end = monitoring.end_rows(df, "ts").fillna({"id": 0})
+    reference = spark.createDataFrame([(x,) for x in labels], "label string")
+    out = str(tmp_path / "verdicts")
+    jobs.watch_drift(source(spark, df.unionByName(end)), reference, "1 day", out).awaitTermination()
+    got = spark.read.parquet(out).orderBy("window_start").collect()
+    shares = drift.label_shares(reference, "label")
+    current = drift.label_shares(df.withColumn("day", F.date_trunc("day", "ts")), "label", ("day",))
+    batch = drift.js_distance(shares, current, ("day",)).orderBy("day").collect()
+    assert [r["rows"] for r in got] == [50, 300, 300] == [r["rows"] for r in batch]
+    assert [r["distance"] for r in got] == pytest.approx([r["distance"] for r in batch], abs=1e-7)
+    assert [(r["status"], r["drifted"]) for r in got] == [("insufficient_data", None), ("ok", got[1]["distance"] > 0.1), ("ok", True)]
+    assert got[2]["distance"] == pytest.approx(math.log(2) ** 0.5)
+
+
 def test_score_route_quarantine_and_log(spark):
     texts = synthetic_corpus(spark.range(300), "id")
     model = fit_text_model(texts, "complementnb", key="id")

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ticketloom.functions.text import clean_text
-from ticketloom.operators import calibration, drift, evaluation, paired, percentiles, raters, resampling, textdrift
+from ticketloom.operators import calibration, drift, evaluation, paired, percentiles, raters, registry, resampling, textdrift
 from ticketloom.operators.classifiers import fit_candidates, fit_text_model, load_model, save_model
 from ticketloom.operators.mapping import fold, relabel, sibling_share
 from ticketloom.operators.sampling import stratified_split
 from ticketloom.operators.validation import normalise, prepare, require_choice, require_columns, require_valid, row_problems
 from ticketloom.session import settle
-from ticketloom.sources import corpus, reports
+from ticketloom.sources import commits, corpus, reports
 from ticketloom.streaming import monitoring
 from ticketloom.streaming.runner import start
 from ticketloom.streaming.scoring import log_records, score_and_route
@@ -41,6 +43,46 @@ def train(spark: SparkSession, data: str, model_path: str, name: str = "linearsv
     save_model(fit_text_model(rows, name, key="row_id", **settings), model_path)
 
 
+VERSION_SCHEMA = "model string, version long, f1_macro double, data_source string, path string"
+
+
+def versions(spark: SparkSession, registry_path: str, name: str) -> DataFrame:
+    """The version table of a model, each version with the incumbent it met and whether it was promoted."""
+    return registry.promotion_replay(commits.read(spark, f"{registry_path}/{name}", VERSION_SCHEMA))
+
+
+def register(spark: SparkSession, registry_path: str, name: str, f1_macro: float, data_source: str, model_path: str) -> int:
+    """Record a trained model as the next version of ``name`` and return its number.
+
+    A number is given to one writer only, and promotions follow from the order of the
+    numbers: runs that end together agree on which of them is in production.
+    """
+    row = {"model": name, "f1_macro": f1_macro, "data_source": data_source, "path": model_path}
+    return commits.append(spark, f"{registry_path}/{name}", lambda version: {**row, "version": version})
+
+
+def train_version(
+    spark: SparkSession, data: str, registry_path: str, data_source: str, name: str = "linearsvc_calibrated", **settings
+) -> DataFrame:
+    """Train, score the test rows, and record a version; its row says whether the gate promoted it.
+
+    The model is written to a folder of its own before its version is: a version always has a model.
+    """
+    path = f"{registry_path}/_models/{name}-{uuid.uuid4().hex}"
+    train(spark, data, path, name, **settings)
+    scored = load_model(spark, path).predict(corpus.read_split(spark, data, "test"))
+    f1_macro = evaluation.score(scored, "label", "predicted_label").first()["f1_macro"]
+    version = register(spark, registry_path, name, f1_macro, data_source, path)
+    return versions(spark, registry_path, name).where(F.col("version") == version)
+
+
+def watch_drift(stream: DataFrame, reference: DataFrame, length: str, out: str, available_now: bool = True) -> StreamingQuery:
+    """Windows of a stream of (ts, label, ...) against the labels of ``reference``, verdicts to ``out``."""
+    shares = settle(drift.label_shares(reference, "label"), "reference-shares")
+    windows = monitoring.windowed_drift(monitoring.event_time(stream), "ts", "label", shares, length)
+    return start(drift.window_verdicts(windows), out, f"{out}-checkpoint", available_now=available_now)
+
+
 def evaluate(spark: SparkSession, data: str, model_path: str, out: str) -> None:
     """Score the test rows once; every report reads the predictions that were written."""
     model = load_model(spark, model_path)
@@ -212,7 +254,7 @@ def watch(
     if available_now:
         first.awaitTermination()
     closed = spark.readStream.schema(rates.schema).parquet(f"{out}/rates").select(F.lit(name).alias("alert"), "window_end", "rate")
-    held = monitoring.held_alert_stream(closed, limit, hold, slide)
+    held = monitoring.held_alert_stream(closed.withWatermark("window_end", "0 seconds"), limit, hold, slide, resolve=True)
     return [first, start(held, f"{out}/alerts", f"{out}/alerts-checkpoint", available_now=available_now)]
 
 

@@ -80,6 +80,13 @@ def column_verdicts(scores: DataFrame, min_rows: int = MIN_SAMPLE_ROWS) -> DataF
     return scores.withColumn("drifted", _verdict(F.col("score"), F.col("threshold"), sufficient))
 
 
+def window_verdicts(windows: DataFrame, threshold: float = LABEL_THRESHOLD, min_rows: int = MIN_SAMPLE_ROWS) -> DataFrame:
+    """``windows`` (rows, distance, ...) with ``status`` and ``drifted``, row by row: also for streams."""
+    sufficient = F.col("rows") >= F.lit(min_rows)
+    status = F.when(sufficient, F.lit("ok")).otherwise(F.lit("insufficient_data"))
+    return windows.withColumn("status", status).withColumn("drifted", _verdict(F.col("distance"), F.lit(threshold), sufficient))
+
+
 def drift_summary(
     scores: DataFrame, min_rows: int = MIN_SAMPLE_ROWS, by: tuple[str, ...] = ()
 ) -> DataFrame:

@@ -16,6 +16,11 @@ def retained_days(df: DataFrame, day: Column, line: Column, budget: int, log: Co
     """
     name = log if log is not None else F.lit("predictions")
     sizes = df.groupBy(name.alias("log"), day.alias("day")).agg(F.sum(F.octet_length(line) + 1).alias("bytes"))
+    return within_budget(sizes, budget)
+
+
+def within_budget(sizes: DataFrame, budget: int) -> DataFrame:
+    """The rows of (log, day, bytes) whose newer days of the same log are still under budget."""
     newer = Window.partitionBy("log").orderBy(F.desc("day")).rowsBetween(Window.unboundedPreceding, -1)
     used = F.coalesce(F.sum("bytes").over(newer), F.lit(0))
     return sizes.withColumn("_used", used).where(F.col("_used") < budget).drop("_used")

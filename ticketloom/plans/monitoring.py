@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ticketloom.functions.scores import route
@@ -10,7 +9,7 @@ from ticketloom.operators import alerts, drift, evaluation, retention
 from ticketloom.plans.registry import query
 from ticketloom.plans.evaluation import CELLS, per_class_sql
 from ticketloom.plans.views import PRED, pred, pred_of, r6, stream, table, tickets
-from ticketloom.session import fresh_path
+from ticketloom.session import fresh_path, settle
 from ticketloom.sources import logs, reports
 from ticketloom.streaming import monitoring
 from ticketloom.streaming.runner import drain, drain_table, start
@@ -342,21 +341,12 @@ dist AS (SELECT l.d, l.rows_, sqrt(greatest(0.0::DOUBLE, 0.5::DOUBLE * sum(
     CASE WHEN rows_ >= 200 THEN 'ok' ELSE 'insufficient_data' END AS status, CASE WHEN rows_ >= 200 THEN distance > 0.1 END AS drifted FROM dist""",
 )
 def _(spark, sf):
-    """Daily label counts from the stream, then the batch distance and verdict per day."""
+    """Distance and verdict of each day, both in the stream, from the shares of a reference table."""
     rows = monitoring.event_time(_event_stream(spark, sf))
-    counts = drain_table(monitoring.windowed_counts(rows, "ts", "event_type", "1 day"), "daily-labels")
-    total = F.sum("n").over(Window.partitionBy("window_start"))
-    current = counts.select("window_start", "label", "n", (F.col("n") / total).alias("share"))
-    reference = drift.label_shares(_halves(spark, sf)[0], "event_type")
-    distance = drift.js_distance(reference, current, ("window_start",))
-    verdicts = drift.column_verdicts(distance.withColumn("score", F.col("distance")).withColumn("threshold", F.lit(drift.LABEL_THRESHOLD)))
-    enough = F.col("rows") >= drift.MIN_SAMPLE_ROWS
-    return verdicts.select(
-        _stamp("window_start").alias("window_start"),
-        "rows",
-        r6("distance").alias("distance"),
-        F.when(enough, F.lit("ok")).otherwise(F.lit("insufficient_data")).alias("status"),
-        "drifted",
+    reference = settle(drift.label_shares(_halves(spark, sf)[0], "event_type"), "reference-shares")
+    days = drift.window_verdicts(monitoring.windowed_drift(rows, "ts", "event_type", reference, "1 day"))
+    return drain_table(days, "daily-drift").select(
+        _stamp("window_start").alias("window_start"), "rows", r6("distance").alias("distance"), "status", "drifted"
     )
 
 

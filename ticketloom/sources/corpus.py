@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,15 +24,42 @@ CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
 def read_csv(spark: SparkSession, paths: str | list[str], schema: str, multiline: bool = False) -> DataFrame:
     """The columns of ``schema`` by the names in the files' headers, whatever their order.
 
-    Files are read in splits unless ``multiline``; files without a line have no rows. A file that lacks a column fails, as
-    does a set of files with different headers: they are not of one kind.
+    Files are read in splits unless ``multiline``; files without a line have no rows. Files with
+    different headers are read header by header and put together by name, and then hold the
+    columns of ``schema`` only. A file that lacks a column fails by its name.
+    """
+    kinds = files_by_header(spark, paths)
+    if len(kinds) < 2:
+        return _read_alike(spark, paths, schema, multiline)
+    names = T.StructType.fromDDL(schema).names
+    parts = [_read_alike(spark, files, schema, multiline).select(*names, "_metadata") for files in kinds]
+    return reduce(DataFrame.union, parts)
+
+
+def files_by_header(spark: SparkSession, paths: str | list[str]) -> list[list[str]]:
+    """The files of each header line, in the order of the lines; blank files have none.
+
+    Every file's first line is found by one scan with a row per file out of it; what comes
+    to the driver are names of files, which it lists anyway. One file is not scanned.
     """
+    lines = spark.read.text(paths)
+    if len(lines.inputFiles()) < 2:
+        return []
+    at = F.monotonically_increasing_id()
+    begun = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value", at.alias("at"))
+    first = begun.where("block = 0 AND trim(value) != ''").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    found = first.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    return [[unquote(file) for file in row["files"]] for row in found]
+
+
+def _read_alike(spark: SparkSession, paths: str | list[str], schema: str, multiline: bool) -> DataFrame:
+    """Files that share one header."""
     wanted = T.StructType.fromDDL(schema)
     options = {**CSV_OPTIONS, "multiLine": str(multiline).lower(), "enforceSchema": "false", "mode": "FAILFAST"}
     header = spark.read.options(**{**options, "mode": "PERMISSIVE"}).csv(paths).columns
     missing = [f.name for f in wanted if f.name not in header] if header else []
     if missing:
-        raise ValueError(f"missing columns {missing}")
+        raise ValueError(f"missing columns {missing} in {paths}")
     kinds = {f.name: f for f in wanted}
     full = T.StructType([kinds.get(c, T.StructField(c, T.StringType())) for c in header]) if header else wanted
     return spark.read.schema(full).options(**options).csv(paths)
