@@ -11,7 +11,7 @@ from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from ticketloom.functions.hashing import uniform
-from ticketloom.operators import alerts, drift, percentiles, raters, registry, retention, sampling
+from ticketloom.operators import alerts, drift, percentiles, ranks, raters, registry, retention, sampling
 
 QUEUES = ["a", "b", "c"]
 
@@ -314,3 +314,38 @@ def test_percentiles_scan_twice(spark, tmp_path):
     for by in ((), ("g",)):
         text = plan(percentiles.grouped_percentiles(source, "x", by))
         assert text.count(f"{tmp_path}/t") == 1
+
+
+def brute_auc(pairs):
+    pos, neg = ([s for s, p in pairs if p is side and s is not None] for side in (True, False))
+    if not pos or not neg:
+        return None, None
+    won = sum((a > b) + (a == b) / 2 for a in pos for b in neg)
+    n = len(pos) + len(neg)
+    ties = sum(t**3 - t for t in Counter(pos + neg).values())
+    spread = len(pos) * len(neg) / 12 * (n + 1 - ties / (n * (n - 1)))
+    return won / (len(pos) * len(neg)), (won - len(pos) * len(neg) / 2) / spread**0.5 if spread > 0 else None
+
+
+def test_rank_auc_equals_all_pairs(spark):
+    draw = random.Random(5)
+    data = {
+        "ties": [(float(draw.randint(0, 9)), draw.random() < 0.4) for _ in range(400)],
+        "apart": [(draw.gauss(1.0 if hit else 0.0, 1.0), hit) for hit in (draw.random() < 0.2 for _ in range(600))],
+        "equal": [(1.5, i % 3 == 0) for i in range(30)],
+        "one side": [(draw.random(), True) for _ in range(20)],
+        "nulls": [(None, True), (0.5, None), (0.25, False), (0.75, True), (-0.0, True), (0.0, False)],
+        None: [(float(i % 7), i % 2 == 0) for i in range(50)],
+    }
+    rows = [(g, s, p) for g, pairs in data.items() for s, p in pairs]
+    df = spark.createDataFrame(rows, "g string, s double, p boolean")
+    for parts in (1, 7, 256):
+        got = {r["g"]: r for r in ranks.rank_auc(df, "s", F.col("p"), ("g",), parts).collect()}
+        assert set(got) == set(data)
+        for g, pairs in data.items():
+            auc, z = brute_auc([(s, p) for s, p in pairs if p is not None])
+            assert got[g]["auc"] == (auc if auc is None else pytest.approx(auc, abs=1e-12)), g
+            assert got[g]["z"] == (z if z is None else pytest.approx(z, abs=1e-9)), g
+    whole = ranks.rank_auc(df, "s", F.col("p")).first()
+    assert whole["auc"] == pytest.approx(brute_auc([(s, p) for _, s, p in rows if p is not None])[0], abs=1e-12)
+    assert ranks.rank_auc(df.where("false"), "s", F.col("p"), ("g",)).count() == 0

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom.functions.hashing import uniform
 from ticketloom.functions.text import tokens
 from ticketloom.operators.classifiers import packed
+from ticketloom.operators.ranks import rank_auc
 
 
 def text_drift(
@@ -56,6 +57,7 @@ def text_drift(
         ).fit(train)
         train.unpersist()
         scored = head.transform(weighting.transform(rows.where("NOT _train")))
-        return BinaryClassificationEvaluator(labelCol="_label", metricName="areaUnderROC").evaluate(scored)
+        margins = scored.select("_label", vector_to_array("rawPrediction")[1].alias("_margin"))
+        return rank_auc(margins, "_margin", F.col("_label") == 1).first()["auc"]
     finally:
         rows.unpersist()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ticketloom.functions.hashing import uniform
 from ticketloom.functions.scores import top_class
 from ticketloom.functions.text import clean_text, redact
-from ticketloom.operators import drift, evaluation, features, mapping, resampling, textdrift
+from ticketloom.operators import drift, evaluation, features, mapping, ranks, resampling, textdrift
 from ticketloom.operators.classifiers import (
     MajorityHead,
     TextModel,
@@ -314,21 +314,57 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """Texts of one corpus split in two, and English against the rest, with verdicts."""
+    rows = _text_drifts(spark, sf)
+    in_order = rows[0][1] < rows[1][1]
+    return _drift_verdicts(spark, rows).drop("score").withColumn("in_order", F.lit(in_order))
+
+
+@query("m14_text_drift_scores")
+def _(spark, sf):
+    """The same comparisons with their scores, which no SQL repeats: the classifier is a fitted optimum."""
+    return _drift_verdicts(spark, _text_drifts(spark, sf)).withColumn("score", r6("score"))
+
+
+@query(
+    "m14_rank_auc",
+    f"""WITH {TRAIN.replace("train AS", "labelled AS")}, train AS (SELECT * FROM labelled WHERE {u_sql("side", "id")} >= 0.25),
+    test AS (SELECT * FROM labelled WHERE {u_sql("side", "id")} < 0.25), {nb_sql("test")},
+    scored AS (SELECT p.c, round(p.p, 6) AS s, t.label = p.c AS hit FROM probs p JOIN test t ON p.id = t.id),
+    ranked AS (SELECT c, hit, rank() OVER (PARTITION BY c ORDER BY s) + (count(*) OVER (PARTITION BY c, s) - 1) / 2.0::DOUBLE AS r,
+      count(*) OVER (PARTITION BY c, s) AS t FROM scored),
+    sums AS (SELECT c, count(*) FILTER (WHERE hit) AS n1, count(*) FILTER (WHERE NOT hit) AS n2, count(*)::DOUBLE AS n,
+      sum(r) FILTER (WHERE hit) AS w, sum(t * t - 1)::DOUBLE AS ties FROM ranked GROUP BY c),
+    won AS (SELECT *, w - n1 * (n1 + 1) / 2.0::DOUBLE AS u, n1 * n2 / 12.0::DOUBLE * (n + 1 - ties / (n * (n - 1))) AS spread FROM sums)
+    SELECT c AS label, n1 AS positives, n2 AS negatives, CASE WHEN n1 * n2 > 0 THEN round(u / (n1 * n2), 6) END AS auc,
+    CASE WHEN n1 * n2 > 0 AND spread > 0 THEN round((u - n1 * n2 / 2.0::DOUBLE) / sqrt(spread), 6) END AS z FROM won""",
+)
+def _(spark, sf):
+    """How well each class's score tells it from the rest, by rank sums over held-out texts."""
+    train, test = _sides(training_texts(spark, sf))
+    model = fit_text_model(train, "complementnb")
+    names = F.array(*[F.lit(c) for c in model.head.classes])
+    long = model.predict(test).select("label", F.inline(F.arrays_zip(names.alias("c"), F.col("scores").alias("p"))).alias("c", "p"))
+    found = ranks.rank_auc(long.withColumn("p", F.round("p", 6)), "p", F.col("label") == F.col("c"), ("c",))
+    return found.select(F.col("c").alias("label"), "positives", "negatives", r6("auc").alias("auc"), r6("z").alias("z"))
+
+
+def _drift_verdicts(spark, rows):
+    scores = spark.createDataFrame(rows, "column string, score double, rows long")
+    return drift.column_verdicts(scores.withColumn("threshold", F.lit(drift.TEXT_THRESHOLD)))
+
+
+def _text_drifts(spark, sf):
     docs = balanced(table(spark, sf, "documents").select("doc_id", "text", "lang")).persist()
     try:
         halves = uniform("half", "doc_id") < F.lit(0.5)
         english = F.col("lang") == "en"
         cases = {"same_corpus": (halves, ~halves), "other_language": (english, ~english)}
-        rows = [
+        return [
             (name, textdrift.text_drift(docs.where(a), docs.where(b), "text", "doc_id"), docs.where(b).count())
             for name, (a, b) in cases.items()
         ]
     finally:
         docs.unpersist()
-    in_order = rows[0][1] < rows[1][1]
-    scores = spark.createDataFrame(rows, "column string, score double, rows long")
-    verdicts = drift.column_verdicts(scores.withColumn("threshold", F.lit(drift.TEXT_THRESHOLD)))
-    return verdicts.drop("score").withColumn("in_order", F.lit(in_order))
 
 
 @query(
