@@ -31,7 +31,7 @@ def _retention(path: str) -> str:
 
 
 def first_days(spark: SparkSession, path: str) -> list[str]:
-    """The first day that is live, by each retention run so far, the latest last."""
+    """The first live day that each retention run told, in order; the latest day of them holds, also if runs met."""
     rows = commits.read(spark, _retention(path), RETENTION_SCHEMA).orderBy("number").collect()
     return [r["first_day"] for r in rows]
 
@@ -40,7 +40,7 @@ def scan_live(spark: SparkSession, path: str) -> DataFrame:
     """The log without the days that retention has dropped, whether or not they are deleted yet."""
     days = first_days(spark, path)
     log = scan_log(spark, path)
-    return log.where(F.col("dt") >= F.lit(days[-1]).cast("date")) if days else log
+    return log.where(F.col("dt") >= F.lit(max(days)).cast("date")) if days else log
 
 
 def prune_log(spark: SparkSession, path: str, budget: int) -> list[str]:
@@ -63,7 +63,7 @@ def prune_log(spark: SparkSession, path: str, budget: int) -> list[str]:
             return []
         raise ValueError(f"{path} has no day folders dt=...")
     days = first_days(spark, path)
-    live = listed.where(F.col("dt") >= F.lit(days[-1]).cast("date")) if days else listed
+    live = listed.where(F.col("dt") >= F.lit(max(days)).cast("date")) if days else listed
     sizes = live.groupBy(F.lit("log").alias("log"), F.col("dt").cast("string").alias("day")).agg(F.sum("length").alias("bytes"))
     first = within_budget(sizes, budget).agg(F.min("day")).first()[0]
     if first is not None:
@@ -71,7 +71,7 @@ def prune_log(spark: SparkSession, path: str, budget: int) -> list[str]:
     gone = []
     for status in files.listStatus(where) if days else []:
         name = status.getPath().getName()
-        if name.startswith("dt=") and name.removeprefix("dt=") < days[-1]:
+        if name.startswith("dt=") and name.removeprefix("dt=") < max(days):
             files.delete(status.getPath(), True)
             gone.append(name.removeprefix("dt="))
     return sorted(gone)
