@@ -92,13 +92,69 @@ def test_planted_families_match_all_pairs(spark, monkeypatch, words, alike, leas
 def test_blocks_give_the_same_links(spark, monkeypatch):
     texts = planted(9, families=3, members=40)
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    # most groups are larger than a block: they are signed anew, and what is left is dealt as pairs of blocks
+    # most groups are larger than a block: they are signed anew, and what is left is partitioned into groups
     monkeypatch.setattr(jaccard, "BLOCK", 300)
     monkeypatch.setattr(jaccard, "BROADCAST_ROWS", 0)
     found = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(docs).collect()}
     assert found == brute_jaccard(texts, 4, 85)[1]
 
 
+def test_a_family_of_many_groups_is_sent_once(spark, monkeypatch):
+    """Near copies that fill ten groups: links with the groups' best linked sets join them, so none is sent again."""
+    draw = random.Random(4)
+    base = [f"w{draw.randrange(10**6)}" for _ in range(300)]
+    texts = {}
+    for i in range(120):
+        text = list(base)
+        text[draw.randrange(300)] = f"x{i}"
+        texts[i] = " ".join(text)
+    # sets that share a good part of the family's tokens and link with nobody
+    for i in range(120, 140):
+        texts[i] = " ".join([*base[: 150 + i], *[f"y{i}z{k}" for k in range(60)]])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    monkeypatch.setattr(jaccard, "BLOCK", 3000)
+    stash = Stash(spark)
+    rows = []
+    for i, text in texts.items():
+        tokens = jaccard.shingle_set(text.encode())
+        rows.append((1, jaccard.set_key(tokens), jaccard.sketch(tokens), i, len(tokens)))
+    chosen = spark.createDataFrame(rows, "root long, key long, sketch long, id long, n long")
+    groups = jaccard._grouped(chosen, stash)
+    assert groups.where("not alone").select("grp").distinct().count() >= 10
+    links, sent = jaccard._links(docs, groups, 4, 85, stash)
+    assert sent.count() < 20
+    of = {r["key"]: r["id"] for r in groups.collect()}
+    joined = components(texts, [(of[r["a"]], of[r["b"]]) for r in links.collect()])
+    assert joined == brute_jaccard(texts, 4, 85)[1]
+    assert len(set(joined.values())) > 10
+
+
+def test_groups_that_qualify_are_opened_for_each_other(spark, monkeypatch):
+    """Chains of sets, dealt at random into small groups: every link across groups is found."""
+    draw = random.Random(8)
+    texts = {}
+    for chain in range(4):
+        words = [f"c{chain}w{k}" for k in range(60)]
+        for i in range(30):
+            words = words[2:] + [f"c{chain}w{60 + 2 * i + k}" for k in range(2)]
+            texts[len(texts)] = " ".join(words)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    monkeypatch.setattr(jaccard, "BLOCK", 200)
+    rows = []
+    for i, text in texts.items():
+        tokens = jaccard.shingle_set(text.encode())
+        rows.append((1, jaccard.set_key(tokens), draw.randrange(10**9), i, len(tokens)))
+    chosen = spark.createDataFrame(rows, "root long, key long, sketch long, id long, n long")
+    stash = Stash(spark)
+    groups = jaccard._grouped(chosen, stash)
+    links, sent = jaccard._links(docs, groups, 4, 85, stash)
+    assert sent.count()
+    of = {r["key"]: r["id"] for r in groups.collect()}
+    joined = components(texts, [(of[r["a"]], of[r["b"]]) for r in links.collect()])
+    assert joined == brute_jaccard(texts, 4, 85)[1]
+    assert len(set(joined.values())) == 4
+
+
 @pytest.mark.parametrize("alike", [80, 85])
 def test_alike_sets_share_a_signature(alike):
     draw = np.random.default_rng(alike)

@@ -1,7 +1,8 @@
-"""N-gram Jaccard join: groups by part signatures, whose members are bounded by the group's tokens before they are compared."""
+"""N-gram Jaccard join: groups of similar sets, a matrix of the groups' tokens that bounds sets against groups, and opened groups."""
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
@@ -16,7 +17,7 @@ from ticketloom.llm.components import Stash, connected_components
 
 #: Words of a shingle, and the least similarity in hundredths.
 WORDS, ALIKE = 4, 85
-#: Largest sum of set sizes that is compared in one place; larger groups are dealt as pairs of blocks.
+#: Sum of set sizes that a group is meant to have at most; more sets are partitioned into several groups.
 BLOCK = 1 << 20
 #: A token is common that at least one text of so many has (and COMMON_LEAST texts at all). That bounds
 #: their number whatever the number of texts: a text has S tokens on average, so at most S * COMMON are common.
@@ -29,6 +30,7 @@ SIGNED_ANEW = 3
 BROADCAST_ROWS = 1_000_000
 
 _PART = np.uint64(0xD6E8FEB86659FD93)
+_SKETCH = np.uint64(0x9FB21C651E98DF25)
 
 
 def _salt(*numbers: int) -> np.uint64:
@@ -58,6 +60,11 @@ def set_key(tokens: np.ndarray) -> int:
     return int(splitmix(np.array([total], np.uint64)).view(np.int64)[0])
 
 
+def sketch(tokens: np.ndarray) -> int:
+    """The least token in an order by hashes: the more alike two sets are, the likelier they have the same."""
+    return int(np.sort(splitmix(tokens ^ _SKETCH))[:1].view(np.int64)[0])
+
+
 @lru_cache(maxsize=None)
 def most_apart(size: int, alike: int = ALIKE) -> int:
     """How many tokens a set of this size and any set alike enough may not share, at most."""
@@ -187,23 +194,24 @@ def common_tokens(rows: DataFrame, words: int) -> np.ndarray:
 
 
 def _signed(batches: Iterator[pa.RecordBatch], words: int, alike: int, common: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) -> (doc_id, n_shingles, key, signs): signs once for each set that a task meets."""
+    """(doc_id, text) -> (doc_id, n_shingles, key, sketch, signs): signs once for each set that a task meets."""
     met: set[int] = set()
-    kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()))
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
     for batch in batches:
         ids = batch.column(0)
-        sizes, keys, signs = [], [], []
+        sizes, keys, sketches, signs = [], [], [], []
         for known, text in zip(ids.is_valid().to_pylist(), texts_of(batch, batch.schema.names[1]), strict=True):
             tokens = shingle_set(text, words)
             key = set_key(tokens) if len(tokens) else None
             sizes.append(len(tokens))
             keys.append(key)
+            sketches.append(sketch(tokens) if len(tokens) else None)
             first = known and key is not None and key not in met
             signs.append(signatures(tokens, alike, common) if first else None)
             if first:
                 met.add(key)
-        made = [pa.array(v, k) for v, k in zip((sizes, keys, signs), kinds, strict=True)]
-        yield pa.RecordBatch.from_arrays([ids, *made], names=["doc_id", "n_shingles", "key", "signs"])
+        made = [pa.array(v, k) for v, k in zip((sizes, keys, sketches, signs), kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays([ids, *made], names=["doc_id", "n_shingles", "key", "sketch", "signs"])
 
 
 def _signed_anew(
@@ -225,7 +233,7 @@ def _signed_anew(
 def _refined(
     chosen: DataFrame, rows: DataFrame, words: int, alike: int, common: np.ndarray, stash: Stash
 ) -> DataFrame:
-    """``chosen`` (root, key, id, n) with groups of more than a block taken apart where that loses no link.
+    """``chosen`` (root, key, sketch, id, n) with groups of more than a block taken apart where that loses no link.
 
     Signatures also join sets that only share a passage, and such joins chain up. Alike sets share
     a signature in every turn, others seldom in several, so members of a large group are
@@ -246,24 +254,28 @@ def _refined(
         meetings = stash.put(_meetings(signed.select(F.explode("signs").alias("sign"), "key")), "meetings")
         edges = meetings.where("key <> lo").select(F.col("key").alias("a"), F.col("lo").alias("b")).distinct()
         groups = connected_components(edges, stash)
-        apart = members.drop("root").join(groups, F.col("key") == F.col("node")).select("root", "key", "id", "n")
+        apart = members.drop("root").join(groups, F.col("key") == F.col("node")).select("root", "key", "sketch", "id", "n")
         chosen = stash.put(chosen.join(large, "root", "left_anti").unionByName(apart), "chosen")
         stash.drop(meetings)
     return chosen
 
 
+_PLACED = "root long, grp long, alone boolean, key long"
+
+
 def _tokens(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """(root, blocks, key, text) -> (root, blocks, key, tokens) of rows whose text has that key."""
+    """(..., key, text) -> (..., key, tokens) of rows whose text has that key."""
     for batch in batches:
+        *names, key_name, text_name = batch.schema.names
         kept, sets = [], []
-        for i, (key, text) in enumerate(zip(batch.column(2).to_pylist(), texts_of(batch, batch.schema.names[3]), strict=True)):
+        for i, (key, text) in enumerate(zip(batch.column(key_name).to_pylist(), texts_of(batch, text_name), strict=True)):
             tokens = shingle_set(text, words)
             if len(tokens) and set_key(tokens) == key:
                 kept.append(i)
                 sets.append(tokens.view(np.int64))
         left = batch.take(pa.array(kept, pa.int64()))
         yield pa.RecordBatch.from_arrays(
-            [*left.columns[:3], pa.array(sets, pa.list_(pa.int64()))], names=["root", "blocks", "key", "tokens"]
+            [*left.columns[:-1], pa.array(sets, pa.list_(pa.int64()))], names=[*names, key_name, "tokens"]
         )
 
 
@@ -304,27 +316,162 @@ def spanning_links(keys: list[int], sets: list[np.ndarray], alike: int = ALIKE)
     return links
 
 
+_FOUND = "a long, b long, root long, grp long, tokens array<long>"
+_BOUNDED = "a long, b long, root long, lo long, hi long, grp long"
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray]]:
+    """The rows of batches whose last column is ``tokens``: the other values, and the tokens as an array."""
+    for batch in batches:
+        others = [c.to_pylist() for c in batch.columns[:-1]]
+        offsets, flat = batch.columns[-1].offsets.to_numpy(), batch.columns[-1].values.to_numpy(zero_copy_only=False)
+        for i, row in enumerate(zip(*others, strict=True)):
+            yield list(row), flat[offsets[i] : offsets[i + 1]].copy()
+
+
 def _opened(batches: Iterator[pa.RecordBatch], alike: int) -> Iterator[pa.RecordBatch]:
-    """Rows (root, block, key, tokens) in the order of root and block -> links (a, b)."""
+    """Rows (root, grp, alone, key, tokens) in the order of root and group -> links, and the groups' part of the matrix.
+
+    A group is opened whole: its links are rows (a, b). One that is not alone in its
+    root adds a row (null, null, root, grp, union of tokens), and if it has links the
+    set that most of them start from: (key, null, root, grp, tokens).
+    """
     held: dict[int, np.ndarray] = {}
-    place, found = None, []
+    place = None
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
 
-    def links() -> None:
+    def close() -> pa.RecordBatch:
         keys = sorted(held)
-        found.extend(spanning_links(keys, [held[k] for k in keys], alike))
+        links = spanning_links(keys, [held[k] for k in keys], alike)
+        rows = [(a, b, None, None, None) for a, b in links]
+        if place and not place[2]:
+            rows.append((None, None, *place[:2], np.unique(np.concatenate(list(held.values())))))
+            if links:
+                hub = Counter(a for a, _ in links).most_common(1)[0][0]
+                rows.append((hub, None, *place[:2], held[hub]))
+        columns = zip(*rows, strict=True) if rows else [()] * 5
+        made = [pa.array(list(v), k) for v, k in zip(columns, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(made, names=["a", "b", "root", "grp", "tokens"])
+
+    for (root, grp, alone, key), tokens in _sets(batches):
+        if (root, grp, alone) != place:
+            yield close()
+            held, place = {}, (root, grp, alone)
+        held[key] = tokens
+    yield close()
+
+
+def _bounded(batches: Iterator[pa.RecordBatch], alike: int) -> Iterator[pa.RecordBatch]:
+    """Rows (root, grp, other, key, tokens): a group's own sets (``other`` null), then what other groups offer it.
+
+    Against an offered union (no key) a set is bounded: only if the overlap is at least the least
+    similarity of the set's own size can it link into that group, and then it is a row
+    (key, null, root, the two groups in order, own group). An offered set is compared and links come out as (a, b).
+    """
+    keys: list[int] = []
+    sets: list[np.ndarray] = []
+    place, distinct = None, None
+    kinds = [pa.int64()] * 6
+
+    for (root, grp, other, key), tokens in _sets(batches):
+        if (root, grp) != place:
+            keys, sets, place, distinct = [], [], (root, grp), None
+        if other is None:
+            keys.append(key)
+            sets.append(tokens)
+            continue
+        if distinct is None:
+            sizes = np.array([len(s) for s in sets])
+            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            distinct, inverse = np.unique(np.concatenate(sets), return_inverse=True)
+            sets = []
+        met = np.isin(distinct, tokens)
+        shared = np.add.reduceat(met[inverse].astype(np.int64), starts)
+        if key is None:
+            able = np.flatnonzero(100 * shared >= alike * sizes)
+            rows = [(keys[i], None, root, min(grp, other), max(grp, other), grp) for i in able.tolist()]
+        else:
+            near = np.flatnonzero(100 * shared >= alike * (sizes + len(tokens) - shared))
+            rows = [(keys[i], key, None, None, None, None) for i in near.tolist()]
+        if rows:
+            made = [pa.array(list(v), k) for v, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(made, names=["a", "b", "root", "lo", "hi", "grp"])
 
-    for batch in batches:
-        root, block, key, tokens = (batch.column(i) for i in range(4))
-        offsets, flat = tokens.offsets.to_numpy(), tokens.values.to_numpy(zero_copy_only=False)
-        for i, where in enumerate(zip(root.to_pylist(), block.to_pylist(), strict=True)):
-            if where != place:
-                links()
-                held, place = {}, where
-            held[key[i].as_py()] = flat[offsets[i] : offsets[i + 1]].copy()
-    links()
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"]
+
+def _grouped(chosen: DataFrame, stash: Stash) -> DataFrame:
+    """(id, root, grp, alone, key): the groups that the sets of a root are partitioned into, each of about a block.
+
+    Sets with the same sketch, which similar sets tend to have, stay in one group; only
+    where they alone are more than half a block are they dealt out by their keys.
+    """
+    weights = chosen.groupBy("root").agg(F.ceil(F.sum("n") / F.lit(BLOCK)).alias("blocks"))
+    large = stash.put(weights.where("blocks > 1"), "large")
+    whole = chosen.join(large, "root", "left_anti").select(
+        "id", "root", F.lit(0).cast("long").alias("grp"), F.lit(True).alias("alone"), "key"
     )
+    several = chosen.join(large, "root")
+    heavy = several.groupBy("root", "sketch").agg(F.sum("n").alias("heavy"))
+    parts = F.ceil(F.col("heavy") / F.lit(BLOCK))
+    own = F.xxhash64("sketch", F.pmod(F.xxhash64("key"), parts))
+    grp = F.when(2 * F.col("heavy") > BLOCK, own).otherwise(F.pmod(F.xxhash64("sketch"), F.col("blocks")))
+    dealt = several.join(heavy, ["root", "sketch"]).select("id", "root", grp.alias("grp"), F.lit(False).alias("alone"), "key")
+    return stash.put(whole.unionByName(dealt), "groups")
+
+
+def _together(rows: DataFrame, alike: int) -> DataFrame:
+    ordered = rows.repartition("root", "grp").sortWithinPartitions("root", "grp")
+    return ordered.mapInArrow(releasing(partial(_opened, alike=alike)), _FOUND)
+
+
+def _with_tokens(rows: DataFrame, picked: DataFrame, words: int, schema: str) -> DataFrame:
+    """The token sets of ``picked`` (id, the columns of ``schema``), made anew from the texts; nothing but ``picked`` is kept."""
+    near = F.broadcast(picked) if picked.count() <= BROADCAST_ROWS else picked
+    names = [c for c in picked.columns if c != "id"]
+    fetched = rows.join(near, rows["doc_id"] == near["id"]).select(*names, "text")
+    return fetched.mapInArrow(releasing(partial(_tokens, words=words)), f"{schema}, tokens array<long>")
+
+
+def _links(rows: DataFrame, groups: DataFrame, words: int, alike: int, stash: Stash) -> tuple[DataFrame, DataFrame]:
+    """(a, b) links that connect what all links of the groups' sets do, and the sets (id, key, pairs) sent a second time.
+
+    1. Every group's sets come together once; links inside it are found, and it adds the
+       union of its tokens to the matrix.
+    2. Sets are bounded against the unions of the other groups of their root, and compared with those
+       groups' best linked sets, which joins most of a family that fills many groups.
+    3. Two groups are opened for each other only for sets that qualify on both sides and that
+       links found so far leave in different components.
+    """
+    found = stash.put(_together(_with_tokens(rows, groups, words, _PLACED), alike), "opened")
+    links = found.where("b is not null").select("a", "b")
+    several = groups.where("not alone")
+    if several.isEmpty():
+        return links, groups.limit(0).select("id", "key", F.array().cast("array<long>").alias("pairs"))
+    matrix = found.where("b is null").select(F.col("root").alias("of"), F.col("grp").alias("other"), F.col("a").alias("key"), "tokens")
+    places = several.select("root", "grp").distinct()
+    offered = places.join(matrix, (F.col("root") == F.col("of")) & (F.col("grp") != F.col("other")))
+    own = _with_tokens(rows, several, words, _PLACED).withColumn("other", F.lit(None).cast("long"))
+    columns = ["root", "grp", "other", "key", "tokens"]
+    queries = own.select(*columns).unionByName(offered.select(*columns)).repartition("root", "grp")
+    queries = queries.sortWithinPartitions("root", "grp", F.asc_nulls_first("other"))
+    bounded = stash.put(queries.mapInArrow(releasing(partial(_bounded, alike=alike)), _BOUNDED), "bounded")
+    links = links.unionByName(bounded.where("b is not null").select("a", "b"))
+
+    linked = connected_components(links, stash).select("node", F.col("root").alias("least"))
+    able = bounded.where("b is null").select("root", "lo", "hi", "grp", F.col("a").alias("key")).distinct()
+    able = able.join(linked, able["key"] == linked["node"], "left").withColumn("least", F.coalesce("least", "key"))
+    low, pair = F.col("grp") == F.col("lo"), ["root", "lo", "hi"]
+    sides = able.groupBy(*pair).agg(
+        *[f(F.when(side, F.col("least"))).alias(n) for side, f, n in ((low, F.min, "a0"), (low, F.max, "a1"), (~low, F.min, "b0"), (~low, F.max, "b1"))]
+    )
+    other = F.when(low, F.struct(F.col("b0").alias("x"), F.col("b1").alias("y"))).otherwise(F.struct(F.col("a0").alias("x"), F.col("a1").alias("y")))
+    left = able.join(sides, pair).where((other["x"] != F.col("least")) | (other["y"] != F.col("least")))
+    sent = left.groupBy("key").agg(F.collect_set(F.xxhash64("lo", "hi")).alias("pairs"))
+    sent = stash.put(sent.join(groups.select("id", "root", "key"), "key").select("id", "root", "pairs", "key"), "sent")
+    if not sent.isEmpty():
+        again = _with_tokens(rows, sent, words, "root long, pairs array<long>, key long")
+        again = again.select("root", F.explode("pairs").alias("grp"), F.lit(True).alias("alone"), "key", "tokens")
+        links = links.unionByName(_together(again, alike).select("a", "b"))
+    return links, sent
 
 
 def _meetings(signs: DataFrame) -> DataFrame:
@@ -344,17 +491,13 @@ def jaccard_components(
     1. Equal sets are one class, whatever the number of copies; a class has a 64-bit key.
     2. Sets that may be alike share a signature (see ``_emit``): no pair is lost, and
        passages that many texts share make none. What shared signatures connect is a
-       group of similar sets. Groups larger than a block are signed anew, which takes them
-       apart where only passages held them together (see ``_refined``).
-    3. Each group's tokens come together once, a group that is still larger than a block as
-       pairs of blocks. There the union of the members' tokens is made, with the number
-       of members that have each. A member whose overlap with what the others have is below
-       the least similarity is not opened.
-    4. The qualifying members are opened: whole sets are compared, and enough links kept
-       that they connect what all links do.
-
-    The dealt method keeps a matrix of tokens and groups and bounds each set against every group. Here
-    signatures, which lose no link, name the one group that a set can have partners in.
+       root of similar sets, so a set has partners in its own root only. Roots larger than
+       a block are signed anew, which takes them apart where only passages held them
+       together (see ``_refined``).
+    3. A root's sets are partitioned into groups of similar sets (see ``_grouped``), and the union
+       of each group's tokens is stored: the matrix of tokens and groups.
+    4. A set's overlap with the union of another group of its root bounds its similarity with every set
+       there, and only groups that may hold a match are opened for it (see ``_links``).
 
     Null and empty texts have 0 shingles and are their own component; a row without a
     key links with nothing and its component is null; repeated rows are copies; an empty
@@ -363,12 +506,12 @@ def jaccard_components(
     spark = docs.sparkSession
     stash = Stash(spark)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    schema = "doc_id long, n_shingles long, key long, signs array<long>"
+    schema = "doc_id long, n_shingles long, key long, sketch long, signs array<long>"
     common = common_tokens(rows, words)
     signed = partial(_signed, words=words, alike=alike, common=common)
     sets = stash.put(rows.mapInArrow(releasing(signed), schema), "sets")
 
-    slim = stash.put(sets.select("doc_id", "n_shingles", "key"), "rows")
+    slim = stash.put(sets.select("doc_id", "n_shingles", "key", "sketch"), "rows")
     signs = sets.where(F.col("signs").isNotNull()).select(F.explode("signs").alias("sign"), "key")
     meetings = stash.put(_meetings(signs), "meetings")
     stash.drop(sets)
@@ -378,21 +521,10 @@ def jaccard_components(
     # one document of each class that met another class: its tokens are made anew from its text
     members = slim.where(F.col("doc_id").isNotNull() & F.col("key").isNotNull())
     chosen = members.join(groups, members["key"] == groups["node"]).groupBy("root", "key")
-    chosen = stash.put(chosen.agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("n")), "chosen")
+    chosen = stash.put(chosen.agg(F.min("sketch").alias("sketch"), F.min("doc_id").alias("id"), F.max("n_shingles").alias("n")), "chosen")
     chosen = _refined(chosen, rows, words, alike, common, stash)
-    weights = chosen.groupBy("root").agg(F.ceil(F.sum("n") / F.lit(BLOCK)).alias("blocks"))
-    picked = chosen.join(weights, "root").select("id", "root", "blocks", "key")
-    if chosen.count() <= BROADCAST_ROWS:
-        picked = F.broadcast(picked)
-    fetched = rows.join(picked, rows["doc_id"] == picked["id"]).select("root", "blocks", "key", "text")
-    tokens = fetched.mapInArrow(releasing(partial(_tokens, words=words)), "root long, blocks long, key long, tokens array<long>")
-    mine = F.pmod(F.xxhash64("key"), F.col("blocks"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    dealt = tokens.withColumn("mine", mine).withColumn("other", other)
-    block = F.least("mine", "other") * F.col("blocks") + F.greatest("mine", "other")
-    together = dealt.select("root", block.alias("block"), "key", "tokens")
-    ordered = together.repartition("root", "block").sortWithinPartitions("root", "block")
-    links = stash.put(ordered.mapInArrow(releasing(partial(_opened, alike=alike)), "a long, b long"), "links")
+    found, _ = _links(rows, _grouped(chosen, stash), words, alike, stash)
+    links = stash.put(found, "links")
     linked = connected_components(links, stash)
     for spent in (meetings, links):
         stash.drop(spent)
