@@ -11,6 +11,7 @@ from ticketloom.functions.hashing import uniform
 from ticketloom.functions.intents import QUEUES, mapping_table
 from ticketloom.functions.scores import map_confidence, map_top_class, route, score_map, top_class
 from ticketloom.operators import registry, synthetic, textdrift
+from ticketloom.operators.bayesgrid import Setting, held_out_predictions, ranked_terms
 from ticketloom.operators.classifiers import HEADS, fit_candidates, fit_text_model, load_model, save_model, stratified_folds
 from ticketloom.operators.features import long_form, vocabulary_of
 from ticketloom.operators.synthetic import synthetic_corpus
@@ -241,3 +242,29 @@ def test_training_records_a_version(spark, tmp_path):
     first, second = (jobs.train_version(spark, data, path, "synthetic", "complementnb").first() for _ in range(2))
     assert (first["version"], first["promoted"], second["version"], second["promoted"]) == (1, True, 2, False)
     assert first["f1_macro"] == second["f1_macro"] > 0.5 and first["path"] != second["path"]
+
+
+def test_a_grid_of_settings_equals_separate_fits(spark, texts):
+    """All settings from one table of terms; rows without a label in some setting take no part."""
+    rows = texts.withColumn("half", F.when(F.col("label") < "d", F.lit("early")).otherwise("late"))
+    held = uniform("side", "doc_id") < 0.25
+    settings = [Setting("a", "label", 1, 40), Setting("b", "label", 2, 300), Setting("c", "half", 2, 300)]
+    unlabelled = rows.limit(20).withColumn("half", F.lit(None).cast("string"))
+    found = held_out_predictions(rows.unionByName(unlabelled), held, settings)
+    cells = {(r["setting"], r["label"], r["predicted_label"]): r["count"] for r in found.groupBy(*found.columns).count().collect()}
+    expected = {}
+    for s in settings:
+        told = rows.withColumn("label", F.col(s.label))
+        model = fit_text_model(told.where(~held), "complementnb", max_features=s.max_features, ngram_max=s.ngram_max)
+        for r in model.predict(told.where(held)).groupBy("label", "predicted_label").count().collect():
+            expected[s.name, r["label"], r["predicted_label"]] = r["count"]
+    assert cells == expected
+    assert "regexp_extract_all" not in plan(found).lower()  # texts are split before, once
+
+
+def test_vocabularies_of_a_grid_are_prefixes(spark):
+    rows = spark.createDataFrame([(["a", "b", "a b"],), (["b", "a", "c"],), (["c", "b c", "b c", "b c"],)], "terms array<string>")
+    settings = [Setting("x", "l", 1, 2), Setting("y", "l", 1, 3), Setting("z", "l", 2, 4)]
+    assert ranked_terms(rows, settings) == [["a", "b"], ["a", "b", "c"], ["b c", "a", "b", "c"]]
+    with pytest.raises(ValueError, match="no terms"):
+        ranked_terms(rows.limit(0), settings)

@@ -9,6 +9,7 @@ from ticketloom.functions.hashing import uniform
 from ticketloom.functions.scores import top_class
 from ticketloom.functions.text import clean_text, redact
 from ticketloom.operators import drift, evaluation, features, mapping, ranks, resampling, textdrift
+from ticketloom.operators.bayesgrid import Setting, held_out_predictions
 from ticketloom.operators.classifiers import (
     MajorityHead,
     TextModel,
@@ -250,18 +251,15 @@ def nb_scores_sql(labelled: str, keys: str, ngram_max: int = 2, max_features: in
     + ")",
 )
 def _(spark, sf):
-    """Scores by n-gram length and vocabulary size."""
-    train, test = _sides(training_texts(spark, sf))
-    out = None
-    for ngram_max in (1, 2):
-        for max_features in (1000, 5000):
-            model = fit_text_model(train, "complementnb", max_features=max_features, ngram_max=ngram_max)
-            row = evaluation.score(model.predict(test), "label", "predicted_label")
-            part = row.select(
-                F.lit(ngram_max).alias("ngram_max"), F.lit(max_features).alias("max_features"), r6("accuracy").alias("accuracy"), r6("f1_macro").alias("f1_macro")
-            )
-            out = part if out is None else out.unionByName(part)
-    return out
+    """Scores by n-gram length and vocabulary size, all from one tokenisation and one cube."""
+    grid = [(n, m) for n in (1, 2) for m in (1000, 5000)]
+    settings = [Setting(f"{n},{m}", "label", n, m) for n, m in grid]
+    found = held_out_predictions(training_texts(spark, sf), uniform("side", "doc_id") < F.lit(0.25), settings)
+    scores = evaluation.score(found, "label", "predicted_label", ("setting",))
+    told = F.split("setting", ",").cast("array<int>")
+    return scores.select(
+        told[0].alias("ngram_max"), told[1].alias("max_features"), r6("accuracy").alias("accuracy"), r6("f1_macro").alias("f1_macro")
+    )
 
 
 def _mapped_sql(version: str, north: str) -> str:
@@ -293,15 +291,11 @@ def _(spark, sf):
             )
         ),
     )
-    labelled = mapping.relabel(rows, maps, ["author", "majority"], "intent").persist()
-    out = None
-    for version in ("author", "majority"):
-        train, test = _sides(labelled.withColumn("label", F.col(f"queue_{version}")))
-        model = fit_text_model(train, "complementnb")
-        row = evaluation.score(model.predict(test), "label", "predicted_label")
-        part = settle(row.select(F.lit(version).alias("mapping"), F.round("f1_macro", 4).alias("f1_macro")), "sensitivity")
-        out = part if out is None else out.unionByName(part)
-    labelled.unpersist()
+    labelled = mapping.relabel(rows, maps, ["author", "majority"], "intent")
+    settings = [Setting(version, f"queue_{version}") for version in ("author", "majority")]
+    found = held_out_predictions(labelled, uniform("side", "doc_id") < F.lit(0.25), settings)
+    scores = evaluation.score(found, "label", "predicted_label", ("setting",))
+    out = settle(scores.select(F.col("setting").alias("mapping"), F.round("f1_macro", 4).alias("f1_macro")), "sensitivity")
     base = out.where("mapping = 'author'").select("f1_macro").scalar()
     return out.withColumn("delta_f1_macro", F.round(F.col("f1_macro") - base, 4))
 
