@@ -62,7 +62,7 @@ def set_key(tokens: np.ndarray) -> int:
 
 def sketch(tokens: np.ndarray) -> int:
     """The least token in an order by hashes: the more alike two sets are, the likelier they have the same."""
-    return int(np.sort(splitmix(tokens ^ _SKETCH))[:1].view(np.int64)[0])
+    return int(splitmix(tokens ^ _SKETCH).min().view(np.int64))
 
 
 @lru_cache(maxsize=None)
