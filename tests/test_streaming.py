@@ -8,10 +8,12 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from ticketloom import jobs
 from ticketloom.operators import alerts, drift
 from ticketloom.operators.classifiers import fit_text_model, save_model
 from ticketloom.operators.synthetic import synthetic_corpus
+from ticketloom.plans.views import stream as table_stream
 from ticketloom.session import fresh_path
 from ticketloom.streaming import monitoring
 from ticketloom.streaming.runner import drain, drain_table, start
@@ -171,3 +173,25 @@ def test_stream_jobs_serve_log_and_watch(spark, tmp_path):
     rates = spark.read.parquet(f"{watched}/rates")
     batch = alerts.window_rate(served.where("status = 'accepted'"), "ts", F.col("label") == "needs_review", "1 hour", "5 minutes")
     assert rates.count() == batch.count() == spark.read.parquet(f"{watched}/alerts").count()
+
+
+def test_a_table_in_a_folder_of_files_is_streamed_whole(spark):
+    sf = fresh_path(spark, "tables")
+    df = events(spark, 60)
+    df.repartition(3).write.parquet(f"{sf}/several.parquet")
+    spark.range(5).write.parquet(f"{sf}/other.parquet")
+    assert rows(drain_table(table_stream(spark, sf, "several"), "several"), "id") == rows(df, "id")
+
+
+def test_prediction_log_query_on_folders_and_without_tickets(spark):
+    texts = ["refund my card please", "the card was lost", "app crashes on start", "login page crashes"] * 3
+    docs = [(i, t, "en", "web", len(t)) for i, t in enumerate(texts)]
+    said = [(c, 1, role, f"card lost {c}") for c in range(4) for role in ("user", "assistant")]
+    for kept, want in (("role IS NOT NULL", 4), ("role = 'assistant'", 0)):
+        sf = fresh_path(spark, "tables")
+        spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{sf}/documents.parquet")
+        spark.createDataFrame([(i, (i // 2) % 2, 0) for i in range(len(docs))], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
+        talk = spark.createDataFrame(said, "conv_id long, turn long, role string, text string").where(kept)
+        talk.repartition(2).write.parquet(f"{sf}/conversations.parquet")
+        log = entry.queries()["s06_prediction_log_stream"](spark, sf)
+        assert log.columns == ["ts", "text", "label", "dt"] and log.count() == want

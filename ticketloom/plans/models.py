@@ -424,8 +424,10 @@ def _(spark, sf):
     """The redacted log a stream appends by day, read back as the drift monitor does."""
     routed = score_and_route(tickets(stream(spark, sf, "conversations")), _fitted(spark, sf, "complementnb"))
     path = drain(log_records(routed), "prediction-log", "json", ("dt",))
-    log = logs.load_predictions(spark, path).withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
-    return log.withColumn("dt", F.col("dt").cast("string"))
+    log = logs.load_predictions(spark, path)
+    if log is None:  # no ticket was accepted
+        return spark.createDataFrame([], "ts string, text string, label string, dt string")
+    return log.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).withColumn("dt", F.col("dt").cast("string"))
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:

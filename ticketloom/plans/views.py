@@ -21,9 +21,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """The same table as a file stream."""
-    schema = table(spark, sf, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    """The same table as a file stream, whether it is one file or a folder of files."""
+    reader, where = spark.readStream.schema(table(spark, sf, name).schema), spark._jvm.org.apache.hadoop.fs.Path(f"{sf}/{name}.parquet")
+    if where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory():
+        return reader.parquet(f"{sf}/{name}.parquet")
+    # a file stream watches a folder, here for one name
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf)
 
 
 def balanced(df: DataFrame) -> DataFrame:
