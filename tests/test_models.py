@@ -10,7 +10,7 @@ from ticketloom import jobs
 from ticketloom.functions.hashing import uniform
 from ticketloom.functions.intents import QUEUES, mapping_table
 from ticketloom.functions.scores import map_confidence, map_top_class, route, score_map, top_class
-from ticketloom.operators import registry, synthetic, textdrift
+from ticketloom.operators import bayesgrid, registry, synthetic, textdrift
 from ticketloom.operators.bayesgrid import Setting, held_out_predictions, ranked_terms
 from ticketloom.operators.classifiers import HEADS, fit_candidates, fit_text_model, load_model, save_model, stratified_folds
 from ticketloom.operators.features import long_form, vocabulary_of
@@ -268,3 +268,19 @@ def test_vocabularies_of_a_grid_are_prefixes(spark):
     assert ranked_terms(rows, settings) == [["a", "b"], ["a", "b", "c"], ["b c", "a", "b", "c"]]
     with pytest.raises(ValueError, match="no terms"):
         ranked_terms(rows.limit(0), settings)
+
+
+def test_vocabularies_are_ranked_without_all_terms_of_a_length_in_one_task(spark):
+    """No window over a length, which would hold every term of it: each task sends its first rows only."""
+    counts = spark.range(6000).select(
+        F.concat_ws(" ", F.concat(F.lit("t"), F.col("id")), F.when(F.col("id") % 3 == 0, "x")).alias("term"),
+        (F.col("id") % 7).alias("n"),
+        F.when(F.col("id") % 3 == 0, 2).otherwise(1).alias("length"),
+    )
+    leading = bayesgrid.leading_terms(counts, 2, 1500)
+    assert "Window" not in plan(leading)
+    want = []
+    for length in (1, 2):
+        rows_ = [tuple(r) for r in counts.where(F.col("length") == length).collect()]
+        want += sorted(rows_, key=lambda r: (-r[1], r[0]))[:1500]
+    assert sorted(map(tuple, leading.collect())) == sorted(want)

@@ -7,7 +7,7 @@ from functools import reduce
 
 import numpy as np
 from pyspark.ml.feature import IDF, CountVectorizerModel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom.functions.scores import top_class
@@ -27,6 +27,15 @@ class Setting:
     max_features: int = MAX_FEATURES
 
 
+def leading_terms(counts: DataFrame, lengths: int, most: int) -> DataFrame:
+    """The ``most`` first rows of (term, n, length) of each length up to ``lengths``, most frequent first, ties in alphabetical order.
+
+    Every task keeps the first rows of its own, and only those meet in one task, whatever the number of terms.
+    """
+    firsts = [counts.where(F.col("length") == n).orderBy(F.desc("n"), "term").limit(most) for n in range(1, lengths + 1)]
+    return reduce(DataFrame.unionByName, firsts)
+
+
 def ranked_terms(train: DataFrame, settings: list[Setting]) -> list[list[str]]:
     """The vocabulary of each setting, most frequent first, ties in alphabetical order, from one count of ``terms``.
 
@@ -35,9 +44,8 @@ def ranked_terms(train: DataFrame, settings: list[Setting]) -> list[list[str]]:
     """
     most = max(s.max_features for s in settings)
     counts = train.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.withColumn("length", F.size(F.split("term", " ")))
-    place = F.row_number().over(Window.partitionBy("length").orderBy(F.desc("n"), "term"))
-    rows = counts.withColumn("_place", place).where(F.col("_place") <= most).collect()
+    counts = settle(counts.withColumn("length", F.size(F.split("term", " "))), "term-counts")
+    rows = leading_terms(counts, max(s.ngram_max for s in settings), most).collect()
     rows.sort(key=lambda r: (-r["n"], r["term"]))
     found = [[r["term"] for r in rows if r["length"] <= s.ngram_max][: s.max_features] for s in settings]
     if not all(found):
