@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -77,6 +78,18 @@ def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]
     return wrapped
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs begun inside pass at most ``rows`` rows at a time to Python and back, so that rows may be wide."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def texts_of(batch: pa.RecordBatch, column: str) -> list[bytes]:
     """The texts of a batch in UTF-8; null is empty."""
     return [t or b"" for t in batch.column(column).cast(pa.binary()).to_pylist()]

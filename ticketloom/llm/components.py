@@ -2,21 +2,28 @@
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticketloom.llm.common import small_batches
 from ticketloom.session import fresh_path
 
 
 class Stash:
-    """Tables in the shared folder: each cuts the lineage, and can be dropped when it is of no more use."""
+    """Tables in the shared folder: each cuts the lineage, and can be dropped when it is of no more use.
+
+    ``batch_rows`` bounds the rows that Python is given at a time while a table is made.
+    """
 
-    def __init__(self, spark: SparkSession) -> None:
-        self.spark, self.paths = spark, {}
+    def __init__(self, spark: SparkSession, batch_rows: int | None = None) -> None:
+        self.spark, self.paths, self.batch_rows = spark, {}, batch_rows
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         path = fresh_path(self.spark, name)
-        df.write.parquet(path)
+        with small_batches(self.spark, self.batch_rows) if self.batch_rows else nullcontext():
+            df.write.parquet(path)
         kept = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(kept)] = (path, kept)
         return kept

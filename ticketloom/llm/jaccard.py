@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticketloom.llm.common import releasing, splitmix, texts_of
+from ticketloom.llm.common import FEW_ROWS, releasing, small_batches, splitmix, texts_of
 from ticketloom.llm.components import Stash, connected_components
 
 #: Words of a shingle, and the least similarity in hundredths.
@@ -189,7 +189,9 @@ def common_tokens(rows: DataFrame, words: int) -> np.ndarray:
     """
     least = max(COMMON_LEAST, rows.count() // COMMON)
     counts = rows.mapInArrow(releasing(partial(_counted, words=words)), "token long, n long")
-    found = counts.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("token").toArrow()
+    found = counts.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("token")
+    with small_batches(rows.sparkSession, FEW_ROWS):
+        found = found.toArrow()
     return np.sort(found.column("token").to_numpy().astype(np.int64).view(np.uint64))
 
 
@@ -504,7 +506,8 @@ def jaccard_components(
     table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
-    stash = Stash(spark)
+    # a row holds a text and its set of tokens, so batches of the usual number of rows are large on both sides
+    stash = Stash(spark, FEW_ROWS)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     schema = "doc_id long, n_shingles long, key long, sketch long, signs array<long>"
     common = common_tokens(rows, words)
