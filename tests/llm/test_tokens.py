@@ -178,3 +178,12 @@ def test_one_stage_codes_as_two(spark, odd):
     both = bpe.encode_and_decode(odd, path).select("tokens", "decoded")
     assert both.exceptAll(bpe.decode(bpe.encode(odd, path), path).select("tokens", "decoded")).count() == 0
     assert both.count() == 11
+
+
+def test_a_cache_holds_the_words_of_a_large_task():
+    """A task that forgets words encodes them again and again, and its texts have tens of thousands of different ones."""
+    cache = bpe.Cache(bpe.CACHED_BYTES)
+    words = [b"word%06d" % i for i in range(90_000)]
+    for word in words:
+        cache.put(word, b"\0" * 8)
+    assert all(cache.get(word) is not None for word in words)
