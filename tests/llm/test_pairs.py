@@ -179,6 +179,42 @@ def test_groups_that_qualify_are_opened_for_each_other(spark, monkeypatch):
     assert len(set(joined.values())) == 4
 
 
+def test_the_matrix_is_sent_in_slices_and_once(spark):
+    """However many groups a root has, a set's tokens go out once, dealt into slices; their counts add up to the overlaps."""
+    draw = random.Random(6)
+    rows = []
+    for i in range(60):
+        text = " ".join(f"w{draw.randrange(90)}" for _ in range(draw.choice([5, 80, 200])))
+        key = jaccard.set_key(jaccard.shingle_set(text.encode(), 2))
+        rows.append((7, i % 9, 9, i in (4, 8), key, text))
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.string())
+    columns = [pa.array(list(v), k) for v, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+    batch = pa.RecordBatch.from_arrays(columns, names=["root", "grp", "blocks", "hub", "key", "text"])
+    slices = pa.Table.from_batches(list(jaccard._sliced(iter([batch]), 2)))
+    sets = {key: set(jaccard.shingle_set(text.encode(), 2).view(np.int64).tolist()) for *_, key, text in rows}
+    met = {key: [] for key in sets}
+    for key, tokens in zip(slices["key"].to_pylist(), slices["tokens"].to_pylist(), strict=True):
+        met[key] += tokens
+    assert all(sorted(met[key]) == sorted(sets[key]) for key in sets)
+    assert max(map(len, slices["tokens"].to_pylist())) < max(map(len, sets.values())) / 3
+
+    ordered = slices.sort_by([("root", "ascending"), ("slice", "ascending")]).to_batches(max_chunksize=16)
+    found: dict[tuple[int, int], list[int]] = {}
+    for part in jaccard._shared(iter(ordered)):
+        for r in part.to_pylist():
+            told = found.setdefault((r["key"], r["other"]), [0, 0])
+            told[0] += r["shared"]
+            told[1] += r["hub_shared"]
+    expected = {}
+    for _, grp, _, _, key, _ in rows:
+        for other in set(range(9)) - {grp}:
+            union = set().union(*[sets[k] for _, g, _, _, k, _ in rows if g == other])
+            hub = set().union(*[sets[k] for _, g, _, is_hub, k, _ in rows if g == other and is_hub])
+            if sets[key] & union:
+                expected[key, other] = [len(sets[key] & union), len(sets[key] & hub)]
+    assert found == expected
+
+
 @pytest.mark.parametrize("alike", [80, 85])
 def test_alike_sets_share_a_signature(alike):
     draw = np.random.default_rng(alike)

@@ -30,6 +30,7 @@ SIGNED_ANEW = 3
 BROADCAST_ROWS = 1_000_000
 
 _PART = np.uint64(0xD6E8FEB86659FD93)
+_SLICE = np.uint64(0xA0761D6478BD642F)
 _SKETCH = np.uint64(0x9FB21C651E98DF25)
 
 
@@ -318,8 +319,8 @@ def spanning_links(keys: list[int], sets: list[np.ndarray], alike: int = ALIKE)
     return links
 
 
-_FOUND = "a long, b long, root long, grp long, tokens array<long>"
-_BOUNDED = "a long, b long, root long, lo long, hi long, grp long"
+_FOUND = "a long, b long, root long, grp long"
+_SHARED = "key long, other long, shared long, hub_shared long"
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray]]:
@@ -332,28 +333,23 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray]
 
 
 def _opened(batches: Iterator[pa.RecordBatch], alike: int) -> Iterator[pa.RecordBatch]:
-    """Rows (root, grp, alone, key, tokens) in the order of root and group -> links, and the groups' part of the matrix.
+    """Rows (root, grp, alone, key, tokens) in the order of root and group -> links, and the groups' hubs.
 
     A group is opened whole: its links are rows (a, b). One that is not alone in its
-    root adds a row (null, null, root, grp, union of tokens), and if it has links the
-    set that most of them start from: (key, null, root, grp, tokens).
+    root and has links adds the set that most of them start from, its hub: (key, null, root, grp).
     """
     held: dict[int, np.ndarray] = {}
     place = None
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
 
     def close() -> pa.RecordBatch:
         keys = sorted(held)
         links = spanning_links(keys, [held[k] for k in keys], alike)
-        rows = [(a, b, None, None, None) for a, b in links]
-        if place and not place[2]:
-            rows.append((None, None, *place[:2], np.unique(np.concatenate(list(held.values())))))
-            if links:
-                hub = Counter(a for a, _ in links).most_common(1)[0][0]
-                rows.append((hub, None, *place[:2], held[hub]))
-        columns = zip(*rows, strict=True) if rows else [()] * 5
-        made = [pa.array(list(v), k) for v, k in zip(columns, kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(made, names=["a", "b", "root", "grp", "tokens"])
+        rows = [(a, b, None, None) for a, b in links]
+        if place and not place[2] and links:
+            rows.append((Counter(a for a, _ in links).most_common(1)[0][0], None, *place[:2]))
+        columns = zip(*rows, strict=True) if rows else [()] * 4
+        made = [pa.array(list(v), pa.int64()) for v in columns]
+        return pa.RecordBatch.from_arrays(made, names=["a", "b", "root", "grp"])
 
     for (root, grp, alone, key), tokens in _sets(batches):
         if (root, grp, alone) != place:
@@ -363,45 +359,65 @@ def _opened(batches: Iterator[pa.RecordBatch], alike: int) -> Iterator[pa.Record
     yield close()
 
 
-def _bounded(batches: Iterator[pa.RecordBatch], alike: int) -> Iterator[pa.RecordBatch]:
-    """Rows (root, grp, other, key, tokens): a group's own sets (``other`` null), then what other groups offer it.
+def _sliced(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """(root, grp, blocks, hub, key, text) -> (root, slice, grp, hub, key, tokens): a set's tokens dealt into ``blocks`` slices by their hash."""
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.list_(pa.int64()))
+    for (root, grp, blocks, hub, key), tokens in _sets(_tokens(batches, words)):
+        at = (splitmix(tokens.view(np.uint64) ^ _SLICE) >> np.uint64(32)) % np.uint64(blocks)
+        order = np.argsort(at, kind="stable")
+        filled, starts = np.unique(at[order], return_index=True)
+        parts = np.split(tokens[order], starts[1:])
+        n = len(filled)
+        columns = ([root] * n, filled.astype(np.int64), [grp] * n, [hub] * n, [key] * n, parts)
+        made = [pa.array(v, k) for v, k in zip(columns, kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays(made, names=["root", "slice", "grp", "hub", "key", "tokens"])
 
-    Against an offered union (no key) a set is bounded: only if the overlap is at least the least
-    similarity of the set's own size can it link into that group, and then it is a row
-    (key, null, root, the two groups in order, own group). An offered set is compared and links come out as (a, b).
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (root, slice, grp, hub, key, tokens) in the order of root and slice -> (key, other, shared, hub_shared).
+
+    The rows of a slice are some rows of the matrix, for all sets and groups of the root: how many of a
+    set's tokens there are in the union of another group, and in its hub. Sums over the slices are exact.
     """
-    keys: list[int] = []
-    sets: list[np.ndarray] = []
-    place, distinct = None, None
-    kinds = [pa.int64()] * 6
-
-    for (root, grp, other, key), tokens in _sets(batches):
-        if (root, grp) != place:
-            keys, sets, place, distinct = [], [], (root, grp), None
-        if other is None:
-            keys.append(key)
-            sets.append(tokens)
-            continue
-        if distinct is None:
-            sizes = np.array([len(s) for s in sets])
-            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            distinct, inverse = np.unique(np.concatenate(sets), return_inverse=True)
-            sets = []
-        met = np.isin(distinct, tokens)
-        shared = np.add.reduceat(met[inverse].astype(np.int64), starts)
-        if key is None:
-            able = np.flatnonzero(100 * shared >= alike * sizes)
-            rows = [(keys[i], None, root, min(grp, other), max(grp, other), grp) for i in able.tolist()]
-        else:
-            near = np.flatnonzero(100 * shared >= alike * (sizes + len(tokens) - shared))
-            rows = [(keys[i], key, None, None, None, None) for i in near.tolist()]
-        if rows:
-            made = [pa.array(list(v), k) for v, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(made, names=["a", "b", "root", "lo", "hi", "grp"])
+    held: list[tuple[int, bool, int, np.ndarray]] = []
+    place = None
+
+    def close() -> Iterator[pa.RecordBatch]:
+        if len({grp for grp, *_ in held}) < 2:
+            return
+        _, inverse = np.unique(np.concatenate([tokens for *_, tokens in held]), return_inverse=True)
+        owner = np.repeat(np.arange(len(held)), [len(tokens) for *_, tokens in held])
+        names, column = np.unique([grp for grp, *_ in held], return_inverse=True)
+        keys, hubs = np.array([key for *_, key, _ in held]), np.array([hub for _, hub, *_ in held])
+        # tokens of one group only are in no other's union
+        first = np.zeros(inverse.max() + 1, np.int64)
+        first[inverse] = column[owner]
+        several = np.zeros(len(first), bool)
+        several[inverse[first[inverse] != column[owner]]] = True
+        inverse, owner = inverse[several[inverse]], owner[several[inverse]]
+        for at, name in enumerate(names.tolist()):
+            member = column[owner] == at
+            counts = []
+            for inside in (member, member & hubs[owner]):
+                met = np.zeros(len(first), bool)
+                met[inverse[inside]] = True
+                counts.append(np.bincount(owner[met[inverse] & ~member], minlength=len(held)))
+            some = np.flatnonzero(counts[0])
+            made = (keys[some], np.full(len(some), name), *(n[some] for n in counts))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v.astype(np.int64)) for v in made], names=["key", "other", "shared", "hub_shared"]
+            )
+
+    for (root, part, grp, hub, key), tokens in _sets(batches):
+        if (root, part) != place:
+            yield from close()
+            held, place = [], (root, part)
+        held.append((grp, hub, key, tokens))
+    yield from close()
 
 
 def _grouped(chosen: DataFrame, stash: Stash) -> DataFrame:
-    """(id, root, grp, alone, key): the groups that the sets of a root are partitioned into, each of about a block.
+    """(id, root, grp, alone, key, n, blocks): the groups that the sets of a root are partitioned into, each of about a block.
 
     Sets with the same sketch, which similar sets tend to have, stay in one group; only
     where they alone are more than half a block are they dealt out by their keys.
@@ -409,14 +425,15 @@ def _grouped(chosen: DataFrame, stash: Stash) -> DataFrame:
     weights = chosen.groupBy("root").agg(F.ceil(F.sum("n") / F.lit(BLOCK)).alias("blocks"))
     large = stash.put(weights.where("blocks > 1"), "large")
     whole = chosen.join(large, "root", "left_anti").select(
-        "id", "root", F.lit(0).cast("long").alias("grp"), F.lit(True).alias("alone"), "key"
+        "id", "root", F.lit(0).cast("long").alias("grp"), F.lit(True).alias("alone"), "key", "n", F.lit(1).cast("long").alias("blocks")
     )
     several = chosen.join(large, "root")
     heavy = several.groupBy("root", "sketch").agg(F.sum("n").alias("heavy"))
     parts = F.ceil(F.col("heavy") / F.lit(BLOCK))
     own = F.xxhash64("sketch", F.pmod(F.xxhash64("key"), parts))
     grp = F.when(2 * F.col("heavy") > BLOCK, own).otherwise(F.pmod(F.xxhash64("sketch"), F.col("blocks")))
-    dealt = several.join(heavy, ["root", "sketch"]).select("id", "root", grp.alias("grp"), F.lit(False).alias("alone"), "key")
+    dealt = several.join(heavy, ["root", "sketch"])
+    dealt = dealt.select("id", "root", grp.alias("grp"), F.lit(False).alias("alone"), "key", "n", "blocks")
     return stash.put(whole.unionByName(dealt), "groups")
 
 
@@ -425,41 +442,64 @@ def _together(rows: DataFrame, alike: int) -> DataFrame:
     return ordered.mapInArrow(releasing(partial(_opened, alike=alike)), _FOUND)
 
 
-def _with_tokens(rows: DataFrame, picked: DataFrame, words: int, schema: str) -> DataFrame:
-    """The token sets of ``picked`` (id, the columns of ``schema``), made anew from the texts; nothing but ``picked`` is kept."""
+def _with_texts(rows: DataFrame, picked: DataFrame) -> DataFrame:
+    """The texts of ``picked`` (id and other columns), from which token sets are made anew; nothing but ``picked`` is kept."""
     near = F.broadcast(picked) if picked.count() <= BROADCAST_ROWS else picked
     names = [c for c in picked.columns if c != "id"]
-    fetched = rows.join(near, rows["doc_id"] == near["id"]).select(*names, "text")
-    return fetched.mapInArrow(releasing(partial(_tokens, words=words)), f"{schema}, tokens array<long>")
+    return rows.join(near, rows["doc_id"] == near["id"]).select(*names, "text")
+
+
+def _with_tokens(rows: DataFrame, picked: DataFrame, words: int, schema: str) -> DataFrame:
+    """The token sets of ``picked`` (id, the columns of ``schema``)."""
+    return _with_texts(rows, picked).mapInArrow(releasing(partial(_tokens, words=words)), f"{schema}, tokens array<long>")
 
 
 def _links(rows: DataFrame, groups: DataFrame, words: int, alike: int, stash: Stash) -> tuple[DataFrame, DataFrame]:
     """(a, b) links that connect what all links of the groups' sets do, and the sets (id, key, pairs) sent a second time.
 
-    1. Every group's sets come together once; links inside it are found, and it adds the
-       union of its tokens to the matrix.
-    2. Sets are bounded against the unions of the other groups of their root, and compared with those
-       groups' best linked sets, which joins most of a family that fills many groups.
+    1. Every group's sets come together once; links inside it are found, and the set most of them start from, its hub.
+    2. The sets of a root of several groups are sent once more, cut into slices by the hash of their tokens.
+       A slice of the matrix counts what a set shares with the unions and with the hubs of the other groups. Summed,
+       the counts bound sets against groups and link them with hubs, which joins most of a family that fills many groups.
     3. Two groups are opened for each other only for sets that qualify on both sides and that
        links found so far leave in different components.
     """
-    found = stash.put(_together(_with_tokens(rows, groups, words, _PLACED), alike), "opened")
+    placed = groups.select("id", "root", "grp", "alone", "key")
+    found = stash.put(_together(_with_tokens(rows, placed, words, _PLACED), alike), "opened")
     links = found.where("b is not null").select("a", "b")
     several = groups.where("not alone")
     if several.isEmpty():
         return links, groups.limit(0).select("id", "key", F.array().cast("array<long>").alias("pairs"))
-    matrix = found.where("b is null").select(F.col("root").alias("of"), F.col("grp").alias("other"), F.col("a").alias("key"), "tokens")
-    places = several.select("root", "grp").distinct()
-    offered = places.join(matrix, (F.col("root") == F.col("of")) & (F.col("grp") != F.col("other")))
-    own = _with_tokens(rows, several, words, _PLACED).withColumn("other", F.lit(None).cast("long"))
-    columns = ["root", "grp", "other", "key", "tokens"]
-    queries = own.select(*columns).unionByName(offered.select(*columns)).repartition("root", "grp")
-    queries = queries.sortWithinPartitions("root", "grp", F.asc_nulls_first("other"))
-    bounded = stash.put(queries.mapInArrow(releasing(partial(_bounded, alike=alike)), _BOUNDED), "bounded")
-    links = links.unionByName(bounded.where("b is not null").select("a", "b"))
+    sized = several.select("key", "root", "grp", "n")
+    hubs = found.where("b is null").select(F.col("a").alias("key")).withColumn("hub", F.lit(True))
+    own = several.join(hubs, "key", "left").select("id", "root", "grp", "blocks", F.coalesce("hub", F.lit(False)).alias("hub"), "key")
+    slices = _with_texts(rows, stash.put(own, "own")).mapInArrow(
+        releasing(partial(_sliced, words=words)), "root long, slice long, grp long, hub boolean, key long, tokens array<long>"
+    )
+    slices = slices.repartition("root", "slice").sortWithinPartitions("root", "slice")
+    shared = slices.mapInArrow(releasing(_shared), _SHARED).groupBy("key", "other")
+    shared = shared.agg(F.sum("shared").alias("shared"), F.sum("hub_shared").alias("hub_shared"))
+    best = hubs.drop("hub").join(sized, "key").select(
+        F.col("root").alias("of"), F.col("grp").alias("at"), F.col("key").alias("hub"), F.col("n").alias("hub_n")
+    )
+    able = shared.join(sized, "key").where(100 * F.col("shared") >= alike * F.col("n"))
+    able = able.join(best, (F.col("root") == F.col("of")) & (F.col("other") == F.col("at")), "left")
+    near = 100 * F.col("hub_shared") >= alike * (F.col("n") + F.col("hub_n") - F.col("hub_shared"))
+    bounded = stash.put(
+        able.select(
+            "key",
+            "root",
+            "grp",
+            F.least("grp", "other").alias("lo"),
+            F.greatest("grp", "other").alias("hi"),
+            F.when(near, F.col("hub")).alias("b"),
+        ),
+        "bounded",
+    )
+    links = links.unionByName(bounded.where("b is not null").select(F.col("key").alias("a"), "b"))
 
     linked = connected_components(links, stash).select("node", F.col("root").alias("least"))
-    able = bounded.where("b is null").select("root", "lo", "hi", "grp", F.col("a").alias("key")).distinct()
+    able = bounded.select("root", "lo", "hi", "grp", "key")
     able = able.join(linked, able["key"] == linked["node"], "left").withColumn("least", F.coalesce("least", "key"))
     low, pair = F.col("grp") == F.col("lo"), ["root", "lo", "hi"]
     sides = able.groupBy(*pair).agg(
@@ -496,10 +536,11 @@ def jaccard_components(
        root of similar sets, so a set has partners in its own root only. Roots larger than
        a block are signed anew, which takes them apart where only passages held them
        together (see ``_refined``).
-    3. A root's sets are partitioned into groups of similar sets (see ``_grouped``), and the union
-       of each group's tokens is stored: the matrix of tokens and groups.
+    3. A root's sets are partitioned into groups of similar sets (see ``_grouped``), and the unions
+       of the groups' tokens are the matrix of tokens and groups.
     4. A set's overlap with the union of another group of its root bounds its similarity with every set
-       there, and only groups that may hold a match are opened for it (see ``_links``).
+       there, and only groups that may hold a match are opened for it (see ``_links``). The matrix is cut by
+       tokens, so a set is sent once for all groups and no union is sent at all.
 
     Null and empty texts have 0 shingles and are their own component; a row without a
     key links with nothing and its component is null; repeated rows are copies; an empty
