@@ -168,3 +168,17 @@ def test_fixed_mapping_is_complete(spark):
     table = mapping_table(spark)
     counts = dict(rows(table.groupBy("queue").count()))
     assert counts == {"billing": 25, "technical": 14, "account": 19, "card_delivery": 6, "general": 13}
+
+
+def test_bigrams_stand_beside_their_words(spark):
+    """The column and the saved pipeline's SQL give the same terms, also of texts too short for one."""
+    texts = ["", None, "a", "ab", "ab cd", "ab x cd ab cd", "éé ab_1 12"]
+    words = [[w for w in (t or "").split() if len(w) > 1] for t in texts]
+    expected = [None if t is None else [*w, *map(" ".join, zip(w, w[1:]))] for t, w in zip(texts, words, strict=True)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
+    split, gram = features._term_stages("text", 2)
+    for made in (rows.withColumn("terms", tx.terms(F.col("text"))), gram.transform(split.transform(rows))):
+        assert [r["terms"] for r in made.orderBy("id").collect()] == expected
+        assert "sequence(" not in plan(made)
+    odd = spark.createDataFrame([(["a", None, "b"],), (None,), ([None],), ([],)], "w array<string>")
+    assert [r[0] for r in odd.select(tx.ngrams(F.col("w"), 2)).collect()] == [["a", "b"], [], [], []]

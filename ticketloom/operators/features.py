@@ -61,6 +61,11 @@ def _term_stages(text: str, ngram_max: int) -> tuple[SQLTransformer, SQLTransfor
     )
     grams = ["_words"]
     for n in range(2, ngram_max + 1):
+        if n == 2:  # as in ``functions.text``: the words beside their followers
+            last = "greatest(size(_words) - 1, 0)"
+            beside = f"zip_with(slice(_words, 1, {last}), slice(_words, 2, {last}), (a, b) -> concat_ws(' ', a, b))"
+            grams.append(f"if(size(_words) >= 2, {beside}, cast(array() as array<string>))")
+            continue
         joined = ", ".join(f"_words[i + {k}]" for k in range(n))
         grams.append(
             f"if(size(_words) >= {n}, transform(sequence(0, size(_words) - {n}), i -> concat_ws(' ', {joined})), "
