@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketloom.llm import bpe, jaccard, mixing, quality, secrets
+from ticketloom.llm.common import FEW_ROWS
 from ticketloom.llm.components import Stash
 from ticketloom.llm.queries import vocabulary_path
 
@@ -41,9 +42,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of each document, and the digest of the text they decode to."""
+    """The ids of each document, and the digest of the text they decode to.
+
+    Written here, a few rows at a time between the JVM and Python: rows that are passed by
+    the thousand stand in buffers beside the heap, which the stages before have filled.
+    """
     coded = bpe.encode_and_decode(docs.select("doc_id", "lang", "source", "text"), vocabulary_path())
-    return coded.select(
+    rows = coded.select(
         "doc_id",
         "lang",
         "source",
@@ -51,6 +56,7 @@ def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         "tokens",
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+    return Stash(spark, FEW_ROWS).put(rows, "ids")
 
 
 STAGES: list[tuple[str, Stage]] = [

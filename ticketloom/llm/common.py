@@ -106,7 +106,8 @@ def with_columns(
 
     ``make`` runs once per task and returns a function from texts to one list per
     added column. Columns of ``df`` whose names clash with added ones are replaced.
-    ``frugal`` tasks hold the texts of a few rows at a time and give their memory back at the end.
+    ``frugal`` tasks hold the texts of a few rows at a time and give memory back: Arrow's after
+    every few rows, as its pool keeps what was freed, and all at the end.
     """
     names = {f.name.lower() for f in added}
     kept = df.drop(*[c for c in df.columns if c.lower() in names and c != text])
@@ -119,15 +120,17 @@ def with_columns(
         function = make()
         for whole in batches:
             rows = FEW_ROWS if frugal else max(whole.num_rows, 1)
-            yield from added_to(function, [whole.slice(i, rows) for i in range(0, whole.num_rows, rows)])
-
-    def added_to(function: Callable[[list[bytes]], list[list]], batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = texts_of(batch, text)
-            for start, end in slices(texts, SLICE):
-                made = function(texts[start:end])
-                new = [pa.array(v, type=k) for v, k in zip(made, kinds, strict=True)]
-                old = batch.slice(start, end - start).columns
-                yield pa.RecordBatch.from_arrays([*old, *new], names=schema.names)
+            for i in range(0, whole.num_rows, rows):
+                yield from added_to(function, whole.slice(i, rows))
+                if frugal:
+                    pa.default_memory_pool().release_unused()
+
+    def added_to(function: Callable[[list[bytes]], list[list]], batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        texts = texts_of(batch, text)
+        for start, end in slices(texts, SLICE):
+            made = function(texts[start:end])
+            new = [pa.array(v, type=k) for v, k in zip(made, kinds, strict=True)]
+            old = batch.slice(start, end - start).columns
+            yield pa.RecordBatch.from_arrays([*old, *new], names=schema.names)
 
     return kept.mapInArrow(releasing(run) if frugal else run, schema)

@@ -130,7 +130,7 @@ def _scanner() -> Callable[[list[bytes]], list[list]]:
     return scan
 
 
-def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
+def scan_secrets(docs: DataFrame, text: str = "text", frugal: bool = False) -> DataFrame:
     """``docs`` with ``secrets``: array of (kind, start, end) in code points by start, then kind.
 
     Kinds: ``assign`` (a named value of 12 characters or more, the span from name to
@@ -139,9 +139,9 @@ def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Null and empty texts have no spans; repeated rows have equal spans; a column named
     ``secrets`` is replaced; an empty table stays empty. Texts are read whole, in
-    batches, and nothing is shuffled.
+    batches, and nothing is shuffled. ``frugal`` as in ``with_columns``.
     """
-    return with_columns(docs, text, T.StructType([T.StructField("secrets", SPANS, False)]), _scanner)
+    return with_columns(docs, text, T.StructType([T.StructField("secrets", SPANS, False)]), _scanner, frugal)
 
 
 def redact_secrets(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
@@ -150,7 +150,8 @@ def redact_secrets(docs: DataFrame, text: str = "text", mark: str = "[SECRET]")
     Null stays null, and texts without a secret stay as they are. ``n_chars`` follows
     the text if there is such a column.
     """
-    found = scan_secrets(docs, text)
+    # Python workers idle on through the stages that follow, so they must not keep a batch's memory
+    found = scan_secrets(docs, text, frugal=True)
 
     def merged(spans):
         """The spans by start, each overlapping one folded into its predecessor."""
