@@ -238,6 +238,53 @@ def test_alike_sets_share_a_signature(alike):
     assert pairs > 300
 
 
+@pytest.mark.parametrize("alike", [80, 85])
+def test_alike_sets_share_as_many_signatures_as_they_need(alike):
+    draw = np.random.default_rng(alike + 1)
+    pairs = most = 0
+    for _ in range(2000):
+        size = int(draw.choice([*range(4, 40), 60, 100, 300, 1500]))
+        numbers = draw.integers(0, 2**63, size * 2).astype(np.uint64)
+        cut, more = (int(draw.integers(0, size // 5 + 2)) for _ in range(2))
+        a, b = np.unique(numbers[:size]), np.unique(np.concatenate([numbers[cut:size], numbers[size : size + more]]))
+        shared = len(np.intersect1d(a, b))
+        if shared < size and len(b) and 100 * shared >= alike * (len(a) + len(b) - shared):
+            pairs += 1
+            common = np.sort(draw.choice(numbers, int(draw.integers(0, len(numbers) + 1)), replace=False))
+            for turn in (0, 2):
+                (x, needs), (y, others) = (jaccard.signatures_and_needs(s, alike, common, turn) for s in (a, b))
+                both = np.intersect1d(x, y)
+                assert any((both & 1 == bit).sum() >= max(needs[bit], others[bit]) for bit in (0, 1))
+                most = max(most, *needs)
+    assert pairs > 200 and most > 5
+
+
+def test_texts_that_only_share_passages_are_not_sent(spark, monkeypatch):
+    """Long texts, each with a passage of the one before: one root by shared signatures, but alike to nobody."""
+    draw, asked = random.Random(11), []
+
+    def words(n):
+        return [f"w{draw.randrange(10**9)}" for _ in range(n)]
+
+    passages = [words(1500) for _ in range(25)]
+    texts = [[*passages[i], *words(3000), *passages[i + 1]] for i in range(24)]
+    for i in (5, 17):  # near copies, of which links must be found
+        texts.append([*texts[i][:2000], *words(100), *texts[i][2100:]])
+    texts = {i: " ".join(text) for i, text in enumerate(texts)}
+    signs = [set(jaccard.signatures(jaccard.shingle_set(text.encode())).tolist()) for text in texts.values()]
+    assert sum(bool(signs[i] & signs[i + 1]) for i in range(23)) > 15
+
+    def grouped(chosen, stash, f=jaccard._grouped):
+        asked.extend(r["id"] for r in chosen.select("id").collect())
+        return f(chosen, stash)
+
+    monkeypatch.setattr(jaccard, "_grouped", grouped)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(docs).collect()}
+    assert found == {i: {24: 5, 25: 17}.get(i, i) for i in texts} == brute_jaccard(texts, 4, 85)[1]
+    assert sorted(asked) == [5, 17, 24, 25]
+
+
 def test_join_query_matches_all_pairs(spark):
     sf = "/root/testdata/sf0.001"
     texts = {r["doc_id"]: r["text"] for r in table(spark, sf, "documents").select("doc_id", "text").collect()}

@@ -24,6 +24,8 @@ BLOCK = 1 << 20
 COMMON, COMMON_LEAST = 2000, 16
 #: Tokens that a task holds before it counts them.
 COUNTED = 1 << 22
+#: Of so many parts one more is signed than the least, so that alike sets share that many signatures more.
+SIGNED_MORE = 32
 #: Times that groups larger than a block are signed anew, with parts dealt otherwise.
 SIGNED_ANEW = 3
 #: Rows of at most four numbers that may be broadcast (32 MB); more are joined by a shuffle.
@@ -94,15 +96,18 @@ def bands(alike: int = ALIKE, top: int = 1 << 40) -> tuple[tuple[int, int], ...]
 
 
 def _emit(
-    tokens: np.ndarray, common: np.ndarray, parts: int, apart: int, salt: np.uint64, depth: int, out: list[np.ndarray]
-) -> None:
-    """Signatures of the parts of a set, enough of them that an alike set must share one.
+    tokens: np.ndarray, common: np.ndarray, parts: int, apart: int, more: int, salt: np.uint64, depth: int, out: list[np.ndarray]
+) -> int:
+    """Signatures of the parts of a set, enough of them that an alike set must share one; how many it shares at least.
 
     Tokens fall into parts by a hash. Two alike sets differ in ``apart`` parts at most,
     so of any ``apart`` + 1 parts of a set one is equal in an alike set. Those are taken
     that have a token which is not common, in the order of the parts: a part of common
     tokens alone says little, since a passage that many texts share makes such parts.
 
+    ``more`` parts are taken besides, if there are as many. The n-th equal one of these parts has at most
+    ``apart`` unequal ones before it in either set, so both sets take the first ``more`` + 1 equal ones.
+
     If a set has too few of them, all its filled parts are signed; and if even these are
     too few, the equal parts may all be empty, so the set is also cut anew for every
     empty part. An alike set that has enough finds its equal part among all of these; one
@@ -114,18 +119,20 @@ def _emit(
     sums = np.add.reduceat(splitmix(tokens[order] + salt), starts)
     signs = splitmix(sums + filled.astype(np.uint64) * _PART + salt)
     telling = np.logical_or.reduceat(~common[order], starts)
-    if np.count_nonzero(telling) > apart:
-        out.append(signs[telling][: apart + 1])
-        return
+    spare = int(np.count_nonzero(telling)) - apart
+    if spare > 0:
+        out.append(signs[telling][: apart + 1 + more])
+        return min(spare, more + 1)
     out.append(signs)
     if len(filled) > apart:
-        return
+        return 1
     for empty in sorted(set(range(parts)) - set(filled.tolist())):
         inner = _salt(int(salt), empty)
         if depth:
-            _emit(tokens, common, parts, apart, inner, depth - 1, out)
+            _emit(tokens, common, parts, apart, 0, inner, depth - 1, out)
         else:
             out.append(np.array([inner], np.uint64))
+    return 1
 
 
 _NONE = np.empty(0, np.uint64)
@@ -137,10 +144,21 @@ def signatures(tokens: np.ndarray, alike: int = ALIKE, common: np.ndarray = _NON
     ``common`` are the common tokens, in order; whichever they are, and in whatever turn, alike
     sets share a signature. Tokens fall into other parts in every turn.
     """
+    return signatures_and_needs(tokens, alike, common, turn)[0]
+
+
+def signatures_and_needs(
+    tokens: np.ndarray, alike: int = ALIKE, common: np.ndarray = _NONE, turn: int = 0
+) -> tuple[np.ndarray, list[int]]:
+    """The signatures of a set, and how many of one band an alike set that is signed for the band shares at least.
+
+    The last bit of a signature is that of its band's number, by which the two bands of a set, and their needs, differ.
+    """
     size = len(tokens)
     apart = most_apart(size, alike)
+    needs = [1, 1]
     if not apart:
-        return np.empty(0, np.int64)
+        return np.empty(0, np.int64), needs
     known = bands(alike)
     if len(common):
         widespread = common[np.minimum(np.searchsorted(common, tokens), len(common) - 1)] == tokens
@@ -151,8 +169,16 @@ def signatures(tokens: np.ndarray, alike: int = ALIKE, common: np.ndarray = _NON
     for band in (own, own + 1):
         least, parts = known[band]
         if band == own or size * 100 // alike >= least:
-            _emit(tokens, widespread, parts, apart, _salt(band, turn) if turn else _salt(band), 3, out)
-    return np.unique(np.concatenate(out)).view(np.int64)
+            made: list[np.ndarray] = []
+            salt = _salt(band, turn) if turn else _salt(band)
+            needs[band % 2] = _emit(tokens, widespread, parts, apart, parts // SIGNED_MORE, salt, 3, made)
+            out.append(_marked(np.concatenate(made), np.uint64(band % 2)))
+    return np.unique(np.concatenate(out)).view(np.int64), needs
+
+
+def _marked(signs: np.ndarray, bit: np.ndarray | np.uint64) -> np.ndarray:
+    """Signatures with another last bit."""
+    return signs & ~np.uint64(1) | bit
 
 
 def _counted(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
@@ -196,41 +222,59 @@ def common_tokens(rows: DataFrame, words: int) -> np.ndarray:
     return np.sort(found.column("token").to_numpy().astype(np.int64).view(np.uint64))
 
 
-def _signed(batches: Iterator[pa.RecordBatch], words: int, alike: int, common: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) -> (doc_id, n_shingles, key, sketch, signs): signs once for each set that a task meets."""
-    met: set[int] = set()
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+def _sized(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text) -> (doc_id, n_shingles, key, sketch)."""
     for batch in batches:
-        ids = batch.column(0)
-        sizes, keys, sketches, signs = [], [], [], []
-        for known, text in zip(ids.is_valid().to_pylist(), texts_of(batch, batch.schema.names[1]), strict=True):
+        sizes, keys, sketches = [], [], []
+        for text in texts_of(batch, batch.schema.names[1]):
             tokens = shingle_set(text, words)
-            key = set_key(tokens) if len(tokens) else None
             sizes.append(len(tokens))
-            keys.append(key)
+            keys.append(set_key(tokens) if len(tokens) else None)
             sketches.append(sketch(tokens) if len(tokens) else None)
-            first = known and key is not None and key not in met
-            signs.append(signatures(tokens, alike, common) if first else None)
-            if first:
+        made = [pa.array(v, pa.int64()) for v in (sizes, keys, sketches)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=["doc_id", "n_shingles", "key", "sketch"])
+
+
+_SIGNED = "key long, signs array<long>, needs array<long>"
+
+
+def _signed_rows(made: list[tuple[int, np.ndarray, list[int]]]) -> pa.RecordBatch:
+    columns = zip(*made, strict=True) if made else [()] * 3
+    kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(v), k) for v, k in zip(columns, kinds, strict=True)], names=["key", "signs", "needs"]
+    )
+
+
+def _signed(batches: Iterator[pa.RecordBatch], words: int, alike: int, common: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text) -> (key, signs, needs): a row for each set that a task meets in a row with a doc_id."""
+    met: set[int] = set()
+    for batch in batches:
+        made = []
+        for known, text in zip(batch.column(0).is_valid().to_pylist(), texts_of(batch, batch.schema.names[1]), strict=True):
+            tokens = shingle_set(text, words) if known else _NONE
+            key = set_key(tokens) if len(tokens) else None
+            if key is not None and key not in met:
                 met.add(key)
-        made = [pa.array(v, k) for v, k in zip((sizes, keys, sketches, signs), kinds, strict=True)]
-        yield pa.RecordBatch.from_arrays([ids, *made], names=["doc_id", "n_shingles", "key", "sketch", "signs"])
+                made.append((key, *signatures_and_needs(tokens, alike, common)))
+        yield _signed_rows(made)
 
 
 def _signed_anew(
     batches: Iterator[pa.RecordBatch], words: int, alike: int, common: np.ndarray, turn: int
 ) -> Iterator[pa.RecordBatch]:
-    """(root, key, text) -> (key, signs): the signatures of another turn, each told apart by the group."""
+    """(root, key, text) -> (key, signs, needs): the signatures of another turn, each told apart by the group."""
     for batch in batches:
-        roots, keys, signs = batch.column(0).to_pylist(), [], []
+        made = []
         texts = texts_of(batch, batch.schema.names[2])
-        for root, key, text in zip(roots, batch.column(1).to_pylist(), texts, strict=True):
+        for root, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts, strict=True):
             tokens = shingle_set(text, words)
             if len(tokens) and set_key(tokens) == key:
-                keys.append(key)
-                own = signatures(tokens, alike, common, turn).view(np.uint64)
-                signs.append(splitmix(own ^ _salt(root & (1 << 64) - 1)).view(np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(signs, pa.list_(pa.int64()))], names=["key", "signs"])
+                signs, needs = signatures_and_needs(tokens, alike, common, turn)
+                signs = signs.view(np.uint64)
+                signs = _marked(splitmix(signs ^ _salt(root & (1 << 64) - 1)), signs & np.uint64(1))
+                made.append((key, signs.view(np.int64), needs))
+        yield _signed_rows(made)
 
 
 def _refined(
@@ -253,13 +297,9 @@ def _refined(
         picked = F.broadcast(picked) if picked.count() <= BROADCAST_ROWS else picked
         fetched = rows.join(picked, rows["doc_id"] == picked["id"]).select("root", "key", "text")
         signing = partial(_signed_anew, words=words, alike=alike, common=common, turn=turn)
-        signed = fetched.mapInArrow(releasing(signing), "key long, signs array<long>")
-        meetings = stash.put(_meetings(signed.select(F.explode("signs").alias("sign"), "key")), "meetings")
-        edges = meetings.where("key <> lo").select(F.col("key").alias("a"), F.col("lo").alias("b")).distinct()
-        groups = connected_components(edges, stash)
+        groups = _rooted(fetched.mapInArrow(releasing(signing), _SIGNED), stash)
         apart = members.drop("root").join(groups, F.col("key") == F.col("node")).select("root", "key", "sketch", "id", "n")
         chosen = stash.put(chosen.join(large, "root", "left_anti").unionByName(apart), "chosen")
-        stash.drop(meetings)
     return chosen
 
 
@@ -517,10 +557,30 @@ def _links(rows: DataFrame, groups: DataFrame, words: int, alike: int, stash: St
 
 
 def _meetings(signs: DataFrame) -> DataFrame:
-    """(sign, key) rows of signs that several sets have, with the least of their keys."""
+    """(sign, key, need) rows of signs that several sets have, with the least of their keys."""
     same = Window.partitionBy("sign")
-    rows = signs.select("sign", "key", F.min("key").over(same).alias("lo"), F.max("key").over(same).alias("hi"))
-    return rows.where("lo <> hi").drop("hi")
+    rows = signs.select("sign", "key", "need", F.min("key").over(same).alias("lo"), F.max("key").over(same).alias("hi"))
+    return rows.where("lo <> hi").drop("hi").distinct()
+
+
+def _rooted(signed: DataFrame, stash: Stash) -> DataFrame:
+    """(key, signs, needs) -> (node, root): what shared signatures connect.
+
+    A set that shares fewer signatures of a band with all other sets together than it shares with
+    an alike one at least has none alike there, and its signatures of that band connect nothing.
+    Signatures are most of what the join moves, so they are sent as they are made and not kept.
+    """
+    band = F.col("sign").bitwiseAND(F.lit(1)).cast("int")
+    signs = signed.select(F.explode("signs").alias("sign"), "key", "needs")
+    signs = signs.select("sign", "key", F.element_at("needs", band + 1).cast("int").alias("need"))
+    meetings = stash.put(_meetings(signs), "meetings")
+    banded = meetings.select("sign", "key", "need", band.alias("band"))
+    able = banded.groupBy("key", "band").agg(F.count("*").alias("shared"), F.max("need").alias("least"))
+    able = able.where("shared >= least").select("key", "band")
+    left = _meetings(banded.join(able, ["key", "band"], "left_semi"))
+    groups = connected_components(left.where("key <> lo").select(F.col("key").alias("a"), F.col("lo").alias("b")), stash)
+    stash.drop(meetings)
+    return groups
 
 
 def jaccard_components(
@@ -531,8 +591,9 @@ def jaccard_components(
     Sets of shingles of ``words`` words link when 100 * shared >= ``alike`` * united.
 
     1. Equal sets are one class, whatever the number of copies; a class has a 64-bit key.
-    2. Sets that may be alike share a signature (see ``_emit``): no pair is lost, and
-       passages that many texts share make none. What shared signatures connect is a
+    2. Sets that may be alike share signatures (see ``_emit``): no pair is lost, and
+       passages that many texts share make none. A set that shares fewer than alike sets must
+       is left out (see ``_rooted``). What the other shared signatures connect is a
        root of similar sets, so a set has partners in its own root only. Roots larger than
        a block are signed anew, which takes them apart where only passages held them
        together (see ``_refined``).
@@ -550,17 +611,11 @@ def jaccard_components(
     # a row holds a text and its set of tokens, so batches of the usual number of rows are large on both sides
     stash = Stash(spark, FEW_ROWS)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    schema = "doc_id long, n_shingles long, key long, sketch long, signs array<long>"
+    sized = partial(_sized, words=words)
+    slim = stash.put(rows.mapInArrow(releasing(sized), "doc_id long, n_shingles long, key long, sketch long"), "rows")
     common = common_tokens(rows, words)
     signed = partial(_signed, words=words, alike=alike, common=common)
-    sets = stash.put(rows.mapInArrow(releasing(signed), schema), "sets")
-
-    slim = stash.put(sets.select("doc_id", "n_shingles", "key", "sketch"), "rows")
-    signs = sets.where(F.col("signs").isNotNull()).select(F.explode("signs").alias("sign"), "key")
-    meetings = stash.put(_meetings(signs), "meetings")
-    stash.drop(sets)
-    edges = meetings.where("key <> lo").select(F.col("key").alias("a"), F.col("lo").alias("b")).distinct()
-    groups = connected_components(edges, stash)
+    groups = _rooted(rows.mapInArrow(releasing(signed), _SIGNED), stash)
 
     # one document of each class that met another class: its tokens are made anew from its text
     members = slim.where(F.col("doc_id").isNotNull() & F.col("key").isNotNull())
@@ -570,8 +625,7 @@ def jaccard_components(
     found, _ = _links(rows, _grouped(chosen, stash), words, alike, stash)
     links = stash.put(found, "links")
     linked = connected_components(links, stash)
-    for spent in (meetings, links):
-        stash.drop(spent)
+    stash.drop(links)
 
     rooted = slim.join(linked, slim["key"] == linked["node"], "left").select(
         "doc_id", "n_shingles", F.coalesce("root", "key").alias("root")
