@@ -13,15 +13,6 @@ def uniform(seed: str | int, *keys: str | Column) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def uniforms(seed: str | int, *keys: str | Column) -> list[Column]:
-    """Four independent numbers in [0, 1) from the four quarters of one digest."""
-    columns = [F.col(k) if isinstance(k, str) else k for k in keys]
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[c.cast("string") for c in columns]))
-    return [
-        F.conv(F.substring(digest, 1 + 8 * i, 8), 16, 10).cast("double") / F.lit(4294967296.0) for i in range(4)
-    ]
-
-
 def pick(choices: list[str], u: Column) -> Column:
     """The element of a literal list that a uniform number points at."""
     index = F.floor(u * F.lit(float(len(choices)))).cast("int") + F.lit(1)
